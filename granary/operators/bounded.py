@@ -1,0 +1,21 @@
+"""Small results, with their size checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+MAX_SMALL_ROWS = 10_000
+
+
+def as_small_table(frame: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """``frame`` as a local table if it has at most ``max_rows`` rows, else unchanged.
+
+    For per-group limits that are joined back to the rows they came from. A
+    local table has a known size, so Spark broadcasts it without a hint, and
+    its plan is not run a second time. Beyond the limit the join shuffles and
+    adaptive execution splits its hot groups.
+    """
+    rows = frame.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return frame
+    return frame.sparkSession.createDataFrame(rows, frame.schema)

@@ -265,6 +265,7 @@ def sales_from_facts(facts: DataFrame) -> DataFrame:
         F.max("total_venda").alias("total_venda"),
         F.max("frete").alias("frete"),
         F.max("dim_cliente_id").alias("dim_cliente_id"),
+        F.max("dim_endereco_id").alias("dim_endereco_id"),
         F.max("data_venda").alias("data_venda"),
         F.max("dim_tempo_data").alias("dim_tempo_data"),
         F.max("ano").alias("ano"),

@@ -5,6 +5,6 @@ as DECIMAL(18,2) and returned as DOUBLE; means are rounded half up from whole
 cents, because DuckDB divides decimals as doubles.
 """
 
-from oracle import lake_tables
+from oracle import analyses, checks, lake_tables, loads
 
-SQL: dict[str, str] = {**lake_tables.SQL}
+SQL: dict[str, str] = {**lake_tables.SQL, **loads.SQL, **checks.SQL, **analyses.SQL}

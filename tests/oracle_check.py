@@ -64,7 +64,7 @@ def main() -> int:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = session.create("oracle check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = session.create("oracle check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     sql, failed = oracle_sql(), 0
