@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from granary.session import scratch_path
+from granary.session import scratch_path, settings
 
 COMPRESSION = "snappy"
 MAX_ROWS_PER_FILE = 20_000_000
@@ -45,7 +45,9 @@ def _observed(frame: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame,
     return frame.observe(observation, *columns), observation
 
 
-def _save(frame: DataFrame, path: str, partition_by: Sequence[str], dynamic: bool) -> None:
+def _save(
+    frame: DataFrame, path: str, partition_by: Sequence[str], dynamic: bool, by_folder: bool = False
+) -> None:
     writer = (
         frame.write.mode("overwrite")
         .option("compression", COMPRESSION)
@@ -54,7 +56,13 @@ def _save(frame: DataFrame, path: str, partition_by: Sequence[str], dynamic: boo
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if not by_folder:
+        writer.parquet(path)
+        return
+    # Each folder's rows already share a task. Merging tasks would not save a
+    # file, only make fewer tasks write them.
+    with settings(frame.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        writer.parquet(path)
 
 
 def write_bronze(
@@ -78,7 +86,7 @@ def write_bronze(
     path = f"{root}/{table}"
     dated = frame.withColumns(parts)
     observed, seen = _observed(dated if day is not None else rebalanced(dated, list(parts)), {})
-    _save(observed, path, list(parts), dynamic=True)
+    _save(observed, path, list(parts), dynamic=True, by_folder=day is None)
     rows = seen.get.get("rows", 0)
     return WriteResult(table, path, rows, "success" if rows else "empty")
 
@@ -92,7 +100,7 @@ def overwrite_partitions(
 ) -> WriteResult:
     """Replace exactly the partitions that ``frame`` has rows for."""
     observed, seen = _observed(rebalanced(frame, partition_by), metrics or {})
-    _save(observed, path, partition_by, dynamic=True)
+    _save(observed, path, partition_by, dynamic=True, by_folder=True)
     return _result(table, path, seen)
 
 
@@ -126,7 +134,7 @@ def stage(
     spark = frame.sparkSession
     path = scratch_path(spark, purpose)
     observed, seen = _observed(rebalanced(frame, partition_by), metrics or {})
-    _save(observed, path, partition_by, dynamic=False)
+    _save(observed, path, partition_by, dynamic=False, by_folder=bool(partition_by))
     result = _result(purpose, path, seen)
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns), result
 
