@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +48,9 @@ def discover_schema(
         table = entry.removesuffix(".parquet")
         try:
             found = spark.read.option("mergeSchema", "true").parquet(f"{root}/{entry}").schema
-        except PySparkException as error:
-            rows.append((table, "*", str(error).splitlines()[0], "conflict"))
+        except (PySparkException, Py4JJavaError) as error:
+            cause = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
+            rows.append((table, "*", cause.splitlines()[0], "conflict"))
             continue
         rows += _compare(table, found, declared.get(table))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
