@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.catalogue.base import AS_OF, calendar, facts, products, query
+from granary.catalogue.base import AS_OF, calendar, facts, products, query, sales
 from granary.plans import silver
-from granary.plans.analyses import customers, operations, sales
+from granary.plans.analyses import customers, operations
 from granary.plans.analyses import products as product_plans
+from granary.plans.analyses import sales as sales_plans
 from granary.sources.testbed import Testbed
 
 SILVER_FROM, GOLD_FROM = 1_500_000, 3_000_000
@@ -17,17 +18,17 @@ STATUSES = ("F", "O", "P")
 
 @query
 def customer_category(bed: Testbed) -> DataFrame:
-    return customers.customer_category(facts(bed), SILVER_FROM, GOLD_FROM)
+    return customers.customer_category(sales(bed), SILVER_FROM, GOLD_FROM)
 
 
 @query
 def sales_by_period(bed: Testbed) -> DataFrame:
-    return sales.sales_by_period(facts(bed))
+    return sales_plans.sales_by_period(sales(bed))
 
 
 @query
 def ticket_by_customer(bed: Testbed) -> DataFrame:
-    return customers.ticket_by_customer(facts(bed))
+    return customers.ticket_by_customer(sales(bed))
 
 
 @query
@@ -37,27 +38,27 @@ def ticket_by_category(bed: Testbed) -> DataFrame:
 
 @query
 def conversion_daily(bed: Testbed) -> DataFrame:
-    return sales.conversion_daily(bed.raw("events"), "ts", "user_id", "event_type")
+    return sales_plans.conversion_daily(bed.raw("events"), "ts", "user_id", "event_type")
 
 
 @query
 def seasonality(bed: Testbed) -> DataFrame:
-    return sales.seasonality(facts(bed))
+    return sales_plans.seasonality(sales(bed))
 
 
 @query
 def sales_trend(bed: Testbed) -> DataFrame:
-    return sales.sales_trend(facts(bed))
+    return sales_plans.sales_trend(sales(bed))
 
 
 @query
 def rfm_segments(bed: Testbed) -> DataFrame:
-    return customers.rfm_segments(facts(bed), AS_OF)
+    return customers.rfm_segments(sales(bed), AS_OF)
 
 
 @query
 def customer_ltv(bed: Testbed) -> DataFrame:
-    return customers.customer_ltv(facts(bed))
+    return customers.customer_ltv(sales(bed))
 
 
 @query
@@ -78,7 +79,7 @@ def sales_by_segment(bed: Testbed) -> DataFrame:
         )
     )
     return customers.sales_by_segment(
-        facts(bed), described, ["segmento", "regiao", "genero", "faixa_etaria"]
+        sales(bed), described, ["segmento", "regiao", "genero", "faixa_etaria"]
     )
 
 
@@ -104,7 +105,7 @@ def supplier_metrics(bed: Testbed) -> DataFrame:
 
 @query
 def regional_rollup(bed: Testbed) -> DataFrame:
-    return operations.regional_rollup(facts(bed), silver.dim_addresses(bed.enderecos()))
+    return operations.regional_rollup(sales(bed), silver.dim_addresses(bed.enderecos()))
 
 
 @query
@@ -114,9 +115,9 @@ def shipping_days(bed: Testbed) -> DataFrame:
 
 @query
 def financials(bed: Testbed) -> DataFrame:
-    return sales.financials(facts(bed))
+    return sales_plans.financials(facts(bed))
 
 
 @query
 def payment_status_pivot(bed: Testbed) -> DataFrame:
-    return sales.payment_status_pivot(facts(bed), STATUSES)
+    return sales_plans.payment_status_pivot(sales(bed), STATUSES)

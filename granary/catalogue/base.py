@@ -35,6 +35,10 @@ def facts(bed: Testbed) -> DataFrame:
     return silver.facts_sales(bed.vendas(), bed.itens_venda())
 
 
+def sales(bed: Testbed) -> DataFrame:
+    return silver.sales_with_lines(bed.vendas(), bed.itens_venda())
+
+
 def products(bed: Testbed) -> DataFrame:
     return silver.dim_products(bed.produtos(), bed.categorias(), bed.fornecedores())
 

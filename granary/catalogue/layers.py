@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from granary.catalogue.base import AS_OF, calendar, categories, customers, facts, products, query
+from granary.catalogue.base import AS_OF, calendar, categories, customers, facts, products, query, sales
 from granary.plans import gold, silver
 from granary.sources.testbed import Testbed
 
@@ -92,17 +92,17 @@ def executive_summary(bed: Testbed) -> DataFrame:
 
 @query
 def monthly_sales_by_order(bed: Testbed) -> DataFrame:
-    return gold.presented(gold.monthly_sales_by_order(facts(bed)), "vendas_mensais")
+    return gold.presented(gold.monthly_sales_by_order(sales(bed)), "vendas_mensais")
 
 
 @query
 def vip_customers_by_order(bed: Testbed) -> DataFrame:
-    return gold.vip_customers_by_order(facts(bed), customers(bed))
+    return gold.vip_customers_by_order(sales(bed), customers(bed))
 
 
 @query
 def daily_sales_by_order(bed: Testbed) -> DataFrame:
-    return gold.presented(gold.daily_sales_by_order(facts(bed), calendar(bed)), "vendas_diarias")
+    return gold.presented(gold.daily_sales_by_order(sales(bed), calendar(bed)), "vendas_diarias")
 
 
 @query
@@ -118,4 +118,4 @@ def category_performance_by_subtotal(bed: Testbed) -> DataFrame:
 
 @query
 def executive_summary_by_order(bed: Testbed) -> DataFrame:
-    return gold.executive_summary_by_order(facts(bed), AS_OF.isoformat())
+    return gold.executive_summary_by_order(sales(bed), AS_OF.isoformat())

@@ -6,18 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.money import rounded_mean
-from granary.plans.gold import sales_from_facts
 
 
-def regional_rollup(facts: DataFrame, addresses: DataFrame) -> DataFrame:
+def regional_rollup(sales: DataFrame, addresses: DataFrame) -> DataFrame:
     """Sales and revenue by state and city of delivery, with subtotals and a total.
 
     ``nivel`` is 0 for a city, 1 for a state, 3 for everything. The rollup
     expands cities, not sales.
     """
     per_address = (
-        sales_from_facts(facts)
-        .groupBy(F.col("dim_endereco_id").alias("endereco_id"))
+        sales.groupBy(F.col("dim_endereco_id").alias("endereco_id"))
         .agg(F.count("*").alias("vendas"), F.sum("total_venda").alias("receita"))
     )
     per_city = (

@@ -1,4 +1,4 @@
-"""Sales over time."""
+"""Sales over time. ``sales`` is the fact at sale grain, ``facts`` at line grain."""
 
 from __future__ import annotations
 
@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.money import rounded_mean, rounded_quotient
-from granary.plans.gold import sales_from_facts
 
 
-def _daily(facts: DataFrame) -> DataFrame:
+def _daily(sales: DataFrame) -> DataFrame:
     return (
-        sales_from_facts(facts)
+        sales
         .groupBy(F.col("dim_tempo_data").alias("dia"))
         .agg(
             F.count("*").alias("vendas"),
@@ -23,14 +22,14 @@ def _daily(facts: DataFrame) -> DataFrame:
     )
 
 
-def sales_by_period(facts: DataFrame) -> DataFrame:
+def sales_by_period(sales: DataFrame) -> DataFrame:
     """Sales, revenue and items per day, ISO week, month and year.
 
-    The fact is read once and reduced to days; the four groupings then expand
-    days, not facts.
+    Sales are read once and reduced to days; the four groupings then expand
+    days, not sales.
     """
     grains = {"dia": "day", "semana": "week", "mes": "month", "ano": "year"}
-    daily = _daily(facts).withColumns(
+    daily = _daily(sales).withColumns(
         {name: F.trunc("dia", unit) for name, unit in grains.items() if name != "dia"}
     )
     grouped = daily.groupingSets([[F.col(g)] for g in grains], *grains).agg(
@@ -44,22 +43,22 @@ def sales_by_period(facts: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue(facts: DataFrame) -> DataFrame:
+def monthly_revenue(sales: DataFrame) -> DataFrame:
     """Revenue per calendar month, with a month number that grows by one each month."""
     return (
-        sales_from_facts(facts)
+        sales
         .groupBy("ano", "mes")
         .agg(F.sum("total_venda").alias("receita"))
         .withColumn("_month", F.col("ano") * 12 + F.col("mes"))
     )
 
 
-def seasonality(facts: DataFrame) -> DataFrame:
+def seasonality(sales: DataFrame) -> DataFrame:
     """Per month of the year: mean monthly revenue against the mean of all months.
 
     The window without keys spans calendar months, twelve rows per year.
     """
-    months = monthly_revenue(facts)
+    months = monthly_revenue(sales)
     everything = Window.partitionBy()
     overall = months.withColumns(
         {"_all": F.sum("receita").over(everything), "_count": F.count("*").over(everything)}
@@ -75,13 +74,13 @@ def seasonality(facts: DataFrame) -> DataFrame:
     )
 
 
-def sales_trend(facts: DataFrame) -> DataFrame:
+def sales_trend(sales: DataFrame) -> DataFrame:
     """Monthly revenue, its change on the month and year before, and a three-month mean.
 
     Distances are calendar months: a month without sales is a gap, not the
     month before. The window spans calendar months, twelve rows per year.
     """
-    months = monthly_revenue(facts)
+    months = monthly_revenue(sales)
     by_month = Window.orderBy("_month")
     current = F.col("receita").cast("double")
 
@@ -119,17 +118,17 @@ def conversion_daily(events: DataFrame, time: str, user: str, kind: str) -> Data
     return counted.withColumn("taxa_conversao", F.when(F.col("visitantes") > 0, ratio))
 
 
-def payment_status_pivot(facts: DataFrame, statuses: Sequence[str]) -> DataFrame:
+def payment_status_pivot(sales: DataFrame, statuses: Sequence[str]) -> DataFrame:
     """Monthly revenue, one column per payment status.
 
-    The statuses are given, so no extra pass looks for them.
+    The statuses are given, so no extra pass looks for them and one conditional
+    sum each is enough.
     """
-    return (
-        sales_from_facts(facts)
-        .groupBy("ano", "mes")
-        .pivot("status_pagamento", list(statuses))
-        .agg(F.sum("total_venda"))
-        .select("ano", "mes", *[F.col(f"`{s}`").alias(f"receita_{s.lower()}") for s in statuses])
+    return sales.groupBy("ano", "mes").agg(
+        *[
+            F.sum(F.when(F.col("status_pagamento") == s, F.col("total_venda"))).alias(f"receita_{s.lower()}")
+            for s in statuses
+        ]
     )
 
 

@@ -2,8 +2,8 @@
 
 Two meanings of "sales" exist side by side. The plain tables work at line
 grain: a sale with three lines counts three times and its total is added three
-times. The ``*_by_order`` and ``*_by_subtotal`` tables count each sale once, or
-add the line's own subtotal.
+times. The ``*_by_order`` tables take the fact at sale grain and count each sale
+once; the ``*_by_subtotal`` tables add the line's own subtotal.
 
 Whatever is joined to a dimension is first reduced to one row per key. A
 product or customer that holds a third of the fact is then combined inside
@@ -73,25 +73,21 @@ def monthly_sales(facts: DataFrame) -> DataFrame:
     )
 
 
-def _by_product(facts: DataFrame, products: DataFrame, categories: DataFrame, value: str) -> DataFrame:
-    """Fact measures per product, with product and category attributes.
-
-    Products whose category is unknown drop out, as in an inner join.
-    """
-    reduced = facts.groupBy(F.col("dim_produto_id").alias("produto_id")).agg(
+def _per_product(facts: DataFrame, value: str) -> DataFrame:
+    return facts.groupBy(F.col("dim_produto_id").alias("produto_id")).agg(
         *_measures(value, "preco_unitario")
     )
-    names = products.select("produto_id", "produto_nome", "categoria_id")
-    kinds = categories.select("categoria_id", "categoria_nome")
-    return reduced.join(names, "produto_id").join(kinds, "categoria_id")
 
 
 def _top_products(
     facts: DataFrame, products: DataFrame, categories: DataFrame, value: str, limit: int
 ) -> DataFrame:
+    """Products whose category is unknown drop out, as in an inner join."""
     exact_price = is_exact(facts, "preco_unitario")
     return (
-        _by_product(facts, products, categories, value)
+        _per_product(facts, value)
+        .join(products.select("produto_id", "produto_nome", "categoria_id"), "produto_id")
+        .join(categories.select("categoria_id", "categoria_nome"), "categoria_id")
         .groupBy("produto_id", "produto_nome", "categoria_nome")
         .agg(*_merged("items", "value", "rows", "price", "price_rows"))
         .select(
@@ -161,10 +157,21 @@ def vip_customers(
 def _category_performance(
     facts: DataFrame, products: DataFrame, categories: DataFrame, value: str
 ) -> DataFrame:
+    """Measures per product, then per category, and only then the category's name.
+
+    A category with most of the products is added up before it is joined.
+    """
+    names = ("value", "items", "rows", "price", "price_rows", "customers")
+    per_category = (
+        _per_product(facts, value)
+        .join(products.select("produto_id", "categoria_id"), "produto_id")
+        .groupBy("categoria_id")
+        .agg(*_merged(*names))
+    )
     return (
-        _by_product(facts, products, categories, value)
+        per_category.join(categories.select("categoria_id", "categoria_nome"), "categoria_id")
         .groupBy("categoria_id", "categoria_nome")
-        .agg(*_merged("value", "items", "rows", "price", "price_rows", "customers"))
+        .agg(*_merged(*names))
         .select(
             "categoria_id",
             "categoria_nome",
@@ -186,18 +193,33 @@ def category_performance(facts: DataFrame, products: DataFrame, categories: Data
 def category_performance_by_subtotal(
     facts: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """Category revenue from the lines' own subtotals, with real distinct customers."""
-    sums = _category_performance(facts, products, categories, "subtotal").drop("clientes_unicos")
-    # One row per product and customer reaches the join, whatever a product sold.
-    buyers = facts.select(
-        F.col("dim_produto_id").alias("produto_id"), F.col("dim_cliente_id").alias("cliente_id")
-    ).distinct()
-    distinct_buyers = (
-        buyers.join(products.select("produto_id", "categoria_id"), "produto_id")
-        .groupBy("categoria_id")
-        .agg(F.count_distinct("cliente_id").alias("clientes_unicos"))
+    """Category revenue from the lines' own subtotals, with real distinct customers.
+
+    Distinct customers cannot be added up from products, so here the lines are
+    joined, once for all measures. A hot product's lines are split by adaptive
+    execution, and (category, customer) pairs are combined before they move on.
+    """
+    exact = is_exact(facts, "preco_unitario")
+    kinds = products.select("produto_id", "categoria_id").join(
+        categories.select("categoria_id", "categoria_nome"), "categoria_id"
+    )
+    lines = facts.withColumnRenamed("dim_produto_id", "produto_id").join(kinds, "produto_id")
+    return (
+        lines.groupBy("categoria_id", "categoria_nome")
+        .agg(
+            *_measures("subtotal", "preco_unitario"),
+            F.count_distinct("dim_cliente_id").alias("clientes_unicos"),
+        )
+        .select(
+            "categoria_id",
+            "categoria_nome",
+            rounded_total(F.col("_value")).alias("receita_categoria"),
+            F.col("_items").alias("itens_vendidos"),
+            F.col("_rows").alias("numero_transacoes"),
+            rounded_mean(F.col("_price"), F.col("_price_rows"), exact).alias("preco_medio_categoria"),
+            "clientes_unicos",
+        )
     )
-    return sums.join(distinct_buyers, "categoria_id")
 
 
 def daily_sales(facts: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -255,29 +277,7 @@ def presented(table: DataFrame, name: str) -> DataFrame:
 # --- each sale counted once -------------------------------------------------
 
 
-def sales_from_facts(facts: DataFrame) -> DataFrame:
-    """One row per sale, back from the line grain.
-
-    Header values are equal on all lines of a sale, so a maximum reads them
-    off; unlike ``first`` it does not depend on row order.
-    """
-    return facts.groupBy("venda_id").agg(
-        F.max("total_venda").alias("total_venda"),
-        F.max("frete").alias("frete"),
-        F.max("dim_cliente_id").alias("dim_cliente_id"),
-        F.max("dim_endereco_id").alias("dim_endereco_id"),
-        F.max("data_venda").alias("data_venda"),
-        F.max("dim_tempo_data").alias("dim_tempo_data"),
-        F.max("ano").alias("ano"),
-        F.max("mes").alias("mes"),
-        F.max("status_pagamento").alias("status_pagamento"),
-        F.sum("quantidade").alias("quantidade"),
-        F.count("*").alias("linhas"),
-    )
-
-
-def monthly_sales_by_order(facts: DataFrame, approximate: bool = False) -> DataFrame:
-    sales = sales_from_facts(facts)
+def monthly_sales_by_order(sales: DataFrame, approximate: bool = False) -> DataFrame:
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     return (
         sales.groupBy("ano", "mes")
@@ -297,16 +297,14 @@ def monthly_sales_by_order(facts: DataFrame, approximate: bool = False) -> DataF
 
 
 def vip_customers_by_order(
-    facts: DataFrame, customers: DataFrame, limit: int = TOP_CUSTOMERS, minimum: float = VIP_SPEND
+    sales: DataFrame, customers: DataFrame, limit: int = TOP_CUSTOMERS, minimum: float = VIP_SPEND
 ) -> DataFrame:
-    return vip_customers(sales_from_facts(facts), customers, limit, minimum)
+    return vip_customers(sales, customers, limit, minimum)
 
 
-def daily_sales_by_order(facts: DataFrame, calendar: DataFrame) -> DataFrame:
-    return daily_sales(sales_from_facts(facts), calendar)
+def daily_sales_by_order(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+    return daily_sales(sales, calendar)
 
 
-def executive_summary_by_order(facts: DataFrame, period: str) -> DataFrame:
-    return executive_summary(
-        sales_from_facts(facts), period, buyers=F.count_distinct("dim_cliente_id")
-    )
+def executive_summary_by_order(sales: DataFrame, period: str) -> DataFrame:
+    return executive_summary(sales, period, buyers=F.count_distinct("dim_cliente_id"))

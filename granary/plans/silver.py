@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,10 +42,17 @@ def dim_categories(categories: DataFrame) -> DataFrame:
 def dim_products(products: DataFrame, categories: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Products with the names of their category and supplier, NULL where there is none.
 
-    The lookups carry only (id, name), made distinct, so the join cannot
-    multiply products by unrelated changes. Whether a lookup is broadcast is
-    left to its measured size.
+    Products and lookups are made distinct before the joins, which keeps the
+    result distinct. Afterwards the whole table would be grouped on top of the
+    last join, and a supplier with a third of all products would be one task.
+    Whether a lookup is broadcast is left to its measured size.
     """
+    own = products.select(
+        *_prefixed("produto", PRODUCT_TEXT),
+        "categoria_id",
+        "fornecedor_id",
+        *_prefixed("produto", PRODUCT_FACTS),
+    ).distinct()
     category_names = categories.select(
         F.col("id").alias("categoria_id"), F.col("nome").alias("categoria_nome")
     ).distinct()
@@ -52,17 +60,16 @@ def dim_products(products: DataFrame, categories: DataFrame, suppliers: DataFram
         F.col("id").alias("fornecedor_id"), F.col("nome").alias("fornecedor_nome")
     ).distinct()
     return (
-        products.join(category_names, "categoria_id", "left")
+        own.join(category_names, "categoria_id", "left")
         .join(supplier_names, "fornecedor_id", "left")
         .select(
-            *_prefixed("produto", PRODUCT_TEXT),
+            *[f"produto_{c}" for c in PRODUCT_TEXT],
             "categoria_id",
             "categoria_nome",
             "fornecedor_id",
             "fornecedor_nome",
-            *_prefixed("produto", PRODUCT_FACTS),
+            *[f"produto_{c}" for c in PRODUCT_FACTS],
         )
-        .distinct()
     )
 
 
@@ -128,19 +135,19 @@ def sale_lines(sales: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def _rejection_reasons() -> list[tuple[str, Column]]:
-    """What each check looks for; a NULL fails the check."""
-    positive = [(c, F.col(c) > 0) for c in ("quantidade", "preco_unitario", "subtotal")]
-    present = [(c, F.col(c).isNotNull()) for c in ("dim_cliente_id", "dim_produto_id")]
-    return positive + present
+# What a line needs to enter the fact.
+POSITIVE = ("quantidade", "preco_unitario", "subtotal")
+PRESENT = ("dim_cliente_id", "dim_produto_id")
+# End of fixed values.
+
 
+def _checks(present: Sequence[str] = PRESENT) -> dict[str, Column]:
+    """The condition of each check by column; a NULL fails it."""
+    return {c: F.col(c) > 0 for c in POSITIVE} | {c: F.col(c).isNotNull() for c in present}
 
-def valid_line() -> Column:
-    checks = [check for _, check in _rejection_reasons()]
-    combined = checks[0]
-    for check in checks[1:]:
-        combined = combined & check
-    return combined
+
+def valid_line(present: Sequence[str] = PRESENT) -> Column:
+    return reduce(lambda a, b: a & b, _checks(present).values())
 
 
 def facts_sales(
@@ -151,6 +158,57 @@ def facts_sales(
     return facts.filter(F.col("status_venda").isin(*statuses)) if statuses else facts
 
 
+def sales_with_lines(
+    sales: DataFrame, lines: DataFrame, statuses: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per sale that has a valid line: the fact at sale grain.
+
+    Lines are added up per sale before they meet the header. A sale with a
+    third of all lines then reaches the join as one row, and the header's
+    values never travel once per line.
+    """
+    per_sale = (
+        lines.filter(valid_line(("produto_id",)))
+        .groupBy("venda_id")
+        .agg(F.sum("quantidade").alias("quantidade"), F.count("*").alias("linhas"))
+    )
+    headers = sales.filter(F.col("cliente_id").isNotNull())
+    if statuses:
+        headers = headers.filter(F.col("status").isin(*statuses))
+    moment = F.col("data_venda")
+    return headers.join(per_sale, headers["id"] == per_sale["venda_id"]).select(
+        "venda_id",
+        F.col("total").alias("total_venda"),
+        "frete",
+        F.col("cliente_id").alias("dim_cliente_id"),
+        F.col("endereco_entrega_id").alias("dim_endereco_id"),
+        "data_venda",
+        F.to_date(moment).alias("dim_tempo_data"),
+        F.year(moment).alias("ano"),
+        F.month(moment).alias("mes"),
+        "status_pagamento",
+        "quantidade",
+        "linhas",
+    )
+
+
+def sales_from_facts(facts: DataFrame) -> DataFrame:
+    """The same as :func:`sales_with_lines`, from a stored fact.
+
+    Header values are equal on all lines of a sale, so a maximum reads them
+    off; unlike ``first`` it does not depend on row order.
+    """
+    header = (
+        "total_venda", "frete", "dim_cliente_id", "dim_endereco_id", "data_venda",
+        "dim_tempo_data", "ano", "mes", "status_pagamento",
+    )
+    return facts.groupBy("venda_id").agg(
+        *[F.max(c).alias(c) for c in header],
+        F.sum("quantidade").alias("quantidade"),
+        F.count("*").alias("linhas"),
+    )
+
+
 def rejected_lines(sales: DataFrame, lines: DataFrame) -> DataFrame:
     """The complement of :func:`facts_sales`, with the first check that failed."""
     return _with_reason(sales, lines).filter(F.col("motivo").isNotNull())
@@ -166,7 +224,7 @@ def _with_reason(sales: DataFrame, lines: DataFrame) -> DataFrame:
     first_failure = F.coalesce(
         *[
             F.when(~F.coalesce(check, F.lit(False)), F.lit(name))
-            for name, check in _rejection_reasons()
+            for name, check in _checks().items()
         ]
     )
     return sale_lines(sales, lines).withColumn("motivo", first_failure)

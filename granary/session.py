@@ -9,8 +9,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
-# Settings that change results or file formats. They are applied at run time,
-# so they also work on a session that somebody else created.
+# Settings that results, file formats or hot keys depend on. They are applied
+# at run time, so they also work on a session that somebody else created.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -19,6 +19,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
+    # Split a join's hot key even if the next step groups by the same key and
+    # then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 # Adaptive execution does the work that hand tuning would do badly: it merges

@@ -68,7 +68,7 @@ def test_calendar_holds_each_sale_date_once(spark):
 def test_line_grain_against_sale_grain(spark):
     facts = facts_of(spark, [{"total": 30}], [{}, {}, {}])
     by_line = gold.monthly_sales(facts).first()
-    by_sale = gold.monthly_sales_by_order(facts).first()
+    by_sale = gold.monthly_sales_by_order(silver.sales_from_facts(facts)).first()
     assert (by_line["receita_total"], by_line["total_vendas"], by_line["clientes_unicos"]) == (90, 3, 3)
     assert (by_sale["receita_total"], by_sale["total_vendas"], by_sale["clientes_unicos"]) == (30, 1, 1)
     assert by_line["ticket_medio"] == by_sale["ticket_medio"] == 30
@@ -76,7 +76,7 @@ def test_line_grain_against_sale_grain(spark):
 
 def test_approximate_customers(spark):
     facts = facts_of(spark, [{}, {"cliente_id": 2}], [{}, {"venda_id": 2}])
-    assert gold.monthly_sales_by_order(facts, approximate=True).first()["clientes_unicos"] == 2
+    assert gold.monthly_sales_by_order(silver.sales_from_facts(facts), approximate=True).first()["clientes_unicos"] == 2
 
 
 def test_vip_limit_is_tested_after_rounding(spark):
@@ -143,3 +143,14 @@ def test_money_columns_stay_decimal(spark):
     facts = facts_of(spark, [{"total": "10.05"}], [{}, {}])
     row = gold.monthly_sales(facts).first()
     assert row["receita_total"] == Decimal("20.10") and row["ticket_medio"] == Decimal("10.05")
+
+
+def test_sale_grain_is_the_same_from_sources_and_from_the_fact(spark, bed):
+    direct = silver.sales_with_lines(bed.vendas(), bed.itens_venda())
+    stored = silver.sales_from_facts(silver.facts_sales(bed.vendas(), bed.itens_venda()))
+    assert sorted(direct.columns) == sorted(stored.columns)
+    assert values(direct, *direct.columns) == values(stored, *direct.columns)
+    sales = bronze(spark, "vendas", {"status": "x"}, {"cliente_id": None}, {})
+    lines = bronze(spark, "itens_venda", {}, *BAD_LINES, {"venda_id": 3})
+    assert values(silver.sales_with_lines(sales, lines), "venda_id", "linhas") == [(1, 1), (3, 1)]
+    assert values(silver.sales_with_lines(sales, lines, ["x"]), "venda_id") == [(1,)]
