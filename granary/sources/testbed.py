@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.functions.scalars import integer_quotient
 from granary.schemas import MONEY
 
 
@@ -66,7 +67,7 @@ class Testbed:
             F.col("l_orderkey").alias("venda_id"),
             F.col("l_partkey").alias("produto_id"),
             quantity.alias("quantidade"),
-            F.when(quantity != 0, F.round(price / quantity, 2).cast(MONEY)).alias("preco_unitario"),
+            _unit_price(F.col("l_extendedprice"), quantity).alias("preco_unitario"),
             price.alias("subtotal"),
             F.col("l_shipdate").alias("data_envio"),
             F.col("l_discount").cast("decimal(4,2)").alias("desconto"),
@@ -155,5 +156,15 @@ class Testbed:
         )
 
 
+def _unit_price(price: Column, quantity: Column) -> Column:
+    """Price per piece, rounded half up from whole cents; decimal division is twice as slow.
+
+    Only for the positive values that can enter the fact at all.
+    """
+    cents, pieces = F.round(price * 100).cast("bigint"), quantity.cast("bigint")
+    whole = integer_quotient(cents * 2 + pieces, pieces * 2).cast("decimal(18,0)")
+    return F.when(pieces > 0, (whole * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY))
+
+
 def _brand_number() -> Column:
     return F.substring_index("p_brand", "#", -1).cast("bigint")
