@@ -123,15 +123,17 @@ def gold_roundtrip(bed: Testbed) -> DataFrame:
 def gold_row_counts(bed: Testbed) -> DataFrame:
     """Rows of each gold table and of the fact, which is written once and then read."""
     fact, _ = stage(_declared_facts(bed), "facts")
+    days, _ = stage(gold.day_totals(fact), "day-totals")
+    per_product, _ = stage(gold.product_totals(fact), "product-totals")
     goods, kinds = products(bed), categories(bed)
     tables = {
         "facts_vendas": fact,
-        "vendas_mensais": gold.monthly_sales(fact),
-        "top_produtos": gold.top_products(fact, goods, kinds),
+        "vendas_mensais": gold.monthly_from_days(days),
+        "top_produtos": gold.top_from_products(per_product, goods, kinds),
         "clientes_vip": gold.vip_customers(fact, customers(bed)),
-        "performance_categorias": gold.category_performance(fact, goods, kinds),
-        "vendas_diarias": gold.daily_sales(fact, calendar(bed)),
-        "resumo_executivo": gold.executive_summary(fact, AS_OF.isoformat()),
+        "performance_categorias": gold.categories_from_products(per_product, goods, kinds),
+        "vendas_diarias": gold.daily_from_days(days, calendar(bed)),
+        "resumo_executivo": gold.summary_from_days(days, AS_OF.isoformat()),
     }
     counts = [
         t.agg(F.lit(name).alias("tabela"), F.count("*").alias("registros"))

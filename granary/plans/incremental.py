@@ -32,12 +32,16 @@ def sales_after(sales: DataFrame, mark: dt.datetime) -> DataFrame:
     return sales.filter(F.col("data_venda") > literal_like(mark, sales.schema["data_venda"].dataType))
 
 
+def lookback_start(mark: dt.datetime, lookback_days: int = LOOKBACK_DAYS) -> dt.datetime:
+    return mark if mark.year <= 1900 else mark - dt.timedelta(days=lookback_days)
+
+
 def sales_since(sales: DataFrame, mark: dt.datetime, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Sales from ``lookback_days`` before the mark on, the mark included.
 
     Only sale headers are filtered; the join with the lines limits the lines.
     """
-    earliest = mark if mark.year <= 1900 else mark - dt.timedelta(days=lookback_days)
+    earliest = lookback_start(mark, lookback_days)
     return sales.filter(F.col("data_venda") >= literal_like(earliest, sales.schema["data_venda"].dataType))
 
 

@@ -16,7 +16,7 @@ from granary.plans import gold, incremental, silver
 from granary.schemas import BRONZE, PARTITION_KEYS
 from granary.session import configure
 from granary.sinks import reports
-from granary.sinks.lake import WriteResult, overwrite_partitions, replace_table, write_bronze
+from granary.sinks.lake import WriteResult, overwrite_partitions, replace_table, stage, write_bronze
 from granary.sources.lake import (
     EXTRACT_KEYS,
     extract_folder,
@@ -132,14 +132,25 @@ def extract_job(
     return report
 
 
-def current_rows(spark: SparkSession, lake: Lake, table: SourceTable) -> DataFrame:
+def current_rows(
+    spark: SparkSession, lake: Lake, table: SourceTable, since: dt.date | None = None
+) -> DataFrame:
     """One row per key of a bronze table.
 
     Tables extracted in full need their newest folder only. The others keep,
-    per key, the row changed last, then the one extracted last.
+    per key, the row changed last, then the one extracted last. ``since``
+    skips older date folders: a row is extracted on its own date or later, so
+    they hold nothing about rows of that date on.
     """
     path = f"{lake.bronze}/{table.name}"
     frame = read_bronze(spark, path, BRONZE[table.name], only_latest=not table.incremental)
+    if since is not None and set(EXTRACT_KEYS) <= set(frame.columns):
+        year, month, day = (F.col(k) for k in EXTRACT_KEYS)
+        frame = frame.filter(
+            (year > since.year)
+            | ((year == since.year) & (month > since.month))
+            | ((year == since.year) & (month == since.month) & (day >= since.day))
+        )
     order = [c for c in ("atualizado_em", *EXTRACT_KEYS) if c in frame.columns]
     return latest_by_key(frame, [table.key], order).drop(*EXTRACT_KEYS)
 
@@ -168,10 +179,11 @@ def silver_job(
     existing = read_layer_table(spark, lake.silver_database, "facts_vendas") if extend else None
 
     def new_sales() -> DataFrame:
-        sales = bronze("vendas")
         if existing is None:
-            return sales
+            return bronze("vendas")
         mark = incremental.high_water_mark(existing).first()["max_date"]
+        start = incremental.lookback_start(mark)
+        sales = current_rows(spark, lake, entries["vendas"], since=start.date())
         return incremental.sales_since(sales, mark)
 
     def calendar() -> WriteResult:
@@ -248,9 +260,14 @@ def gold_job(
         return read_layer_table(spark, lake.silver_database, name)
 
     facts = silver_table("facts_vendas")
-    dated = gold.recent_period(facts, run.now.date()) if run.incremental else facts
-    ranked = dated if rank_recent_only else facts
-    products, categories = silver_table("dim_produtos"), silver_table("dim_categorias")
+    recent = gold.recent_period(facts, run.now.date()) if run.incremental else facts
+    ranked = recent if rank_recent_only else facts
+    goods, kinds = silver_table("dim_produtos"), silver_table("dim_categorias")
+    # Three passes over the fact serve all six tables.
+    days, _ = stage(gold.day_totals(facts), "day-totals")
+    recent_days = gold.recent_period(days, run.now.date()) if run.incremental else days
+    ranked_days = recent_days if rank_recent_only else days
+    per_product, _ = stage(gold.product_totals(ranked), "product-totals")
 
     def save(name: str, table: DataFrame, extra: dict | None = None) -> WriteResult:
         frame = with_run_metadata(table, "gold", run.execution_date, run.triggered_by)
@@ -260,20 +277,20 @@ def gold_job(
         return replace_table(frame, path, name, keys, extra)
 
     steps = {
-        "vendas_mensais": lambda: save("vendas_mensais", gold.monthly_sales(dated)),
-        "top_produtos": lambda: save("top_produtos", gold.top_products(ranked, products, categories)),
+        "vendas_mensais": lambda: save("vendas_mensais", gold.monthly_from_days(recent_days)),
+        "top_produtos": lambda: save("top_produtos", gold.top_from_products(per_product, goods, kinds)),
         "clientes_vip": lambda: save(
             "clientes_vip", gold.vip_customers(ranked, silver_table("dim_clientes"))
         ),
         "performance_categorias": lambda: save(
-            "performance_categorias", gold.category_performance(ranked, products, categories)
+            "performance_categorias", gold.categories_from_products(per_product, goods, kinds)
         ),
         "vendas_diarias": lambda: save(
-            "vendas_diarias", gold.daily_sales(dated, silver_table("dim_tempo"))
+            "vendas_diarias", gold.daily_from_days(recent_days, silver_table("dim_tempo"))
         ),
         "resumo_executivo": lambda: save(
             "resumo_executivo",
-            gold.executive_summary(ranked, run.execution_date),
+            gold.summary_from_days(ranked_days, run.execution_date),
             {"facts": F.max("total_transacoes")},
         ),
     }
