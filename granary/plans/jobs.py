@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -160,8 +160,12 @@ def silver_job(
     lake: Lake,
     run: Run,
     tables: Iterable[SourceTable] = SOURCE_TABLES,
+    only: Collection[str] | None = None,
 ) -> list[WriteResult]:
-    """Bronze to silver: dimensions are replaced, the fact is replaced or extended."""
+    """Bronze to silver: dimensions are replaced, the fact is replaced or extended.
+
+    ``only`` limits the run to some silver tables, to repeat those that failed.
+    """
     configure(spark)
     entries = {t.name: t for t in tables}
 
@@ -229,7 +233,8 @@ def silver_job(
         "dim_tempo": calendar,
         "facts_vendas": facts,
     }
-    results, errors = _each("silver", steps)
+    chosen = {name: step for name, step in steps.items() if only is None or name in only}
+    results, errors = _each("silver", chosen)
     for result in results:
         if result.rows:
             register_table(spark, lake.silver_database, result.table, result.path)

@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
     spark = session.create(
         "granary tests",
         "local[8]",
-        8,
+        4,
         {
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

@@ -81,7 +81,7 @@ def test_run_metadata(spark):
     assert frame.first()["gold_execution_date"] == "2025-01-01"
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(
     rows=st.lists(
         st.tuples(st.integers(-(10**13), 10**13), st.integers(1, 10**7)), min_size=1, max_size=40
@@ -124,7 +124,7 @@ def _check_digit(numbers, first):
     return 0 if rest < 2 else 11 - rest
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 9), min_size=9, max_size=9), min_size=1, max_size=30))
 def test_cpf_built_by_the_rule_is_valid_and_a_changed_digit_is_not(spark, bases):
     good, bad = [], []
