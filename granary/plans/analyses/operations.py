@@ -42,7 +42,8 @@ def shipping_days(facts: DataFrame, shipped: str = "data_envio") -> DataFrame:
 
     Lines that were shipped before they were sold are counted as invalid and
     left out of mean and quantiles. Quantiles are taken from the number of
-    lines per day count, which is bounded by the days of the covered period.
+    lines per day count, which is bounded by the days of the covered period,
+    and given to six digits, because interpolation leaves noise beyond.
     """
     days = F.date_diff(F.to_date(shipped), F.col("dim_tempo_data"))
     histogram = facts.groupBy("ano", days.alias("dias")).agg(
@@ -70,7 +71,7 @@ def shipping_days(facts: DataFrame, shipped: str = "data_envio") -> DataFrame:
         "envios",
         "invalidos",
         rounded_mean(F.col("_days"), F.col("envios"), True).alias("dias_medio"),
-        F.col("_q")[0].alias("dias_mediana"),
-        F.col("_q")[1].alias("dias_p90"),
+        F.round(F.col("_q")[0], 6).alias("dias_mediana"),
+        F.round(F.col("_q")[1], 6).alias("dias_p90"),
         F.when(F.col("_total") != 0, F.col("_freight") / F.col("_total")).alias("participacao_frete"),
     )

@@ -189,8 +189,8 @@ GROUP BY ROLLUP (r_name, n_name)""",
 )
 SELECT ano, count(*) FILTER (WHERE dias >= 0) AS envios, count(*) FILTER (WHERE dias < 0) AS invalidos,
        {half_up('sum(dias * 100) FILTER (WHERE dias >= 0)', 'count(*) FILTER (WHERE dias >= 0)')} AS dias_medio,
-       CAST(quantile_cont(dias, 0.5) FILTER (WHERE dias >= 0) AS DOUBLE) AS dias_mediana,
-       CAST(quantile_cont(dias, 0.9) FILTER (WHERE dias >= 0) AS DOUBLE) AS dias_p90,
+       round(CAST(quantile_cont(dias, 0.5) FILTER (WHERE dias >= 0) AS DOUBLE), 6) AS dias_mediana,
+       round(CAST(quantile_cont(dias, 0.9) FILTER (WHERE dias >= 0) AS DOUBLE), 6) AS dias_p90,
        CAST(0 AS DOUBLE) AS participacao_frete
 FROM timed GROUP BY 1""",
     "financials": f"""WITH {FACTS}
