@@ -2,7 +2,6 @@ import datetime as dt
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from granary.plans import incremental
 from granary.plans.jobs import Lake, Run, TablesFailed, extract_job, gold_job, run_layers, silver_job
