@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import chat, urls
+from granary.llm import chat, neardup, urls
 from granary.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -77,3 +77,9 @@ WITH parts AS (
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM fits
 """
+
+
+@query
+def op3_minhash_neardup(spark, folder) -> DataFrame:
+    """Near-duplicates of all documents on four-word shingles, similarity 0.8 or more."""
+    return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), neardup.Settings(width=4))
