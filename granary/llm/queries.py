@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import chat, neardup, urls
+from granary.llm import chat, neardup, packing, urls
 from granary.llm.common import table
 
+PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
+
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 
@@ -83,3 +86,9 @@ FROM fits
 def op3_minhash_neardup(spark, folder) -> DataFrame:
     """Near-duplicates of all documents on four-word shingles, similarity 0.8 or more."""
     return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), neardup.Settings(width=4))
+
+
+@query
+def op5_kk_packing(spark, folder) -> DataFrame:
+    """All documents in windows of 2048 tokens."""
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), PACKING, with_ids=False)
