@@ -29,6 +29,15 @@ def stage(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, even where ``use`` needs it inside a lambda.
+
+    A plain column would be put into the lambda by the optimizer and computed
+    again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def crc_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text, modulo; NULL ids give -1, so they are in no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(-1))

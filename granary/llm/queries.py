@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import chat, neardup, packing, urls
+from granary.llm import chat, neardup, packing, rules, urls
 from granary.llm.common import table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
@@ -92,3 +92,10 @@ def op3_minhash_neardup(spark, folder) -> DataFrame:
 def op5_kk_packing(spark, folder) -> DataFrame:
     """All documents in windows of 2048 tokens."""
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), PACKING, with_ids=False)
+
+
+@query
+def op6_quality_rules(spark, folder) -> DataFrame:
+    """Counts and verdict for all documents; the trusted ones are those labelled 1."""
+    trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return rules.judge(table(spark, folder, "documents").select("doc_id", "text"), trusted).drop("text")
