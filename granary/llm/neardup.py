@@ -3,13 +3,14 @@
 1. One pass over the texts: shingle hashes, set size, a 128-bit key of the set,
    512 minima, their band keys, and the low 2 bits of every minimum, packed.
 2. Documents with the same set form a class; its smallest id stands for it.
-3. Representatives that share a band key meet in a bucket. Each is compared
-   with the bucket's smallest id (its hub), never all with all: the packed bits
+3. Representatives that share a band key meet in a bucket, whose smallest id is
+   its hub. Each is compared with one hub, never all with all: the packed bits
    estimate the similarity, and what may reach the threshold is confirmed on
-   full sets.
-4. Links join classes into components. Buckets that still hold several
-   components get the pairs across them, so no link between different sets of
-   a bucket is lost; pairs inside a component would change nothing.
+   full sets. Links join classes into components.
+4. Who is not yet in the component of every hub it met is compared with another
+   one. Buckets that then still hold several components get the pairs across
+   them, so no link between different sets of a bucket is lost; pairs inside a
+   component would change nothing.
 
 A pair at similarity 0.8 shares one of 64 bands of 8 rows with probability
 1 - (1 - 0.8**8)**64 > 0.99999; the estimate is allowed five standard errors.
@@ -29,6 +30,8 @@ from granary.llm.components import components
 
 BITS = 2
 BLOCK = 128
+# Further comparisons with one hub each, before pairs across components.
+MORE_STARS = 2
 
 
 @dataclass(frozen=True)
@@ -177,6 +180,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, use: Settings
     return texts.mapInArrow(run, "u long, v long")
 
 
+def _apart(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their own, their hub's and the lowest component."""
+    found = components(links)
+    root = lambda name: found.select(F.col("vertex").alias(name), F.col("root").alias(f"{name}_root"))
+    labelled = buckets.join(root("rep"), "rep", "left").withColumn("root", F.coalesce("rep_root", "rep"))
+    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket", "low")
+    mixed = labelled.join(mixed, "bucket").join(root("hub"), "hub", "left")
+    return mixed.select("bucket", "hub", "rep", "n_shingles", "root", "low", F.coalesce("hub_root", "hub").alias("hub_root"))
+
+
 def near_duplicates(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -191,16 +204,18 @@ def near_duplicates(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     met = reps.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
     hubs = met.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("bucket", "hub")
     buckets = stage(met.join(hubs, "bucket"), "near-buckets")
-    links = stage(_confirmed(buckets.filter("rep > hub").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct(), docs, reps, use), "near-links")
-    first = components(links)
-
-    root = first.select(F.col("vertex").alias("rep"), "root")
-    labelled = buckets.join(root, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket", "low")
-    labelled = stage(labelled.join(mixed, "bucket").select("bucket", "hub", "rep", "n_shingles", "root", "low"), "near-mixed")
+    star = buckets.filter("rep > hub").groupBy("rep").agg(F.min("hub").alias("u")).select("u", F.col("rep").alias("v"))
+    links = stage(_confirmed(star, docs, reps, use), "near-links")
+    for turn in range(MORE_STARS):
+        apart = _apart(buckets, links)
+        other = apart.filter("hub_root != root").groupBy("rep").agg(F.min_by("hub", F.xxhash64("hub", F.lit(turn))).alias("hub"))
+        star = other.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
+        links = stage(links.union(_confirmed(star, docs, reps, use)), "near-links")
+
+    labelled = stage(_apart(buckets, links), "near-mixed")
     left = labelled.filter("root > low").select("bucket", F.col("rep").alias("u"), F.col("n_shingles").alias("n_u"), F.col("root").alias("root_u"))
-    right = labelled.select("bucket", "hub", F.col("rep").alias("v"), F.col("n_shingles").alias("n_v"), F.col("root").alias("root_v"))
-    across = left.join(right, "bucket").filter("root_v < root_u AND v != hub AND u != hub").filter(100 * F.least("n_u", "n_v") >= use.percent * F.greatest("n_u", "n_v"))
+    right = labelled.select("bucket", F.col("rep").alias("v"), F.col("n_shingles").alias("n_v"), F.col("root").alias("root_v"))
+    across = left.join(right, "bucket").filter("root_v < root_u").filter(100 * F.least("n_u", "n_v") >= use.percent * F.greatest("n_u", "n_v"))
     more = _confirmed(across.select("u", "v").distinct(), docs, reps, use)
 
     # An id whose rows have different sets ties their classes together.
