@@ -11,6 +11,7 @@ near-equal windows. If one exceeds the capacity, the number of windows rises.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import os
 import zlib
@@ -23,7 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import CACHED_WORDS, stage
+from granary.llm.common import stage
+
+
+# Words of which a worker remembers the ids: about 250 bytes each.
+REMEMBERED = 1_000_000
+# Signs that are cut from the end of a word of letters.
+SIGNS = ".,;:!?#*$%&|<>()\"-+/="
 
 
 @dataclass(frozen=True)
@@ -92,29 +99,61 @@ def windows_of(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 class WordIds:
-    """Token ids of texts, word by word; the ids of frequent words are remembered.
+    """Token ids of texts, word by word; the ids of words seen before are remembered, within bounds.
 
-    The tokenizer must drop white space and never join across it, as one with
-    word ends does; a text's ids are then those of its words put together.
+    The tokenizer must drop white space and never join across it, split letters
+    from the signs after them, and not tell A-Z from a-z, as a lower-case one
+    with word ends does. A text's ids are then those of its words put together,
+    and a word's those of its letters and of the signs that follow them.
     """
 
-    def __init__(self, path: str, limit: int = CACHED_WORDS):
+    def __init__(self, path: str, limit: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
-
-    def __call__(self, text: str) -> list[int]:
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = list({w for w in words if w not in known})
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.words: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {"": []}
+
+    def _split(self, word: str) -> tuple[str, str]:
+        letters = word.rstrip(SIGNS)
+        if not letters.isalpha():
+            return word, ""
+        return letters.lower() if letters.isascii() else letters, word[len(letters) :]
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.words) + len(words) > self.limit:
+            self.words.clear()
+        if len(self.parts) > self.limit:
+            self.parts = {"": []}
+        split = {w: self._split(w) for w in words}
+        parts, tokenize = self.parts, self.tokenizer.model.tokenize
+        other = []
+        for part in {part for pair in split.values() for part in pair}.difference(parts):
+            if part.isascii() and part.isalpha():  # lower-case letters reach the model as they are
+                parts[part] = [token.id for token in tokenize(part)]
+            else:
+                other.append(part)
+        for part, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            parts[part] = found.ids
+        for word, (letters, signs) in split.items():
+            self.words[word] = parts[letters] + parts[signs] if signs else parts[letters]
+
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        """Ids of several texts, of which the words fit in memory."""
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        words = set(chain.from_iterable(split))
+        new = words.difference(self.words)
         if new:
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = found.ids
-        return list(chain.from_iterable(map(known.__getitem__, words)))
+            self._learn(new if len(self.words) + len(new) <= self.limit else words)
+        get = self.words.__getitem__
+        return [list(chain.from_iterable(map(get, own))) for own in split]
+
+
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    """One memory of words for each worker process, kept from task to task."""
+    return WordIds(path)
 
 
 def cuts(total: int, capacity: int, piece: int) -> list[tuple[int, int]]:
@@ -133,13 +172,15 @@ def pieces(docs: DataFrame, use: Settings, with_ids: bool = True) -> DataFrame:
     """
 
     def run(batches):
-        ids_of = WordIds(use.tokenizer)
+        ids_of = word_ids(use.tokenizer)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for low in range(0, batch.num_rows, 100):
+                part = batch.slice(low, 100)
                 rows = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.array((*ids_of(text or ""), use.end_id), "<u4")
+                texts = [text or "" for text in part.column(1).to_pylist()]
+                for doc_id, own_ids in zip(part.column(0).to_pylist(), ids_of(texts)):
+                    own_ids.append(use.end_id)
+                    ids = np.array(own_ids, "<u4")
                     for start, length in cuts(len(ids), use.capacity, use.piece):
                         own = ids[start : start + length].tobytes()
                         rows.append((doc_id, start, length, zlib.crc32(own), len(ids), own if with_ids else None))
