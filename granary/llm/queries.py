@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import chat, neardup, packing, rules, urls
+from granary.llm import chat, neardup, packing, quality, rules, urls
 from granary.llm.common import table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
@@ -99,3 +99,9 @@ def op6_quality_rules(spark, folder) -> DataFrame:
     """Counts and verdict for all documents; the trusted ones are those labelled 1."""
     trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
     return rules.judge(table(spark, folder, "documents").select("doc_id", "text"), trusted).drop("text")
+
+
+@query
+def op4_gam_quality(spark, folder) -> DataFrame:
+    """Quality score of all documents."""
+    return quality.score(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
