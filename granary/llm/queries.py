@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import chat, neardup, packing, quality, rules, urls
+from granary.llm import chat, lines, neardup, packing, quality, rules, urls
 from granary.llm.common import table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
@@ -105,3 +105,9 @@ def op6_quality_rules(spark, folder) -> DataFrame:
 def op4_gam_quality(spark, folder) -> DataFrame:
     """Quality score of all documents."""
     return quality.score(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+
+
+@query
+def op8_line_chunks(spark, folder) -> DataFrame:
+    """All documents without the line chunks that an earlier document has."""
+    return lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
