@@ -10,11 +10,13 @@ functions only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WORD, let
+from granary.llm.bloom import bits_for, build
+from granary.llm.common import WORD, let, stage
 
 GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"  # fixed values
@@ -22,11 +24,14 @@ SYMBOLS = "#*$%&|<>"  # fixed values
 
 @dataclass(frozen=True)
 class Settings:
-    """``buckets``: size of both multinomials, and so of what travels with the plan; ``smoothing``: added to every bucket's count."""
+    """``buckets``: size of both multinomials, and so of what travels with the plan; ``smoothing``: added to
+    every bucket's count; ``sieve_bits``: most bits of the filter of trusted ids, beyond which more texts are shuffled.
+    """
 
     buckets: int = 1 << 15
     smoothing: float = 1.0
     threshold: float = -0.1
+    sieve_bits: int = 1 << 22
 
 
 def words_of(text: Column) -> Column:
@@ -48,15 +53,24 @@ def _grams(words: Column, use: Settings) -> Column:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, use: Settings) -> list[float]:
     """log(trusted / raw) of every bucket, over all of ``docs(doc_id, text)``; ``trusted(doc_id)``. Zero without trusted documents."""
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("trusted", F.lit(1))
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left")
-    grams = let(words_of(F.col("text")), lambda words: _grams(words, use))
-    counts = known.select("trusted", F.explode(grams).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()
-    raw, good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)  # one row for each bucket
+    ids = stage(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct(), "trusted-ids")
+    count = ids.count()
+    if not count:
+        return [0.0] * use.buckets
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Only texts that pass the filter are shuffled to the join, which makes it exact.
+    sieve = build(ids, count, min(use.sieve_bits, bits_for(count, 0.1)))
+    chosen = own.filter(sieve.holds(F.col("doc_id"))).join(ids.hint("merge"), "doc_id", "left_semi")
+
+    def by_bucket(frame):
+        grams = let(words_of(F.col("text")), lambda words: _grams(words, use))
+        return frame.select(F.explode(grams).alias("bucket")).groupBy("bucket").count()
+
+    counts = by_bucket(own).withColumnRenamed("count", "raw").join(by_bucket(chosen).withColumnRenamed("count", "good"), "bucket", "left")
+    counts = counts.fillna(0, ["good"]).collect()  # one row for each bucket
+    raw, good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)
     if not good:
         return [0.0] * use.buckets
-    from math import log
-
     spread = use.smoothing * use.buckets
     empty = log((raw + spread) / (good + spread))
     ratios = [round(empty, 4)] * use.buckets

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.bloom import Bloom, bits_for, build
 from granary.llm.common import LOWER, UPPER, stage
 
 # (host, path, verdict): fixed values.
@@ -26,57 +27,21 @@ RULES = (
 )
 DEFAULT_VERDICT = "allow"
 PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
-WORD_BITS = 64
 # A cascade travels with the plan. Its size follows the list of rules, not the
 # corpus; a list whose first level needs more than 8 MB is refused.
 MAX_BITS = 1 << 26
 
 
-@dataclass(frozen=True)
-class Level:
-    """One Bloom filter: ``words`` are its 64-bit words as text, folded into an array by the optimizer."""
-
-    words: str
-    bits: int
-    seeds: tuple[int, ...]
-
-    def holds(self, key: Column) -> Column:
-        array = F.split(F.lit(self.words), ",").cast("array<bigint>")
-        answer = F.lit(True)
-        for seed in self.seeds:
-            bit = _bit(key, seed, self.bits)
-            answer = answer & (F.getbit(F.get(array, _word(bit)), _place(bit)) == 1)
-        return answer
-
-
-def _bit(key: Column, seed: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits).cast("long"))
-
-
-def _word(bit: Column) -> Column:
-    return F.shiftright(bit, 6).cast("int")
-
-
-def _place(bit: Column) -> Column:
-    return (bit % WORD_BITS).cast("int")
-
-
-def _level(keys: DataFrame, count: int, error: float, number: int) -> Level:
-    bits = max(WORD_BITS, math.ceil(count * math.log(1 / error) / math.log(2) ** 2))
-    bits = -(-bits // WORD_BITS) * WORD_BITS
+def _level(keys: DataFrame, count: int, error: float, number: int) -> Bloom:
+    bits = bits_for(count, error)
     if bits > MAX_BITS:
         raise ValueError(f"{count} listed keys need {bits} bits, more than {MAX_BITS}: split the list of rules")
-    hashes = max(1, round(bits / count * math.log(2))) if count else 1
-    seeds = tuple(1000 * number + i for i in range(min(hashes, 40)))
-    bit = F.explode(F.array(*[_bit(F.col("key"), s, bits) for s in seeds]))
-    filled = keys.select(bit.alias("bit")).groupBy(_word(F.col("bit")).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask"))
-    words = {row["word"]: row["mask"] for row in filled.collect()}  # at most ``bits`` / 64 rows
-    return Level(",".join(str(words.get(i, 0)) for i in range(bits // WORD_BITS)), bits, seeds)
+    return build(keys.select("key"), count, bits, 1000 * number)
 
 
 @dataclass(frozen=True)
 class Cascade:
-    levels: tuple[Level, ...]
+    levels: tuple[Bloom, ...]
 
     def lists(self, key: Column) -> Column:
         """Whether a key of the universe is listed."""
