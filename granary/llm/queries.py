@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import chat, lines, neardup, packing, quality, rules, urls
+from granary.llm import ann, chat, lines, neardup, packing, quality, rules, urls
 from granary.llm.common import table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
@@ -111,3 +111,9 @@ def op4_gam_quality(spark, folder) -> DataFrame:
 def op8_line_chunks(spark, folder) -> DataFrame:
     """All documents without the line chunks that an earlier document has."""
     return lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_cross_polytope(spark, folder) -> DataFrame:
+    """The ten nearest rows found for every hundredth vector."""
+    return ann.nearest(table(spark, folder, "embeddings"))
