@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import ann, chat, lines, neardup, packing, quality, rules, urls
+from granary.llm import ann, chat, lines, lm, neardup, packing, quality, rules, urls
 from granary.llm.common import table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
@@ -117,3 +117,9 @@ def op8_line_chunks(spark, folder) -> DataFrame:
 def op9_cross_polytope(spark, folder) -> DataFrame:
     """The ten nearest rows found for every hundredth vector."""
     return ann.nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op10_log_bloom_lm(spark, folder) -> DataFrame:
+    """log10 probabilities of all documents."""
+    return lm.score(table(spark, folder, "documents").select("doc_id", "text"))
