@@ -1,13 +1,66 @@
-"""Documents to training windows: the stages in order."""
+"""Documents to training windows.
+
+Each stage takes the documents that the one before kept, in the columns of
+``documents``; the last gives the pieces of the windows. Documents with NULL id
+pass the stages that decide by id.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from granary.llm import lines, mixing, neardup, packing, quality
+from granary.llm.common import stage, table
+from granary.llm.queries import PACKING
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated line chunks go, and documents of which nothing is left; ``n_chars`` follows the text."""
+    cut = lines.dedup_lines(docs).filter((F.col("removed_lines") == 0) | (F.trim("text") != ""))
+    cut = cut.withColumn("n_chars", F.when(F.col("removed_lines") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return cut.select(docs.columns)
+
+
+def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, and one row of rows that repeat an id."""
+    found = stage(neardup.near_duplicates(docs), "pipeline-near")
+    kept = docs.join(found.filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    again = stage(found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-again")
+    if again.isEmpty():
+        return kept
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in the proportions of their weights, rows in the order of the schedule."""
+    return mixing.in_order(mixing.mix(docs)).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces in windows of 2048 tokens."""
+    return packing.pack(docs, PACKING, with_ids=False)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("line dedup", unrepeated_lines),
+    ("near-duplicates", no_near_duplicates),
+    ("mixing sources", mixed_sources),
+    ("packing", packed),
+]
+# Learnt tables, hashes and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each written before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

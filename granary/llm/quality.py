@@ -190,6 +190,14 @@ def fit(x: np.ndarray, y: np.ndarray, use: Settings = Settings()) -> Model:
     return model
 
 
+def learn(known: DataFrame, labels: DataFrame, use: Settings) -> Model:
+    """Model from ``known(doc_id, features)`` and ``labels(doc_id, quality)``, on at most ``sample`` rows."""
+    label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    learnt = known.select("doc_id", "features").join(label, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(use.sample)
+    rows = learnt.select("features", "quality").toPandas()
+    return fit(np.array(rows["features"].tolist(), float).reshape(-1, len(FEATURES)), rows["quality"].to_numpy(float), use)
+
+
 def score(docs: DataFrame, labels: DataFrame, use: Settings = Settings(), folds: int = 3, held: int = 1) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -199,11 +207,7 @@ def score(docs: DataFrame, labels: DataFrame, use: Settings = Settings(), folds:
     written table. Repeated rows get a score each.
     """
     known = stage(features(docs), "quality-features").withColumn("held_out", crc_remainder(F.col("doc_id"), folds) == held)
-    label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    learnt = known.filter(~F.col("held_out")).join(label, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(use.sample)
-    rows = learnt.select("features", "quality").toPandas()  # at most ``sample`` rows
-    x = np.array(rows["features"].tolist(), float).reshape(-1, len(FEATURES))
-    model = fit(x, rows["quality"].to_numpy(float), use)
+    model = learn(known.filter(~F.col("held_out")), labels, use)
 
     def run(batches):
         for batch in batches:
@@ -212,3 +216,25 @@ def score(docs: DataFrame, labels: DataFrame, use: Settings = Settings(), folds:
 
     scored = known.select("doc_id", "features", "held_out").mapInArrow(run, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, use: Settings = Settings(), folds: int = 3, held: int = 1) -> DataFrame:
+    """The rows of ``docs`` that score 0.5 or more, with all their columns; learnt as in ``score``.
+
+    Texts are read twice, to learn and to judge, but never shuffled.
+    """
+    known = features(docs.filter(crc_remainder(F.col("doc_id"), folds) != held).join(F.broadcast(_sample_ids(labels, use)), "doc_id", "left_semi"))
+    model = learn(known, labels, use)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            x = np.array([text_features(t) for t in batch.column(at).cast(pa.binary()).to_pylist()], float).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(model.score(x) >= 0.5, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _sample_ids(labels: DataFrame, use: Settings) -> DataFrame:
+    """Twice as many labelled ids as the sample may hold, so that a fold can go; a bounded table."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * use.sample)

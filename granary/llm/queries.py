@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import ann, chat, lines, lm, neardup, packing, quality, rules, urls
+from granary.llm import ann, chat, lines, lm, mixing, neardup, packing, quality, rules, urls
 from granary.llm.common import table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
@@ -123,3 +123,10 @@ def op9_cross_polytope(spark, folder) -> DataFrame:
 def op10_log_bloom_lm(spark, folder) -> DataFrame:
     """log10 probabilities of all documents."""
     return lm.score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_pfair_mixing(spark, folder) -> DataFrame:
+    """When each document is due, the sources weighed by their size to the power 0.7."""
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", "pass", "block", "slot")
