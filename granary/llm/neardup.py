@@ -31,7 +31,7 @@ from granary.llm.components import components
 BITS = 2
 BLOCK = 128
 # Further comparisons with one hub each, before pairs across components.
-MORE_STARS = 2
+MORE_STARS = 1
 
 
 @dataclass(frozen=True)
@@ -212,11 +212,16 @@ def near_duplicates(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
         star = other.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
         links = stage(links.union(_confirmed(star, docs, reps, use)), "near-links")
 
-    labelled = stage(_apart(buckets, links), "near-mixed")
-    left = labelled.filter("root > low").select("bucket", F.col("rep").alias("u"), F.col("n_shingles").alias("n_u"), F.col("root").alias("root_u"))
-    right = labelled.select("bucket", F.col("rep").alias("v"), F.col("n_shingles").alias("n_v"), F.col("root").alias("root_v"))
-    across = left.join(right, "bucket").filter("root_v < root_u").filter(100 * F.least("n_u", "n_v") >= use.percent * F.greatest("n_u", "n_v"))
-    more = _confirmed(across.select("u", "v").distinct(), docs, reps, use)
+    labelled = stage(_apart(buckets, links).join(reps.select("rep", "bits"), "rep"), "near-mixed")
+    side = lambda x: labelled.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "n_shingles", "bits", "root", "low")])
+    # Size and estimate belong to the join, so that only likely pairs leave it.
+    likely = (
+        (100 * F.least("n_shingles_u", "n_shingles_v") >= use.percent * F.greatest("n_shingles_u", "n_shingles_v"))
+        & (F.col("root_v") < F.col("root_u"))
+        & (estimated(F.col("bits_u"), F.col("bits_v"), use.hashes) >= use.least_estimate)
+    )
+    across = side("u").filter("root_u > low_u").join(side("v"), "bucket").filter(likely).select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v"))
+    more = _confirmed(across.distinct(), docs, reps, use)
 
     # An id whose rows have different sets ties their classes together.
     classes = reps.select("set_a", "set_b", "rep")
