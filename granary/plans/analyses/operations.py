@@ -44,12 +44,15 @@ def shipping_days(facts: DataFrame, shipped: str = "data_envio") -> DataFrame:
     left out of mean and quantiles. Quantiles are taken from the number of
     lines per day count, which is bounded by the days of the covered period,
     and given to six digits, because interpolation leaves noise beyond.
+    Freight and total of a sale count once, however many lines it has.
     """
     days = F.date_diff(F.to_date(shipped), F.col("dim_tempo_data"))
     histogram = facts.groupBy("ano", days.alias("dias")).agg(
-        F.count("*").alias("linhas"),
-        F.sum("frete").alias("frete"),
-        F.sum("total_venda").alias("total"),
+        F.count("*").alias("linhas")
+    )
+    per_sale = facts.groupBy("ano", "venda_id").agg(F.max("frete").alias("frete"), F.max("total_venda").alias("total"))
+    freight = per_sale.groupBy("ano").agg(
+        F.sum("frete").cast("double").alias("_freight"), F.sum("total").cast("double").alias("_total")
     )
     valid = F.col("dias") >= 0
     lines = F.sum(F.when(valid, F.col("linhas")))
@@ -63,15 +66,14 @@ def shipping_days(facts: DataFrame, shipped: str = "data_envio") -> DataFrame:
         F.coalesce(F.sum(F.when(~valid, F.col("linhas"))), F.lit(0)).alias("invalidos"),
         F.sum(F.when(valid, F.col("dias") * F.col("linhas"))).alias("_days"),
         quantiles.alias("_q"),
-        F.sum("frete").cast("double").alias("_freight"),
-        F.sum("total").cast("double").alias("_total"),
     )
-    return summed.select(
-        "ano",
+    joined = summed.alias("s").join(freight.alias("f"), F.col("s.ano").eqNullSafe(F.col("f.ano")))
+    return joined.select(
+        F.col("s.ano").alias("ano"),
         "envios",
         "invalidos",
         rounded_mean(F.col("_days"), F.col("envios"), True).alias("dias_medio"),
         F.round(F.col("_q")[0], 6).alias("dias_mediana"),
         F.round(F.col("_q")[1], 6).alias("dias_p90"),
-        F.when(F.col("_total") != 0, F.col("_freight") / F.col("_total")).alias("participacao_frete"),
+        F.when(F.col("_total") != 0, F.round(F.col("_freight") / F.col("_total"), 9)).alias("participacao_frete"),
     )

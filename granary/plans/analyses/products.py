@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.money import rounded_mean
-from granary.operators.bounded import as_small_table
+from granary.sinks.lake import stage
 
 
 def product_sales(facts: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def stock_turnover(facts: DataFrame, products: DataFrame, calendar: DataFrame) -
 
 def supplier_metrics(facts: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, lines, products and revenue share per supplier; unknown ones as NULL."""
-    per_supplier = as_small_table(
+    per_supplier, _ = stage(
         product_sales(facts)
         .join(products.select("produto_id", "fornecedor_id", "fornecedor_nome"), "produto_id")
         .groupBy("fornecedor_id", "fornecedor_nome")
@@ -109,7 +109,8 @@ def supplier_metrics(facts: DataFrame, products: DataFrame) -> DataFrame:
             F.sum("receita").alias("receita"),
             F.sum("linhas").alias("linhas"),
             F.count("*").alias("produtos"),
-        )
+        ),
+        "suppliers",
     )
     total = per_supplier.agg(F.sum("receita").cast("double").alias("t")).scalar()
     return per_supplier.withColumn("participacao", F.col("receita").cast("double") / total)

@@ -28,15 +28,8 @@ VIP_SPEND = 1000
 
 
 def recent_period(facts: DataFrame, today: dt.date) -> DataFrame:
-    """Rows of the incremental gold run, by partition columns only.
-
-    The second condition lies inside the first; it is kept as part of the
-    table's definition.
-    """
-    year, month = F.col("ano"), F.col("mes")
-    return facts.filter(
-        (year >= today.year - 1) | ((year == today.year) & (month >= today.month - 3))
-    )
+    """Rows of the incremental gold run: this year and the one before, by partition column only."""
+    return facts.filter(F.col("ano") >= today.year - 1)
 
 
 def _measures(value: str, price: str | None = None) -> list[Column]:

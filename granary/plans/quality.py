@@ -1,4 +1,4 @@
-"""Cleaning and checking. Every report reads its table once."""
+"""Cleaning and checking."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.operators.bounded import as_small_table
 from granary.operators.quantiles import exact_quantiles
 
 # Tukey's fences reach this many quartile ranges beyond the quartiles.
@@ -55,15 +54,13 @@ def outliers_iqr(df: DataFrame, group: str, value: str) -> DataFrame:
     quartiles = exact_quantiles(df, [group], value, [0.25, 0.75])
     q1, q3 = F.round(F.col("quantis")[0], 6), F.round(F.col("quantis")[1], 6)
     reach = (q3 - q1) * FENCE
-    fences = as_small_table(
-        quartiles.select(
-            group,
-            F.round(q1 - reach, 6).alias("limite_inferior"),
-            F.round(q3 + reach, 6).alias("limite_superior"),
-        )
+    fences = quartiles.select(
+        F.col(group).alias("_group"),
+        F.round(q1 - reach, 6).alias("limite_inferior"),
+        F.round(q3 + reach, 6).alias("limite_superior"),
     )
     low, high, x = F.col("limite_inferior"), F.col("limite_superior"), F.col(value)
-    return df.join(fences, group, "left").withColumns(
+    return df.join(fences, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group").withColumns(
         {
             "atipico": (x < low) | (x > high),
             "valor_ajustado": F.when(x.isNotNull(), F.least(F.greatest(x, low), high)),

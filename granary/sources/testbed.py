@@ -43,7 +43,7 @@ class Testbed:
             F.col("o_custkey").alias("cliente_id"),
             F.col("o_custkey").alias("endereco_entrega_id"),
             _money("o_totalprice").alias("subtotal"),
-            F.lit("0.00").cast(MONEY).alias("frete"),
+            ((F.col("o_orderkey") % 17) * F.lit("0.50").cast(MONEY)).cast(MONEY).alias("frete"),
             _money("o_totalprice").alias("total"),
             F.col("o_orderstatus").alias("status"),
             F.col("o_orderpriority").alias("metodo_pagamento"),

@@ -186,13 +186,16 @@ FROM sales JOIN customer ON dim_cliente_id = c_custkey JOIN nation ON c_nationke
 GROUP BY ROLLUP (r_name, n_name)""",
     "shipping_days": f"""WITH {FACTS}, timed AS (
   SELECT ano, CAST(data_envio AS DATE) - dim_tempo_data AS dias FROM facts
+), freight AS (
+  SELECT ano, round(sum(frete) / sum(total_venda), 9) AS participacao_frete
+  FROM (SELECT DISTINCT ano, venda_id, frete, total_venda FROM facts) GROUP BY 1
 )
 SELECT ano, count(*) FILTER (WHERE dias >= 0) AS envios, count(*) FILTER (WHERE dias < 0) AS invalidos,
        {half_up('sum(dias * 100) FILTER (WHERE dias >= 0)', 'count(*) FILTER (WHERE dias >= 0)')} AS dias_medio,
        round(CAST(quantile_cont(dias, 0.5) FILTER (WHERE dias >= 0) AS DOUBLE), 6) AS dias_mediana,
        round(CAST(quantile_cont(dias, 0.9) FILTER (WHERE dias >= 0) AS DOUBLE), 6) AS dias_p90,
-       CAST(0 AS DOUBLE) AS participacao_frete
-FROM timed GROUP BY 1""",
+       any_value(participacao_frete) AS participacao_frete
+FROM timed JOIN freight USING (ano) GROUP BY 1""",
     "financials": f"""WITH {FACTS}
 SELECT ano, mes, {_rounded(GROSS_SUM)} AS receita_bruta, {_rounded(DISCOUNT_SUM)} AS descontos,
        {_rounded(TAX_SUM)} AS impostos, {_rounded(f'{GROSS_SUM} - {DISCOUNT_SUM}')} AS receita_liquida

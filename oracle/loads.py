@@ -5,7 +5,7 @@ from oracle.lake_tables import SQL as TABLES
 from oracle.pieces import FACTS, PRODUCTS, money_sum
 
 SALES_COLUMNS = """SELECT o_orderkey AS id, o_custkey AS cliente_id,
-  o_custkey AS endereco_entrega_id, o_totalprice AS subtotal, CAST(0 AS DOUBLE) AS frete,
+  o_custkey AS endereco_entrega_id, o_totalprice AS subtotal, CAST(o_orderkey % 17 AS DOUBLE) * 0.5 AS frete,
   o_totalprice AS total, o_orderstatus AS status, o_orderpriority AS metodo_pagamento,
   o_orderstatus AS status_pagamento, o_orderdate AS data_venda FROM orders"""
 
@@ -31,8 +31,9 @@ SELECT coalesce(max(data_venda), TIMESTAMP '1900-01-01') AS max_date FROM facts"
     "incremental_sales": f"""WITH {FACTS}
 SELECT {FACT_COLUMNS} FROM facts WHERE data_venda >= {MARK} - INTERVAL 3 DAY""",
     "recent_period": f"""SELECT * FROM ({TABLES['monthly_sales']})
-WHERE ano >= 1999 OR (ano = 2000 AND mes >= 2)""",
+WHERE ano >= 1999""",
     "upsert_facts": f"WITH {FACTS} SELECT {FACT_COLUMNS} FROM facts",
+    "incremental_equals_full": TABLES["facts_sales"],
     "read_bronze": "SELECT * FROM orders",
     "bronze_roundtrip": SALES_COLUMNS,
     "silver_roundtrip": TABLES["facts_sales"],

@@ -31,7 +31,7 @@ FACTS = f"""facts AS (
          CAST(l_quantity AS INT) AS quantidade,
          CAST((2 * {cents('l_extendedprice')} + CAST(l_quantity AS BIGINT))
               // (2 * CAST(l_quantity AS BIGINT)) AS DOUBLE) / 100 AS preco_unitario,
-         l_extendedprice AS subtotal, o_totalprice AS subtotal_venda, CAST(0 AS DOUBLE) AS frete,
+         l_extendedprice AS subtotal, o_totalprice AS subtotal_venda, CAST(o_orderkey % 17 AS DOUBLE) * 0.5 AS frete,
          o_totalprice AS total_venda, o_orderstatus AS status_venda,
          o_orderpriority AS metodo_pagamento, o_orderstatus AS status_pagamento,
          o_orderdate AS data_venda,

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.operators import integrity
-from granary.operators.bounded import as_small_table
 from granary.operators.dedup import latest_by_key
 from granary.operators.quantiles import exact_quantiles
 from granary.operators.upsert import touched_partitions, upsert
@@ -38,14 +37,14 @@ def test_latest_by_key_reduces_before_the_shuffle(spark):
     assert "partial_max" in plan and "Window" not in plan
 
 
-@pytest.mark.parametrize("whole_group_rows", [100_000, 50])
-def test_exact_quantiles_equal_the_exact_percentile(spark, whole_group_rows):
+@pytest.mark.parametrize("bracket_values", [100_000, 50])
+def test_exact_quantiles_equal_the_exact_percentile(spark, bracket_values):
     rng = random.Random(3)
     rows = [("hot", float(rng.choice([0, 1, rng.gauss(50, 20), rng.random() * 1e6]))) for _ in range(5000)]
     rows += [("tiny", 4.0), ("tiny", 8.0), ("one", -2.5), ("none", None), ("same", 7.0), ("same", 7.0)]
     frame = spark.createDataFrame(rows, "g string, v double").repartition(7)
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = dict(values(exact_quantiles(frame, ["g"], "v", probabilities, whole_group_rows), "g", "quantis"))
+    got = dict(values(exact_quantiles(frame, ["g"], "v", probabilities, bracket_values), "g", "quantis"))
     wanted = frame.filter("v is not null").groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probabilities))))
     assert set(got) == {"hot", "tiny", "one", "same"}
     for group, expected in wanted.collect():
@@ -58,12 +57,11 @@ def test_exact_quantiles_without_groups(spark):
         assert exact_quantiles(frame, [], "v", [0.25, 0.5], limit).first()["quantis"] == [250.75, 500.5]
 
 
-def test_small_table_is_local_and_large_stays(spark):
-    frame = spark.range(20).groupBy((F.col("id") % 5).alias("k")).count()
-    small = as_small_table(frame, 5)
-    assert "LocalTableScan" in plan_of(small)
-    assert values(small, "k", "count") == values(frame, "k", "count")
-    assert as_small_table(frame, 4) is frame
+def test_rows_without_a_group_are_a_group(spark):
+    frame = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
+    assert {r["g"]: r["quantis"] for r in exact_quantiles(frame, ["g"], "v", [0.5]).collect()} == {None: [2.0], "a": [5.0]}
+    fenced = quality.outliers_iqr(frame, "g", "v")
+    assert fenced.count() == 3 and fenced.filter("limite_inferior IS NULL").isEmpty()
 
 
 def test_upsert_twice_changes_nothing(spark):
