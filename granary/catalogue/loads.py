@@ -23,7 +23,7 @@ from granary.catalogue.base import (
 from granary.functions.scalars import nanos_to_timestamp as from_nanos
 from granary.operators.upsert import upsert
 from granary.plans import gold, incremental, silver
-from granary.plans.jobs import Lake, Run, extract_job
+from granary.plans.jobs import Lake, Run, extract_job, silver_job
 from granary.schemas import BRONZE, PARTITION_KEYS, struct
 from granary.session import scratch_path
 from granary.sinks.lake import overwrite_partitions, replace_table, stage, write_bronze
@@ -60,7 +60,7 @@ def high_water_mark(bed: Testbed) -> DataFrame:
 def incremental_sales(bed: Testbed) -> DataFrame:
     """Facts of the sales that came, or may have changed, after the last load."""
     mark = incremental.high_water_mark(_loaded(bed.vendas())).first()["max_date"]
-    headers = incremental.sales_since(bed.vendas(), mark)
+    headers = incremental.sales_since(bed.vendas(), mark, 3)
     batch = silver.facts_sales(headers, bed.itens_venda())
     return batch.drop("data_envio", "desconto", "imposto")
 
@@ -81,6 +81,26 @@ def upsert_facts(bed: Testbed) -> DataFrame:
     return merged.drop("data_envio", "desconto", "imposto")
 
 
+@query
+def incremental_equals_full(bed: Testbed) -> DataFrame:
+    """The fact after two incremental runs over extracts that differ: late sales, changed sales, lost and changed lines."""
+    root = scratch_path(bed.spark, "incremental")
+    target = Lake(root, f"silver_{root[-8:]}", f"gold_{root[-8:]}")
+    sales, lines = bed.vendas(), bed.itens_venda()
+    changed, late = F.col("id") % 5 == 0, F.col("id") % 7 == 0
+    first = sales.filter(~late).withColumn("total", F.when(changed, F.col("total") + 1).otherwise(F.col("total")))
+    sale = F.col("venda_id")
+    more = lines.filter(sale % 13 == 0).withColumn("id", F.concat("id", F.lit("-gone")))
+    before = lines.withColumn("quantidade", F.when(sale % 11 == 0, F.col("quantidade") + 1).otherwise(F.col("quantidade"))).unionByName(more)
+    steps = ((first, before, EXTRACT_DAY), (sales.filter(late | changed), lines, EXTRACT_DAY + dt.timedelta(days=40)))
+    for headers, own_lines, day in steps:
+        write_bronze(headers, target.bronze, "vendas", day=day)
+        write_bronze(own_lines, target.bronze, "itens_venda", day=day)
+        silver_job(bed.spark, target, Run(dt.datetime.combine(day, dt.time(4)), incremental=True), only=("facts_vendas",))
+    bed.spark.sql(f"DROP DATABASE {target.silver_database} CASCADE")
+    return bed.spark.read.parquet(f"{target.silver}/facts_vendas").select(*_declared_facts(bed).columns)
+
+
 @query
 def read_bronze(bed: Testbed) -> DataFrame:
     """The reader itself: nanosecond option, timestamp conversion, column check."""

@@ -1,9 +1,13 @@
-"""Loading only what is new, with the same result as loading everything."""
+"""Loading only what is new, with the same result as loading everything.
+
+The jobs find what is new by what arrived (see ``arrivals``); the selections by
+a date mark here lose rows that arrive later than they allow for.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +19,6 @@ from granary.sinks.lake import WriteResult, clear_partition, overwrite_partition
 # Fixed value: the mark before anything was loaded.
 BEGINNING = "1900-01-01"
 
-# Late sales are picked up again for this many days before the mark.
-LOOKBACK_DAYS = 3
-
 FACT_PARTITIONS = ("ano", "mes", "dia")
 
 
@@ -32,11 +33,11 @@ def sales_after(sales: DataFrame, mark: dt.datetime) -> DataFrame:
     return sales.filter(F.col("data_venda") > literal_like(mark, sales.schema["data_venda"].dataType))
 
 
-def lookback_start(mark: dt.datetime, lookback_days: int = LOOKBACK_DAYS) -> dt.datetime:
+def lookback_start(mark: dt.datetime, lookback_days: int) -> dt.datetime:
     return mark if mark.year <= 1900 else mark - dt.timedelta(days=lookback_days)
 
 
-def sales_since(sales: DataFrame, mark: dt.datetime, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+def sales_since(sales: DataFrame, mark: dt.datetime, lookback_days: int) -> DataFrame:
     """Sales from ``lookback_days`` before the mark on, the mark included.
 
     Only sale headers are filtered; the join with the lines limits the lines.
@@ -59,21 +60,29 @@ def load_facts(
     path: str,
     partition_by: Sequence[str] = FACT_PARTITIONS,
     metrics: dict[str, Column] | None = None,
+    old_days: DataFrame | None = None,
+    before_writing: Callable[[DataFrame], None] | None = None,
 ) -> WriteResult:
     """Put ``batch`` into the fact at ``path`` so that a second run changes nothing.
 
     Sales are replaced whole: all old lines of a sale in ``headers`` go, its new
     valid lines come. Only the days that gain or lose rows are rewritten, from
-    a staged copy, so the plan never reads what it overwrites.
+    a staged copy, so the plan never reads what it overwrites. ``old_days``:
+    the partitions that may hold old lines of these sales; without it they are
+    looked for in the whole fact. ``before_writing`` gets the touched days.
     """
     spark = existing.sparkSession
     keys, changed = ["venda_id"], headers.select(F.col("id").alias("venda_id")).distinct()
     staged_batch, batch_result = stage(
         batch.select(*existing.columns), "facts-batch", partition_by, metrics
     )
-    days, _ = stage(
-        touched_partitions(existing, staged_batch, changed, keys, partition_by), "facts-days"
-    )
+    if old_days is None:
+        touched = touched_partitions(existing, staged_batch, changed, keys, partition_by)
+    else:
+        touched = staged_batch.select(*partition_by).union(old_days.select(*partition_by)).distinct()
+    days, _ = stage(touched, "facts-days")
+    if before_writing:
+        before_writing(days)
     # The comparison is always true; it lets Spark prune the fact's folders by these days.
     days = days.filter(F.col(partition_by[0]) > 0)
     old_rows = existing.join(days, list(partition_by), "left_semi").select(*existing.columns)

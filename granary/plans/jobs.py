@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import logging
 from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from granary.functions.scalars import with_run_metadata
 from granary.operators.dedup import latest_by_key
 from granary.plans import gold, incremental, silver
+from granary.plans.arrivals import Arrivals, changed_sales, line_marks, next_state
 from granary.schemas import BRONZE, PARTITION_KEYS
 from granary.session import configure
 from granary.sinks import reports
@@ -107,8 +109,9 @@ def extract_job(
     }
     results, errors = _each("extract", steps)
     kinds = {t.name: t.kind for t in tables}
-    manifest = reports.manifest(spark, results, day.isoformat(), kinds).collect()
-    sizes = {row["tabela"]: row["tamanho_mb"] for row in manifest}
+    manifest = reports.manifest(spark, results, day.isoformat(), kinds)
+    reports.save_report(manifest, lake.bronze, "_manifest")
+    sizes = {row["tabela"]: row["tamanho_mb"] for row in manifest.collect()}
     done = {r.table: r for r in results}
     outcomes = []
     for table in tables:
@@ -133,24 +136,20 @@ def extract_job(
 
 
 def current_rows(
-    spark: SparkSession, lake: Lake, table: SourceTable, since: dt.date | None = None
+    spark: SparkSession, lake: Lake, table: SourceTable, only: DataFrame | None = None, key: str = "id"
 ) -> DataFrame:
     """One row per key of a bronze table.
 
-    Tables extracted in full need their newest folder only. The others keep,
-    per key, the row changed last, then the one extracted last. ``since``
-    skips older date folders: a row is extracted on its own date or later, so
-    they hold nothing about rows of that date on.
+    Tables extracted in full need their newest folder only, which has each key
+    once. The others keep, per key, the row changed last, then the one extracted last. ``only``
+    keeps the rows whose ``key`` is in its one column, before anything is sorted.
     """
     path = f"{lake.bronze}/{table.name}"
     frame = read_bronze(spark, path, BRONZE[table.name], only_latest=not table.incremental)
-    if since is not None and set(EXTRACT_KEYS) <= set(frame.columns):
-        year, month, day = (F.col(k) for k in EXTRACT_KEYS)
-        frame = frame.filter(
-            (year > since.year)
-            | ((year == since.year) & (month > since.month))
-            | ((year == since.year) & (month == since.month) & (day >= since.day))
-        )
+    if only is not None:
+        frame = frame.join(only.toDF(key), key, "left_semi").select(*frame.columns)
+    if not table.incremental:
+        return frame.drop(*EXTRACT_KEYS)
     order = [c for c in ("atualizado_em", *EXTRACT_KEYS) if c in frame.columns]
     return latest_by_key(frame, [table.key], order).drop(*EXTRACT_KEYS)
 
@@ -164,6 +163,8 @@ def silver_job(
 ) -> list[WriteResult]:
     """Bronze to silver: dimensions are replaced, the fact is replaced or extended.
 
+    An incremental run loads the sales that arrived since the last load, in
+    whatever date folder, and those whose lines changed; see ``arrivals``.
     ``only`` limits the run to some silver tables, to repeat those that failed.
     """
     configure(spark)
@@ -182,13 +183,23 @@ def silver_job(
     extend = run.incremental and table_exists(spark, lake.silver_database, "facts_vendas")
     existing = read_layer_table(spark, lake.silver_database, "facts_vendas") if extend else None
 
+    arrived = Arrivals(spark, lake.silver)
+
+    @functools.cache
+    def lines() -> DataFrame:
+        return bronze("itens_venda").select(*BRONZE["itens_venda"].fieldNames())
+
+    @functools.cache
+    def changes() -> tuple[DataFrame, DataFrame, DataFrame, int]:
+        """Changed sale ids, the lines' marks, the state before, and the newest arrival."""
+        arrived.take(f"{lake.bronze}/vendas")
+        waiting, newest = arrived.waiting()
+        marks, _ = stage(line_marks(lines()), "line-marks")
+        state, _ = stage(arrived.state(), "sale-state")
+        return changed_sales(waiting, marks, state), marks, state, newest
+
     def new_sales() -> DataFrame:
-        if existing is None:
-            return bronze("vendas")
-        mark = incremental.high_water_mark(existing).first()["max_date"]
-        start = incremental.lookback_start(mark)
-        sales = current_rows(spark, lake, entries["vendas"], since=start.date())
-        return incremental.sales_since(sales, mark)
+        return bronze("vendas") if existing is None else current_rows(spark, lake, entries["vendas"], only=changes()[0])
 
     def calendar() -> WriteResult:
         known = read_layer_table(spark, lake.silver_database, "dim_tempo")
@@ -205,11 +216,20 @@ def silver_job(
 
     def facts() -> WriteResult:
         path, keys = f"{lake.silver}/facts_vendas", PARTITION_KEYS["facts_vendas"]
-        headers = new_sales()
-        batch = described(silver.facts_sales(headers, bronze("itens_venda").select(*BRONZE["itens_venda"].fieldNames())))
+        changed, marks, state, newest = changes()
         if existing is None:
-            return replace_table(batch, path, "facts_vendas", keys, totals)
-        return incremental.load_facts(existing, batch, headers, path, keys, totals)
+            result = replace_table(described(silver.facts_sales(new_sales(), lines())), path, "facts_vendas", keys, totals)
+            written = spark.read.parquet(path) if result.rows else silver.facts_sales(new_sales(), lines())
+            arrived.loaded(next_state(marks, state, written.select("venda_id").distinct(), written), newest)
+            return result
+        headers = new_sales()
+        own_lines = lines().join(changed, "venda_id", "left_semi").select(*lines().columns)
+        batch, _ = stage(described(silver.facts_sales(headers, own_lines)), "new-facts")
+        old_days = state.join(changed, "venda_id", "left_semi").select(*keys).dropna().union(arrived.days_in_doubt()).distinct()
+        gone = changed.withColumnRenamed("venda_id", "id")
+        result = incremental.load_facts(existing, batch, gone, path, keys, totals, old_days, arrived.begin)
+        arrived.loaded(next_state(marks, state, changed, batch), newest)
+        return result
 
     steps = {
         "dim_fornecedores": lambda: dimension(

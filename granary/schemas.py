@@ -147,6 +147,7 @@ PARTITION_KEYS = {
     "vendas_diarias": ("ano", "mes"),
     "_execution_reports": ("execution_date",),
     "_gold_execution_reports": ("execution_date",),
+    "_manifest": ("execution_date",),
 }
 
 REPORTS = {

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -92,14 +91,14 @@ def create(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for data that cuts lineage.
 
-    A machine-local folder is used only where every task runs in this one
-    process; on a cluster the setting has to be there.
+    Without that setting, a folder in the warehouse, if every task runs in this
+    one process; on a cluster the setting has to be there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.gettempdir()
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 

@@ -27,6 +27,8 @@ class WriteResult:
     rows: int
     status: str
     metrics: dict = field(default_factory=dict)
+    # The folder this write filled, where that is only a part of ``path``.
+    folder: str | None = None
 
 
 def rebalanced(frame: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -88,7 +90,8 @@ def write_bronze(
     observed, seen = _observed(dated if day is not None else rebalanced(dated, list(parts)), {})
     _save(observed, path, list(parts), dynamic=True, by_folder=day is None)
     rows = seen.get.get("rows", 0)
-    return WriteResult(table, path, rows, "success" if rows else "empty")
+    folder = f"{path}/year={day.year}/month={day:%m}/day={day:%d}" if day is not None else None
+    return WriteResult(table, path, rows, "success" if rows else "empty", folder=folder)
 
 
 def overwrite_partitions(

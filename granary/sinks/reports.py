@@ -121,12 +121,12 @@ def manifest(
                 spark.read.format("binaryFile")
                 .option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.parquet")
-                .load(result.path)
+                .load(result.folder or result.path)
             )
             files, size = listed.agg(F.count(F.lit(1)), F.sum("length")).first()
         rows.append(
             (
-                execution_date, result.table, result.path, result.rows,
+                execution_date, result.table, result.folder or result.path, result.rows,
                 kinds.get(result.table, "full"), "parquet", COMPRESSION, files,
                 round((size or 0) / (1024 * 1024), 2),
             )

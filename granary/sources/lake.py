@@ -43,12 +43,13 @@ def read_bronze(
     path: str,
     schema: T.StructType | None = None,
     only_latest: bool = False,
-    merge_schema: bool = False,
+    merge_schema: bool = True,
 ) -> DataFrame:
     """All date folders of one table, with real timestamps and checked columns.
 
     ``only_latest`` prunes to the newest extract. That is what a table needs
     that is extracted in full every day, since each extract repeats all rows.
+    Columns that only some extracts have are NULL in the others' rows.
     """
     configure(spark)
     frame = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
@@ -72,8 +73,9 @@ def _family(kind: T.DataType) -> str:
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Check required columns and bring numbers and flags to their declared types.
 
-    Columns that the schema does not know stay. Timestamps keep the kind they
-    have, zoned or not, and text is never parsed here.
+    Columns that the schema does not know stay, and are logged. Timestamps keep
+    the kind they have, zoned or not. Text is never parsed here; a column of
+    another kind than declared is logged as retyped and kept as it is.
     """
     present = {f.name: f.dataType for f in frame.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in present]
@@ -82,6 +84,9 @@ def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     extra = [n for n in present if n not in schema.fieldNames() and n not in EXTRACT_KEYS]
     if extra:
         log.info("columns beyond the declared schema: %s", ", ".join(extra))
+    retyped = [f.name for f in schema.fields if present[f.name] != f.dataType and _family(present[f.name]) != _family(f.dataType)]
+    if retyped:
+        log.warning("columns of another kind than declared: %s", ", ".join(retyped))
     casts = {}
     for f in schema.fields:
         found = present[f.name]

@@ -33,13 +33,13 @@ class SourceTable:
 
 # The source tables, their date columns and load kinds.
 SOURCE_TABLES = (
-    SourceTable("vendas", "data_venda", True),
-    SourceTable("produtos", "criado_em", True),
+    SourceTable("vendas", "data_venda", True, "atualizado_em"),
+    SourceTable("produtos", "criado_em", True, "atualizado_em"),
     SourceTable("itens_venda", None, False),
-    SourceTable("clientes", "criado_em", True),
-    SourceTable("categorias", "criado_em", True),
-    SourceTable("fornecedores", "criado_em", True),
-    SourceTable("enderecos", "criado_em", True),
+    SourceTable("clientes", "criado_em", True, "atualizado_em"),
+    SourceTable("categorias", "criado_em", True, "atualizado_em"),
+    SourceTable("fornecedores", "criado_em", True, "atualizado_em"),
+    SourceTable("enderecos", "criado_em", True, "atualizado_em"),
 )
 # End of fixed values.
 

@@ -44,14 +44,21 @@ def process_new_files(
     that failed is handed over again with the same id, so ``handle`` should
     replace rather than append: a keyed upsert, or a folder named by the id.
     """
+    handled = 0
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        nonlocal handled
+        handle(batch, batch_id)
+        handled += 1
+
     run = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(counted)
         .option("checkpointLocation", bookmark)
         .trigger(availableNow=True)
         .start()
     )
     run.awaitTermination()
-    return sum(1 for progress in run.recentProgress if progress["numInputRows"] > 0)
+    return handled
 
 
 def append_batches(target: str) -> Callable[[DataFrame, int], None]:

@@ -175,6 +175,37 @@ def test_late_sale_of_an_earlier_day_is_loaded_once(spark, lake):
     assert [r[1] for r in loaded] == [1, 2, 3]
 
 
+def test_whatever_arrives_late_equals_a_full_load(spark, tmp_path):
+    """A sale thirty days late, a total that changes after thirty days, a line that goes and one that changes."""
+    late = D3 + dt.timedelta(days=30)
+    days = [
+        (D1, [sale(1, D1), sale(2, D1)], [line(1, 1), line(2, 2), line(3, 2)]),
+        (D3, [sale(1, D1), sale(2, D1), sale(3, D3)], [line(1, 1), line(2, 2), line(3, 2), line(4, 3)]),
+        (late, [sale(1, D1, 99), sale(2, D1), sale(3, D3), sale(4, D2)], [line(1, 1), line(2, 2), line(4, 3, produto_id=2), line(5, 4)]),
+    ]
+
+    def fresh(name):
+        mark = uuid.uuid4().hex[:8]
+        return Lake(str(tmp_path / name), f"silver_{mark}", f"gold_{mark}")
+
+    def written(lake, day, sales, lines):
+        from granary.sinks.lake import write_bronze
+
+        write_bronze(bronze(spark, "vendas", *sales), lake.bronze, "vendas", day=day)
+        write_bronze(bronze(spark, "itens_venda", *lines), lake.bronze, "itens_venda", day=day)
+
+    split, whole = fresh("split"), fresh("whole")
+    for day in days:
+        written(split, *day)
+        silver_job(spark, split, run(day[0], incremental_run=True), only=("facts_vendas", "dim_tempo"))
+    for day in days:
+        written(whole, *day)
+    silver_job(spark, whole, run(late), only=("facts_vendas", "dim_tempo"))
+    for table, columns in (("facts_vendas", FACT), ("dim_tempo", ("data",))):
+        tables = [values(read_layer_table(spark, lake.silver_database, table), *columns) for lake in (split, whole)]
+        assert tables[0] == tables[1]
+
+
 def test_lookback(spark):
     sales = bronze(spark, "vendas", sale(1, D1), sale(2, D3))
     mark = at(D3)
