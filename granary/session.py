@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import functools
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -88,17 +92,24 @@ def create(
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="granary-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for data that cuts lineage.
 
-    Without that setting, a folder in the warehouse, if every task runs in this
-    one process; on a cluster the setting has to be there.
+    Without that setting, a folder of this process that goes with it, if every
+    task runs in this one process; on a cluster the setting has to be there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        return _own_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
