@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import heapq
 import os
+import struct
 import zlib
 from dataclasses import dataclass
 from itertools import chain
@@ -88,8 +89,11 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
 
 
 def windows_of(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The window of every item, none above the capacity; items must not exceed it."""
-    windows = max(1, -(-int(sizes.sum()) // capacity))
+    """The window of every item, none above the capacity; items must not exceed it.
+
+    The first try leaves two thousandths free, as sums are never quite equal.
+    """
+    windows = max(1, -(-int(sizes.sum()) * 1000 // (capacity * 998)))
     while True:
         window = differencing(sizes, windows)
         most = int(np.bincount(window, sizes, windows).max()) if len(sizes) else 0
@@ -98,13 +102,18 @@ def windows_of(sizes: np.ndarray, capacity: int) -> np.ndarray:
         windows += max(1, windows * (most - capacity) // (2 * capacity))
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Token ids of texts, word by word; the ids of words seen before are remembered, within bounds.
 
     The tokenizer must drop white space and never join across it, split letters
     from the signs after them, and not tell A-Z from a-z, as a lower-case one
     with word ends does. A text's ids are then those of its words put together,
-    and a word's those of its letters and of the signs that follow them.
+    and a word's those of its letters and of the signs that follow them. Ids are
+    kept as bytes, so that no number becomes an object again.
     """
 
     def __init__(self, path: str, limit: int = REMEMBERED):
@@ -112,8 +121,8 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.words: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {"": []}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def _split(self, word: str) -> tuple[str, str]:
         letters = word.rstrip(SIGNS)
@@ -125,29 +134,29 @@ class WordIds:
         if len(self.words) + len(words) > self.limit:
             self.words.clear()
         if len(self.parts) > self.limit:
-            self.parts = {"": []}
+            self.parts = {"": b""}
         split = {w: self._split(w) for w in words}
         parts, tokenize = self.parts, self.tokenizer.model.tokenize
         other = []
         for part in {part for pair in split.values() for part in pair}.difference(parts):
             if part.isascii() and part.isalpha():  # lower-case letters reach the model as they are
-                parts[part] = [token.id for token in tokenize(part)]
+                parts[part] = as_bytes([token.id for token in tokenize(part)])
             else:
                 other.append(part)
         for part, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            parts[part] = found.ids
+            parts[part] = as_bytes(found.ids)
         for word, (letters, signs) in split.items():
             self.words[word] = parts[letters] + parts[signs] if signs else parts[letters]
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        """Ids of several texts, of which the words fit in memory."""
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of several texts, of which the words fit in memory; little-endian unsigned 32-bit."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words = set(chain.from_iterable(split))
         new = words.difference(self.words)
         if new:
             self._learn(new if len(self.words) + len(new) <= self.limit else words)
         get = self.words.__getitem__
-        return [list(chain.from_iterable(map(get, own))) for own in split]
+        return [b"".join(map(get, own)) for own in split]
 
 
 @functools.cache
@@ -172,18 +181,18 @@ def pieces(docs: DataFrame, use: Settings, with_ids: bool = True) -> DataFrame:
     """
 
     def run(batches):
-        ids_of = word_ids(use.tokenizer)
+        ids_of, end = word_ids(use.tokenizer), as_bytes([use.end_id])
         for batch in batches:
             for low in range(0, batch.num_rows, 100):
                 part = batch.slice(low, 100)
                 rows = []
                 texts = [text or "" for text in part.column(1).to_pylist()]
                 for doc_id, own_ids in zip(part.column(0).to_pylist(), ids_of(texts)):
-                    own_ids.append(use.end_id)
-                    ids = np.array(own_ids, "<u4")
-                    for start, length in cuts(len(ids), use.capacity, use.piece):
-                        own = ids[start : start + length].tobytes()
-                        rows.append((doc_id, start, length, zlib.crc32(own), len(ids), own if with_ids else None))
+                    ids = own_ids + end
+                    total = len(ids) // 4
+                    for start, length in cuts(total, use.capacity, use.piece):
+                        own = ids[4 * start : 4 * (start + length)]
+                        rows.append((doc_id, start, length, zlib.crc32(own), total, own if with_ids else None))
                 kinds = [pa.int64()] * 5 + [pa.binary()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
