@@ -66,7 +66,7 @@ def sales_by_segment(bed: Testbed) -> DataFrame:
     """By market segment, region, gender and age band."""
     people = silver.dim_customers(bed.clientes(), AS_OF)
     segments = bed.clientes().select(F.col("id").alias("cliente_id"), "segmento")
-    places = bed.enderecos().select("cliente_id", F.col("estado").alias("regiao"))
+    places = customers.main_address(silver.dim_addresses(bed.enderecos())).select("cliente_id", F.col("endereco_estado").alias("regiao"))
     described = (
         people.join(segments, "cliente_id")
         .join(places, "cliente_id")

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.catalogue.base import (
     AS_OF,
@@ -24,7 +25,7 @@ from granary.functions.scalars import nanos_to_timestamp as from_nanos
 from granary.operators.upsert import upsert
 from granary.plans import gold, incremental, silver
 from granary.plans.jobs import Lake, Run, extract_job, silver_job
-from granary.schemas import BRONZE, PARTITION_KEYS, struct
+from granary.schemas import BRONZE, LONG, PARTITION_KEYS, TEXT, struct
 from granary.session import scratch_path
 from granary.sinks.lake import overwrite_partitions, replace_table, stage, write_bronze
 from granary.sources import discovery, lake
@@ -103,9 +104,15 @@ def incremental_equals_full(bed: Testbed) -> DataFrame:
 
 @query
 def read_bronze(bed: Testbed) -> DataFrame:
-    """The reader itself: nanosecond option, timestamp conversion, column check."""
-    declared = struct(*[(f.name, f.dataType) for f in bed.raw("orders").schema.fields])
-    return lake.read_bronze(bed.spark, bed.path("orders"), declared)
+    """Two extracts, nanosecond moments, whole-number money; only the second has a column ``canal``."""
+    root = scratch_path(bed.spark, "read-bronze")
+    nanos = F.unix_micros(F.col("data_venda").cast("timestamp")) * 1000
+    sales = bed.vendas().withColumns({"data_venda": nanos, "id": F.col("id").cast("int")})
+    even = F.col("id") % 2 == 0
+    write_bronze(sales.filter(even), root, "vendas", day=EXTRACT_DAY)
+    write_bronze(sales.filter(~even).withColumn("canal", F.lit("web")), root, "vendas", day=TODAY)
+    back = lake.read_bronze(bed.spark, f"{root}/vendas", BRONZE["vendas"])
+    return back.withColumn("data_venda", F.col("data_venda").cast("timestamp_ntz")).drop(*lake.EXTRACT_KEYS)
 
 
 @query
@@ -190,10 +197,16 @@ def nanos_to_timestamp(bed: Testbed) -> DataFrame:
 
 @query
 def schema_report(bed: Testbed) -> DataFrame:
-    """Every table in the folder, column by column, against a declaration of two of them."""
+    """Every table in the folder, column by column, against a declaration of orders.
+
+    The declaration lacks the priority, knows a comment that is not there, and
+    takes the price for text.
+    """
     declared = {
-        name: struct(*[(f.name, f.dataType) for f in bed.raw(name).schema.fields])
-        for name in ("orders", "lineitem")
+        "orders": struct(
+            ("o_orderkey", LONG), ("o_custkey", LONG), ("o_orderstatus", TEXT), ("o_totalprice", TEXT),
+            ("o_orderdate", T.TimestampNTZType()), ("o_comment", TEXT),
+        )
     }
     return discovery.discover_schema(bed.spark, bed.folder, declared)
 

@@ -132,6 +132,13 @@ def age_band(age: Column) -> Column:
     return F.when(age.isNotNull(), band.otherwise(F.lit(f"{AGE_BANDS[-1]} ou mais")))
 
 
+def main_address(addresses: DataFrame) -> DataFrame:
+    """One address of each customer: a main one before others, then the lowest id."""
+    first = F.struct(F.when(F.col("endereco_principal"), 0).otherwise(1), "endereco_id")
+    columns = [F.min_by(c, first).alias(c) for c in addresses.columns if c != "cliente_id"]
+    return addresses.groupBy("cliente_id").agg(*columns)
+
+
 def sales_by_segment(
     sales: DataFrame, people: DataFrame, attributes: Sequence[str]
 ) -> DataFrame:

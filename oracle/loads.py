@@ -34,7 +34,9 @@ SELECT {FACT_COLUMNS} FROM facts WHERE data_venda >= {MARK} - INTERVAL 3 DAY""",
 WHERE ano >= 1999""",
     "upsert_facts": f"WITH {FACTS} SELECT {FACT_COLUMNS} FROM facts",
     "incremental_equals_full": TABLES["facts_sales"],
-    "read_bronze": "SELECT * FROM orders",
+    "read_bronze": SALES_COLUMNS.replace(
+        " FROM orders", ", CASE WHEN o_orderkey % 2 <> 0 THEN 'web' END AS canal FROM orders"
+    ),
     "bronze_roundtrip": SALES_COLUMNS,
     "silver_roundtrip": TABLES["facts_sales"],
     "gold_roundtrip": TABLES["monthly_sales"],
@@ -57,10 +59,12 @@ SELECT table_name AS tabela, column_name AS coluna,
                       WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
                       WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
                       ELSE lower(data_type) END AS tipo,
-       CASE WHEN table_name IN ('orders', 'lineitem') THEN 'declared' ELSE 'added' END AS situacao
+       CASE WHEN table_name <> 'orders' OR column_name = 'o_orderpriority' THEN 'added'
+            WHEN column_name = 'o_totalprice' THEN 'retyped' ELSE 'declared' END AS situacao
 FROM information_schema.columns
 WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
-  'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')""",
+  'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')
+UNION ALL SELECT 'orders', 'o_comment', 'string', 'removed'""",
     "extract_report": "\nUNION ALL ".join(
         [
             _extracted("vendas", "WHERE CAST(o_orderdate AS DATE) = DATE '1996-03-15'", "orders"),

@@ -237,3 +237,18 @@ def test_scratch_folder_follows_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(100 * 1024**4, 8) == 819_200
+
+
+def test_manifest_counts_the_files_of_its_own_extract(spark, tmp_path):
+    sinks.write_bronze(bronze(spark, "vendas", {}, {}), str(tmp_path), "vendas", day=DAY)
+    second = sinks.write_bronze(bronze(spark, "vendas", {"id": 9}).coalesce(1), str(tmp_path), "vendas", day=dt.date(2025, 3, 10))
+    row = reports.manifest(spark, [second], "2025-03-10", {}).first()
+    assert row["arquivos"] == 1 and row["caminho"].endswith("month=03/day=10")
+
+
+def test_columns_of_newer_extracts_are_kept(spark, tmp_path):
+    sinks.write_bronze(bronze(spark, "vendas", {}), str(tmp_path), "vendas", day=DAY)
+    newer = bronze(spark, "vendas", {"id": 9}).withColumn("atualizado_em", F.lit("x"))
+    sinks.write_bronze(newer, str(tmp_path), "vendas", day=dt.date(2025, 3, 10))
+    back = lake.read_bronze(spark, f"{tmp_path}/vendas", BRONZE["vendas"])
+    assert values(back, "id", "atualizado_em") == [(1, None), (9, "x")]

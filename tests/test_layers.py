@@ -154,3 +154,20 @@ def test_sale_grain_is_the_same_from_sources_and_from_the_fact(spark, bed):
     lines = bronze(spark, "itens_venda", {}, *BAD_LINES, {"venda_id": 3})
     assert values(silver.sales_with_lines(sales, lines), "venda_id", "linhas") == [(1, 1), (3, 1)]
     assert values(silver.sales_with_lines(sales, lines, ["x"]), "venda_id") == [(1,)]
+
+
+def test_freight_counts_once_per_sale(spark):
+    from granary.plans.analyses import operations
+
+    sales = [{"frete": 10, "total": 100}, {"frete": 0, "total": 100}]
+    lines = [{"venda_id": 1}] + [{"venda_id": 2}] * 9
+    facts = facts_of(spark, sales, lines).withColumn("data_envio", F.lit(JAN))
+    assert operations.shipping_days(facts).first()["participacao_frete"] == 0.05
+
+
+def test_main_address_of_a_customer(spark):
+    from granary.plans.analyses import customers
+
+    rows = [{"id": 1, "cliente_id": 1}, {"id": 2, "cliente_id": 1, "endereco_principal": True}, {"id": 3, "cliente_id": 2}]
+    found = customers.main_address(silver.dim_addresses(bronze(spark, "enderecos", *rows)))
+    assert values(found, "cliente_id", "endereco_id") == [(1, 2), (2, 3)]
