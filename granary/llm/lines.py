@@ -3,12 +3,21 @@
 A rolling hash over the hashes of neighbouring lines decides where chunks end,
 so an insertion moves only the boundaries next to it. Stronger boundaries (more
 zero bits) make longer chunks; the chunks of every strength are looked at, and
-single lines that are long enough. A chunk that the corpus has before, compared
-byte by byte with its first occurrence, is cut out of the text.
+single lines that are long enough. Besides, the shortest chunk with enough words
+is taken from every line on and up to every line, wherever boundaries lie: the
+chunks inside a run of shared lines then cover the run, whatever surrounds it. A
+chunk that the corpus has before, by the SHA-256 of its bytes and that of its
+first occurrence, is cut out of the text.
+
+Chunks overlap. A line goes only if an equal line at an earlier place is part of
+the same chunk, so the first of equal lines always stays. Shortest chunks whose
+copies overlap inside one text (lines that repeat themselves at once) are held
+against other texts only.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,12 +50,14 @@ def boundaries(hashes: np.ndarray) -> np.ndarray:
     return np.bitwise_count((rolled & (~rolled + np.uint64(1))) - np.uint64(1))
 
 
-def spans(lines: list[bytes], use: Settings) -> list[tuple[int, int]]:
-    """(first line, one past the last) of every chunk with enough words: long lines, then chunks of several lines."""
-    words = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
-    total = np.append(0, np.cumsum(words))
-    if total[-1] < use.least_words:
-        return []
+def running_words(lines: list[bytes]) -> np.ndarray:
+    """Words before every line, and of all lines."""
+    return np.append(0, np.cumsum(np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))))
+
+
+def anchored(lines: list[bytes], total: np.ndarray, use: Settings) -> list[tuple[int, int]]:
+    """Long lines, then the chunks of several lines between boundaries."""
+    words = np.diff(total)
     found = [(i, i + 1) for i in np.flatnonzero(words >= use.least_words).tolist()]
     strength = boundaries(line_hashes(lines))
     seen = set(found)
@@ -60,28 +71,83 @@ def spans(lines: list[bytes], use: Settings) -> list[tuple[int, int]]:
     return found
 
 
-def _chunks(docs: DataFrame, use: Settings, sieve=None) -> DataFrame:
-    """``chunk`` (hash), ``row_key``, ``doc_id``, ``first``, ``last`` of all chunks; with a sieve, of those it lets through, and their bytes."""
+def shortest(total: np.ndarray, least: int) -> set[tuple[int, int]]:
+    """The shortest chunk with enough words from every line on, and up to every line."""
+    ends = np.searchsorted(total, total[:-1] + least)
+    starts = np.searchsorted(total, total[1:] - least, "right") - 1
+    return {(a, b) for a, b in enumerate(ends.tolist()) if b < len(total)} | {(a, b) for b, a in enumerate(starts.tolist(), 1) if a >= 0}
+
+
+def spans(lines: list[bytes], use: Settings) -> list[tuple[int, int]]:
+    """(first line, one past the last) of every chunk with enough words."""
+    total = running_words(lines)
+    if total[-1] < use.least_words:
+        return []
+    found = anchored(lines, total, use)
+    return found + sorted(shortest(total, use.least_words).difference(found))
+
+
+def chunks_of(lines: list[bytes], use: Settings) -> list[tuple[int, int, int, bytes, bool]]:
+    """Hash, first line, one past the last, bytes of every chunk; and whether it is held against other texts only."""
+    total = running_words(lines)
+    if total[-1] < use.least_words:
+        return []
+
+    def hashed(some):
+        bodies = [b"\n".join(lines[a:b]) for a, b in some]
+        return [(xxhash.xxh64_intdigest(x), a, b, x) for (a, b), x in zip(some, bodies)]
+
+    found = anchored(lines, total, use)
+    sliding = hashed(sorted(shortest(total, use.least_words).difference(found)))
+    reached, overlapping = {}, set()
+    for digest, a, b, _ in sliding:
+        if reached.get(digest, 0) > a:
+            overlapping.add(digest)
+        reached[digest] = b
+    return [(*x, False) for x in hashed(found)] + [(*x, x[0] in overlapping) for x in sliding]
+
+
+def _texts(batch: pa.RecordBatch, column: int):
+    return ((text or b"").split(b"\n") for text in batch.column(column).cast(pa.binary()).to_pylist())
+
+
+def _repeated(docs: DataFrame, use: Settings) -> DataFrame:
+    """``chunk`` (hash) of all chunks that occur again. Each text gives a hash once, as 2 if the text alone repeats it."""
 
     def run(batches):
-        bits = None if sieve is None else np.frombuffer(sieve.value, np.uint64)
+        for batch in batches:
+            chunks, times = [], []
+            for lines in _texts(batch, 0):
+                own = {}
+                for digest, _, _, _, others_only in chunks_of(lines, use):
+                    own[digest] = 2 if digest in own and not others_only else own.get(digest, 1)
+                chunks.extend(own)
+                times.extend(own.values())
+            chunks = pa.array(np.array(chunks, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([chunks, pa.array(times, pa.int64())], ["chunk", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "chunk long, n long")
+    return counted.groupBy("chunk").agg(F.sum("n").alias("n")).filter("n > 1").select("chunk")
+
+
+def _chunks(docs: DataFrame, use: Settings, sieve) -> DataFrame:
+    """``chunk`` (hash), ``row_key``, ``doc_id``, ``first``, ``last``, ``others_only`` of the chunks that the sieve lets through, and the SHA-256 of their bytes as ``body``."""
+
+    def run(batches):
+        bits = np.frombuffer(sieve.value, np.uint64)
         for batch in batches:
             rows = []
-            for key, doc_id, text in zip(*(c.to_pylist() for c in (batch.column(0), batch.column(1), batch.column(2).cast(pa.binary())))):
-                lines = (text or b"").split(b"\n")
-                for a, b in spans(lines, use):
-                    body = b"\n".join(lines[a:b])
-                    digest = xxhash.xxh64_intdigest(body)
-                    if bits is not None:
-                        place = digest % use.sieve_bits
-                        if not int(bits[place >> 6]) >> (place & 63) & 1:
-                            continue
-                    rows.append((digest - (digest >> 63 << 64), key, doc_id, a, b, None if bits is None else body))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["chunk", "row_key", "doc_id", "first", "last", "body"])
-
-    return docs.select("_key", F.col("doc_id").cast("long"), "text").mapInArrow(run, "chunk long, row_key long, doc_id long, first int, last int, body binary")
+            for key, doc_id, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch, 2)):
+                for digest, a, b, body, others_only in chunks_of(lines, use):
+                    place = digest % use.sieve_bits
+                    if int(bits[place >> 6]) >> (place & 63) & 1:
+                        rows.append((digest - (digest >> 63 << 64), key, doc_id, a, b, others_only, hashlib.sha256(body).digest()))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "row_key", "doc_id", "first", "last", "others_only", "body"])
+
+    schema = "chunk long, row_key long, doc_id long, first int, last int, others_only boolean, body binary"
+    return docs.select("_key", F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def _sieve(repeated: DataFrame, use: Settings):
@@ -102,13 +168,13 @@ def dedup_lines(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     ``removed_lines`` is replaced.
     """
     keyed = docs.drop("removed_lines").withColumn("_key", F.xxhash64("doc_id", "text"))
-    chunks = stage(_chunks(keyed, use).drop("body"), "line-chunks")
-    repeated = stage(chunks.groupBy("chunk").agg(F.count("*").alias("n")).filter("n > 1").select("chunk"), "line-repeated")
+    repeated = stage(_repeated(keyed, use), "line-repeated")
     bodies = _chunks(keyed, use, _sieve(repeated, use)).join(repeated, "chunk", "left_semi")
     bodies = stage(bodies, "line-bodies")
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "row_key", "first")
     origin = bodies.groupBy("chunk").agg(F.min(F.struct(order.alias("place"), "body")).alias("o"))
     later = bodies.join(origin, "chunk").filter((F.col("body") == F.col("o.body")) & (order > F.col("o.place")))
+    later = later.filter(~F.col("others_only") | (F.col("row_key") != F.col("o.place.row_key")))
     cut = later.groupBy(F.col("row_key").alias("_key")).agg(F.collect_set(F.struct("first", "last")).alias("_cut"))
 
     def run(batches):

@@ -65,3 +65,20 @@ def test_odd_rows(spark):
     found = sorted(((r["doc_id"] or 99, r["text"]) for r in lines.dedup_lines(frame).collect()), key=str)
     assert found == sorted([(1, None), (2, ""), (3, PASSAGE), (3, PASSAGE), (4, ""), (99, ""), (5, ""), (6, "x\n" * 30_000)], key=str)
     assert lines.dedup_lines(frame.limit(0)).count() == 0
+
+
+def test_passage_of_short_lines_goes_whatever_surrounds_it(spark):
+    passage = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(5)] + ["and a short end"]
+    rng = random.Random(7)
+    own = lambda i: [" ".join(f"d{i}w{rng.randrange(9999)}" for _ in range(rng.randrange(1, 20))) for _ in range(rng.randrange(1, 9))]
+    around = {i: (own(i), own(i)) for i in range(40)}
+    found = run(spark, [(i, "\n".join(a + passage + b)) for i, (a, b) in around.items()])
+    assert found[0]["removed_lines"] == 0
+    assert all(found[i]["text"] == "\n".join(a + b) for i, (a, b) in around.items() if i)
+
+
+def test_short_lines_repeated_inside_one_text(spark):
+    passage = "\n".join(" ".join(f"p{k}w{i}" for i in range(12)) for k in range(5))
+    found = run(spark, [(1, f"{passage}\nbetween\n{passage}"), (2, "y\n" * 300), (3, "y\n" * 70 + "end")])
+    assert found[1]["text"] == f"{passage}\nbetween"
+    assert found[2]["removed_lines"] == 0 and found[3]["text"] == "end"
