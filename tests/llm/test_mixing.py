@@ -63,3 +63,35 @@ def test_given_weights_and_odd_rows(spark):
     with pytest.raises(KeyError):
         mixing.mix(frame, {"a": 1})
     assert mixing.mix(frame.limit(0)).count() == 0
+
+
+def test_shares_are_the_weights():
+    assert mixing.whole_shares({"a": 0.9, "b": 0.1}, 1000) == {"a": 900, "b": 100}
+    many = {f"s{i}": 1 for i in range(999)} | {"big": 999 / 2}
+    assert abs(mixing.whole_shares(many, 3000)["big"] - 1000) < 1
+
+
+@pytest.mark.parametrize("sources", [2, 20, 1000])
+def test_deviation_from_the_weights_stays_below_one_block(sources):
+    rng = random.Random(sources)
+    weights = {f"s{i}": rng.random() + 0.01 for i in range(1, sources)}
+    weights["big"] = sum(weights.values()) / 2  # a third of all
+    period, slots = mixing.schedule(weights, {s: 40_000 if s == "big" else 1 for s in weights}, mixing.Settings())
+    total = sum(weights.values())
+    assert len(slots["big"]) >= 40_000
+    for s, own in slots.items():
+        for i, slot in enumerate(own):
+            assert abs(i - slot * weights[s] / total) < 1 + 1e-6 and abs(i + 1 - (slot + 1) * weights[s] / total) < 1 + 1e-6
+
+
+def test_more_slots_than_the_table_holds(spark):
+    rows = [(i, "x" * 10, "a" if i % 10 else "b") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for use in (mixing.Settings(block=10), mixing.Settings(block=10, most_slots=70)):
+        found = mixing.mix(frame, {"a": 0.7, "b": 0.3}, use).collect()
+        assert Counter(r["slot"] for r in found) == Counter(range(len(found)))
+        assert {r["doc_id"] for r in found} == set(range(600))
+        given_out = 0
+        for n, r in enumerate(sorted(found, key=lambda r: r["slot"]), 1):
+            given_out += r["source"] == "b"
+            assert abs(given_out - 0.3 * n) < 1 + 1e-6
