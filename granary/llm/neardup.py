@@ -1,7 +1,7 @@
 """Near-duplicates by b-bit MinHash.
 
 1. One pass over the texts: shingle hashes, set size, a 128-bit key of the set,
-   512 minima, their band keys, and the low 2 bits of every minimum, packed.
+   512 minima, their band keys, and 2 mixed bits of every minimum, packed.
 2. Documents with the same set form a class; its smallest id stands for it.
 3. Representatives that share a band key meet in a bucket, whose smallest id is
    its hub. Each is compared with one hub, never all with all: the packed bits
@@ -88,8 +88,14 @@ def band_keys(least: np.ndarray, bands: int) -> np.ndarray:
 
 
 def packed_bits(least: np.ndarray) -> np.ndarray:
-    """The low bits of the minima, 32 to a 64-bit word."""
-    low = (least & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(least), -1, 64 // BITS)
+    """``BITS`` bits of every minimum, 32 to a 64-bit word.
+
+    The low bits of a minimum depend on the low bits of its shingle alone, so
+    two shingles would agree under all functions or none; the bits are taken
+    after mixing the whole minimum with the number of its function.
+    """
+    number = np.arange(least.shape[1], dtype=np.uint64) << np.uint64(32)
+    low = (mix(least.astype(np.uint64) | number) >> np.uint64(64 - BITS)).reshape(len(least), -1, 64 // BITS)
     return np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)), axis=2)
 
 
@@ -124,7 +130,7 @@ def signatures(docs: DataFrame, use: Settings) -> DataFrame:
 
 
 def estimated(bits_a: Column, bits_b: Column, hashes: int) -> Column:
-    """Similarity from packed low bits, corrected for agreement by chance."""
+    """Similarity from packed bits, corrected for agreement by chance."""
     pairs = F.lit(0x5555555555555555)
 
     def differing(a, b):

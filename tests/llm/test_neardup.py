@@ -94,3 +94,16 @@ def test_very_long_text(spark):
     long = " ".join(f"t{i % 50021}" for i in range(300_000))
     frame = spark.createDataFrame([(1, long), (2, long + " end")], "doc_id long, text string")
     assert [r["component_id"] for r in neardup.near_duplicates(frame).orderBy("doc_id").collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("shared, whole", [(4, 5), (8, 10)])
+def test_short_texts_at_the_threshold_pass_the_estimate(shared, whole):
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(5_000):
+        long = rng.integers(0, 2**63, whole, dtype=np.uint64)
+        sets += [np.sort(long[:shared]), np.sort(long)]
+    bits = neardup.packed_bits(neardup.minima(sets, 512))
+    differ = bits[0::2] ^ bits[1::2]
+    wrong = np.bitwise_count((differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+    assert (((1 - wrong / 512 - 0.25) / 0.75) >= neardup.Settings().least_estimate).all()
