@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import lines, mixing, neardup, packing, quality
-from granary.llm.common import stage, table
+from granary.llm.common import WORD, stage, table
 from granary.llm.queries import PACKING
 
 
@@ -22,7 +22,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated line chunks go, and documents of which nothing is left; ``n_chars`` follows the text."""
-    cut = lines.dedup_lines(docs).filter((F.col("removed_lines") == 0) | (F.trim("text") != ""))
+    cut = lines.dedup_lines(docs).filter((F.col("removed_lines") == 0) | F.col("text").rlike(WORD))
     cut = cut.withColumn("n_chars", F.when(F.col("removed_lines") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return cut.select(docs.columns)
 

@@ -69,3 +69,11 @@ def test_empty_documents(spark, folder):
     for _, function in corpus_pipeline.STAGES:
         docs = stage(function(spark, docs, folder), "test-empty")
     assert docs.count() == 0
+
+
+def test_only_blank_lines_left_is_nothing_left(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    other = PASSAGE.replace("shared", "other")
+    texts = [PASSAGE, other, f"{PASSAGE}\n\n\t\n{other}", f"{PASSAGE}\n\nown"]
+    planted = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in enumerate(texts)], docs.schema)
+    assert {r["doc_id"] for r in corpus_pipeline.unrepeated_lines(spark, planted, folder).collect()} == {0, 1, 3}
