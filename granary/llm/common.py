@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary import session
@@ -21,12 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(frame: DataFrame, purpose: str) -> DataFrame:
+def stage(frame: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
     """The frame written to the shared scratch folder and read again: computed once, and safe if an executor is lost."""
     spark = frame.sparkSession
     path = session.scratch_path(spark, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    writer = frame.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
 
 
 def let(value: Column, use) -> Column:
@@ -84,3 +85,28 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     for i in range(min(width, len(words))):
         total = mix(total + words[i : i + n] + np.uint64(i + 1))
     return total
+
+
+def ranked(frame: DataFrame, group: str, order: list[str], purpose: str) -> DataFrame:
+    """The frame staged, with ``rank`` from 0 and the number of rows ``n`` within each value of ``group``.
+
+    Rows are dealt out by range and sorted inside their partitions; only the
+    row counts per partition and group are added up, so a group may hold any
+    share of the rows. ``order`` should end in a column that tells equal rows
+    apart if a third of them may be equal. An empty ``order`` numbers the rows
+    as they lie, without a shuffle.
+    """
+    if order:
+        frame = frame.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    placed = stage(frame.withColumn("_at", F.monotonically_increasing_id()), purpose)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    placed = placed.withColumns({"_part": part, "_at": place})
+    runs = placed.groupBy(group, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        group, "_part",
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_rows").over(Window.partitionBy(group)).alias("n"),
+    )
+    numbered = placed.join(runs, [group, "_part"]).withColumn("rank", F.col("_at") + F.col("_shift"))
+    return numbered.select(*frame.columns, "rank", "n")

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import ann, chat, lines, lm, mixing, neardup, packing, quality, rules, urls
-from granary.llm.common import table
+from granary.llm import ann, chat, lines, lm, manifest, mixing, neardup, packing, quality, rules, segments, urls, whitening
+from granary.llm.common import LOWER, UPPER, table
 
 PACKING = packing.Settings(public_tokenizers.path("word_bpe_49k.json"))
 
@@ -130,3 +130,102 @@ def op7_pfair_mixing(spark, folder) -> DataFrame:
     """When each document is due, the sources weighed by their size to the power 0.7."""
     mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "source", "pass", "block", "slot")
+
+
+@query
+def op11_segment_topk(spark, folder) -> DataFrame:
+    """The five rows with the largest integer inner product for every fiftieth vector."""
+    return segments.top_products(table(spark, folder, "embeddings"))
+
+
+SQL["op11_segment_topk"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(q.x, r.x) AS BIGINT) AS score
+  FROM whole q JOIN whole r ON q.vec_id % 50 = 0 AND r.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5
+"""
+
+
+@query
+def op12_merkle_manifest(spark, folder) -> DataFrame:
+    """All documents proved against the manifest, a third of them with their text in lower case."""
+    return manifest.audit_documents(table(spark, folder, "documents"), manifest.tampered_text())
+
+
+def _manifest_sql(levels: int = 7, group_levels: int = 3) -> str:
+    """Trees of up to 8 ** levels documents a language and 8 ** group_levels languages, level by level."""
+
+    def value(column: str) -> str:
+        return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    crc = (
+        "xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))), "
+        "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"
+    )
+    parts = [
+        f"""leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS g, {leaf('text')} AS leaf,
+         CASE WHEN {crc} % 3 = 0 AND text IS NOT NULL THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {leaf('text')} END AS claimed
+  FROM documents
+)""",
+        """l0 AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS digest, count(*) OVER (PARTITION BY g) AS n FROM leaves
+)""",
+    ]
+
+    def tree(name: str, height: int) -> None:
+        for k in range(height):
+            parts.append(
+                f"""{name}{k + 1} AS (
+  SELECT g, i // 8 AS i, sha256(string_agg(digest, '' ORDER BY i)) AS digest, (n + 7) // 8 AS n FROM {name}{k} WHERE n > 1 GROUP BY g, i // 8, n
+)"""
+            )
+        for k in range(height):
+            side = f"string_agg(digest, '') OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN"
+            parts.append(
+                f"""{name}s{k} AS (
+  SELECT g, i, coalesce({side} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before, coalesce({side} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name}{k} WHERE n > 1
+)"""
+            )
+
+    def climb(name: str, height: int, start: str) -> str:
+        for k in range(height):
+            parts.append(
+                f"""{name}p{k} AS (
+  SELECT p.* REPLACE (CASE WHEN s.g IS NULL THEN d ELSE sha256(before || d || after) END AS d, siblings || coalesce(before, '') || coalesce(after, '') AS siblings)
+  FROM {start} p LEFT JOIN {name}s{k} s ON s.g = p.g AND s.i = p.i // {8**k}
+)"""
+            )
+            start = f"{name}p{k}"
+        return start
+
+    tree("l", levels)
+    tops = " UNION ALL ".join(f"SELECT g, digest FROM l{k} WHERE n = 1" for k in range(levels + 1))
+    parts.append(f"subroots AS ({tops})")
+    parts.append("t0 AS (SELECT 0 AS g, g AS own, digest, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM subroots)")
+    tree("t", group_levels)
+    top = " UNION ALL ".join(f"SELECT digest AS root FROM t{k} WHERE n = 1" for k in range(group_levels + 1))
+    parts.append("start AS (SELECT doc_id, leaf, g, i, claimed AS d, '' AS siblings FROM l0)")
+    climbed = climb("l", levels, "start")
+    parts.append(f"middle AS (SELECT p.doc_id, p.leaf, t.digest AS subroot, t.g, t.i, p.d, p.siblings FROM {climbed} p JOIN t0 t ON t.own = p.g)")
+    end = climb("t", group_levels, "middle")
+    return f"""WITH {', '.join(parts)}
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, d AS folded_root, d = root AS verified FROM {end}, ({top})"""
+
+
+SQL["op12_merkle_manifest"] = _manifest_sql()
+
+
+@query
+def op13_block_whitening(spark, folder) -> DataFrame:
+    """All vectors on up to 32 whitened components."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
