@@ -27,7 +27,9 @@ from granary.plans import gold, incremental, silver
 from granary.plans.jobs import Lake, Run, extract_job, silver_job
 from granary.schemas import BRONZE, LONG, PARTITION_KEYS, TEXT, struct
 from granary.session import scratch_path
-from granary.sinks.lake import overwrite_partitions, replace_table, stage, write_bronze
+from granary.sinks import versions
+from granary.sinks.lake import stage, write_bronze
+from granary.sinks.versions import VersionedTable
 from granary.sources import discovery, lake
 from granary.sources.relational import SOURCE_TABLES, changed_on
 from granary.sources.testbed import Testbed
@@ -35,6 +37,7 @@ from granary.sources.testbed import Testbed
 EXTRACT_DAY = dt.date(1996, 3, 15)
 LOADED_UNTIL = dt.datetime(1999, 6, 30)
 TODAY = dt.date(2000, 5, 31)
+NOW = dt.datetime(2000, 5, 31, 4)
 
 
 def _declared_facts(bed: Testbed) -> DataFrame:
@@ -99,7 +102,7 @@ def incremental_equals_full(bed: Testbed) -> DataFrame:
         write_bronze(own_lines, target.bronze, "itens_venda", day=day)
         silver_job(bed.spark, target, Run(dt.datetime.combine(day, dt.time(4)), incremental=True), only=("facts_vendas",))
     bed.spark.sql(f"DROP DATABASE {target.silver_database} CASCADE")
-    return bed.spark.read.parquet(f"{target.silver}/facts_vendas").select(*_declared_facts(bed).columns)
+    return VersionedTable(bed.spark, target.silver, "facts_vendas").read().select(*_declared_facts(bed).columns)
 
 
 @query
@@ -132,18 +135,18 @@ def silver_roundtrip(bed: Testbed) -> DataFrame:
     """The fact written by day, and back."""
     table = _declared_facts(bed)
     keys = PARTITION_KEYS["facts_vendas"]
-    path = scratch_path(bed.spark, "silver")
-    overwrite_partitions(table, path, "facts_vendas", keys)
-    return bed.spark.read.schema(table.schema).parquet(path).select(*table.columns)
+    target = VersionedTable(bed.spark, scratch_path(bed.spark, "silver"), "facts_vendas")
+    versions.replace(target, table, NOW, keys)
+    return target.read()
 
 
 @query
 def gold_roundtrip(bed: Testbed) -> DataFrame:
     """Monthly sales written by month, and back."""
     table = gold.monthly_sales(facts(bed))
-    path = scratch_path(bed.spark, "gold")
-    replace_table(table, path, "vendas_mensais", PARTITION_KEYS["vendas_mensais"])
-    return bed.spark.read.parquet(path).select(*table.columns)
+    target = VersionedTable(bed.spark, scratch_path(bed.spark, "gold"), "vendas_mensais")
+    versions.replace(target, table, NOW, PARTITION_KEYS["vendas_mensais"])
+    return target.read()
 
 
 @query

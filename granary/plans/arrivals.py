@@ -6,39 +6,81 @@ that changed without its sale shows only by comparison: one count and hash per
 sale, added up before any join, are held against those of the last load. The
 same table keeps the day a sale's lines lie in, so that only touched days of
 the fact are read.
+
+A sale that is deleted at the source leaves no trace in either. It is found by
+reconciliation with an extract of all sale ids: both sides are dealt into
+buckets by hash, with a count and a hash sum of each bucket noted when it was
+written; only buckets that differ are compared id by id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.schemas import INT, LONG, struct
-from granary.sinks.lake import replace_table, stage
+from granary.sinks.lake import stage
+from granary.sinks.versions import Draft, Version, VersionedTable
 from granary.streaming.new_files import append_batches, process_new_files
 
 SALE_KEY = struct(("id", LONG))
-STATE = struct(("venda_id", LONG), ("linhas", LONG), ("marca", LONG), ("ano", INT), ("mes", INT), ("dia", INT))
 DAYS = ("ano", "mes", "dia")
+MARKS = ("linhas", "marca_a", "marca_b")
+KNOWN, VANISHED = 1, 2
+# Per sale: its lines' marks, their day, whether its header is known or has vanished, and its bucket.
+STATE = struct(("venda_id", LONG), *[(m, LONG) for m in MARKS], *[(d, INT) for d in DAYS], ("situacao", INT), ("balde", INT))
+
+
+def bucket(sale: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(sale.cast("long")), F.lit(buckets)).cast("int")
+
+
+def _halves(value: Column) -> tuple[Column, Column]:
+    """Two sums that change with any summand, whatever the order; equal summands do not cancel out."""
+    return F.sum(F.shiftright(value, 32)), F.sum(value.bitwiseAND((1 << 32) - 1))
+
+
+def digests(ids: DataFrame) -> dict[str, list[int]]:
+    """Count and hash sums per bucket of ``ids(venda_id, balde)``; one row a bucket reaches the driver."""
+    high, low = _halves(F.xxhash64(F.col("venda_id").cast("long")))
+    rows = ids.groupBy("balde").agg(F.count("*").alias("n"), high.alias("a"), low.alias("b")).collect()
+    return {str(r["balde"]): [r["n"], r["a"], r["b"]] for r in rows}
+
+
+def key_table(spark: SparkSession, bronze_root: str) -> VersionedTable:
+    return VersionedTable(spark, f"{bronze_root}/_keys", "vendas")
+
+
+def save_keys(spark: SparkSession, bronze_root: str, ids: DataFrame, buckets: int, at: dt.datetime) -> Version:
+    """Keep the ids of all sales that the source has now, by bucket, with their digests.
+
+    Take it after the headers of the same day: a sale that is loaded and not
+    in a later key extract counts as deleted.
+    """
+    table = key_table(spark, bronze_root)
+    own = ids.select(F.col("id").cast("long").alias("venda_id")).filter("venda_id IS NOT NULL").distinct()
+    draft = table.write(own.withColumn("balde", bucket(F.col("venda_id"), buckets)), ["balde"], base=table.current())
+    return draft.commit(at, {"digests": digests(draft.read()), "buckets": buckets})
 
 
 class Arrivals:
-    """Bookmark, pending sale ids and per-sale state below one silver folder.
+    """Noted sale ids, their bookmark, and the per-sale state below one silver folder.
 
-    Nothing pending is forgotten before ``loaded`` was called, so a run that
-    fails is repeated by the next; loading a sale twice changes nothing.
+    The fact's versions say up to which batch and with which state they were
+    loaded, so nothing is done twice and nothing is forgotten: a run that fails
+    before it commits the fact is repeated by the next.
     """
 
-    def __init__(self, spark: SparkSession, silver_root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, silver_root: str, buckets: int, facts: Version | None):
+        self.spark, self.buckets = spark, buckets
         self.pending, self.bookmark = f"{silver_root}/_arrivals/sales", f"{silver_root}/_arrivals/bookmark"
-        self.done, self.state_path, self.open_days = f"{silver_root}/_arrivals/done", f"{silver_root}/_arrivals/state", f"{silver_root}/_arrivals/days"
-
-    def _read(self, path: str, schema) -> DataFrame:
-        """A written table, or no rows before the first write."""
-        exists = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        found = exists.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(exists)
-        return self.spark.read.schema(schema).parquet(path) if found else self.spark.createDataFrame([], schema)
+        self.table = VersionedTable(spark, f"{silver_root}/_arrivals", "state")
+        notes = facts.notes if facts else {}
+        self.done, self.keys_done = notes.get("batch", -1), notes.get("keys", 0)
+        self.known = self.table.version(notes["state"]) if "state" in notes else None
 
     def take(self, bronze_sales: str) -> None:
         """Note the ids of every sale in files that no earlier call has seen."""
@@ -47,46 +89,110 @@ class Arrivals:
 
     def waiting(self) -> tuple[DataFrame, int]:
         """Ids noted since the last load, and the number of the newest batch."""
-        noted = self._read(self.pending, struct(("venda_id", LONG), ("batch_id", LONG)))
-        last = self._read(self.done, struct(("batch_id", LONG))).agg(F.max("batch_id")).first()[0]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.pending)
+        kinds = struct(("venda_id", LONG), ("batch_id", LONG))
+        if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            noted = self.spark.read.schema(kinds).parquet(self.pending).filter(F.col("batch_id") > self.done)
+        else:
+            noted = self.spark.createDataFrame([], kinds)
         newest = noted.agg(F.max("batch_id")).first()[0]
-        new = noted if last is None else noted.filter(F.col("batch_id") > last)
-        return new.select("venda_id").distinct(), -1 if newest is None else newest
+        return noted.select("venda_id").distinct(), self.done if newest is None else newest
+
+    def state(self, parts: set[str] | None = None) -> DataFrame:
+        """The state the fact was loaded with, or some of its buckets."""
+        if self.known is None:
+            return self.spark.createDataFrame([], STATE)
+        return self.table.read(self.known, parts)
+
+    def vanished(self, keys: VersionedTable) -> tuple[DataFrame, int]:
+        """Known sales that the newest key extract lacks, and that extract's number.
+
+        Digests tell which buckets to compare; no other bucket of either side is
+        read. An extract serves once. Buckets dealt otherwise than the state's,
+        because their number was changed, are all compared.
+        """
+        none = self.spark.createDataFrame([], struct(("venda_id", LONG)))
+        extract = keys.current()
+        if extract is None or self.known is None or extract.number <= self.keys_done:
+            return none, self.keys_done
+        mine, theirs = self.known.notes.get("digests", {}), extract.notes["digests"]
+        if extract.notes["buckets"] != self.known.notes["buckets"]:
+            ours, source = self.state(), keys.read(extract)
+        else:
+            differing = {f"balde={b}" for b in {*mine, *theirs} if mine.get(b) != theirs.get(b)}
+            if not differing:
+                return none, extract.number
+            ours, source = self.state(differing), keys.read(extract, differing)
+        known = ours.filter(F.col("situacao") == KNOWN).select("venda_id")
+        return known.join(source.select("venda_id"), "venda_id", "left_anti"), extract.number
+
+    def draft(self, state: DataFrame) -> Draft:
+        return self.table.write(state, ["balde"], base=self.table.current())
+
+    def save(self, state: DataFrame, at: dt.datetime) -> int:
+        """Commit the next state with its digests; returns its number, which the fact's version has to name."""
+        draft = self.draft(state)
+        return draft.commit(at, {"digests": digests(draft.read().filter(F.col("situacao") == KNOWN)), "buckets": self.buckets}).number
 
-    def state(self) -> DataFrame:
-        return self._read(self.state_path, STATE)
 
-    def days_in_doubt(self) -> DataFrame:
-        """Days that an unfinished load may have written."""
-        return self._read(self.open_days, struct(*[(d, INT) for d in DAYS]))
+def line_marks(lines: DataFrame) -> DataFrame:
+    """Per sale: number of lines and a hash that changes with any of them, whatever their order.
 
-    def begin(self, days: DataFrame) -> None:
-        days.select(*[F.col(d).cast("int").alias(d) for d in DAYS]).write.mode("overwrite").parquet(self.open_days)
+    A value is hashed together with its column's name, so a value that moves to
+    another column counts as changed, and a new column does as soon as it has
+    values.
+    """
+    named = [F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), F.col(c))) for c in sorted(lines.columns)]
+    high, low = _halves(F.xxhash64(*named))
+    return lines.groupBy(F.col("venda_id").cast("long").alias("venda_id")).agg(F.count("*").alias("linhas"), high.alias("marca_a"), low.alias("marca_b"))
 
-    def loaded(self, state: DataFrame, newest: int) -> None:
-        """Keep the new state and forget what was pending."""
-        replace_table(state, self.state_path, "sale-state")
-        self.spark.createDataFrame([(newest,)], struct(("batch_id", LONG))).write.mode("overwrite").parquet(self.done)
-        self.begin(self.spark.createDataFrame([], struct(*[(d, INT) for d in DAYS])))
 
+def changed_sales(arrived: DataFrame, marks: DataFrame, state: DataFrame) -> DataFrame:
+    """Ids that arrived, or whose lines are not those of the last load."""
+    old = state.filter("linhas IS NOT NULL").select("venda_id", *[F.col(m).alias(f"{m}_antes") for m in MARKS])
+    same = F.lit(True)
+    for m in MARKS:
+        same = same & F.col(m).eqNullSafe(F.col(f"{m}_antes"))
+    differing = marks.join(old, "venda_id", "full").filter(~same)
+    return arrived.union(differing.select("venda_id")).distinct()
 
-def line_marks(lines: DataFrame) -> DataFrame:
-    """Per sale: number of lines and a hash that changes with any of them, whatever their order."""
-    columns = sorted(lines.columns)
-    return lines.groupBy(F.col("venda_id").cast("long").alias("venda_id")).agg(F.count("*").alias("linhas"), F.bit_xor(F.xxhash64(*columns)).alias("marca"))
 
+def next_state(
+    marks: DataFrame, state: DataFrame, changed: DataFrame, loaded: DataFrame, arrived: DataFrame, vanished: DataFrame, buckets: int
+) -> DataFrame:
+    """The state of all sales: marks as they are now, days of ``loaded`` for changed sales and as before for others.
 
-def changed_sales(arrived: DataFrame, marks: DataFrame, state: DataFrame) -> DataFrame:
-    """Ids that arrived, or whose lines are not those of the last load."""
-    old = state.select("venda_id", F.col("linhas").alias("linhas_antes"), F.col("marca").alias("marca_antes"))
-    differing = marks.join(old, "venda_id", "full").filter(
-        ~(F.col("linhas").eqNullSafe(F.col("linhas_antes")) & F.col("marca").eqNullSafe(F.col("marca_antes")))
-    )
-    return stage(arrived.union(differing.select("venda_id")).distinct(), "changed-sales")[0]
-
-
-def next_state(marks: DataFrame, state: DataFrame, changed: DataFrame, batch: DataFrame) -> DataFrame:
-    """The marks of all sales, with their day: of changed sales from the batch, else as before."""
-    before = state.join(changed, "venda_id", "left_anti").select("venda_id", *DAYS)
-    now = batch.select(F.col("venda_id").cast("long").alias("venda_id"), *[F.col(d).cast("int").alias(d) for d in DAYS]).distinct()
-    return marks.join(before.union(now), "venda_id", "left").select(*[F.col(f.name).cast(f.dataType) for f in STATE.fields])
+    ``loaded``: ``venda_id`` and day of the changed sales that the fact holds.
+    A sale that arrives is known, even if it had vanished before.
+    """
+    kinds = {f.name: f.dataType for f in STATE.fields}
+
+    def rows(frame: DataFrame, **values) -> DataFrame:
+        """The columns a frame has, NULL for the others."""
+        own = {c: F.col(c) for c in frame.columns} | values
+        return frame.select(*[own.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in kinds if c != "balde"])
+
+    decided = arrived.union(vanished)
+    pieces = [
+        rows(marks),
+        rows(state.join(changed, "venda_id", "left_anti").filter("ano IS NOT NULL").select("venda_id", *DAYS)),
+        rows(loaded.select("venda_id", *DAYS).distinct()),
+        rows(state.filter("situacao IS NOT NULL").select("venda_id", "situacao").join(decided, "venda_id", "left_anti")),
+        rows(arrived, situacao=F.lit(KNOWN)),
+        rows(vanished.join(arrived, "venda_id", "left_anti"), situacao=F.lit(VANISHED)),
+    ]
+    together = pieces[0]
+    for piece in pieces[1:]:
+        together = together.union(piece)
+    merged = together.groupBy("venda_id").agg(*[F.max(c).alias(c) for c in kinds if c not in ("venda_id", "balde")])
+    kept = merged.filter("venda_id IS NOT NULL AND (linhas IS NOT NULL OR situacao IS NOT NULL)")
+    return kept.withColumn("balde", bucket(F.col("venda_id"), buckets)).select(*kinds)
+
+
+def days_of(frame: DataFrame) -> list[Mapping]:
+    """The distinct days of a frame; bounded by the calendar."""
+    return [row.asDict() for row in frame.select(*DAYS).distinct().collect()]
+
+
+def staged(frame: DataFrame, purpose: str) -> DataFrame:
+    return stage(frame, purpose)[0]

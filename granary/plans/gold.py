@@ -32,7 +32,7 @@ def recent_period(facts: DataFrame, today: dt.date) -> DataFrame:
     return facts.filter(F.col("ano") >= today.year - 1)
 
 
-def _measures(value: str, price: str | None = None) -> list[Column]:
+def measures(value: str, price: str | None = None) -> list[Column]:
     """Sums and counts that can be added up again."""
     columns = [
         F.count("*").alias("_rows"),
@@ -55,7 +55,7 @@ def _mean(totals: DataFrame, value: str = "value") -> Column:
     return rounded_mean(F.col(name), F.col(f"{name}_rows"), is_exact(totals, name))
 
 
-def _span() -> list[Column]:
+def span() -> list[Column]:
     return [F.max("data_venda").alias("_last"), F.min("data_venda").alias("_first")]
 
 
@@ -63,21 +63,27 @@ def _span() -> list[Column]:
 
 
 def day_totals(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("dim_tempo_data", "ano", "mes").agg(*_measures("total_venda"), *_span())
+    return facts.groupBy("dim_tempo_data", "ano", "mes").agg(*measures("total_venda"), *span())
 
 
 def product_totals(facts: DataFrame, value: str = "total_venda") -> DataFrame:
     return facts.groupBy(F.col("dim_produto_id").alias("produto_id")).agg(
-        *_measures(value, "preco_unitario")
+        *measures(value, "preco_unitario")
     )
 
 
 def customer_totals(facts: DataFrame) -> DataFrame:
     return facts.groupBy(F.col("dim_cliente_id").alias("cliente_id")).agg(
-        *_measures("total_venda"), *_span()
+        *measures("total_venda"), *span()
     )
 
 
+def added_up(totals: DataFrame, *keys: str) -> DataFrame:
+    """Totals of finer keys, per ``keys``."""
+    names = [c[1:] for c in totals.columns if c.startswith("_") and c not in ("_last", "_first")]
+    return totals.groupBy(*keys).agg(*_added(*names), F.max("_last").alias("_last"), F.min("_first").alias("_first"))
+
+
 # --- tables from totals ---------------------------------------------------------
 
 
@@ -279,7 +285,7 @@ def category_performance_by_subtotal(
         .join(kinds, "produto_id")
         .groupBy("categoria_id", "categoria_nome")
         .agg(
-            *_measures("subtotal", "preco_unitario"),
+            *measures("subtotal", "preco_unitario"),
             F.count_distinct("dim_cliente_id").alias("_buyers"),
         )
     )
@@ -292,7 +298,7 @@ def category_performance_by_subtotal(
 def monthly_sales_by_order(sales: DataFrame, approximate: bool = False) -> DataFrame:
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     summed = sales.groupBy("ano", "mes").agg(
-        *_measures("total_venda"), distinct("dim_cliente_id").alias("clientes_unicos")
+        *measures("total_venda"), distinct("dim_cliente_id").alias("clientes_unicos")
     )
     return summed.select(
         "ano",
@@ -317,7 +323,7 @@ def daily_sales_by_order(sales: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def executive_summary_by_order(sales: DataFrame, period: str) -> DataFrame:
     summed = sales.agg(
-        *_measures("total_venda"), *_span(), F.count_distinct("dim_cliente_id").alias("_buyers")
+        *measures("total_venda"), *span(), F.count_distinct("dim_cliente_id").alias("_buyers")
     )
     return _summary(summed, F.col("_buyers"), period)
 

@@ -7,14 +7,13 @@ a date mark here lose rows that arrive later than they allow for.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.scalars import calendar_parts, literal_like
-from granary.operators.upsert import touched_partitions, upsert
-from granary.sinks.lake import WriteResult, clear_partition, overwrite_partitions, stage
+from granary.sinks.versions import NO_VALUE, Draft, Version, VersionedTable, part_name
 
 # Fixed value: the mark before anything was loaded.
 BEGINNING = "1900-01-01"
@@ -54,42 +53,29 @@ def merge_calendar(existing: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def load_facts(
-    existing: DataFrame,
+    table: VersionedTable,
+    base: Version,
     batch: DataFrame,
-    headers: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = FACT_PARTITIONS,
+    changed: DataFrame,
+    days: Iterable[Mapping],
     metrics: dict[str, Column] | None = None,
-    old_days: DataFrame | None = None,
-    before_writing: Callable[[DataFrame], None] | None = None,
-) -> WriteResult:
-    """Put ``batch`` into the fact at ``path`` so that a second run changes nothing.
-
-    Sales are replaced whole: all old lines of a sale in ``headers`` go, its new
-    valid lines come. Only the days that gain or lose rows are rewritten, from
-    a staged copy, so the plan never reads what it overwrites. ``old_days``:
-    the partitions that may hold old lines of these sales; without it they are
-    looked for in the whole fact. ``before_writing`` gets the touched days.
+) -> tuple[Draft, list[str]]:
+    """The fact's next version with ``batch`` in it, written but not committed, and the partitions it replaces.
+
+    Sales are replaced whole: all old lines of a sale in ``changed(venda_id)``
+    go, its new valid lines come. ``days`` are those that hold either; only they
+    are read and written, once, and a day that loses its last sale is gone. A
+    second run changes nothing. ``metrics`` and ``new_rows`` are of the batch.
     """
-    spark = existing.sparkSession
-    keys, changed = ["venda_id"], headers.select(F.col("id").alias("venda_id")).distinct()
-    staged_batch, batch_result = stage(
-        batch.select(*existing.columns), "facts-batch", partition_by, metrics
-    )
-    if old_days is None:
-        touched = touched_partitions(existing, staged_batch, changed, keys, partition_by)
-    else:
-        touched = staged_batch.select(*partition_by).union(old_days.select(*partition_by)).distinct()
-    days, _ = stage(touched, "facts-days")
-    if before_writing:
-        before_writing(days)
-    # The comparison is always true; it lets Spark prune the fact's folders by these days.
-    days = days.filter(F.col(partition_by[0]) > 0)
-    old_rows = existing.join(days, list(partition_by), "left_semi").select(*existing.columns)
-    merged, _ = stage(upsert(old_rows, staged_batch, keys, changed), "facts-merged", partition_by)
-    overwrite_partitions(merged, path, "facts_vendas", partition_by)
-    # A day that lost its last sale has no rows to overwrite it with.
-    emptied = days.join(merged.select(*partition_by).distinct(), list(partition_by), "left_anti")
-    for row in emptied.collect():
-        clear_partition(spark, path, row.asDict(), existing.schema)
-    return WriteResult("facts_vendas", path, batch_result.rows, batch_result.status, batch_result.metrics)
+    # Sales without a date are few; their day is not noted per sale.
+    undated = {part for part in base.folders if NO_VALUE in part}
+    parts = sorted({part_name(FACT_PARTITIONS, day) for day in days} | undated)
+    old = table.read(base, parts).join(changed, "venda_id", "left_anti").withColumn("_new", F.lit(False))
+    merged = old.unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    seen = {"new_rows": F.count_if("_new"), **(metrics or {})}
+    return table.write(merged, FACT_PARTITIONS, seen, base, parts, hidden=["_new"]), parts
+
+
+def of_batch(value: Column) -> Column:
+    """A value of the batch's rows, NULL in the old ones; for ``metrics`` of :func:`load_facts`."""
+    return F.when(F.col("_new"), value)

@@ -8,24 +8,25 @@ import logging
 from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.scalars import with_run_metadata
 from granary.operators.dedup import latest_by_key
 from granary.plans import gold, incremental, silver
-from granary.plans.arrivals import Arrivals, changed_sales, line_marks, next_state
+from granary.plans.arrivals import VANISHED, Arrivals, changed_sales, days_of, key_table, line_marks, next_state, save_keys, staged
+from granary.plans.incremental import FACT_PARTITIONS
+from granary.plans.totals import refresh
 from granary.schemas import BRONZE, PARTITION_KEYS
 from granary.session import configure
-from granary.sinks import reports
-from granary.sinks.lake import WriteResult, overwrite_partitions, replace_table, stage, write_bronze
+from granary.sinks import reports, versions
+from granary.sinks.lake import WriteResult, stage, write_bronze
+from granary.sinks.versions import VersionedTable
 from granary.sources.lake import (
     EXTRACT_KEYS,
     extract_folder,
     read_bronze,
     read_layer_table,
-    register_table,
-    table_exists,
 )
 from granary.sources.relational import SOURCE_TABLES, SourceTable, changed_on
 
@@ -61,6 +62,8 @@ class Lake:
     root: str
     silver_database: str = "silver"
     gold_database: str = "gold"
+    # Buckets that sale ids are dealt into for reconciliation.
+    buckets: int = 64
 
     @property
     def bronze(self) -> str:
@@ -75,6 +78,20 @@ class Lake:
         return f"{self.root}/gold"
 
 
+@dataclass(frozen=True)
+class Changes:
+    """What a silver run has to load: headers, ids that changed, vanished or arrived, marks and state, and the marks to note."""
+
+    headers: DataFrame
+    changed: DataFrame
+    vanished: DataFrame
+    arrived: DataFrame
+    marks: DataFrame
+    state: DataFrame
+    newest: int
+    keys: int
+
+
 def _each(stage: str, steps: dict[str, Callable[[], WriteResult]]):
     """Run all steps, whatever fails in between; returns results and errors."""
     results, errors = [], {}
@@ -135,6 +152,13 @@ def extract_job(
     return report
 
 
+def extract_keys_job(spark: SparkSession, load: Callable[[SourceTable], DataFrame], lake: Lake, run: Run) -> None:
+    """Copy the ids of all sales that the source has to bronze, for the next silver run to find deleted ones."""
+    configure(spark)
+    sales = next(t for t in SOURCE_TABLES if t.name == "vendas")
+    save_keys(spark, lake.bronze, load(sales).select("id"), lake.buckets, run.now)
+
+
 def current_rows(
     spark: SparkSession, lake: Lake, table: SourceTable, only: DataFrame | None = None, key: str = "id"
 ) -> DataFrame:
@@ -164,7 +188,10 @@ def silver_job(
     """Bronze to silver: dimensions are replaced, the fact is replaced or extended.
 
     An incremental run loads the sales that arrived since the last load, in
-    whatever date folder, and those whose lines changed; see ``arrivals``.
+    whatever date folder, those whose lines changed, and takes out those that
+    were deleted at the source; see ``arrivals``. Each table is written once and
+    replaced in one step. If another run has replaced a table meanwhile, this
+    one fails for that table, without effect.
     ``only`` limits the run to some silver tables, to repeat those that failed.
     """
     configure(spark)
@@ -177,59 +204,67 @@ def silver_job(
         return with_run_metadata(frame, "silver", run.execution_date, run.triggered_by)
 
     def dimension(name: str, build: Callable[[], DataFrame]) -> WriteResult:
-        keys = PARTITION_KEYS.get(name, ())
-        return replace_table(described(build()), f"{lake.silver}/{name}", name, keys)
+        table = VersionedTable(spark, lake.silver, name)
+        return versions.replace(table, described(build()), run.now, PARTITION_KEYS.get(name, ()))
 
-    extend = run.incremental and table_exists(spark, lake.silver_database, "facts_vendas")
-    existing = read_layer_table(spark, lake.silver_database, "facts_vendas") if extend else None
-
-    arrived = Arrivals(spark, lake.silver)
+    fact_table = VersionedTable(spark, lake.silver, "facts_vendas")
+    base = fact_table.current()
+    extend = run.incremental and base is not None
+    arrived = Arrivals(spark, lake.silver, lake.buckets, base)
 
     @functools.cache
     def lines() -> DataFrame:
-        return bronze("itens_venda").select(*BRONZE["itens_venda"].fieldNames())
+        return bronze("itens_venda")
 
     @functools.cache
-    def changes() -> tuple[DataFrame, DataFrame, DataFrame, int]:
-        """Changed sale ids, the lines' marks, the state before, and the newest arrival."""
+    def changes() -> Changes:
         arrived.take(f"{lake.bronze}/vendas")
         waiting, newest = arrived.waiting()
-        marks, _ = stage(line_marks(lines()), "line-marks")
-        state, _ = stage(arrived.state(), "sale-state")
-        return changed_sales(waiting, marks, state), marks, state, newest
-
-    def new_sales() -> DataFrame:
-        return bronze("vendas") if existing is None else current_rows(spark, lake, entries["vendas"], only=changes()[0])
+        vanished, keys = arrived.vanished(key_table(spark, lake.bronze))
+        vanished = staged(vanished.join(waiting, "venda_id", "left_anti"), "vanished-sales")
+        marks, state = staged(line_marks(lines()), "line-marks"), arrived.state()
+        changed = staged(changed_sales(waiting.union(vanished), marks, state), "changed-sales") if extend else waiting
+        # Bronze still has the headers of deleted sales.
+        deleted = state.filter(F.col("situacao") == VANISHED).select("venda_id").union(vanished).join(waiting, "venda_id", "left_anti")
+        headers = current_rows(spark, lake, entries["vendas"], only=changed) if extend else bronze("vendas")
+        headers = headers.join(deleted.withColumnRenamed("venda_id", "id"), "id", "left_anti").select(*headers.columns)
+        headers = staged(headers, "changed-headers") if extend else headers
+        return Changes(headers, changed, vanished, waiting, marks, state, newest, keys)
 
     def calendar() -> WriteResult:
-        known = read_layer_table(spark, lake.silver_database, "dim_tempo")
         if extend:
-            merged = incremental.merge_calendar(known, new_sales())
-            return dimension("dim_tempo", lambda: merged)
+            known = read_layer_table(spark, lake.silver_database, "dim_tempo")
+            return dimension("dim_tempo", lambda: incremental.merge_calendar(known, changes().headers))
         return dimension("dim_tempo", lambda: silver.dim_date(bronze("vendas")))
 
-    totals = {
-        "total_value": F.sum("total_venda"),
-        "total_items": F.sum("quantidade"),
-        "latest_sale": F.max("data_venda"),
-    }
+    totals = {"total_value": "total_venda", "total_items": "quantidade"}
+
+    def measured(of: Callable[[Column], Column]) -> dict[str, Column]:
+        return {n: F.sum(of(F.col(c))) for n, c in totals.items()} | {"latest_sale": F.max(of(F.col("data_venda")))}
 
     def facts() -> WriteResult:
-        path, keys = f"{lake.silver}/facts_vendas", PARTITION_KEYS["facts_vendas"]
-        changed, marks, state, newest = changes()
-        if existing is None:
-            result = replace_table(described(silver.facts_sales(new_sales(), lines())), path, "facts_vendas", keys, totals)
-            written = spark.read.parquet(path) if result.rows else silver.facts_sales(new_sales(), lines())
-            arrived.loaded(next_state(marks, state, written.select("venda_id").distinct(), written), newest)
-            return result
-        headers = new_sales()
-        own_lines = lines().join(changed, "venda_id", "left_semi").select(*lines().columns)
-        batch, _ = stage(described(silver.facts_sales(headers, own_lines)), "new-facts")
-        old_days = state.join(changed, "venda_id", "left_semi").select(*keys).dropna().union(arrived.days_in_doubt()).distinct()
-        gone = changed.withColumnRenamed("venda_id", "id")
-        result = incremental.load_facts(existing, batch, gone, path, keys, totals, old_days, arrived.begin)
-        arrived.loaded(next_state(marks, state, changed, batch), newest)
-        return result
+        found = changes()
+        if not extend:
+            draft = fact_table.write(described(silver.facts_sales(found.headers, lines())), FACT_PARTITIONS, measured(lambda c: c), base)
+            if not draft.rows:
+                return draft.result()
+            rows, loaded, changed = draft.rows, draft.read(), draft.read().select("venda_id").distinct()
+        else:
+            if found.changed.isEmpty():
+                return WriteResult("facts_vendas", fact_table.root, 0, "skipped")
+            own_lines = lines().join(found.changed, "venda_id", "left_semi").select(*lines().columns)
+            batch = described(silver.facts_sales(found.headers, own_lines))
+            moment = F.to_date("data_venda")
+            new_days = found.headers.select(F.year(moment).alias("ano"), F.month(moment).alias("mes"), F.dayofmonth(moment).alias("dia"))
+            old_days = found.state.join(found.changed, "venda_id", "left_semi").select(*FACT_PARTITIONS)
+            days = days_of(new_days.union(old_days))
+            draft, parts = incremental.load_facts(fact_table, base, batch, found.changed, days, measured(incremental.of_batch))
+            rows, changed = draft.metrics["new_rows"], found.changed
+            loaded = draft.read(parts).join(changed, "venda_id", "left_semi")
+        after = next_state(found.marks, found.state, changed, loaded, found.arrived, found.vanished, lake.buckets)
+        state = arrived.save(after, run.now)
+        draft.commit(run.now, {"state": state, "batch": found.newest, "keys": found.keys})
+        return draft.result(rows)
 
     steps = {
         "dim_fornecedores": lambda: dimension(
@@ -256,8 +291,9 @@ def silver_job(
     chosen = {name: step for name, step in steps.items() if only is None or name in only}
     results, errors = _each("silver", chosen)
     for result in results:
-        if result.rows:
-            register_table(spark, lake.silver_database, result.table, result.path)
+        table = VersionedTable(spark, lake.silver, result.table)
+        if table.current():
+            table.publish(lake.silver_database)
     fact = next((r for r in results if r.table == "facts_vendas"), None)
     seen = {**fact.metrics, "total_records": fact.rows} if fact else {}
     report = reports.silver_report(
@@ -275,37 +311,43 @@ def gold_job(
 ) -> list[WriteResult]:
     """Silver to gold, from the written silver tables.
 
-    An incremental run rebuilds the recent period and replaces only the months
-    it covers. Ranked and total tables have no months; they are built from all
-    facts, or with ``rank_recent_only`` from the recent period too.
+    All tables are added up from stored totals; an incremental run brings those
+    up to date from the days of the fact that were written since (see
+    ``totals``), and replaces only the months of the recent period. Ranked and
+    total tables have no months; they cover all days, or with
+    ``rank_recent_only`` the recent period too.
     """
     configure(spark)
 
     def silver_table(name: str) -> DataFrame:
         return read_layer_table(spark, lake.silver_database, name)
 
-    facts = silver_table("facts_vendas")
-    recent = gold.recent_period(facts, run.now.date()) if run.incremental else facts
-    ranked = recent if rank_recent_only else facts
+    def recent(rows: DataFrame) -> DataFrame:
+        return gold.recent_period(rows, run.now.date()) if run.incremental else rows
+
+    facts = VersionedTable(spark, lake.silver, "facts_vendas")
+    stored = refresh(spark, lake.gold, facts, run.now, run.incremental)
+    ranked = stored.filtered(recent) if rank_recent_only else stored
     goods, kinds = silver_table("dim_produtos"), silver_table("dim_categorias")
-    # Three passes over the fact serve all six tables.
-    days, _ = stage(gold.day_totals(facts), "day-totals")
-    recent_days = gold.recent_period(days, run.now.date()) if run.incremental else days
+    days, _ = stage(stored.per_day(), "day-totals")
+    recent_days = recent(days)
     ranked_days = recent_days if rank_recent_only else days
-    per_product, _ = stage(gold.product_totals(ranked), "product-totals")
+    per_product, _ = stage(ranked.per_product(), "product-totals")
 
     def save(name: str, table: DataFrame, extra: dict | None = None) -> WriteResult:
         frame = with_run_metadata(table, "gold", run.execution_date, run.triggered_by)
-        path, keys = f"{lake.gold}/{name}", PARTITION_KEYS.get(name, ())
-        if keys and run.incremental:
-            return overwrite_partitions(frame, path, name, keys, extra)
-        return replace_table(frame, path, name, keys, extra)
+        target, keys = VersionedTable(spark, lake.gold, name), PARTITION_KEYS.get(name, ())
+        base, replaced = target.current(), None
+        if keys and run.incremental and base:
+            # Months of the recent period are replaced, those that lost all their sales too.
+            replaced = [p for p in base.folders if _year(p) is not None and _year(p) >= run.now.year - 1]
+        return versions.replace(target, frame, run.now, keys, extra, replaced)
 
     steps = {
         "vendas_mensais": lambda: save("vendas_mensais", gold.monthly_from_days(recent_days)),
         "top_produtos": lambda: save("top_produtos", gold.top_from_products(per_product, goods, kinds)),
         "clientes_vip": lambda: save(
-            "clientes_vip", gold.vip_customers(ranked, silver_table("dim_clientes"))
+            "clientes_vip", gold.vip_from_customers(ranked.per_customer(), silver_table("dim_clientes"))
         ),
         "performance_categorias": lambda: save(
             "performance_categorias", gold.categories_from_products(per_product, goods, kinds)
@@ -321,8 +363,9 @@ def gold_job(
     }
     results, errors = _each("gold", steps)
     for result in results:
-        if result.rows:
-            register_table(spark, lake.gold_database, result.table, result.path)
+        table = VersionedTable(spark, lake.gold, result.table)
+        if table.current():
+            table.publish(lake.gold_database)
     summary = next((r for r in results if r.table == "resumo_executivo"), None)
     report = reports.gold_report(
         spark, run.execution_date, run.triggered_by, run.incremental,
@@ -334,6 +377,11 @@ def gold_job(
     return results
 
 
+def _year(part: str) -> int | None:
+    value = part.split("/")[0].removeprefix("ano=")
+    return int(value) if value.lstrip("-").isdigit() else None
+
+
 def run_layers(spark: SparkSession, lake: Lake, run: Run) -> list[WriteResult]:
     """Silver, then gold; gold does not start when a silver table failed."""
     return silver_job(spark, lake, run) + gold_job(spark, lake, run)

@@ -67,6 +67,16 @@ def _save(
         writer.parquet(path)
 
 
+def save_observed(
+    frame: DataFrame, path: str, partition_by: Sequence[str], metrics: dict[str, Column], hidden: Sequence[str] = ()
+) -> tuple[int, dict]:
+    """Write to a new folder; rows and ``metrics`` of what was written. ``hidden`` columns are counted, not written."""
+    observed, seen = _observed(rebalanced(frame, partition_by), metrics)
+    _save(observed.drop(*hidden), path, partition_by, dynamic=False, by_folder=bool(partition_by))
+    found = dict(seen.get)
+    return found.pop("rows", 0) or 0, found
+
+
 def write_bronze(
     frame: DataFrame,
     root: str,
@@ -142,13 +152,6 @@ def stage(
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns), result
 
 
-def clear_partition(spark: SparkSession, path: str, values: dict[str, int], schema) -> None:
-    """Leave one partition without rows."""
-    folder = "/".join([path, *(f"{k}={v}" for k, v in values.items())])
-    columns = [f for f in schema.fields if f.name not in values]
-    _save(spark.createDataFrame([], type(schema)(columns)), folder, (), dynamic=False)
-
-
 def _result(table: str, path: str, seen: Observation) -> WriteResult:
     metrics = dict(seen.get)
     rows = metrics.pop("rows", 0) or 0

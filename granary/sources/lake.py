@@ -126,6 +126,17 @@ def register_table(spark: SparkSession, database: str, table: str, path: str) ->
     spark.catalog.refreshTable(name)
 
 
+def replace_view(spark: SparkSession, database: str, name: str, target: str) -> None:
+    """Let ``database.name`` show the table ``target`` of the same database, by one catalog call.
+
+    A plain table of that name, from before tables had versions, gives way to
+    the view; its files stay.
+    """
+    if table_exists(spark, database, name) and spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+        spark.sql(f"DROP TABLE `{database}`.`{name}`")
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM `{database}`.`{target}`")
+
+
 def register_views(frames: dict[str, DataFrame], prefix: str = "") -> None:
     """Temporary views for ad-hoc SQL over any mix of layers."""
     for name, frame in frames.items():

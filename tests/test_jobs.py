@@ -2,9 +2,12 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary.plans import incremental
 from granary.plans.jobs import Lake, Run, TablesFailed, extract_job, gold_job, run_layers, silver_job
+from granary.sinks import versions
+from granary.sinks.versions import VersionedTable
 from granary.sources.lake import read_layer_table
 from granary.sources.relational import SOURCE_TABLES
 from tests.rows import bronze, values
@@ -217,26 +220,26 @@ def test_lookback(spark):
 def test_mark_of_nothing_is_the_beginning(spark):
     empty = bronze(spark, "vendas", sale(1, D1)).limit(0)
     assert incremental.high_water_mark(empty).first()["max_date"] == dt.datetime(1900, 1, 1)
-    assert incremental.sales_since(bronze(spark, "vendas", sale(1, D1)), dt.datetime(1900, 1, 1)).count() == 1
+    assert incremental.sales_since(bronze(spark, "vendas", sale(1, D1)), dt.datetime(1900, 1, 1), 3).count() == 1
 
 
 def test_changed_sale_moves_day_and_drops_a_line(spark, lake):
     """The old day keeps no copy, even when it has no other sale."""
     from granary.plans import silver
-    from granary.sinks.lake import replace_table
 
     lines = bronze(spark, "itens_venda", line(1, 1), line(2, 1), line(3, 2))
     old = silver.facts_sales(bronze(spark, "vendas", sale(1, D1), sale(2, D2)), lines)
-    path, keys = f"{lake.silver}/facts_vendas", incremental.FACT_PARTITIONS
-    replace_table(old, path, "facts_vendas", keys)
-    existing = spark.read.parquet(path).select(*old.columns)
-    headers = bronze(spark, "vendas", sale(1, D3))
-    batch = silver.facts_sales(headers, bronze(spark, "itens_venda", line(1, 1)))
+    table = VersionedTable(spark, lake.silver, "facts_vendas")
+    versions.replace(table, old, at(D1), incremental.FACT_PARTITIONS)
+    batch = silver.facts_sales(bronze(spark, "vendas", sale(1, D3)), bronze(spark, "itens_venda", line(1, 1)))
+    changed = spark.createDataFrame([(1,)], "venda_id long")
+    days = [{"ano": d.year, "mes": d.month, "dia": d.day} for d in (D1, D3)]
     for _ in range(2):
-        assert incremental.load_facts(existing, batch, headers, path).rows == 1
-        spark.catalog.refreshByPath(path)
-        existing = spark.read.parquet(path).select(*old.columns)
-        assert values(existing, "item_venda_id", "dia") == [(1, 12), (3, 11)]
+        draft, _ = incremental.load_facts(table, table.current(), batch, changed, days, {"top": F.max(incremental.of_batch(F.col("venda_id")))})
+        assert (draft.rows, draft.metrics["new_rows"], draft.metrics["top"]) == (1, 1, 1)
+        version = draft.commit(at(D3))
+        assert values(table.read(), "item_venda_id", "dia") == [(1, 12), (3, 11)]
+        assert set(version.folders) == {"ano=2025/mes=1/dia=11", "ano=2025/mes=1/dia=12"}
 
 
 def test_incremental_gold_replaces_only_recent_months(spark, lake):
