@@ -69,11 +69,11 @@ def load_facts(
     """
     # Sales without a date are few; their day is not noted per sale.
     undated = {part for part in base.folders if NO_VALUE in part}
-    parts = sorted({part_name(FACT_PARTITIONS, day) for day in days} | undated)
+    parts = sorted({part_name(base.partition_by, day) for day in days} | undated)
     old = table.read(base, parts).join(changed, "venda_id", "left_anti").withColumn("_new", F.lit(False))
     merged = old.unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
     seen = {"new_rows": F.count_if("_new"), **(metrics or {})}
-    return table.write(merged, FACT_PARTITIONS, seen, base, parts, hidden=["_new"]), parts
+    return table.write(merged, base.partition_by, seen, base, parts, hidden=["_new"]), parts
 
 
 def of_batch(value: Column) -> Column:

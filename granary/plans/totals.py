@@ -21,8 +21,7 @@ from granary.plans import gold
 from granary.schemas import PARTITION_KEYS, SILVER
 from granary.sinks.versions import VersionedTable, changed_parts
 
-BY_DAY = PARTITION_KEYS["facts_vendas"]
-DAY = ("dim_tempo_data", *BY_DAY)
+DAY = ("dim_tempo_data", *PARTITION_KEYS["facts_vendas"])
 
 
 def product_days(facts: DataFrame) -> DataFrame:
@@ -65,13 +64,13 @@ def refresh(spark: SparkSession, gold_root: str, facts: VersionedTable, at: dt.d
         seen = facts.version(base.notes["facts"]) if base and version else None
         if version is None:
             return build(empty)
-        if incremental and seen:
+        if incremental and seen and base.partition_by == version.partition_by:
             written, gone = changed_parts(seen, version)
             if not written and not gone:
                 return table.read(base)
-            draft = table.write(build(facts.read(version, written)), BY_DAY, base=base, replaced=written | gone)
+            draft = table.write(build(facts.read(version, written)), version.partition_by, base=base, replaced=written | gone)
         else:
-            draft = table.write(build(facts.read(version)), BY_DAY, base=base)
+            draft = table.write(build(facts.read(version)), version.partition_by, base=base)
         return table.read(draft.commit(at, {"facts": version.number}))
 
     return Totals(one("products", product_days), one("customers", customer_days))

@@ -154,9 +154,12 @@ class VersionedTable:
         if not folders:
             return self.spark.createDataFrame([], version.schema)
         reader = self.spark.read.schema(version.schema)
-        if parts is None and len(set(folders.values())) == 1:
-            return reader.parquet(f"{self.root}/{next(iter(folders.values()))}").select(*names)
-        return reader.option("basePath", self.root).parquet(*[f"{self.root}/{f}/{p}" for p, f in sorted(folders.items())]).select(*names)
+        written = set(folders.values())
+        if parts is None and len(written) == 1 and next(iter(written)).startswith(f"v={version.number}-"):
+            # This version wrote all of it, so the folder holds nothing else.
+            return reader.parquet(f"{self.root}/{next(iter(written))}").select(*names)
+        paths = ["/".join(x for x in (self.root, f, p) if x) for p, f in sorted(folders.items())]
+        return reader.option("basePath", self.root).parquet(*paths).select(*names)
 
     def write(
         self,

@@ -34,6 +34,14 @@ SELECT {FACT_COLUMNS} FROM facts WHERE data_venda >= {MARK} - INTERVAL 3 DAY""",
 WHERE ano >= 1999""",
     "upsert_facts": f"WITH {FACTS} SELECT {FACT_COLUMNS} FROM facts",
     "incremental_equals_full": TABLES["facts_sales"],
+    "deleted_sales": f"WITH {FACTS} SELECT {FACT_COLUMNS} FROM facts WHERE ano <> 2000 OR venda_id % 3 <> 0",
+    "gold_from_stored_totals": f"WITH {FACTS}" + " UNION ALL ".join(
+        f"""
+SELECT '{kind}' AS chave, CAST({column} AS VARCHAR) AS valor, count(*) AS linhas,
+  CAST(sum(quantidade) AS BIGINT) AS itens, {money_sum('total_venda')} AS receita
+FROM facts GROUP BY 2"""
+        for kind, column in (("dia", "CAST(data_venda AS DATE)"), ("produto", "dim_produto_id"), ("cliente", "dim_cliente_id"))
+    ),
     "read_bronze": SALES_COLUMNS.replace(
         " FROM orders", ", CASE WHEN o_orderkey % 2 <> 0 THEN 'web' END AS canal FROM orders"
     ),

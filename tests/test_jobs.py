@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.plans import incremental
-from granary.plans.jobs import Lake, Run, TablesFailed, extract_job, gold_job, run_layers, silver_job
+from granary.plans.arrivals import Arrivals, bucket, key_table, line_marks
+from granary.plans.jobs import Lake, Run, TablesFailed, extract_job, extract_keys_job, gold_job, run_layers, silver_job
 from granary.sinks import versions
+from granary.sinks.lake import write_bronze
 from granary.sinks.versions import VersionedTable
 from granary.sources.lake import read_layer_table
 from granary.sources.relational import SOURCE_TABLES
@@ -192,8 +194,6 @@ def test_whatever_arrives_late_equals_a_full_load(spark, tmp_path):
         return Lake(str(tmp_path / name), f"silver_{mark}", f"gold_{mark}")
 
     def written(lake, day, sales, lines):
-        from granary.sinks.lake import write_bronze
-
         write_bronze(bronze(spark, "vendas", *sales), lake.bronze, "vendas", day=day)
         write_bronze(bronze(spark, "itens_venda", *lines), lake.bronze, "itens_venda", day=day)
 
@@ -255,3 +255,185 @@ def test_incremental_gold_replaces_only_recent_months(spark, lake):
     assert read_layer_table(spark, lake.gold_database, "resumo_executivo").first()["total_transacoes"] == 2
     gold_job(spark, lake, Run(at(D2), "later", True), rank_recent_only=True)
     assert read_layer_table(spark, lake.gold_database, "resumo_executivo").first()["total_transacoes"] == 1
+
+
+def fresh(tmp_path, name):
+    mark = uuid.uuid4().hex[:8]
+    return Lake(str(tmp_path / name), f"silver_{mark}", f"gold_{mark}", buckets=4)
+
+
+def extracted(spark, lake, day, sales, lines, keys=None):
+    """Bronze of a day: the sales that changed, all lines, and the ids of all sales if ``keys`` gives these."""
+    source = Source(spark, vendas=sales, itens_venda=lines)
+    for table in SOURCE_TABLES:
+        write_bronze(source(table), lake.bronze, table.name, day=day)
+    if keys is not None:
+        extract_keys_job(spark, Source(spark, vendas=keys), lake, run(day))
+
+
+def test_deleted_sales_leave_the_fact(spark, tmp_path):
+    """Only the buckets of the deleted ids are read; the headers that bronze still has do not bring them back."""
+    lake = fresh(tmp_path, "lake")
+    sales, lines = [sale(i, D1) for i in range(1, 41)], [line(i, i) for i in range(1, 41)]
+    extracted(spark, lake, D1, sales, lines, sales)
+    silver_job(spark, lake, run(D1, True), only=("facts_vendas",))
+    # The lines are still there; the key extract alone tells.
+    extract_keys_job(spark, Source(spark, vendas=sales[1:]), lake, run(D2))
+    read = []
+    original = VersionedTable.read
+
+    def spy(self, version=None, parts=None):
+        read.append((self.name, None if parts is None else sorted(parts)))
+        return original(self, version, parts)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(VersionedTable, "read", spy)
+        base = VersionedTable(spark, lake.silver, "facts_vendas").current()
+        arrived = Arrivals(spark, lake.silver, lake.buckets, base)
+        vanished, extract = arrived.vanished(key_table(spark, lake.bronze))
+        assert values(vanished, "venda_id") == [(1,)] and extract == 2
+    own = spark.range(1, 2).select(bucket(F.col("id"), 4)).first()[0]
+    assert read == [("state", [f"balde={own}"]), ("vendas", [f"balde={own}"])]
+
+    def facts():
+        return sorted(r[1] for r in values(read_layer_table(spark, lake.silver_database, "facts_vendas"), *FACT))
+
+    silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+    assert facts() == list(range(2, 41))
+    # A line of a deleted sale changes, and a full run: it stays away.
+    lines[0] = line(1, 1, quantidade=7)
+    write_bronze(bronze(spark, "itens_venda", *lines), lake.bronze, "itens_venda", day=D3)
+    silver_job(spark, lake, run(D3, True), only=("facts_vendas",))
+    assert facts() == list(range(2, 41))
+    silver_job(spark, lake, run(D3), only=("facts_vendas",))
+    assert facts() == list(range(2, 41))
+    # Until it arrives again.
+    write_bronze(bronze(spark, "vendas", sale(1, D3)), lake.bronze, "vendas", day=D3)
+    silver_job(spark, lake, run(D3, True), only=("facts_vendas",))
+    assert facts() == list(range(1, 41))
+
+
+def test_two_runs_on_the_same_arrivals_load_each_sale_once(spark, tmp_path, monkeypatch):
+    """The second run starts and ends while the first has its files written but not committed."""
+    lake = fresh(tmp_path, "lake")
+    extracted(spark, lake, D1, [sale(1, D1)], [line(1, 1)])
+    silver_job(spark, lake, run(D1, True), only=("facts_vendas",))
+    extracted(spark, lake, D2, [sale(2, D1)], [line(1, 1), line(2, 2)])
+    original, entered = versions.Draft.commit, []
+
+    def commit(self, *arguments):
+        if self.table.name == "facts_vendas" and not entered:
+            entered.append(True)
+            silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+        return original(self, *arguments)
+
+    monkeypatch.setattr(versions.Draft, "commit", commit)
+    with pytest.raises(TablesFailed, match="committed by another run"):
+        silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+    monkeypatch.undo()
+    loaded = values(read_layer_table(spark, lake.silver_database, "facts_vendas"), *FACT)
+    assert [r[1] for r in loaded] == [1, 2]
+    silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+    assert values(read_layer_table(spark, lake.silver_database, "facts_vendas"), *FACT) == loaded
+
+
+def test_a_run_that_fails_before_its_commit_is_repeated(spark, tmp_path, monkeypatch):
+    lake = fresh(tmp_path, "lake")
+    extracted(spark, lake, D1, [sale(1, D1), sale(2, D2)], [line(1, 1), line(2, 2)])
+    silver_job(spark, lake, run(D1, True), only=("facts_vendas",))
+    extracted(spark, lake, D2, [sale(2, D3)], [line(1, 1), line(2, 2)])
+    original = versions.Draft.commit
+
+    def commit(self, *arguments):
+        if self.table.name == "facts_vendas":
+            raise OSError("lost")
+        return original(self, *arguments)
+
+    monkeypatch.setattr(versions.Draft, "commit", commit)
+    with pytest.raises(TablesFailed, match="lost"):
+        silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+    monkeypatch.undo()
+    silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+    loaded = values(read_layer_table(spark, lake.silver_database, "facts_vendas"), "venda_id", "dia")
+    assert loaded == [(1, D1.day), (2, D3.day)]
+
+
+GOLD_COLUMNS = {
+    "vendas_mensais": ("ano", "mes", "total_vendas", "receita_total", "itens_vendidos", "ticket_medio", "clientes_unicos"),
+    "top_produtos": ("produto_id", "quantidade_vendida", "receita_produto", "numero_vendas", "preco_medio"),
+    "clientes_vip": ("cliente_id", "valor_total_compras", "numero_compras", "ultima_compra", "primeira_compra"),
+    "performance_categorias": ("categoria_id", "receita_categoria", "itens_vendidos", "numero_transacoes", "preco_medio_categoria"),
+    "vendas_diarias": ("data", "vendas_dia", "receita_dia", "itens_dia"),
+    "resumo_executivo": ("total_transacoes", "receita_total_periodo", "total_clientes", "data_ultima_venda", "data_primeira_venda"),
+}
+
+
+def gold_tables(spark, lake):
+    return {name: values(read_layer_table(spark, lake.gold_database, name), *columns) for name, columns in GOLD_COLUMNS.items()}
+
+
+def test_incremental_gold_reads_touched_days_only_and_equals_a_full_run(spark, tmp_path, monkeypatch):
+    """A late sale, a sale that moves to another day, a changed line and a deleted sale that empties its day."""
+    day4 = dt.date(2025, 1, 20)
+    lines = [line(i, i, produto_id=1 + i % 2) for i in range(1, 8)]
+    sales = [sale(1, D1), sale(2, D1, 50), sale(3, D2), sale(4, D2, 3000, cliente_id=2), sale(5, D3), sale(6, D3), sale(7, day4)]
+    changed = [line(1, 1, produto_id=2, quantidade=9), *lines[1:]]
+    after = [sale(1, D1), sale(2, D1, 50), sale(3, day4), sale(4, D2, 3000, cliente_id=2), sale(6, D3), sale(8, D2)]
+
+    lake = fresh(tmp_path, "split")
+    extracted(spark, lake, D1, sales, lines)
+    run_layers(spark, lake, run(D1, True))
+    extracted(spark, lake, D2, [after[2], after[5]], [*changed, line(8, 8)], after)
+    silver_job(spark, lake, run(D2, True))
+    read = []
+    original = VersionedTable.read
+
+    def spy(self, version=None, parts=None):
+        frame = original(self, version, parts)
+        if self.name == "facts_vendas":
+            read.append(sorted({f.rsplit("/", 1)[0].split("/", 1)[0] + f[f.index("/ano=") : f.rindex("/")] for f in (x.split(self.root, 1)[1][1:] for x in frame.inputFiles())}))
+        return frame
+
+    monkeypatch.setattr(VersionedTable, "read", spy)
+    gold_job(spark, lake, run(D2, True))
+    monkeypatch.undo()
+    days = {f.split("/", 1)[1] for found in read for f in found}
+    # Day 12 lost one of its sales (5), day 20 lost sale 7 and gained sale 3, day 11 lost 3 and gained 8, day 10 has the changed line.
+    assert days == {f"ano=2025/mes=1/dia={d}" for d in (10, 11, 12, 20)} and len(read) == 2
+
+    whole = fresh(tmp_path, "whole")
+    extracted(spark, whole, D1, after, [*changed, line(8, 8)])
+    run_layers(spark, whole, run(D1))
+    assert gold_tables(spark, lake) == gold_tables(spark, whole)
+
+    # Nothing new: no day of the fact is read.
+    read.clear()
+    monkeypatch.setattr(VersionedTable, "read", spy)
+    gold_job(spark, lake, run(D2, True))
+    assert read == [] and gold_tables(spark, lake) == gold_tables(spark, whole)
+
+
+def test_untouched_days_are_not_read_again(spark, tmp_path, monkeypatch):
+    lake = fresh(tmp_path, "lake")
+    extracted(spark, lake, D1, [sale(1, D1), sale(2, D2)], [line(1, 1), line(2, 2)])
+    run_layers(spark, lake, run(D1, True))
+    extracted(spark, lake, D3, [sale(3, D3)], [line(i, i) for i in (1, 2, 3)])
+    silver_job(spark, lake, run(D3, True))
+    read = []
+    original = VersionedTable.read
+    monkeypatch.setattr(VersionedTable, "read", lambda self, version=None, parts=None: (read.append(parts) if self.name == "facts_vendas" else None) or original(self, version, parts))
+    gold_job(spark, lake, run(D3, True))
+    assert read == [{"ano=2025/mes=1/dia=12"}] * 2
+    assert [r[1] for r in gold_tables(spark, lake)["vendas_diarias"]] == [1, 1, 1]
+
+
+def test_marks_notice_values_that_move_and_lines_that_repeat(spark):
+    def marks(*rows):
+        frame = spark.createDataFrame([(1, *r) for r in rows], "venda_id long, a long, b long")
+        return line_marks(frame).first()[1:]
+
+    assert marks((None, 5)) != marks((5, None))
+    assert marks((1, 2), (1, 2), (3, 4)) != marks((5, 6), (5, 6), (3, 4))
+    assert marks((1, 2), (3, 4)) == marks((3, 4), (1, 2))
+    wider = spark.createDataFrame([(1, 1, 2, None)], "venda_id long, a long, b long, c string")
+    assert line_marks(wider).first()[1:] == marks((1, 2))

@@ -3,13 +3,16 @@
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from granary.catalogue import QUERIES
+from oracle import SQL as OWN_SQL
 from tests.oracle_check import compare, connect
 
 SQL = oracle_sql()
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(SQL)
+    assert set(QUERIES) == set(OWN_SQL)
+    assert set(queries()) >= set(QUERIES) and set(queries()) >= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
