@@ -10,7 +10,7 @@ from granary.functions.identity import clean_text as cleaned
 from granary.functions.identity import emails_in, valid_email
 from granary.operators.dedup import latest_by_key
 from granary.operators import integrity
-from granary.plans import quality
+from granary.plans import quality, rules
 from granary.sources.testbed import Testbed
 
 
@@ -74,6 +74,36 @@ def required_fields(bed: Testbed) -> DataFrame:
     )
 
 
+@query
+def rule_report(bed: Testbed) -> DataFrame:
+    """Rows per rule that break it; customers and products in the forms that a careless source would send."""
+    key, wide = F.col("id"), F.lit("  ")
+    people = bed.clientes().withColumns(
+        {
+            "email": F.when(key % 5 == 0, F.concat(F.col("email"), F.lit(" (casa)"))).when(key % 7 == 0, F.lit(None)).otherwise(F.concat(wide, F.col("email"))),
+            "cpf": F.when(key % 3 == 0, F.lit("529.982.247-25")).when(key % 3 == 1, F.lit("529.982.247-26")),
+            "id": F.when(key % 11 != 0, key),
+        }
+    )
+    goods = bed.produtos().withColumns({"preco": F.when(key % 4 == 0, -F.col("preco")).otherwise(F.col("preco")), "categoria_id": F.when(key % 9 != 0, F.col("categoria_id"))})
+    tables = {"clientes": people, "produtos": goods}
+    found = {name: rules.judged(rules.standardised(rows, name), rules.RULES[name]) for name, rows in tables.items()}
+    return rules.reasons(found, rules.RULES)
+
+
+@query
+def refused_lines(bed: Testbed) -> DataFrame:
+    """Lines that the fact leaves out, with all reasons, after some were spoilt."""
+    sales = bed.vendas().withColumn("cliente_id", F.when(F.col("id") % 13 != 0, F.col("cliente_id")))
+    lines = bed.itens_venda().withColumns(
+        {
+            "quantidade": F.when(F.col("venda_id") % 5 == 0, F.lit(0)).otherwise(F.col("quantidade")),
+            "produto_id": F.when(F.col("produto_id") % 10 != 0, F.col("produto_id")),
+        }
+    )
+    return rules.refused_lines(sales, lines).select("item_venda_id", F.array_join("motivos", ",").alias("motivos"))
+
+
 @query
 def email_check(bed: Testbed) -> DataFrame:
     """Documents with an address in them, and whether the whole text is one."""

@@ -9,33 +9,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def orphan_count(
-    name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
-) -> DataFrame:
-    """One row: child rows whose key has no parent, and the distinct keys among them.
-
-    Child rows are counted per key before the join, so a key with very many
-    rows meets the parent once.
+def orphan_report(references: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Per reference (name, child, key, parent, key): child rows whose key has no parent, and the distinct keys among them.
+
+    Every table is read once, however many references it takes part in: each
+    row gives its keys, tagged with the reference and the side, and one
+    aggregate brings both sides of all references together. Rows are counted
+    per key inside each task, so a key with very many rows meets its parent
+    once. A frame that serves several references is told by being the same
+    object. NULL keys refer to nothing.
     """
-    per_key = (
-        child.filter(F.col(child_key).isNotNull())
-        .groupBy(F.col(child_key).alias("_key"))
-        .agg(F.count("*").alias("_rows"))
-    )
-    known = parent.select(F.col(parent_key).alias("_key")).distinct()
-    return per_key.join(known, "_key", "left_anti").agg(
-        F.lit(name).alias("referencia"),
-        F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint")).alias("linhas_orfas"),
-        F.count("*").alias("chaves_orfas"),
+    tags: dict[int, tuple[DataFrame, list]] = {}
+    for name, child, child_key, parent, parent_key in references:
+        for frame, key, rows, known in ((child, child_key, 1, 0), (parent, parent_key, 0, 1)):
+            tag = F.struct(F.lit(name).alias("referencia"), F.col(key).cast("string").alias("_key"), F.lit(rows).cast("long").alias("_rows"), F.lit(known).alias("_known"))
+            tags.setdefault(id(frame), (frame, []))[1].append(tag)
+    sides = [frame.select(F.inline(F.array(*own))) for frame, own in tags.values()]
+    keys = reduce(DataFrame.union, sides).filter(F.col("_key").isNotNull()).groupBy("referencia", "_key").agg(F.sum("_rows").alias("_rows"), F.max("_known").alias("_known"))
+    lost = (F.col("_known") == 0) & (F.col("_rows") > 0)
+    found = keys.groupBy("referencia").agg(F.sum(F.when(lost, F.col("_rows"))).alias("_lost"), F.count_if(lost).alias("_keys"))
+    spark = references[0][1].sparkSession
+    names = spark.createDataFrame([(r[0],) for r in references], "referencia string")
+    zero = F.lit(0).cast("long")
+    return names.join(found, "referencia", "left").select(
+        "referencia", F.coalesce("_lost", zero).alias("linhas_orfas"), F.coalesce("_keys", zero).alias("chaves_orfas")
     )
 
 
-def orphan_report(
-    references: Sequence[tuple[str, DataFrame, str, DataFrame, str]],
-) -> DataFrame:
-    return reduce(DataFrame.unionByName, [orphan_count(*r) for r in references])
-
-
 def null_counts(name: str, df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row per required column with its NULLs, all counted in one pass."""
     counted = df.agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import logging
-from collections.abc import Callable, Collection, Iterable
+from collections.abc import Callable, Collection, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.scalars import with_run_metadata
 from granary.operators.dedup import latest_by_key
-from granary.plans import gold, incremental, silver
+from granary.plans import gold, incremental, rules, silver
 from granary.plans.arrivals import VANISHED, Arrivals, changed_sales, days_of, key_table, line_marks, next_state, save_keys, staged
 from granary.plans.incremental import FACT_PARTITIONS
 from granary.plans.totals import refresh
@@ -27,6 +27,7 @@ from granary.sources.lake import (
     extract_folder,
     read_bronze,
     read_layer_table,
+    register_table,
 )
 from granary.sources.relational import SOURCE_TABLES, SourceTable, changed_on
 
@@ -62,6 +63,7 @@ class Lake:
     root: str
     silver_database: str = "silver"
     gold_database: str = "gold"
+    bronze_database: str = "bronze"
     # Buckets that sale ids are dealt into for reconciliation.
     buckets: int = 64
 
@@ -120,10 +122,15 @@ def extract_job(
     """
     configure(spark)
     tables = list(tables)
-    steps = {
-        t.name: lambda t=t: write_bronze(changed_on(load(t), t, day), lake.bronze, t.name, day=day)
-        for t in tables
-    }
+
+    def extracted(table: SourceTable) -> WriteResult:
+        frame = changed_on(load(table), table, day)
+        result = write_bronze(frame, lake.bronze, table.name, day=day)
+        if result.rows:
+            register_table(spark, lake.bronze_database, table.name, result.path, frame.schema, EXTRACT_KEYS, result.folder)
+        return result
+
+    steps = {t.name: functools.partial(extracted, t) for t in tables}
     results, errors = _each("extract", steps)
     kinds = {t.name: t.kind for t in tables}
     manifest = reports.manifest(spark, results, day.isoformat(), kinds)
@@ -189,7 +196,9 @@ def silver_job(
 
     An incremental run loads the sales that arrived since the last load, in
     whatever date folder, those whose lines changed, and takes out those that
-    were deleted at the source; see ``arrivals``. Each table is written once and
+    were deleted at the source; see ``arrivals``. Dimensions are cleaned and
+    judged by ``rules``; ``linhas_com_motivos`` lists their rows that break one,
+    ``vendas_recusadas`` the lines that the fact leaves out. Each table is written once and
     replaced in one step. If another run has replaced a table meanwhile, this
     one fails for that table, without effect.
     ``only`` limits the run to some silver tables, to repeat those that failed.
@@ -197,8 +206,17 @@ def silver_job(
     configure(spark)
     entries = {t.name: t for t in tables}
 
+    broken: dict[str, DataFrame] = {}
+
+    @functools.cache
     def bronze(name: str) -> DataFrame:
-        return current_rows(spark, lake, entries[name])
+        """Current rows; of tables with rules cleaned, and without those that a rule refuses."""
+        rows = current_rows(spark, lake, entries[name])
+        if name not in rules.RULES:
+            return rows
+        judged, _ = stage(rules.judged(rules.standardised(rows, name), rules.RULES[name]), f"judged-{name}")
+        accepted, broken[name] = rules.split(judged)
+        return accepted
 
     def described(frame: DataFrame) -> DataFrame:
         return with_run_metadata(frame, "silver", run.execution_date, run.triggered_by)
@@ -242,12 +260,25 @@ def silver_job(
     def measured(of: Callable[[Column], Column]) -> dict[str, Column]:
         return {n: F.sum(of(F.col(c))) for n, c in totals.items()} | {"latest_sale": F.max(of(F.col("data_venda")))}
 
+    def refuse(found: Changes, days: Iterable[Mapping], own_lines: DataFrame) -> None:
+        """Keep the lines that the fact leaves out, by the day they would lie in."""
+        table = VersionedTable(spark, lake.silver, "vendas_recusadas")
+        old, rows = table.current(), described(rules.refused_lines(found.headers, own_lines))
+        if extend and old:
+            draft, _ = incremental.load_facts(table, old, rows, found.changed, days)
+        else:
+            draft = table.write(rows, FACT_PARTITIONS, base=old)
+        if draft.rows or old and draft.version.folders != old.folders:
+            draft.commit(run.now)
+            table.publish(lake.silver_database)
+
     def facts() -> WriteResult:
         found = changes()
         if not extend:
             draft = fact_table.write(described(silver.facts_sales(found.headers, lines())), FACT_PARTITIONS, measured(lambda c: c), base)
             if not draft.rows:
                 return draft.result()
+            days, own_lines = (), lines()
             rows, loaded, changed = draft.rows, draft.read(), draft.read().select("venda_id").distinct()
         else:
             if found.changed.isEmpty():
@@ -261,6 +292,7 @@ def silver_job(
             draft, parts = incremental.load_facts(fact_table, base, batch, found.changed, days, measured(incremental.of_batch))
             rows, changed = draft.metrics["new_rows"], found.changed
             loaded = draft.read(parts).join(changed, "venda_id", "left_semi")
+        refuse(found, days, own_lines)
         after = next_state(found.marks, found.state, changed, loaded, found.arrived, found.vanished, lake.buckets)
         state = arrived.save(after, run.now)
         draft.commit(run.now, {"state": state, "batch": found.newest, "keys": found.keys})
@@ -290,6 +322,10 @@ def silver_job(
     }
     chosen = {name: step for name, step in steps.items() if only is None or name in only}
     results, errors = _each("silver", chosen)
+    if broken:
+        lists = [rules.as_report(rows, name) for name, rows in broken.items()]
+        _, failed = _each("silver", {"linhas_com_motivos": lambda: save_broken(spark, lake, run, functools.reduce(DataFrame.union, lists), list(broken))})
+        errors |= failed
     for result in results:
         table = VersionedTable(spark, lake.silver, result.table)
         if table.current():
@@ -306,6 +342,16 @@ def silver_job(
     return results
 
 
+def save_broken(spark: SparkSession, lake: Lake, run: Run, rows: DataFrame, tables: Collection[str]) -> WriteResult:
+    """Replace the lists of rows that break a rule, of the tables that this run has judged."""
+    target = VersionedTable(spark, lake.silver, "linhas_com_motivos")
+    frame = with_run_metadata(rows, "silver", run.execution_date, run.triggered_by)
+    result = versions.replace(target, frame, run.now, ["tabela"], replaced=[f"tabela={t}" for t in tables])
+    if target.current():
+        target.publish(lake.silver_database)
+    return result
+
+
 def gold_job(
     spark: SparkSession, lake: Lake, run: Run, rank_recent_only: bool = False
 ) -> list[WriteResult]:

@@ -141,13 +141,13 @@ PRESENT = ("dim_cliente_id", "dim_produto_id")
 # End of fixed values.
 
 
-def _checks(present: Sequence[str] = PRESENT) -> dict[str, Column]:
+def line_checks(present: Sequence[str] = PRESENT) -> dict[str, Column]:
     """The condition of each check by column; a NULL fails it."""
     return {c: F.col(c) > 0 for c in POSITIVE} | {c: F.col(c).isNotNull() for c in present}
 
 
 def valid_line(present: Sequence[str] = PRESENT) -> Column:
-    return reduce(lambda a, b: a & b, _checks(present).values())
+    return reduce(lambda a, b: a & b, line_checks(present).values())
 
 
 def facts_sales(
@@ -224,7 +224,7 @@ def _with_reason(sales: DataFrame, lines: DataFrame) -> DataFrame:
     first_failure = F.coalesce(
         *[
             F.when(~F.coalesce(check, F.lit(False)), F.lit(name))
-            for name, check in _checks().items()
+            for name, check in line_checks().items()
         ]
     )
     return sale_lines(sales, lines).withColumn("motivo", first_failure)

@@ -105,6 +105,12 @@ SILVER = {
     ),
 }
 
+# Rows that break a rule, of any table.
+BROKEN = T.StructType([
+    T.StructField("tabela", TEXT), T.StructField("chave", TEXT), T.StructField("motivos", T.ArrayType(TEXT)),
+    T.StructField("recusada", FLAG), T.StructField("linha", TEXT),
+])
+
 GOLD = {
     "vendas_mensais": struct(
         ("ano", INT), ("mes", INT), ("total_vendas", LONG), ("receita_total", MONEY_SUM),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary.session import scratch_path, settings
+from granary.sources.lake import note_schema
 
 COMPRESSION = "snappy"
 MAX_ROWS_PER_FILE = 20_000_000
@@ -101,6 +102,8 @@ def write_bronze(
     _save(observed, path, list(parts), dynamic=True, by_folder=day is None)
     rows = seen.get.get("rows", 0)
     folder = f"{path}/year={day.year}/month={day:%m}/day={day:%d}" if day is not None else None
+    if folder and rows:
+        note_schema(frame.sparkSession, folder, frame.schema)
     return WriteResult(table, path, rows, "success" if rows else "empty", folder=folder)
 
 

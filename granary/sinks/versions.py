@@ -24,18 +24,16 @@ import uuid
 from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.sinks.lake import WriteResult, save_observed
-from granary.sources.lake import replace_view
+from granary.sources.files import Files
+from granary.sources.lake import PARTITIONS_AT_ONCE, replace_view
 
 # Folder name of a partition value that is NULL; fixed by Spark's file layout.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-# Partitions in one catalog statement.
-PARTITIONS_AT_ONCE = 500
 
 
 class Conflict(RuntimeError):
@@ -73,56 +71,6 @@ def changed_parts(old: Version | None, new: Version) -> tuple[set[str], set[str]
     return {p for p, f in new.folders.items() if before.get(p) != f}, set(before) - set(new.folders)
 
 
-class Files:
-    """What versions need of a Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        self._path = self._jvm.org.apache.hadoop.fs.Path
-        self.system = self._path(root).getFileSystem(self._conf)
-
-    def names(self, folder: str) -> list[str]:
-        path = self._path(folder)
-        return sorted(s.getPath().getName() for s in self.system.listStatus(path)) if self.system.exists(path) else []
-
-    def folders_below(self, folder: str, depth: int) -> list[str]:
-        """Relative paths of the folders ``depth`` levels down."""
-        found = self.system.globStatus(self._path("/".join([folder, *["*=*"] * depth]))) or []
-        return sorted("/".join(str(s.getPath().toString()).split("/")[-depth:]) for s in found)
-
-    def read(self, path: str) -> str:
-        stream = self.system.open(self._path(path))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def put_new(self, path: str, text: str) -> bool:
-        """Write a whole file; False if its name is taken."""
-        draft = self._path(f"{path}.{uuid.uuid4().hex}.draft")
-        stream = self.system.create(draft, False)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        kinds = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = self._jvm.java.lang.reflect.Array.newInstance(kinds.NONE.getClass(), 0)
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.system.getUri(), self._conf)
-        try:
-            context.rename(self.system.makeQualified(draft), self.system.makeQualified(self._path(path)), options)
-        except Py4JJavaError as error:
-            self.system.delete(draft, False)
-            if "FileAlreadyExists" in error.java_exception.getClass().getName():
-                return False
-            raise
-        return True
-
-    def sizes(self, folder: str) -> list[int]:
-        """Bytes of the data files directly in a folder."""
-        return [s.getLen() for s in self.system.listStatus(self._path(folder)) if s.getPath().getName().endswith(".parquet")]
-
-    def delete(self, path: str) -> None:
-        self.system.delete(self._path(path), True)
-
-
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.name, self.root = spark, name, f"{root.rstrip('/')}/{name}"
@@ -285,8 +233,14 @@ class Draft:
 
 def _fitting(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """The frame with the columns and types of ``schema`` first, NULL where it lacks them, and its own others after them."""
-    own = set(frame.columns)
-    known = [(F.col(f.name) if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    own = dict(frame.dtypes)
+
+    def fitting(f: T.StructField) -> Column:
+        if own.get(f.name) == f.dataType.simpleString():
+            return F.col(f.name)
+        return (F.col(f.name) if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name)
+
+    known = [fitting(f) for f in schema.fields]
     return frame.select(*known, *[c for c in frame.columns if c not in set(schema.fieldNames())])
 
 

@@ -55,6 +55,28 @@ SELECT * EXCLUDE (position) FROM (
             _conversion("pagina", "bigint", "split_part(url, '/', -1)", "pages", "BIGINT"),
         ]
     ),
+    "rule_report": """
+WITH people AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 11 <> 0 THEN c_custkey END AS id FROM customer
+), goods AS (SELECT p_partkey AS k, p_retailprice AS price, p_size AS stock FROM part),
+rules AS (
+  SELECT 'clientes' AS tabela, 'id_ausente' AS regra, true AS recusa, count(*) AS linhas, count(*) FILTER (id IS NULL) AS violacoes FROM people
+  UNION ALL SELECT 'clientes', 'email_invalido', false, count(*), count(*) FILTER (k % 5 = 0) FROM people
+  UNION ALL SELECT 'clientes', 'cpf_invalido', false, count(*), count(*) FILTER (k % 3 = 1) FROM people
+  UNION ALL SELECT 'produtos', 'id_ausente', true, count(*), count(*) FILTER (k IS NULL) FROM goods
+  UNION ALL SELECT 'produtos', 'categoria_id_ausente', false, count(*), count(*) FILTER (k % 9 = 0) FROM goods
+  UNION ALL SELECT 'produtos', 'preco_negativo', false, count(*), count(*) FILTER (k % 4 = 0 AND price > 0) FROM goods
+  UNION ALL SELECT 'produtos', 'estoque_negativo', false, count(*), count(*) FILTER (stock < 0) FROM goods
+) SELECT * FROM rules""",
+    "refused_lines": """
+WITH joined AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT), CAST(l_shipdate AS DATE)) AS item_venda_id,
+         l_orderkey % 5 = 0 AS no_quantity, l_partkey % 10 = 0 AS no_product, o_orderkey % 13 = 0 AS no_customer
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)
+SELECT item_venda_id, concat_ws(',', CASE WHEN no_quantity THEN 'quantidade_invalido' END,
+  CASE WHEN no_customer THEN 'dim_cliente_id_ausente' END, CASE WHEN no_product THEN 'dim_produto_id_ausente' END) AS motivos
+FROM joined WHERE no_quantity OR no_product OR no_customer""",
     "clean_text": r"""
 SELECT doc_id, trim(regexp_replace(
   regexp_replace(text, '[\x00-\x08\x0E-\x1F\x7F]', '', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS texto

@@ -437,3 +437,51 @@ def test_marks_notice_values_that_move_and_lines_that_repeat(spark):
     assert marks((1, 2), (3, 4)) == marks((3, 4), (1, 2))
     wider = spark.createDataFrame([(1, 1, 2, None)], "venda_id long, a long, b long, c string")
     assert line_marks(wider).first()[1:] == marks((1, 2))
+
+
+def test_rows_that_break_rules_are_listed_and_counts_add_up(spark, tmp_path):
+    lake = fresh(tmp_path, "lake")
+    people = [{"id": 1, "email": " a@b.co ", "telefone": "+55 (11) 98888-7777", "cpf": "529.982.247-25", "criado_em": at(D1)}, {"id": 2, "email": "nobody", "criado_em": at(D1)}, {"id": None, "criado_em": at(D1)}]
+    lines = [line(1, 1), line(2, 1, quantidade=0), line(3, 2, produto_id=None), line(4, 2), line(5, 3, quantidade=0, produto_id=None)]
+    sales = [sale(1, D1), sale(2, D2, cliente_id=None), sale(3, D2)]
+    source = Source(spark, clientes=people, vendas=sales, itens_venda=lines)
+    for table in SOURCE_TABLES:
+        write_bronze(source(table), lake.bronze, table.name, day=D1)
+    results = {r.table: r.rows for r in silver_job(spark, lake, run(D1, True))}
+    assert results["dim_clientes"] == 2 and results["facts_vendas"] == 1
+    shown = spark.table(f"{lake.silver_database}.dim_clientes").filter("cliente_id = 1")
+    assert values(shown, "cliente_email", "cliente_telefone", "cliente_cpf") == [("a@b.co", "11988887777", "52998224725")]
+    listed = spark.table(f"{lake.silver_database}.linhas_com_motivos")
+    assert values(listed, "tabela", "chave", "motivos", "recusada") == [("clientes", "2", ["email_invalido"], False), ("clientes", None, ["id_ausente"], True)]
+    refused = spark.table(f"{lake.silver_database}.vendas_recusadas")
+    assert values(refused, "item_venda_id", "motivos", "dia") == [
+        (2, ["quantidade_invalido"], 10), (3, ["dim_cliente_id_ausente", "dim_produto_id_ausente"], 11),
+        (4, ["dim_cliente_id_ausente"], 11), (5, ["quantidade_invalido", "dim_produto_id_ausente"], 11),
+    ]
+    assert refused.count() + results["facts_vendas"] == len(lines)
+    # The customer's address is mended, and so are a line and a header.
+    people[1]["email"] = "b@b.co"
+    lines[1] = line(2, 1)
+    source = Source(spark, clientes=people, vendas=[sale(2, D2)], itens_venda=lines)
+    for table in SOURCE_TABLES:
+        write_bronze(source(table), lake.bronze, table.name, day=D2)
+    silver_job(spark, lake, run(D2, True))
+    assert values(spark.table(f"{lake.silver_database}.linhas_com_motivos"), "motivos") == [(["id_ausente"],)]
+    assert values(spark.table(f"{lake.silver_database}.facts_vendas"), "item_venda_id") == [(1,), (2,), (4,)]
+    assert values(spark.table(f"{lake.silver_database}.vendas_recusadas"), "item_venda_id") == [(3,), (5,)]
+
+
+def test_a_column_of_day_two_appears_in_all_layers(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), f"silver_{uuid.uuid4().hex[:8]}", f"gold_{uuid.uuid4().hex[:8]}", f"bronze_{uuid.uuid4().hex[:8]}", 4)
+    sales, lines = [sale(1, D1), sale(2, D2)], [line(1, 1), line(2, 2)]
+    extract_job(spark, Source(spark, vendas=sales, itens_venda=lines), lake, D1, run(D1), SALES_ONLY)
+    silver_job(spark, lake, run(D1, True), only=("facts_vendas",))
+
+    def load(table):
+        frame = Source(spark, vendas=sales, itens_venda=lines)(table)
+        return frame.withColumn("canal", F.when(F.col("id") == 2, "web")) if table.name == "itens_venda" else frame
+
+    extract_job(spark, load, lake, D2, run(D2), SALES_ONLY)
+    silver_job(spark, lake, run(D2, True), only=("facts_vendas",))
+    assert values(spark.sql(f"SELECT * FROM {lake.bronze_database}.itens_venda"), "id", "canal", "day") == [(1, None, 10), (1, None, 11), (2, "web", 11), (2, None, 10)]
+    assert values(spark.sql(f"SELECT * FROM {lake.silver_database}.facts_vendas"), "venda_id", "canal") == [(1, None), (2, "web")]

@@ -144,7 +144,7 @@ def test_old_versions_expire(spark, table, database):
     assert table.numbers() == [3] and values(table.read(), "id") == [(1,), (2,), (3,)]
     coming.commit(AT)
     assert table.read().count() == 4
-    assert [t.name for t in spark.catalog.listTables(database)] == ["t", "t__v2", "t__v3"]
+    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["t", "t__v2", "t__v3"]
 
 
 def test_compaction_packs_small_files_only(spark, table):
