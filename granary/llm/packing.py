@@ -15,6 +15,7 @@ import functools
 import heapq
 import os
 import struct
+import unicodedata
 import zlib
 from dataclasses import dataclass
 from itertools import chain
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from granary.llm.common import stage
 
 
-# Words of which a worker remembers the ids: about 250 bytes each.
-REMEMBERED = 1_000_000
+# Words, and parts of words, of which a worker remembers the ids: about 250 bytes each, 100 MB in all.
+REMEMBERED = 200_000
 # Signs that are cut from the end of a word of letters.
 SIGNS = ".,;:!?#*$%&|<>()\"-+/="
 
@@ -126,7 +127,8 @@ class WordIds:
 
     def _split(self, word: str) -> tuple[str, str]:
         letters = word.rstrip(SIGNS)
-        if not letters.isalpha():
+        # A letter like U+0130 ends in a mark when it is lower-case, and the mark would join the signs.
+        if not (letters.isascii() and letters.isalpha()) and not unicodedata.normalize("NFC", letters).lower().isalpha():
             return word, ""
         return letters.lower() if letters.isascii() else letters, word[len(letters) :]
 

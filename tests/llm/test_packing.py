@@ -1,3 +1,4 @@
+import random
 import struct
 import zlib
 
@@ -83,3 +84,13 @@ def test_no_documents(spark):
 def test_cuts_cover(total):
     own = packing.cuts(total, 2048, 512)
     assert sum(n for _, n in own) == total and [s for s, _ in own] == list(np.cumsum([0] + [n for _, n in own])[:-1])
+
+
+def test_odd_letters_marks_and_signs_equal_the_tokenizer():
+    rng = random.Random(1)
+    signs = list("abzABZ09") + ["İ", "Σ", "ς", "K", "Å", "é", "é", "̇", "̱", "ﬁ", "Ǆ", "ß", "ŉ", "漢", "²", "‍", "ͅ", "ΐ", "-", "'", ".", ",", "!", "#", '"', "(", "/", "=", " ", "\n", " ", "👍"]
+    texts = ["İ-", "İ.", "aİ)", "İİ!!"] + ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(20_000)]
+    tokenizer, ids_of = Tokenizer.from_file(PATH), packing.WordIds(PATH, limit=3000)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    found = [ids for low in range(0, len(texts), 500) for ids in ids_of(texts[low : low + 500])]
+    assert [t for t, ids, w in zip(texts, found, want) if numbers(ids) != w] == []
