@@ -8,9 +8,11 @@
    estimate the similarity, and what may reach the threshold is confirmed on
    full sets. Links join classes into components.
 4. Who is not yet in the component of every hub it met is compared with another
-   one. Buckets that then still hold several components get the pairs across
-   them, so no link between different sets of a bucket is lost; pairs inside a
-   component would change nothing.
+   one. Buckets that then still hold several components are dealt into blocks,
+   and every two blocks meet with full sets: pairs across components are
+   estimated and confirmed in place, and only links that join components leave,
+   so no link that changes a component is lost, and what leaves is no more than
+   the documents.
 
 A pair at similarity 0.8 shares one of 64 bands of 8 rows with probability
 1 - (1 - 0.8**8)**64 > 0.99999; the estimate is allowed five standard errors.
@@ -21,6 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,8 @@ BITS = 2
 BLOCK = 128
 # Further comparisons with one hub each, before pairs across components.
 MORE_STARS = 1
+# Documents of a bucket in one block, on average.
+MEMBERS = 256
 
 
 @dataclass(frozen=True)
@@ -196,6 +201,81 @@ def _apart(buckets: DataFrame, links: DataFrame) -> DataFrame:
     return mixed.select("bucket", "hub", "rep", "n_shingles", "root", "low", F.coalesce("hub_root", "hub").alias("hub_root"))
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minima whose packed bits differ, for every row of ``a`` and of ``b``."""
+    wrong = np.zeros((len(a), len(b)), np.int64)
+    for i in range(a.shape[1]):
+        x = a[:, i, None] ^ b[None, :, i]
+        wrong += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555))
+    return wrong
+
+
+def _links_between(left: pd.DataFrame, right: pd.DataFrame, use: Settings) -> list[tuple[int, int]]:
+    """Links that join components, between the documents of two blocks of a bucket.
+
+    Pairs are taken by falling estimate and confirmed on full sets; a pair whose
+    components are joined already is passed over. A pair belongs to the first
+    band that it shares.
+    """
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.get(x, x) != x:
+            x = above[x] = above.get(above[x], above[x])
+        return x
+
+    matrix = lambda column: np.array(column.tolist(), np.int64)
+    band, chance = int(left["band"].iloc[0]), 0.5**BITS
+    wrong = _differing(matrix(left["bits"]).view(np.uint64), matrix(right["bits"]).view(np.uint64))
+    sizes = left["n_shingles"].to_numpy()[:, None], right["n_shingles"].to_numpy()[None, :]
+    roots = left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :]
+    alike = (1 - wrong / use.hashes - chance) / (1 - chance) >= use.least_estimate
+    i, j = np.nonzero(alike & roots & (100 * np.minimum(*sizes) >= use.percent * np.maximum(*sizes)))
+    mine, theirs = matrix(left["bands"])[:, :band], matrix(right["bands"])[:, :band]
+    first = np.fromiter((not (mine[a] == theirs[b]).any() for a, b in zip(i, j)), bool, len(i))
+    i, j = i[first], j[first]
+    order = np.argsort(wrong[i, j], kind="stable")
+    own_sets = [np.frombuffer(x, np.uint64) for x in left["members"]]
+    other_sets = [np.frombuffer(x, np.uint64) for x in right["members"]]
+    found = []
+    for a, b in zip(i[order], j[order]):
+        x, y = top(int(left["root"].iat[a])), top(int(right["root"].iat[b]))
+        if x != y:
+            both = len(np.intersect1d(own_sets[a], other_sets[b], assume_unique=True))
+            if 100 * both >= use.percent * (len(own_sets[a]) + len(other_sets[b]) - both):
+                above[max(x, y)] = min(x, y)
+                found.append((int(left["rep"].iat[a]), int(right["rep"].iat[b])))
+    return found
+
+
+def _across(apart: DataFrame, docs: DataFrame, reps: DataFrame, use: Settings) -> DataFrame:
+    """Links between components, of the buckets that hold several.
+
+    A bucket is dealt into blocks of about ``MEMBERS`` documents, and each two
+    blocks meet in one task with full sets; only links that join components
+    leave it, fewer than it has documents.
+    """
+    apart = stage(apart.select("bucket", "rep", "root"), "near-apart")
+    sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("int").alias("blocks"))
+    ids = stage(apart.select(F.col("rep").alias("id")).distinct(), "near-across-ids")
+    sets = stage(_full_sets(docs, ids, use.width), "near-across-sets").withColumnRenamed("id", "rep")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    meeting = F.transform(others, lambda o: F.struct(F.least(o, F.col("block")).alias("low"), F.greatest(o, F.col("block")).alias("high")))
+    members = apart.join(sizes, "bucket").withColumn("block", block).select("bucket", "rep", "root", "block", F.explode(meeting).alias("meet"))
+    known = reps.select("rep", "n_shingles", "bits", "bands").join(sets, "rep")
+    rows = members.join(known, "rep").withColumn("band", F.array_position("bands", F.col("bucket")) - 1)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("rep", ignore_index=True)
+        left, right = rows[rows["block"] == rows["low"]], rows[rows["block"] == rows["high"]]
+        found = _links_between(left, right, use) if len(left) and len(right) else []
+        return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
+
+    grouped = rows.select("bucket", "meet.low", "meet.high", "block", "rep", "root", "n_shingles", "bits", "bands", "members", "band")
+    return grouped.groupBy("bucket", "low", "high").applyInPandas(run, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -218,16 +298,7 @@ def near_duplicates(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
         star = other.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
         links = stage(links.union(_confirmed(star, docs, reps, use)), "near-links")
 
-    labelled = stage(_apart(buckets, links).join(reps.select("rep", "bits"), "rep"), "near-mixed")
-    side = lambda x: labelled.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "n_shingles", "bits", "root", "low")])
-    # Size and estimate belong to the join, so that only likely pairs leave it.
-    likely = (
-        (100 * F.least("n_shingles_u", "n_shingles_v") >= use.percent * F.greatest("n_shingles_u", "n_shingles_v"))
-        & (F.col("root_v") < F.col("root_u"))
-        & (estimated(F.col("bits_u"), F.col("bits_v"), use.hashes) >= use.least_estimate)
-    )
-    across = side("u").filter("root_u > low_u").join(side("v"), "bucket").filter(likely).select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v"))
-    more = _confirmed(across.distinct(), docs, reps, use)
+    more = _across(_apart(buckets, links), docs, reps, use)
 
     # An id whose rows have different sets ties their classes together.
     classes = reps.select("set_a", "set_b", "rep")

@@ -107,3 +107,29 @@ def test_short_texts_at_the_threshold_pass_the_estimate(shared, whole):
     differ = bits[0::2] ^ bits[1::2]
     wrong = np.bitwise_count((differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
     assert (((1 - wrong / 512 - 0.25) / 0.75) >= neardup.Settings().least_estimate).all()
+
+
+def test_documents_just_below_the_threshold_hand_over_few_links(spark, monkeypatch):
+    """Alike at about 0.76, with some links among them: what leaves the blocks is no more than the documents."""
+    rng = random.Random(9)
+    base, count = [f"w{i}" for i in range(260)], 150
+    texts = []
+    for _ in range(count):
+        own = list(base)
+        for place in rng.sample(range(260), rng.choice([5, 7, 9])):
+            own[place] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    handed, original = [], neardup._across
+
+    def counted(*arguments):
+        out = original(*arguments)
+        handed.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_across", counted)
+    monkeypatch.setattr(neardup, "MEMBERS", 20)
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame, neardup.Settings(width=4)).collect()}
+    assert found == {d: c for d, (_, c) in brute_force(rows, 4).items()}
+    assert handed[0] < 5 * count

@@ -77,3 +77,13 @@ def test_only_blank_lines_left_is_nothing_left(spark, folder):
     texts = [PASSAGE, other, f"{PASSAGE}\n\n\t\n{other}", f"{PASSAGE}\n\nown"]
     planted = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in enumerate(texts)], docs.schema)
     assert {r["doc_id"] for r in corpus_pipeline.unrepeated_lines(spark, planted, folder).collect()} == {0, 1, 3}
+
+
+def test_one_id_with_two_different_texts_keeps_both(spark, folder):
+    one, two = (" ".join(f"{name}{i}" for i in range(80)) for name in ("alpha", "beta"))
+    rows = [(7, one), (7, one + " more"), (7, two), (8, one), (None, two), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.no_near_duplicates(spark, docs, folder)
+    assert kept.columns == docs.columns
+    texts = [r["text"] for r in kept.collect()]
+    assert len(texts) == 4 and sum(t in (one, one + " more") for t in texts) == 1 and texts.count(two) == 1
