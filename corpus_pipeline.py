@@ -1,8 +1,7 @@
 """Documents to training windows.
 
 Each stage takes the documents that the one before kept, in the columns of
-``documents``; the last gives the pieces of the windows. Documents with NULL id
-pass the stages that decide by id.
+``documents``; the last gives the pieces of the windows.
 """
 
 from __future__ import annotations
@@ -28,13 +27,11 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, and one row of rows that repeat an id."""
-    found = stage(neardup.near_duplicates(docs), "pipeline-near")
-    kept = docs.join(found.filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    again = stage(found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-again")
-    if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """One document of each group of near-duplicates stays. Rows are told apart by number, so those that repeat an id go only if their texts are alike."""
+    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-numbered")
+    found = stage(neardup.near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text")), "pipeline-near")
+    gone = found.filter("NOT kept").select(F.col("doc_id").alias("_row"))
+    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
