@@ -29,21 +29,24 @@ from pyspark.sql import functions as F
 from granary.llm.common import stage
 
 
-# Words, and parts of words, of which a worker remembers the ids: about 250 bytes each, 100 MB in all.
-REMEMBERED = 200_000
 # Signs that are cut from the end of a word of letters.
 SIGNS = ".,;:!?#*$%&|<>()\"-+/="
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``tokenizer``: a tokenizers file that every executor has; ``piece``: longest piece of a rest; ``pool``: pieces packed together, on average."""
+    """``tokenizer``: a tokenizers file that every executor has; ``piece``: longest piece of a rest; ``pool``: pieces packed together, on average.
+
+    ``remembered``: words, and parts of words, of which a worker remembers the
+    ids, at about 125 bytes each. Fewer cost time, not results.
+    """
 
     tokenizer: str
     capacity: int = 2048
     piece: int = 512
     end_id: int = 1
     pool: int = 1024
+    remembered: int = 1_000_000
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -117,7 +120,7 @@ class WordIds:
     kept as bytes, so that no number becomes an object again.
     """
 
-    def __init__(self, path: str, limit: int = REMEMBERED):
+    def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -162,9 +165,9 @@ class WordIds:
 
 
 @functools.cache
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, limit: int) -> WordIds:
     """One memory of words for each worker process, kept from task to task."""
-    return WordIds(path)
+    return WordIds(path, limit)
 
 
 def cuts(total: int, capacity: int, piece: int) -> list[tuple[int, int]]:
@@ -183,7 +186,7 @@ def pieces(docs: DataFrame, use: Settings, with_ids: bool = True) -> DataFrame:
     """
 
     def run(batches):
-        ids_of, end = word_ids(use.tokenizer), as_bytes([use.end_id])
+        ids_of, end = word_ids(use.tokenizer, use.remembered), as_bytes([use.end_id])
         for batch in batches:
             for low in range(0, batch.num_rows, 100):
                 part = batch.slice(low, 100)

@@ -43,7 +43,7 @@ def test_words_put_together_equal_the_whole_text():
 
 
 def test_ids_of_all_documents(spark, folder):
-    tokenizer, ids_of = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    tokenizer, ids_of = Tokenizer.from_file(PATH), packing.WordIds(PATH, 1_000_000)
     texts = [r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [numbers(ids) for ids in ids_of(texts)] == want
