@@ -224,30 +224,38 @@ def _links_between(left: pd.DataFrame, right: pd.DataFrame, use: Settings) -> li
             x = above[x] = above.get(above[x], above[x])
         return x
 
-    matrix = lambda column: np.array(column.tolist(), np.int64)
+    matrix = lambda frame, column: np.array(frame[column].tolist(), np.int64).reshape(len(frame), -1)
     band, chance = int(left["band"].iloc[0]), 0.5**BITS
-    wrong = _differing(matrix(left["bits"]).view(np.uint64), matrix(right["bits"]).view(np.uint64))
-    sizes = left["n_shingles"].to_numpy()[:, None], right["n_shingles"].to_numpy()[None, :]
-    roots = left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :]
-    alike = (1 - wrong / use.hashes - chance) / (1 - chance) >= use.least_estimate
-    i, j = np.nonzero(alike & roots & (100 * np.minimum(*sizes) >= use.percent * np.maximum(*sizes)))
-    mine, theirs = matrix(left["bands"])[:, :band], matrix(right["bands"])[:, :band]
-    first = np.fromiter((not (mine[a] == theirs[b]).any() for a, b in zip(i, j)), bool, len(i))
+    ids, sizes, roots = ([side[c].to_numpy() for side in (left, right)] for c in ("rep", "n_shingles", "root"))
+    wrong = _differing(matrix(left, "bits").view(np.uint64), matrix(right, "bits").view(np.uint64))
+    likely = (1 - wrong / use.hashes - chance) / (1 - chance) >= use.least_estimate
+    likely &= roots[0][:, None] != roots[1][None, :]
+    likely &= 100 * np.minimum(sizes[0][:, None], sizes[1][None, :]) >= use.percent * np.maximum(sizes[0][:, None], sizes[1][None, :])
+    if left is right:
+        likely = np.triu(likely)
+    i, j = np.nonzero(likely)
+    mine, theirs = matrix(left, "bands")[:, :band], matrix(right, "bands")[:, :band]
+    parts = [slice(low, low + (1 << 15)) for low in range(0, len(i), 1 << 15)]
+    first = [~(mine[i[p]] == theirs[j[p]]).any(1) for p in parts]
+    first = np.concatenate(first) if first else np.zeros(0, bool)
     i, j = i[first], j[first]
     order = np.argsort(wrong[i, j], kind="stable")
-    own_sets = [np.frombuffer(x, np.uint64) for x in left["members"]]
-    other_sets = [np.frombuffer(x, np.uint64) for x in right["members"]]
+    sets = [[np.frombuffer(x, np.uint64) for x in side["members"]] for side in (left, right)]
     found = []
-    for a, b in zip(i[order], j[order]):
-        x, y = top(int(left["root"].iat[a])), top(int(right["root"].iat[b]))
-        if x != y:
-            both = len(np.intersect1d(own_sets[a], other_sets[b], assume_unique=True))
-            if 100 * both >= use.percent * (len(own_sets[a]) + len(other_sets[b]) - both):
-                above[max(x, y)] = min(x, y)
-                found.append((int(left["rep"].iat[a]), int(right["rep"].iat[b])))
+    for a, b in zip(i[order].tolist(), j[order].tolist()):
+        x, y = top(int(roots[0][a])), top(int(roots[1][b]))
+        if x != y and _linked(sets[0][a], sets[1][b], use.percent):
+            above[max(x, y)] = min(x, y)
+            found.append((int(ids[0][a]), int(ids[1][b])))
     return found
 
 
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _across(apart: DataFrame, docs: DataFrame, reps: DataFrame, use: Settings) -> DataFrame:
     """Links between components, of the buckets that hold several.
 
@@ -268,7 +276,8 @@ def _across(apart: DataFrame, docs: DataFrame, reps: DataFrame, use: Settings) -
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", ignore_index=True)
-        left, right = rows[rows["block"] == rows["low"]], rows[rows["block"] == rows["high"]]
+        left = rows[rows["block"] == rows["low"]]
+        right = left if (rows["low"] == rows["high"]).all() else rows[rows["block"] == rows["high"]]
         found = _links_between(left, right, use) if len(left) and len(right) else []
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
