@@ -6,6 +6,8 @@ Each stage takes the documents that the one before kept, in the columns of
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from granary.llm import lines, mixing, neardup, packing, quality
 from granary.llm.common import WORD, stage, table
 from granary.llm.queries import PACKING
 
+# Workers still hold memory of the stages before, so they remember fewer words here.
+WINDOWS = replace(PACKING, remembered=200_000)
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
@@ -41,7 +46,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces in windows of 2048 tokens."""
-    return packing.pack(docs, PACKING, with_ids=False)
+    return packing.pack(docs, WINDOWS, with_ids=False)
 
 
 STAGES = [
