@@ -13,7 +13,8 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
 
     An aggregate rather than a ranking window: each task first reduces its own
     rows, so a key that holds a third of the table sends one row per task over
-    the network, and nothing ever sorts the whole group. The other columns
+    the network. Rows are sorted by key on both sides, in their own tasks, since
+    structs cannot be compared in a hash table. The other columns
     follow in the compared struct, which settles ties the same way every run.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]

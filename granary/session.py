@@ -108,7 +108,8 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return _own_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
