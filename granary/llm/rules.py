@@ -35,20 +35,27 @@ class Settings:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), GAP, -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP, -1), "")
 
 
-def _bucket(use: Settings, *words: Column) -> Column:
-    return F.pmod(F.xxhash64(*words), F.lit(use.buckets)).cast("int")
+def _bucket(hashed: Column, use: Settings) -> Column:
+    return F.pmod(hashed, F.lit(use.buckets)).cast("int")
 
 
-def _grams(words: Column, use: Settings) -> Column:
-    """Buckets of every word and of the pair that starts there; the last word's pair has no second word."""
+def _rest(items: Column, start: int) -> Column:
+    return F.slice(items, start, F.size(items))
 
-    def both(w, i):
-        return F.array(_bucket(use, w), _bucket(use, w, F.coalesce(F.get(words, i + 1), F.lit("\n"))))
 
-    return F.flatten(F.transform(words, both))
+def _grams(frame: DataFrame, use: Settings) -> DataFrame:
+    """``bucket`` of every word of ``frame(text)``, by its hash, and of the pair that starts there, by both words' hashes.
+
+    The last word's pair has no second hash. Rows instead of lambdas, so that
+    hashing and counting are compiled into one stage.
+    """
+    words = frame.select(words_of(F.col("text")).alias("words"))
+    pairs = words.select(F.inline(F.arrays_zip(F.col("words").alias("a"), _rest(F.col("words"), 2).alias("b"))).alias("a", "b"))
+    one, two = F.xxhash64("a"), F.when(F.col("b").isNotNull(), F.xxhash64("b"))
+    return pairs.select(F.explode(F.array(_bucket(one, use), _bucket(F.xxhash64(one, two), use))).alias("bucket"))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, use: Settings) -> list[float]:
@@ -63,8 +70,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, use: Settings) -> list[float
     chosen = own.filter(sieve.holds(F.col("doc_id"))).join(ids.hint("merge"), "doc_id", "left_semi")
 
     def by_bucket(frame):
-        grams = let(words_of(F.col("text")), lambda words: _grams(words, use))
-        return frame.select(F.explode(grams).alias("bucket")).groupBy("bucket").count()
+        return _grams(frame, use).groupBy("bucket").count()
 
     counts = by_bucket(own).withColumnRenamed("count", "raw").join(by_bucket(chosen).withColumnRenamed("count", "good"), "bucket", "left")
     counts = counts.fillna(0, ["good"]).collect()  # one row for each bucket
@@ -79,8 +85,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, use: Settings) -> list[float
     return ratios
 
 
-def _repeat_words(words: Column) -> Column:
-    """How many words lie in a three-word window that the text has twice or more."""
+def _repeat_words(windows: Column) -> Column:
+    """How many words lie in a three-word window that the text has twice or more, from the hashes of all windows."""
 
     def covered(placed):
         def spots(p, j):
@@ -93,7 +99,6 @@ def _repeat_words(words: Column) -> Column:
         placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(windows)) == F.size(windows), 0).otherwise(let(placed, covered))
 
-    windows = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
     return let(windows, repeated)
 
 
@@ -107,29 +112,36 @@ def judge(docs: DataFrame, trusted: DataFrame, use: Settings = Settings()) -> Da
     table = F.split(F.lit(",".join(map(str, log_ratios(docs, trusted, use)))), ",").cast("array<double>")
     text = F.coalesce(F.col("text"), F.lit(""))
 
-    def by_words(words):
-        total = F.aggregate(_grams(words, use), F.lit(0.0), lambda s, b: s + F.get(table, b))
-        return F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            _repeat_words(words).cast("long").alias("n_repeat_words"),
-            F.when(F.size(words) == 0, 0.0).otherwise(total / (2 * F.size(words))).alias("ratio"),
-        )
-
     def by_lines(lines):
         return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
+    def by_hashes(hashes):
+        # Every word is hashed once; pairs and windows are made of the numbers.
+        return let(F.zip_with(hashes, _rest(hashes, 2), lambda a, b: F.xxhash64(a, b)), lambda pairs: by_pairs(hashes, pairs))
+
+    def by_pairs(hashes, pairs):
+        def total(grams):
+            return F.aggregate(grams, F.lit(0.0), lambda s, h: s + F.get(table, _bucket(h, use)))
+
+        windows = F.zip_with(F.slice(pairs, 1, F.greatest(F.size(pairs) - 2, F.lit(0))), _rest(hashes, 3), lambda p, c: F.xxhash64(p, c))
+        return F.struct(
+            _repeat_words(windows).cast("long").alias("n_repeat_words"),
+            F.when(F.size(hashes) == 0, 0.0).otherwise((total(hashes) + total(pairs)) / (2 * F.size(hashes))).alias("ratio"),
+        )
+
+    words = words_of(text)
+    kept = [c for c in docs.columns if c not in added]
     return (
         docs.drop(*added)
-        .withColumn("_counts", let(words_of(text), by_words))
         .select(
-            *[c for c in docs.columns if c not in added],
-            "_counts.n_words",
-            F.length(F.regexp_replace(text, GAP, "")).cast("long").alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            *kept,
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
             let(F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD)), by_lines).alias("n_dup_lines"),
-            "_counts.n_repeat_words",
-            "_counts.ratio",
+            let(F.transform(words, lambda w: F.xxhash64(w)), by_hashes).alias("_counts"),
         )
+        .select(*kept, "n_words", "word_chars", "n_symbols", "n_dup_lines", "_counts.n_repeat_words", "_counts.ratio")
         .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= use.threshold))
     )

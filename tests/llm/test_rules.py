@@ -1,5 +1,6 @@
 import math
 import re
+import struct
 from collections import Counter
 
 import pytest
@@ -20,18 +21,19 @@ def counts_of(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
 
 
-def hash64(*words):
+def hash64(*parts):
+    """Chained 64-bit hashes of texts and of signed 64-bit numbers."""
     seed = 42
-    for w in words:
-        seed = xxhash.xxh64_intdigest(w.encode(), seed)
+    for x in parts:
+        seed = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else struct.pack("<q", x), seed)
     return seed - (1 << 64) if seed >= 1 << 63 else seed
 
 
 def grams(text, use):
-    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-    for i, w in enumerate(words):
-        yield hash64(w) % use.buckets
-        yield hash64(w, words[i + 1] if i + 1 < len(words) else "\n") % use.buckets
+    hashes = [hash64(w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    for i, h in enumerate(hashes):
+        yield h % use.buckets
+        yield hash64(*hashes[i : i + 2]) % use.buckets
 
 
 TEXTS = [
