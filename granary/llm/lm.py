@@ -3,10 +3,16 @@
 n-gram counts are quantised on a log scale: a count c has level
 1 + floor(log2(c)). The filter holds (n-gram, 1) to (n-gram, level); a count is
 read back by asking for level after level until one is missing, so a false
-positive can only overstate it. The filter is cut into segments by n-gram hash,
-each counted and filled by one task; together they have a fixed largest size
-and are broadcast. Bigram probabilities are smoothed towards unigrams, and
-unigrams towards the uniform distribution.
+positive can only overstate it. Bigram probabilities are smoothed towards
+unigrams, and unigrams towards the uniform distribution.
+
+The filter is cut into segments by n-gram hash; their number follows the
+corpus, and each is counted and filled by one task into a written table. Workers
+get a head of every segment by broadcast, with a fixed largest size in all: the
+n-grams of the highest levels that fit. Where rarer ones do not fit, they are in
+the segment's tail; texts then send the distinct n-grams that the head does not
+know to the tails, one row for each slice of texts and segment, and get their
+levels back. Every n-gram counts at every size.
 """
 
 from __future__ import annotations
@@ -21,29 +27,29 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import WordHashes, crc_remainder, mix, stage
 
-SEGMENT_BITS = 1 << 21
+SEGMENT_BITS = 1 << 21  # wanted; a power of two, like all sizes of filters here
 START = np.uint64(0x5A5A0001)
 END = np.uint64(0x5A5A0002)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``most_segments``: bounds the filter, 256 KB each; ``head``: words whose exact counts are broadcast.
+    """``head_bits``: most bits of the filter that workers get; ``head``: words whose exact counts are broadcast.
 
-    ``bits``: least bits for each entry. A segment with too many n-grams takes
-    only those from the least count up that leaves so many; rarer ones count as
-    unseen, in training and scoring alike. ``prior``: weight of the unigram in
-    a bigram's probability, in tokens.
+    ``bits``: least bits for each entry, in heads and tails. ``prior``: weight
+    of the unigram in a bigram's probability, in tokens. ``flush``: tokens whose
+    n-grams a task adds up before it hands them over; ``slice``: texts scored at once.
     """
 
     folds: int = 5
     held: int = 1
     hashes: int = 3
     bits: int = 8
-    most_segments: int = 256
+    head_bits: int = 1 << 29
     head: int = 1 << 18
     prior: float = 4.0
     flush: int = 2_000_000
+    slice: int = 500
 
 
 def tokens_of(texts: list[bytes | None], hashed: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -63,54 +69,74 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log2(counts)).astype(np.int64)
 
 
-def _places(grams: np.ndarray, level: int, hashes: int) -> np.ndarray:
-    """Bit numbers inside the segment, one row for each hash function; of the n-gram's hash, the low 32 bits count."""
+def _two_power(least: int) -> int:
+    return 1 << max(6, (int(least) - 1).bit_length())
+
+
+def _places(grams: np.ndarray, level: int, size: int, hashes: int):
+    """Bit numbers in a filter of ``size`` bits, for one hash function after the other; of the n-gram's hash, the low 32 bits count."""
     first = mix((grams & np.uint64(0xFFFFFFFF)) + np.multiply(np.uint64(level), np.array([0xD6E8FEB86659FD93], np.uint64)))
-    second = mix(first) | np.uint64(1)
-    return np.stack([(first + np.uint64(i) * second) % np.uint64(SEGMENT_BITS) for i in range(hashes)])
+    second = (first >> np.uint64(32)) | np.uint64(1)
+    for i in range(hashes):
+        yield (first + np.uint64(i) * second) & np.uint64(size - 1)
+
 
+def _filled(grams: np.ndarray, levels: np.ndarray, size: int, hashes: int) -> np.ndarray:
+    bits = np.zeros(size, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        for places in _places(grams[levels >= level], level, size, hashes):
+            bits[places] = True
+    return np.packbits(bits, bitorder="little")
 
-def fill_segment(grams: np.ndarray, counts: np.ndarray, use: Settings) -> np.ndarray:
-    """The segment's bits, as bytes."""
+
+def fill_segment(grams: np.ndarray, counts: np.ndarray, size: int, use: Settings) -> tuple[np.ndarray, np.ndarray | None]:
+    """Head of ``size`` bits with all levels of the n-grams that reach the least level that fits; a tail with the others, None if there are none."""
     levels = levels_of(counts)
-    for least in range(1, 64):
+    for least in range(1, 65):
         chosen = levels >= least
-        if int(levels[chosen].sum()) * use.bits <= SEGMENT_BITS:
+        if int(levels[chosen].sum()) * use.bits <= size:
             break
-    grams, levels = grams[chosen], levels[chosen]
-    bits = np.zeros(SEGMENT_BITS, bool)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        bits[_places(grams[levels >= level], level, use.hashes).ravel()] = True
-    return np.packbits(bits, bitorder="little")
+    rest = ~chosen
+    tail = _filled(grams[rest], levels[rest], _two_power(int(levels[rest].sum()) * use.bits), use.hashes) if rest.any() else None
+    return _filled(grams[chosen], levels[chosen], size, use.hashes), tail
 
 
 @dataclass
-class Counts:
-    """All segments, one after the other."""
+class Filter:
+    """Equal parts of ``size`` bits, as many as ``parts``, one after the other."""
 
     filled: np.ndarray
-    segments: int
+    parts: int
+    size: int
     hashes: int
 
-    def of(self, grams: np.ndarray) -> np.ndarray:
-        """Quantised counts: the least count of the highest level found, 0 if none."""
-        found = np.zeros(len(grams))
-        alive, level = np.arange(len(grams)), 1
-        while len(alive):
-            own = grams[alive]
-            base = (own >> np.uint64(40)) % np.uint64(self.segments) * np.uint64(SEGMENT_BITS)
-            there = np.ones(len(own), bool)
-            for row in _places(own, level, self.hashes):
-                bit = base + row
-                there &= (self.filled[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """The highest level found for every n-gram, 0 if none; asking stops at the first missing bit."""
+        found = np.zeros(len(grams), np.uint8)
+        alive = np.arange(len(grams))
+        base = segment_of(grams, self.parts) * np.uint64(self.size)
+        for level in range(1, 64):
+            there = np.ones(len(alive), bool)
+            for i, places in enumerate(_places(grams[alive], level, self.size, self.hashes)):
+                asked = np.flatnonzero(there) if i else slice(None)
+                bit = base[alive][asked] + places[asked]
+                there[asked] = self.filled[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
             alive = alive[there]
-            found[alive] = 2.0 ** (level - 1)
-            level += 1
-            if level > 60:
+            if not len(alive):
                 break
+            found[alive] = level
         return found
 
 
+def segment_of(grams: np.ndarray, segments: int) -> np.ndarray:
+    return (grams >> np.uint64(32)) & np.uint64(segments - 1)
+
+
+def counts_at(levels: np.ndarray) -> np.ndarray:
+    """The least count of every level, 0 for level 0."""
+    return np.where(levels > 0, 2.0 ** (levels.astype(float) - 1), 0.0)
+
+
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unique, inverse = np.unique(keys, return_inverse=True)
     return unique, np.bincount(inverse, counts, len(unique)).astype(np.int64)
@@ -147,41 +173,59 @@ def word_counts(docs: DataFrame, use: Settings) -> DataFrame:
     return _gathered(docs, lambda tokens, starts: tokens, use, emit, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def gram_counts(docs: DataFrame, tokens: int, use: Settings) -> Counts:
-    """The filter of all unigrams and bigrams of ``docs(text)``."""
-    wanted = max(1, -(-2 * tokens * use.bits // SEGMENT_BITS))
-    segments = min(use.most_segments, 1 << (wanted - 1).bit_length())
+def _packed(keys: np.ndarray, counts: np.ndarray, segments: int) -> pa.RecordBatch:
+    """A row for each segment: its n-grams (the high bits of the hash chose the segment, the low 32 tell them apart), and the counts above 1."""
+    segment = segment_of(keys, segments)
+    order = np.argsort(segment, kind="stable")
+    found, cuts = np.unique(segment[order], return_index=True)
+    rows = []
+    for s, own in zip(found.tolist(), np.split(order, cuts[1:])):
+        often = np.flatnonzero(counts[own] > 1)
+        rows.append((s, keys[own].astype("<u4").tobytes(), often.astype("<u4").tobytes(), counts[own][often].astype("<i8").tobytes()))
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns, ["segment", "grams", "often", "times"])
+
+
+PACKED = "segment long, grams binary, often binary, times binary"
+
+
+def fill_segments(docs: DataFrame, vocabulary: DataFrame, tokens: int, use: Settings) -> tuple[DataFrame, int, int]:
+    """The written filter of all words of ``vocabulary(word, c)`` and all bigrams of ``docs(text)``, its segments, and the bits of a head.
+
+    ``segment``, ``head``, ``tail`` (NULL if all fit into the head). The number of segments follows ``tokens``.
+    """
+    segments = 1 << (max(1, -(-2 * tokens * use.bits // SEGMENT_BITS)) - 1).bit_length()
+    size = max(64, min(SEGMENT_BITS, 1 << (max(1, use.head_bits // segments).bit_length() - 1)))
+
+    def pack_words(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield _packed(mix(batch.column(0).to_numpy().view(np.uint64)), batch.column(1).to_numpy(), segments)
 
     def emit(keys, counts):
-        # A segment's n-grams in one row. Of the hash, the high bits chose the segment; the low 32 tell its n-grams apart.
-        segment = (keys >> np.uint64(40)) % np.uint64(segments)
-        order = np.argsort(segment, kind="stable")
-        cuts = np.searchsorted(segment[order], np.arange(segments + 1))
-        rows = []
-        for s in range(segments):
-            own = order[cuts[s] : cuts[s + 1]]
-            if len(own):
-                often = np.flatnonzero(counts[own] > 1)
-                rows.append((s, keys[own].astype("<u4").tobytes(), often.astype("<u4").tobytes(), counts[own][often].astype("<u4").tobytes()))
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
-        yield pa.RecordBatch.from_arrays(columns, ["segment", "grams", "often", "times"])
+        if len(keys):
+            yield _packed(keys, counts, segments)
 
     def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         grams, counts = [], []
         for g, often, times in zip(rows["grams"], rows["often"], rows["times"]):
             grams.append(np.frombuffer(g, "<u4").astype(np.uint64))
             own = np.ones(len(grams[-1]), np.int64)
-            own[np.frombuffer(often, "<u4")] = np.frombuffer(times, "<u4")
+            own[np.frombuffer(often, "<u4")] = np.frombuffer(times, "<i8")
             counts.append(own)
-        bits = fill_segment(*_sums(np.concatenate(grams), np.concatenate(counts)), use)
-        return pd.DataFrame({"segment": [int(key[0])], "bits": [bits.tobytes()]})
+        head, tail = fill_segment(*_sums(np.concatenate(grams), np.concatenate(counts)), size, use)
+        return pd.DataFrame({"segment": [int(key[0])], "head": [head.tobytes()], "tail": [None if tail is None else tail.tobytes()]})
+
+    packed = vocabulary.select("word", "c").mapInArrow(pack_words, PACKED).unionByName(_gathered(docs, bigrams, use, emit, PACKED))
+    return stage(packed.groupBy("segment").applyInPandas(fill, "segment long, head binary, tail binary"), "lm-segments"), segments, size
 
-    both = lambda tokens, starts: np.concatenate([mix(tokens), bigrams(tokens, starts)])
-    packed = _gathered(docs, both, use, emit, "segment int, grams binary, often binary, times binary")
-    filled = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for row in packed.groupBy("segment").applyInPandas(fill, "segment int, bits binary").collect():  # the filter, so at most 64 MB
-        filled[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
-    return Counts(filled.reshape(-1), segments, use.hashes)
+
+def _heads(filled: DataFrame, segments: int, size: int, use: Settings) -> Filter:
+    """All heads in one piece: at most ``head_bits``, but for 8 bytes a segment."""
+    bits = np.zeros((segments, size // 8), np.uint8)
+    for row in filled.select("segment", "head").toLocalIterator():
+        bits[row["segment"]] = np.frombuffer(row["head"], np.uint8)
+    return Filter(bits.reshape(-1), segments, size, use.hashes)
 
 
 def _frequent(vocabulary: DataFrame, most: int) -> DataFrame:
@@ -196,16 +240,46 @@ def _frequent(vocabulary: DataFrame, most: int) -> DataFrame:
     return vocabulary.filter(level >= least)
 
 
-def log_probabilities(tokens: np.ndarray, starts: np.ndarray, counts: Counts, total: int, distinct: int, prior: float) -> np.ndarray:
-    """log10 probability of each text under the smoothed bigram model. A text starts as often as one ends."""
-    own = counts.of(mix(tokens))
-    pair = counts.of(bigrams(tokens, starts))
+def log_probabilities(own: np.ndarray, pair: np.ndarray, starts: np.ndarray, ends: float, total: int, distinct: int, prior: float) -> np.ndarray:
+    """log10 probability of each text under the smoothed bigram model, from the counts of its words and bigrams. A text starts as often as one ends."""
     before = np.roll(own, 1)
-    before[starts] = counts.of(mix(np.array([END])))[0]
+    before[starts] = ends
     uniform = (own + 0.5) / (total + 0.5 * (distinct + 1))
     return np.add.reduceat(np.log10((pair + prior * uniform) / (np.maximum(before, pair) + prior)), starts)
 
 
+def _open_levels(slices: DataFrame, tails: DataFrame, segments: int, use: Settings) -> DataFrame:
+    """``slice``, ``grams``, ``levels``: what the tails know of the ``grams`` of every slice; one row a slice and segment travels each way."""
+
+    def deal(batches):
+        for batch in batches:
+            for number, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams = np.frombuffer(grams, "<u8")
+                if len(grams):
+                    segment = segment_of(grams, segments)
+                    order = np.argsort(segment, kind="stable")
+                    found, cuts = np.unique(segment[order], return_index=True)
+                    parts = [grams[own].tobytes() for own in np.split(order, cuts[1:])]
+                    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array([number] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["segment", "slice", "grams"])
+
+    def probe(asked: pd.DataFrame, tail: pd.DataFrame) -> pd.DataFrame:
+        levels = [b""] * len(asked)
+        if len(tail):
+            bits = np.frombuffer(tail["tail"].iloc[0], np.uint8)
+            known = Filter(bits, 1, 8 * len(bits), use.hashes)
+            levels = [known.levels(np.frombuffer(g, "<u8")).tobytes() for g in asked["grams"]]
+        answers = pd.DataFrame({"slice": asked["slice"], "grams": asked["grams"], "levels": levels})
+        return answers[answers["levels"] != b""]
+
+    asked = slices.select("slice", "open").mapInArrow(deal, "segment long, slice long, grams binary")
+    return asked.groupBy("segment").cogroup(tails.groupBy("segment")).applyInPandas(probe, "slice long, grams binary, levels binary")
+
+
+ROW = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>"
+# All texts of a slice in one row, with their tokens and the levels that the head knows; ``open``: distinct n-grams that it does not.
+SLICE = f"texts array<struct<{ROW.replace(' long', ':long').replace(' boolean', ':boolean').replace(' double', ':double').replace(' array', ':array')}>>, tokens binary, starts binary, own binary, pair binary, open binary"
+
+
 def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -217,37 +291,73 @@ def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("held_out", crc_remainder(F.col("doc_id"), use.folds) == use.held)
     training = docs.filter(~F.col("held_out"))
     vocabulary = stage(word_counts(training, use), "lm-words")
-    size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    end = F.when(F.col("word") == int(END), F.col("c"))
+    size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.max(end), F.lit(0)).alias("ends")).first()
     total, distinct = size["n"], size["v"]
+    ends = float(counts_at(levels_of(np.array([size["ends"]])))[0]) if size["ends"] else 0.0
     head = _frequent(vocabulary, use.head).toPandas()
     words, times = head["word"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64)
     order = np.argsort(words)
-    counts = gram_counts(training, total, use)
-    context = docs.sparkSession.sparkContext
-    sent = context.broadcast((counts.filled, words[order], times[order]))
-    segments, least = counts.segments, total + 0.5 * (distinct + 1)
+    filled, segments, head_size = fill_segments(training, vocabulary, total, use)
+    tails = filled.filter("tail IS NOT NULL").select("segment", "tail")
+    whole = tails.isEmpty()
+    sent = docs.sparkSession.sparkContext.broadcast((_heads(filled, segments, head_size, use), words[order], times[order]))
+    least = total + 0.5 * (distinct + 1)
 
     def run(batches):
-        filled, words, times = sent.value
-        grams, hashed = Counts(filled, segments, use.hashes), WordHashes()
+        known_levels, words, times = sent.value
+        hashed = WordHashes()
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for low in range(0, batch.num_rows, use.slice):
+                part = batch.slice(low, use.slice)
                 tokens, starts = tokens_of(part.column(1).cast(pa.binary()).to_pylist(), hashed)
                 at = np.minimum(np.searchsorted(words, tokens), max(0, len(words) - 1))
                 there = words[at] == tokens if len(words) else np.zeros(len(tokens), bool)
-                base = np.zeros(len(tokens))
+                base, own = np.zeros(len(tokens)), np.zeros(len(tokens), np.uint8)
                 base[there] = np.log10((times[at[there]] + 0.5) / least)
+                own[there] = levels_of(times[at[there]])
+                rare = mix(tokens[~there])
+                distinct_grams, places = np.unique(np.concatenate([rare, bigrams(tokens, starts)]), return_inverse=True)
+                levels = known_levels.levels(distinct_grams)
+                own[~there], pair = levels[places[: len(rare)]], levels[places[len(rare) :]]
                 sizes = np.diff(np.append(starts, len(tokens)))
                 known = np.add.reduceat(there.astype(np.int64), starts)
                 offsets = np.append(0, np.cumsum(sizes - known)).astype(np.int32)
                 tail = pa.ListArray.from_arrays(offsets, pa.array(tokens[~there].view(np.int64)))
-                scores = log_probabilities(tokens, starts, grams, total, distinct, use.prior)
+                scores = log_probabilities(counts_at(own), counts_at(pair), starts, ends, total, distinct, use.prior)
                 columns = [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(np.add.reduceat(base, starts)), pa.array(scores), tail]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
-
-    scored = docs.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>")
-    scored = stage(scored, "lm-scores").withColumn("_row", F.monotonically_increasing_id())
+                texts = pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
+                if whole:
+                    yield texts
+                    continue
+                nested = pa.ListArray.from_arrays(pa.array([0, texts.num_rows], pa.int32()), texts.to_struct_array())
+                binary = [tokens.tobytes(), starts.astype(np.int64).tobytes(), own.tobytes(), pair.tobytes(), distinct_grams[levels == 0].tobytes()]
+                yield pa.RecordBatch.from_arrays([nested, *(pa.array([x], pa.binary()) for x in binary)], ["texts", "tokens", "starts", "own", "pair", "open"])
+
+    def finish(slices: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = slices.iloc[0]
+        tokens, starts = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["starts"], np.int64)
+        own, pair = np.frombuffer(row["own"], np.uint8).copy(), np.frombuffer(row["pair"], np.uint8).copy()
+        if len(answers):
+            grams = np.concatenate([np.frombuffer(g, "<u8") for g in answers["grams"]])
+            levels = np.concatenate([np.frombuffer(x, np.uint8) for x in answers["levels"]])
+            by_gram = np.argsort(grams)
+            grams, levels = grams[by_gram], levels[by_gram]
+            for known, wanted in ((own, mix(tokens)), (pair, bigrams(tokens, starts))):
+                at = np.minimum(np.searchsorted(grams, wanted), len(grams) - 1)
+                new = (known == 0) & (grams[at] == wanted)
+                known[new] = levels[at[new]]
+        return pd.DataFrame({"slice": row["slice"], "number": np.arange(len(starts)), "score": log_probabilities(counts_at(own), counts_at(pair), starts, ends, total, distinct, use.prior)})
+
+    asked = docs.select("doc_id", "text", "held_out")
+    if whole:
+        scored = stage(asked.mapInArrow(run, ROW), "lm-scores").withColumn("_row", F.monotonically_increasing_id())
+    else:
+        slices = stage(stage(asked.mapInArrow(run, SLICE), "lm-slices").withColumn("slice", F.monotonically_increasing_id()), "lm-numbered")
+        answers = _open_levels(slices, tails, segments, use)
+        scores = slices.drop("texts", "open").groupBy("slice").cogroup(answers.groupBy("slice")).applyInPandas(finish, "slice long, number int, score double")
+        texts = slices.select("slice", F.posexplode("texts").alias("number", "t")).select("slice", "number", "t.*").drop("score")
+        scored = stage(texts.join(scores, ["slice", "number"]), "lm-scores").withColumn("_row", F.monotonically_increasing_id())
     rare = scored.select("_row", F.explode("rest").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("n"))
     rare = rare.join(vocabulary, "word", "left").groupBy("_row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -46,19 +47,48 @@ def test_filter_gives_levels_and_never_understates():
     grams = np.unique(rng.integers(0, 1 << 63, 60_000, dtype=np.uint64))
     times = rng.zipf(1.6, len(grams)).clip(1, 10**6)
     use = lm.Settings()
-    counts = lm.Counts(lm.fill_segment(grams, times, use), 1, use.hashes)
-    found = counts.of(grams)
-    want = 2.0 ** (lm.levels_of(times) - 1)
-    assert (found >= want).all() and (found == want).mean() > 0.95
-    assert (counts.of(rng.integers(0, 1 << 63, 50_000, dtype=np.uint64)) == 0).mean() > 0.95
+    head, tail = lm.fill_segment(grams, times, lm.SEGMENT_BITS, use)
+    known = lm.Filter(head, 1, lm.SEGMENT_BITS, use.hashes)
+    found, want = known.levels(grams), lm.levels_of(times)
+    assert tail is None and (found >= want).all() and (found == want).mean() > 0.95
+    assert (known.levels(rng.integers(0, 1 << 63, 50_000, dtype=np.uint64)) == 0).mean() > 0.95
 
 
-def test_full_segment_drops_the_rarest_first():
+def test_what_does_not_fit_into_the_head_is_in_the_tail():
     grams = np.arange(1, 600_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     times = np.where(np.arange(600_000) < 10_000, 8, 1)
-    counts = lm.Counts(lm.fill_segment(grams, times, lm.Settings()), 1, 3)
-    found = counts.of(grams)
-    assert (found[:10_000] >= 8).all() and (found[10_000:] == 0).mean() > 0.95
+    head, tail = lm.fill_segment(grams, times, lm.SEGMENT_BITS, lm.Settings())
+    found = lm.Filter(head, 1, lm.SEGMENT_BITS, 3).levels(grams)
+    assert (found[:10_000] >= 4).all() and (found[10_000:] == 0).mean() > 0.95
+    assert (lm.Filter(tail, 1, 8 * len(tail), 3).levels(grams[10_000:]) >= 1).all()
+
+
+def model_by_hand(rows, prior):
+    """The smoothed bigram model over exact counts, each brought down to a power of two."""
+    ones, twos = Counter(), Counter()
+    for i, text in rows:
+        if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
+            own = tokens(text)
+            ones.update(own)
+            twos.update(zip(["<start>", *own], own))
+    low = lambda c: 2 ** int(math.log2(c)) if c else 0
+    n, v = sum(ones.values()), len(ones)
+    for _, text in rows:
+        own, total = tokens(text), 0.0
+        for a, b in zip(["<start>", *own], own):
+            before, pair = low(ones[None] if a == "<start>" else ones[a]), low(twos[a, b])
+            total += math.log10((pair + prior * (low(ones[b]) + 0.5) / (n + 0.5 * (v + 1))) / (max(before, pair) + prior))
+        yield total
+
+
+@pytest.mark.parametrize("more", [{}, {"head": 0}, {"head_bits": 1 << 10}, {"head_bits": 1 << 10, "head": 20, "slice": 3}, {"head_bits": 64, "head": 0}])
+def test_score_equals_exact_counts_whatever_fits_into_the_head(spark, more):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.8)) % 500}" for _ in range(rng.randrange(60)))) for i in range(150)]
+    rows += [(200, None), (201, "never seen Words"), (None, "w1 w1"), (7, rows[7][1]), (202, "long " * 20_000)]
+    use = lm.Settings(bits=256, **more)  # false positives are too rare to meet here
+    found = sorted(r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), use).collect())
+    assert found == pytest.approx(sorted(model_by_hand(rows, use.prior)), rel=1e-9)
 
 
 def test_model_knows_prose_from_shuffled_words(spark, folder):
