@@ -48,7 +48,7 @@ class Settings:
     head_bits: int = 1 << 29
     head: int = 1 << 18
     prior: float = 4.0
-    flush: int = 2_000_000
+    flush: int = 1_000_000
     slice: int = 500
 
 
@@ -159,6 +159,7 @@ def _gathered(docs: DataFrame, make, use: Settings, emit, schema: str) -> DataFr
                     held, size = [], 0
         if held:
             yield from emit(*np.unique(np.concatenate(held), return_counts=True))
+        pa.default_memory_pool().release_unused()
 
     return docs.select("text").mapInArrow(run, schema)
 
@@ -198,26 +199,32 @@ def fill_segments(docs: DataFrame, vocabulary: DataFrame, tokens: int, use: Sett
     size = max(64, min(SEGMENT_BITS, 1 << (max(1, use.head_bits // segments).bit_length() - 1)))
 
     def pack_words(batches):
+        held, size = [], 0
         for batch in batches:
-            if batch.num_rows:
-                yield _packed(mix(batch.column(0).to_numpy().view(np.uint64)), batch.column(1).to_numpy(), segments)
+            held.append((mix(batch.column(0).to_numpy().view(np.uint64)), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= use.flush:
+                yield from emit(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if size:
+            yield from emit(*map(np.concatenate, zip(*held)))
 
     def emit(keys, counts):
         if len(keys):
             yield _packed(keys, counts, segments)
 
-    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def fill(key: tuple, rows: pa.Table) -> pa.Table:
         grams, counts = [], []
-        for g, often, times in zip(rows["grams"], rows["often"], rows["times"]):
+        for g, often, times in zip(*(rows.column(c).to_pylist() for c in ("grams", "often", "times"))):
             grams.append(np.frombuffer(g, "<u4").astype(np.uint64))
             own = np.ones(len(grams[-1]), np.int64)
             own[np.frombuffer(often, "<u4")] = np.frombuffer(times, "<i8")
             counts.append(own)
         head, tail = fill_segment(*_sums(np.concatenate(grams), np.concatenate(counts)), size, use)
-        return pd.DataFrame({"segment": [int(key[0])], "head": [head.tobytes()], "tail": [None if tail is None else tail.tobytes()]})
+        return pa.table([[key[0].as_py()], [head.tobytes()], pa.array([None if tail is None else tail.tobytes()], pa.binary())], ["segment", "head", "tail"])
 
     packed = vocabulary.select("word", "c").mapInArrow(pack_words, PACKED).unionByName(_gathered(docs, bigrams, use, emit, PACKED))
-    return stage(packed.groupBy("segment").applyInPandas(fill, "segment long, head binary, tail binary"), "lm-segments"), segments, size
+    return stage(packed.groupBy("segment").applyInArrow(fill, "segment long, head binary, tail binary"), "lm-segments"), segments, size
 
 
 def _heads(filled: DataFrame, segments: int, size: int, use: Settings) -> Filter:
@@ -358,6 +365,7 @@ def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
         scores = slices.drop("texts", "open").groupBy("slice").cogroup(answers.groupBy("slice")).applyInPandas(finish, "slice long, number int, score double")
         texts = slices.select("slice", F.posexplode("texts").alias("number", "t")).select("slice", "number", "t.*").drop("score")
         scored = stage(texts.join(scores, ["slice", "number"]), "lm-scores").withColumn("_row", F.monotonically_increasing_id())
+    sent.unpersist()
     rare = scored.select("_row", F.explode("rest").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("n"))
     rare = rare.join(vocabulary, "word", "left").groupBy("_row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),
