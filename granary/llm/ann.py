@@ -3,8 +3,13 @@
 A pseudo-rotation (three rounds of random signs and a fast Hadamard transform)
 turns a unit vector; its nearest signed axis is the hash. Several tables, each
 with its own rotations, hold every vector once. A query probes the buckets of
-its best axes in every table (multiprobe). Candidates are ranked by their exact
-Euclidean distance inside the bucket, so only the best few of each leave it.
+its best axes in every table (multiprobe), in rounds: its own buckets first, then
+each time ``growth`` times as many. Candidates are ranked by their exact Euclidean
+distance inside the bucket; only the best few leave it, and from the second round
+on only those no farther than the worst of the best found before. A round thus
+lets out some ``growth`` x k rows a query, however many buckets it looks into.
+Rows and queries of a bucket are cut into blocks, and each pair of blocks meets
+in one task.
 
 The number of buckets follows the number of rows: with more rows the hash joins
 the axes of two rotations, the second over as many dimensions as needed. The
@@ -26,15 +31,21 @@ from granary.llm.common import stage
 
 @dataclass(frozen=True)
 class Settings:
-    """``bucket``: rows wanted in a bucket; ``sample``, ``sample_queries``: size of the sample that sets the probes; ``block``: rows compared at once."""
+    """``bucket``: rows wanted in a bucket; ``sample``, ``sample_queries``: size of the sample that sets the probes.
+
+    ``block``: most rows, and most queries, of a bucket that meet in a task, about; ``slice``: queries compared at once;
+    ``growth``: probes of a round against those before it.
+    """
 
     k: int = 10
     tables: int = 8
-    bucket: int = 100
+    bucket: int = 1000
     recall: float = 0.95
     sample: int = 20_000
     sample_queries: int = 200
     block: int = 4096
+    slice: int = 256
+    growth: int = 16
     seed: int = 11
 
 
@@ -71,10 +82,9 @@ class Hasher:
             x = self.rotated(unit, table, part)
             own = np.concatenate([x, -x], 1)
             scores = own if scores is None else (scores[:, :, None] + own[:, None, :]).reshape(len(unit), -1)
-        probes = min(probes, scores.shape[1])
-        best = np.argpartition(-scores, probes - 1, 1)[:, :probes] if probes < scores.shape[1] else np.broadcast_to(np.arange(probes), scores.shape)
-        order = np.argsort(-np.take_along_axis(scores, best, 1), 1, kind="stable")
-        return np.take_along_axis(best, order, 1)
+        if probes == 1:
+            return scores.argmax(1)[:, None]
+        return np.argsort(-scores, 1, kind="stable")[:, :probes]
 
     @property
     def buckets(self) -> int:
@@ -114,17 +124,55 @@ def _matrix(column) -> np.ndarray:
 
 
 def _hashed(classes: DataFrame, hasher: Hasher, probes: int) -> DataFrame:
-    """``bucket`` (of all tables), ``class_id``, ``v``: every vector in its ``probes`` nearest buckets of each table."""
+    """``bucket`` (of all tables), ``place`` (0 for the nearest), and the columns of ``classes(class_id, first_id, v)``: every vector in its ``probes`` nearest buckets of each table."""
 
     def run(frames):
         for rows in frames:
-            if len(rows):
-                unit = unit_vectors(_matrix(rows["v"]))
+            for low in range(0, len(rows), 2000):
+                part = rows.iloc[low : low + 2000]
+                unit = unit_vectors(_matrix(part["v"]))
                 for table in range(hasher.tables):
                     own = hasher.ranked(unit, table, probes).astype(np.int64) + table * hasher.buckets
-                    yield pd.DataFrame({"bucket": own.ravel(), "class_id": np.repeat(rows["class_id"].to_numpy(), own.shape[1]), "v": np.repeat(rows["v"].to_numpy(), own.shape[1])})
+                    several = part.iloc[np.repeat(np.arange(len(part)), own.shape[1])]
+                    yield several.assign(bucket=own.ravel(), place=np.tile(np.arange(own.shape[1]), len(part)))
+
+    kind = classes.schema["v"].dataType.simpleString()
+    return classes.select("class_id", "first_id", "v").mapInPandas(run, f"class_id long, first_id long, v {kind}, bucket long, place int")
+
 
-    return classes.select("class_id", "v").mapInPandas(run, f"bucket long, class_id long, v {classes.schema['v'].dataType.simpleString()}")
+def _sample(classes: DataFrame, count: int, use: Settings) -> DataFrame:
+    """About the ``sample`` vectors of the lowest hashes; others are left out by a threshold, so that no task hands over more than its share."""
+    share = min(1.0, (use.sample + 6 * use.sample**0.5) / max(1, count))
+    key = F.xxhash64("v")
+    some = classes if share == 1 else classes.filter(key < int(-(2**63) + share * 2**64))
+    return some.orderBy(key, "class_id").select("v").limit(use.sample)
+
+
+def _compare(queries: pd.DataFrame, rows: pd.DataFrame, use: Settings) -> pd.DataFrame:
+    """``q, class_id, first_id, score``: the k + 1 rows nearest to each query, none beyond its ``bound``; ties to smaller ids.
+
+    A matrix product rules out rows that lie too far even with its rounding; the others get their exact distance.
+    """
+    most, x = use.k + 1, _matrix(rows["v"])
+    ids, firsts, found = rows["class_id"].to_numpy(), rows["first_id"].to_numpy(), []
+    squares = (x**2).sum(1)
+    for low in range(0, len(queries), use.slice):
+        part = queries.iloc[low : low + use.slice]
+        v, bound = _matrix(part["v"]), part["bound"].to_numpy(float)
+        own = (v**2).sum(1)
+        near = own[:, None] + squares - 2 * v @ x.T
+        near[~np.isfinite(near)] = -np.inf  # beyond the range of squares: to be looked at
+        limit = bound**2
+        if len(x) > most:
+            limit = np.minimum(limit, np.partition(near, most - 1, 1)[:, most - 1])
+        q, r = np.nonzero(near <= (limit + 1e-12 * len(x[0]) * (own + squares.max()))[:, None])
+        far = np.sqrt(((x[r] - v[q]) ** 2).sum(1))
+        order = np.lexsort((ids[r], firsts[r], far, q))
+        q, r, far = q[order], r[order], far[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        best = (place < most) & (far <= bound[q])
+        found.append(pd.DataFrame({"q": part["class_id"].to_numpy()[q[best]], "class_id": ids[r[best]], "first_id": firsts[r[best]], "score": far[best]}))
+    return pd.concat(found)
 
 
 def nearest(vectors: DataFrame, every: int = 100, use: Settings = Settings()) -> DataFrame:
@@ -152,29 +200,40 @@ def nearest(vectors: DataFrame, every: int = 100, use: Settings = Settings()) ->
 
     count = classes.count()
     hasher = Hasher(size, use.tables, max(1, count // use.bucket), use.seed)
-    sample = _matrix(classes.orderBy(F.xxhash64("v"), "class_id").select("v").limit(use.sample).toPandas()["v"]) if count else np.empty((0, size))
-    probes = probes_for(hasher, sample, np.arange(min(use.sample_queries, len(sample))), use)
+    sample = _matrix(_sample(classes, count, use).toPandas()["v"]) if count else np.empty((0, size))
+    probes = min(hasher.buckets, probes_for(hasher, sample, np.arange(min(use.sample_queries, len(sample))), use))
 
-    homes = _hashed(classes, hasher, 1)
-    chunks = homes.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(use.block)).cast("int").alias("chunks"))
-    homes = homes.join(chunks, "bucket").withColumn("chunk", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int")).drop("chunks")
-    probed = _hashed(searched, hasher, probes).join(chunks, "bucket").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    homes = stage(_hashed(classes, hasher, 1).drop("place"), "ann-homes")
+    probed = stage(_hashed(searched, hasher, probes).drop("first_id"), "ann-probes")
+    in_blocks = F.ceil(F.count("*") / F.lit(use.block)).cast("int")
+    row_blocks = homes.groupBy("bucket").agg(in_blocks.alias("rows"))
     most = use.k + 1
 
     def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
-            return pd.DataFrame({"q": [], "class_id": [], "score": []})
-        rows = rows.sort_values("class_id", ignore_index=True)
-        ids, x, found = rows["class_id"].to_numpy(), _matrix(rows["v"]), []
-        for q, v in zip(queries["class_id"], queries["v"]):
-            far = np.sqrt(((x - np.asarray(v, float)) ** 2).sum(1))
-            best = np.flatnonzero(far <= np.partition(far, most - 1)[most - 1]) if len(far) > most else np.arange(len(far))
-            found.append(pd.DataFrame({"q": q, "class_id": ids[best], "score": far[best]}))
-        return pd.concat(found)
-
-    found = probed.groupBy("bucket", "chunk").cogroup(homes.groupBy("bucket", "chunk")).applyInPandas(search, "q long, class_id long, score double").distinct()
-    near = found.join(classes.select("class_id", "first_id"), "class_id")
-    near = near.withColumn("_place", F.row_number().over(Window.partitionBy("q").orderBy("score", "first_id", "class_id"))).filter(F.col("_place") <= most)
+            return pd.DataFrame({"q": [], "class_id": [], "first_id": [], "score": []})
+        with np.errstate(over="ignore", invalid="ignore"):
+            return _compare(queries, rows, use)
+
+    near, low, high = None, 0, 1
+    while low < probes:
+        asking = probed.filter((F.col("place") >= low) & (F.col("place") < high)).drop("place")
+        blocks = row_blocks.join(asking.groupBy("bucket").agg(in_blocks.alias("queries")), "bucket")
+        if near is None:
+            asking = asking.withColumn("bound", F.lit(float("inf")))
+        else:
+            # With k + 1 found, nothing beyond the last of them can be among the k + 1 nearest.
+            bounds = near.groupBy(F.col("q").alias("class_id")).agg(F.when(F.count("*") == most, F.max("score")).otherwise(float("inf")).alias("bound"))
+            asking = asking.join(bounds, "class_id", "left").fillna(float("inf"), ["bound"])
+        hashed = F.xxhash64("class_id", F.lit(1))
+        left = asking.join(blocks, "bucket").withColumn("a", F.pmod(hashed, F.col("queries")).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+        right = homes.join(blocks, "bucket").withColumn("b", F.pmod(hashed, F.col("rows")).cast("int")).withColumn("a", F.explode(F.sequence(F.lit(0), F.col("queries") - 1)))
+        met = left.drop("rows", "queries").groupBy("bucket", "a", "b").cogroup(right.drop("rows", "queries").groupBy("bucket", "a", "b"))
+        found = met.applyInPandas(search, "q long, class_id long, first_id long, score double")
+        found = (found if near is None else found.unionByName(near)).distinct()
+        best = Window.partitionBy("q").orderBy("score", "first_id", "class_id")
+        near = stage(found.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= most).drop("_place"), "ann-found")
+        low, high = high, high * use.growth
     near = near.join(classes.select("class_id", "ids"), "class_id").select("q", F.explode("ids").alias("vec_id"), "score")
     near = near.withColumn("_place", F.row_number().over(Window.partitionBy("q").orderBy("score", "vec_id"))).filter(F.col("_place") <= 2 * most)
     near = near.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("near"))

@@ -65,3 +65,31 @@ def test_hash_is_the_nearest_signed_axis():
     assert np.allclose(np.linalg.norm(y, axis=1), 1, atol=1e-4)
     axes = np.concatenate([y, -y], 1)
     assert (hasher.ranked(x, 1, 5)[:, 0] == axes.argmax(1)).all()
+
+
+def test_rounds_and_blocks_lose_nothing(spark, monkeypatch):
+    """With every bucket probed, the rounds give the exact answer, ties in distance included."""
+    monkeypatch.setattr(ann, "probes_for", lambda hasher, *_: hasher.buckets)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.integers(-2, 3, (900, 6))) if v.any()]
+    rows += [(2000 + i, [float(i == j) for j in range(6)]) for i in range(6)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for use in (ann.Settings(), ann.Settings(bucket=10, growth=2, block=7, slice=3)):
+        assert answers(frame, every=50, use=use) == brute_force(rows, 50, 10)
+
+
+def test_a_round_lets_out_few_rows_whatever_it_looks_into():
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 16))
+    rows = pd.DataFrame({"class_id": range(3000), "first_id": range(3000), "v": list(x)})
+    queries = pd.DataFrame({"class_id": range(5), "v": list(x[:5]), "bound": np.inf})
+    first = ann._compare(queries, rows.iloc[:300], ann.Settings())
+    assert len(first) == 5 * 11
+    bounds = first.groupby("q")["score"].max()
+    later = ann._compare(queries.assign(bound=bounds.to_numpy()), rows.iloc[300:], ann.Settings())
+    assert len(later) <= 5 * 11 and (later["score"].to_numpy() <= bounds[later["q"]].to_numpy()).all()
+    # Equal distances do not add rows, and numbers whose squares overflow are compared all the same.
+    same = pd.DataFrame({"class_id": range(100), "first_id": range(100), "v": [[0.0, 1.0]] * 100})
+    assert ann._compare(pd.DataFrame({"class_id": [1], "v": [[1.0, 0.0]], "bound": [np.inf]}), same, ann.Settings())["class_id"].tolist() == list(range(11))
