@@ -4,8 +4,9 @@ A rolling hash over the hashes of neighbouring lines decides where chunks end,
 so an insertion moves only the boundaries next to it. Stronger boundaries (more
 zero bits) make longer chunks; the chunks of every strength are looked at, and
 single lines that are long enough. Besides, the shortest chunk with enough words
-is taken from every line on and up to every line, wherever boundaries lie: the
-chunks inside a run of shared lines then cover the run, whatever surrounds it. A
+is taken from every line with a word on and up to every such line, wherever
+boundaries lie: the chunks inside a run of shared lines then cover the run (but
+for blank lines at its ends), whatever surrounds it. A
 chunk that the corpus has before, by the SHA-256 of its bytes and that of its
 first occurrence, is cut out of the text.
 
@@ -71,60 +72,91 @@ def anchored(lines: list[bytes], total: np.ndarray, use: Settings) -> list[tuple
     return found
 
 
-def shortest(total: np.ndarray, least: int) -> set[tuple[int, int]]:
-    """The shortest chunk with enough words from every line on, and up to every line."""
-    ends = np.searchsorted(total, total[:-1] + least)
-    starts = np.searchsorted(total, total[1:] - least, "right") - 1
-    return {(a, b) for a, b in enumerate(ends.tolist()) if b < len(total)} | {(a, b) for b, a in enumerate(starts.tolist(), 1) if a >= 0}
+def shortest(total: np.ndarray, least: int) -> np.ndarray:
+    """(first line, one past the last), in order, of the shortest chunk with enough words from every line with a word on, and up to every such line."""
+    worded = np.flatnonzero(np.diff(total) > 0)
+    ends = np.searchsorted(total, total[worded] + least)
+    starts = np.searchsorted(total, total[worded + 1] - least, "right") - 1
+    pairs = np.concatenate([np.stack([worded, ends], 1)[ends < len(total)], np.stack([starts, worded + 1], 1)[starts >= 0]])
+    return _pairs(np.unique(_codes(pairs, len(total))), len(total))
 
 
-def spans(lines: list[bytes], use: Settings) -> list[tuple[int, int]]:
-    """(first line, one past the last) of every chunk with enough words."""
-    total = running_words(lines)
-    if total[-1] < use.least_words:
-        return []
-    found = anchored(lines, total, use)
-    return found + sorted(shortest(total, use.least_words).difference(found))
+def _codes(pairs: np.ndarray, size: int) -> np.ndarray:
+    return pairs[:, 0] * size + pairs[:, 1]
 
 
-def chunks_of(lines: list[bytes], use: Settings) -> list[tuple[int, int, int, bytes, bool]]:
-    """Hash, first line, one past the last, bytes of every chunk; and whether it is held against other texts only."""
+def _pairs(codes: np.ndarray, size: int) -> np.ndarray:
+    return np.stack(np.divmod(codes, size), 1)
+
+
+def _all_spans(lines: list[bytes], use: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Chunks by boundaries and long lines; and the shortest ones that are not among them."""
     total = running_words(lines)
     if total[-1] < use.least_words:
-        return []
+        return np.empty((0, 2), np.int64), np.empty((0, 2), np.int64)
+    found = np.array(anchored(lines, total, use), np.int64).reshape(-1, 2)
+    sliding = shortest(total, use.least_words)
+    return found, sliding[~np.isin(_codes(sliding, len(total)), _codes(found, len(total)))]
+
+
+def spans(lines: list[bytes], use: Settings) -> list[tuple[int, int]]:
+    """(first line, one past the last) of every chunk with enough words."""
+    return [(a, b) for some in _all_spans(lines, use) for a, b in some.tolist()]
+
+
+@dataclass
+class Chunks:
+    """Of one text: hash, lines and bytes (from, to) of every chunk; and whether it is held against other texts only. Bodies stay in the text."""
+
+    hashes: np.ndarray
+    lines: np.ndarray
+    bytes: np.ndarray
+    others_only: np.ndarray
 
-    def hashed(some):
-        bodies = [b"\n".join(lines[a:b]) for a, b in some]
-        return [(xxhash.xxh64_intdigest(x), a, b, x) for (a, b), x in zip(some, bodies)]
 
-    found = anchored(lines, total, use)
-    sliding = hashed(sorted(shortest(total, use.least_words).difference(found)))
-    reached, overlapping = {}, set()
-    for digest, a, b, _ in sliding:
-        if reached.get(digest, 0) > a:
-            overlapping.add(digest)
-        reached[digest] = b
-    return [(*x, False) for x in hashed(found)] + [(*x, x[0] in overlapping) for x in sliding]
+def chunks_of(text: bytes, use: Settings) -> Chunks:
+    lines = text.split(b"\n")
+    found, sliding = _all_spans(lines, use)
+    both = np.concatenate([found, sliding])
+    starts = np.append(0, np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1))
+    places = np.stack([starts[both[:, 0]], starts[both[:, 1]] - 1], 1)
+    view = memoryview(text)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(view[a:b]) for a, b in zip(places[:, 0].tolist(), places[:, 1].tolist())), np.uint64, len(both))
+    # Equal chunks are equally many lines, so of those in order only neighbours need a look.
+    own, first = hashes[len(found) :], sliding[:, 0]
+    order = np.lexsort((first, own))
+    near = (own[order[1:]] == own[order[:-1]]) & (first[order[1:]] < sliding[order[:-1], 1])
+    others_only = np.append(np.zeros(len(found), bool), np.isin(own, own[order[1:]][near]))
+    return Chunks(hashes, both, places, others_only)
 
 
 def _texts(batch: pa.RecordBatch, column: int):
-    return ((text or b"").split(b"\n") for text in batch.column(column).cast(pa.binary()).to_pylist())
+    return (text.as_buffer().to_pybytes() if text.is_valid else b"" for text in batch.column(column).cast(pa.binary()))
 
 
 def _repeated(docs: DataFrame, use: Settings) -> DataFrame:
     """``chunk`` (hash) of all chunks that occur again. Each text gives a hash once, as 2 if the text alone repeats it."""
 
     def run(batches):
+        held, size = [], 0
         for batch in batches:
-            chunks, times = [], []
-            for lines in _texts(batch, 0):
-                own = {}
-                for digest, _, _, _, others_only in chunks_of(lines, use):
-                    own[digest] = 2 if digest in own and not others_only else own.get(digest, 1)
-                chunks.extend(own)
-                times.extend(own.values())
-            chunks = pa.array(np.array(chunks, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([chunks, pa.array(times, pa.int64())], ["chunk", "n"])
+            for text in _texts(batch, 0):
+                own = chunks_of(text, use)
+                if not len(own.hashes):
+                    continue
+                chunks = np.unique(own.hashes)
+                alone, often = np.unique(own.hashes[~own.others_only], return_counts=True)
+                held.append((chunks, 1 + np.isin(chunks, alone[often > 1]).astype(np.int64)))
+                size += len(chunks)
+                if size >= 50_000:
+                    yield batch_of(held)
+                    held, size = [], 0
+        if held:
+            yield batch_of(held)
+
+    def batch_of(held):
+        chunks, times = map(np.concatenate, zip(*held))
+        return pa.RecordBatch.from_arrays([pa.array(chunks.view(np.int64)), pa.array(times)], ["chunk", "n"])
 
     counted = docs.select("text").mapInArrow(run, "chunk long, n long")
     return counted.groupBy("chunk").agg(F.sum("n").alias("n")).filter("n > 1").select("chunk")
@@ -137,14 +169,22 @@ def _chunks(docs: DataFrame, use: Settings, sieve) -> DataFrame:
         bits = np.frombuffer(sieve.value, np.uint64)
         for batch in batches:
             rows = []
-            for key, doc_id, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch, 2)):
-                for digest, a, b, body, others_only in chunks_of(lines, use):
-                    place = digest % use.sieve_bits
-                    if int(bits[place >> 6]) >> (place & 63) & 1:
-                        rows.append((digest - (digest >> 63 << 64), key, doc_id, a, b, others_only, hashlib.sha256(body).digest()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["chunk", "row_key", "doc_id", "first", "last", "others_only", "body"])
+            for key, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch, 2)):
+                own = chunks_of(text, use)
+                place = own.hashes % np.uint64(use.sieve_bits)
+                there = np.flatnonzero(bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
+                view = memoryview(text)
+                for digest, (first, last), (a, b), others_only in zip(own.hashes[there].view(np.int64).tolist(), own.lines[there].tolist(), own.bytes[there].tolist(), own.others_only[there].tolist()):
+                    rows.append((digest, key, doc_id, first, last, others_only, hashlib.sha256(view[a:b]).digest()))
+                    if len(rows) == 50_000:
+                        yield batch_of(rows)
+                        rows = []
+            yield batch_of(rows)
+
+    def batch_of(rows):
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "row_key", "doc_id", "first", "last", "others_only", "body"])
 
     schema = "chunk long, row_key long, doc_id long, first int, last int, others_only boolean, body binary"
     return docs.select("_key", F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

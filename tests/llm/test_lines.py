@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import xxhash
 
 from granary.llm import lines
 
@@ -82,3 +83,59 @@ def test_short_lines_repeated_inside_one_text(spark):
     found = run(spark, [(1, f"{passage}\nbetween\n{passage}"), (2, "y\n" * 300), (3, "y\n" * 70 + "end")])
     assert found[1]["text"] == f"{passage}\nbetween"
     assert found[2]["removed_lines"] == 0 and found[3]["text"] == "end"
+
+
+def own_chunks(lines, least):
+    """Without the operator's help: the shortest chunks from and up to each line with a word, and all lines between boundaries."""
+    words = [len(x.split()) for x in lines]
+    found = set()
+    for a in range(len(lines)):
+        for b in range(a + 1, len(lines) + 1):
+            if words[a] and sum(words[a:b]) >= least:
+                found.add((a, b))
+                break
+        for b in range(a, -1, -1):
+            if words[a] and sum(words[b : a + 1]) >= least:
+                found.add((b, a + 1))
+                break
+    strong = lines_module_strength(lines)
+    for level in range(4):
+        edges = [0, *(i + 1 for i in range(len(lines) - 1) if strong[i] >= level), len(lines)]
+        for a, b in zip(edges, edges[1:]):
+            if sum(words[a:b]) >= least and (level or b - a == 1):
+                found.add((a, b))
+    return found
+
+
+def lines_module_strength(own):
+    """Zero bits at the end of the rolling hash, by the method's definition in plain numbers."""
+    full, last, found = 1 << 64, 0, []
+    for x in own:
+        h = xxhash.xxh64_intdigest(x)
+        v = (last * 0x9E3779B97F4A7C15 + h) % full
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            v = (v ^ v >> 33) * factor % full
+        v ^= v >> 33
+        found.append((v & -v).bit_length() - 1 if v else 64)
+        last = h
+    return found
+
+
+def test_chunks_equal_a_plain_search():
+    rng = random.Random(12)
+    for n in (1, 2, 30, 120):
+        own = [" ".join("w" * rng.randrange(1, 4) for _ in range(rng.choice([0, 0, 1, 5, 12, 60]))).encode() for _ in range(n)]
+        assert set(lines.spans(own, lines.Settings())) == own_chunks(own, 50)
+
+
+def test_memory_follows_the_text():
+    import tracemalloc
+
+    blank = b"\n" * 100_000 + b" ".join(b"w%d" % i for i in range(60))
+    single = b"\n".join(b"word%d" % i for i in range(200_000))
+    for text, chunks in ((blank, 1), (single, 200_000 - 49)):
+        tracemalloc.start()
+        found = lines.chunks_of(text, lines.Settings())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found.hashes) >= chunks and peak < 100_000_000
