@@ -18,22 +18,22 @@ STATUSES = ("F", "O", "P")
 
 @query
 def customer_category(bed: Testbed) -> DataFrame:
-    return customers.customer_category(sales(bed), SILVER_FROM, GOLD_FROM)
+    return customers.customer_category(customers.customer_sales(sales(bed)), SILVER_FROM, GOLD_FROM)
 
 
 @query
 def sales_by_period(bed: Testbed) -> DataFrame:
-    return sales_plans.sales_by_period(sales(bed))
+    return sales_plans.sales_by_period(sales_plans.day_sales(sales(bed)))
 
 
 @query
 def ticket_by_customer(bed: Testbed) -> DataFrame:
-    return customers.ticket_by_customer(sales(bed))
+    return customers.ticket_by_customer(customers.customer_sales(sales(bed)))
 
 
 @query
 def ticket_by_category(bed: Testbed) -> DataFrame:
-    return product_plans.ticket_by_category(facts(bed), products(bed))
+    return product_plans.ticket_by_category(product_plans.category_sales(facts(bed), products(bed)))
 
 
 @query
@@ -43,22 +43,22 @@ def conversion_daily(bed: Testbed) -> DataFrame:
 
 @query
 def seasonality(bed: Testbed) -> DataFrame:
-    return sales_plans.seasonality(sales(bed))
+    return sales_plans.seasonality(sales_plans.month_sales(sales(bed)))
 
 
 @query
 def sales_trend(bed: Testbed) -> DataFrame:
-    return sales_plans.sales_trend(sales(bed))
+    return sales_plans.sales_trend(sales_plans.month_sales(sales(bed)))
 
 
 @query
 def rfm_segments(bed: Testbed) -> DataFrame:
-    return customers.rfm_segments(sales(bed), AS_OF)
+    return customers.rfm_segments(customers.customer_sales(sales(bed)), AS_OF)
 
 
 @query
 def customer_ltv(bed: Testbed) -> DataFrame:
-    return customers.customer_ltv(sales(bed))
+    return customers.customer_ltv(customers.customer_sales(sales(bed)))
 
 
 @query
@@ -79,45 +79,45 @@ def sales_by_segment(bed: Testbed) -> DataFrame:
         )
     )
     return customers.sales_by_segment(
-        sales(bed), described, ["segmento", "regiao", "genero", "faixa_etaria"]
+        customers.customer_sales(sales(bed)), described, ["segmento", "regiao", "genero", "faixa_etaria"]
     )
 
 
 @query
 def rank_in_category(bed: Testbed) -> DataFrame:
-    return product_plans.rank_in_category(facts(bed), products(bed))
+    return product_plans.rank_in_category(product_plans.product_sales(facts(bed)), products(bed))
 
 
 @query
 def margin_by_category(bed: Testbed) -> DataFrame:
-    return product_plans.margin_by_category(facts(bed), products(bed))
+    return product_plans.margin_by_category(product_plans.product_sales(facts(bed)), products(bed))
 
 
 @query
 def stock_turnover(bed: Testbed) -> DataFrame:
-    return product_plans.stock_turnover(facts(bed), products(bed), calendar(bed))
+    return product_plans.stock_turnover(product_plans.product_sales(facts(bed)), products(bed), calendar(bed))
 
 
 @query
 def supplier_metrics(bed: Testbed) -> DataFrame:
-    return product_plans.supplier_metrics(facts(bed), products(bed))
+    return product_plans.supplier_metrics(product_plans.product_sales(facts(bed)), products(bed))
 
 
 @query
 def regional_rollup(bed: Testbed) -> DataFrame:
-    return operations.regional_rollup(sales(bed), silver.dim_addresses(bed.enderecos()))
+    return operations.regional_rollup(operations.address_sales(sales(bed)), silver.dim_addresses(bed.enderecos()))
 
 
 @query
 def shipping_days(bed: Testbed) -> DataFrame:
-    return operations.shipping_days(facts(bed))
+    return operations.shipping_days(operations.shipping_histogram(facts(bed), "ano"), operations.yearly_freight(facts(bed)))
 
 
 @query
 def financials(bed: Testbed) -> DataFrame:
-    return sales_plans.financials(facts(bed))
+    return sales_plans.financials(sales_plans.month_amounts(facts(bed)))
 
 
 @query
 def payment_status_pivot(bed: Testbed) -> DataFrame:
-    return sales_plans.payment_status_pivot(sales(bed), STATUSES)
+    return sales_plans.payment_status_pivot(sales_plans.month_sales(sales(bed)), STATUSES)

@@ -7,6 +7,9 @@ what is read back.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +26,11 @@ from granary.catalogue.base import (
 )
 from granary.functions.scalars import nanos_to_timestamp as from_nanos
 from granary.operators.upsert import upsert
-from granary.plans import gold, incremental, silver, totals
+from granary.plans import gold, incremental, lattice, silver, stored_analyses, totals
 from granary.plans.arrivals import days_of, save_keys
 from granary.plans.incremental import FACT_PARTITIONS
 from granary.plans.jobs import Lake, Run, extract_job, silver_job
+from granary.plans.stored_analyses import Dimensions
 from granary.schemas import BRONZE, LONG, PARTITION_KEYS, TEXT, struct
 from granary.session import scratch_path
 from granary.sinks import versions
@@ -122,30 +126,33 @@ def deleted_sales(bed: Testbed) -> DataFrame:
     return VersionedTable(bed.spark, target.silver, "facts_vendas").read().select(*_declared_facts(bed).columns)
 
 
-def _stored_totals(bed: Testbed) -> totals.Totals:
-    """Totals after a first load and one that replaces, adds and removes sales in some days."""
+Stored = TypeVar("Stored")
+
+
+def _after_two_loads(bed: Testbed, fact: DataFrame, refresh: Callable[[str, VersionedTable], Stored]) -> Stored:
+    """What ``refresh`` stores after a first load and one that replaces, adds and removes sales in some months."""
     root = scratch_path(bed.spark, "totals")
     table, by_month = VersionedTable(bed.spark, root, "facts_vendas"), FACT_PARTITIONS[:2]
-    everything, _ = stage(_declared_facts(bed), "facts")
+    everything, _ = stage(fact, "facts")
     sale, moment = F.col("venda_id"), everything.schema["data_venda"].dataType
     # Sales of two years as they were: some missing, some with another total, some since deleted.
     recent = F.col("ano") >= TODAY.year - 1
     before = everything.filter(~recent | (sale % 3 != 0)).withColumn("total_venda", F.when(recent, F.col("total_venda") + 1).otherwise(F.col("total_venda")))
     gone = everything.filter(sale % 10 == 0).withColumns({"venda_id": -sale, "data_venda": F.lit(NOW).cast(moment), "ano": F.lit(2030)})
     versions.replace(table, before.unionByName(gone), NOW, by_month)
-    totals.refresh(bed.spark, root, table, NOW, incremental=True)
+    refresh(root, table)
     batch = everything.filter(recent)
     changed = batch.select("venda_id").union(gone.select("venda_id")).distinct()
     days = days_of(batch.select(*FACT_PARTITIONS).union(gone.select(*FACT_PARTITIONS)))
     draft, _ = incremental.load_facts(table, table.current(), batch, changed, days)
     draft.commit(NOW)
-    return totals.refresh(bed.spark, root, table, NOW, incremental=True)
+    return refresh(root, table)
 
 
 @query
 def gold_from_stored_totals(bed: Testbed) -> DataFrame:
     """Rows and revenue per day, product and customer, from totals of which only touched partitions were built again."""
-    stored = _stored_totals(bed)
+    stored = _after_two_loads(bed, _declared_facts(bed), lambda root, table: totals.refresh(bed.spark, root, table, NOW, incremental=True))
     parts = {"dia": (stored.per_day(), "dim_tempo_data"), "produto": (stored.per_product(), "produto_id"), "cliente": (stored.per_customer(), "cliente_id")}
     rows = [
         frame.select(F.lit(kind).alias("chave"), F.col(key).cast("string").alias("valor"), F.col("_rows").alias("linhas"), F.col("_items").alias("itens"), F.col("_value").alias("receita"))
@@ -154,6 +161,35 @@ def gold_from_stored_totals(bed: Testbed) -> DataFrame:
     return rows[0].union(rows[1]).union(rows[2])
 
 
+@query
+def analyses_from_stored_totals(bed: Testbed) -> DataFrame:
+    """Seven analyses from stored totals of which only touched partitions were built again; each row's key, count and amount."""
+    goods = products(bed)
+    stored = _after_two_loads(bed, facts(bed), lambda root, table: lattice.refresh(bed.spark, root, table, goods, NOW, incremental=True))
+    addresses = silver.dim_addresses(bed.enderecos())
+    of = Dimensions(goods, customers(bed), addresses, calendar(bed))
+    build, nothing = stored_analyses.tables(stored, of, AS_OF), F.lit(None)
+    columns = {
+        "vendas_por_periodo": (("periodo", "inicio"), F.col("vendas"), F.col("receita")),
+        "valor_vida_clientes": (("cliente_id", "meses_ativos"), F.col("vendas"), F.col("valor_projetado")),
+        "ticket_categorias": (("categoria_id", "categoria_nome"), F.col("vendas"), F.col("ticket_medio")),
+        "margem_categorias": (("categoria_id",), nothing, F.col("margem")),
+        "vendas_por_regiao": (("nivel", "estado", "cidade"), F.col("vendas"), F.col("receita")),
+        "prazos_envio": (("ano",), F.col("envios"), F.col("participacao_frete")),
+        "resultado_financeiro": (("ano", "mes"), nothing, F.col("receita_liquida")),
+    }
+    parts = [
+        build[name]().select(
+            F.lit(name).alias("analise"),
+            F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("chave"),
+            count.cast("long").alias("vendas"),
+            amount.cast("double").alias("valor"),
+        )
+        for name, (keys, count, amount) in columns.items()
+    ]
+    return functools.reduce(DataFrame.union, parts)
+
+
 @query
 def read_bronze(bed: Testbed) -> DataFrame:
     """Two extracts, nanosecond moments, whole-number money; only the second has a column ``canal``."""

@@ -1,4 +1,4 @@
-"""Who buys, how often, and for how much. ``sales`` is the fact at sale grain."""
+"""Who buys, how often, and for how much. ``buyers`` has one row per customer, see :func:`customer_sales`."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ AGE_BANDS = (25, 35, 45, 55)
 
 
 def customer_sales(sales: DataFrame) -> DataFrame:
-    """One row per customer: sales, revenue, first and last sale."""
+    """One row per customer: sales, revenue, first and last sale. ``sales`` is the fact at sale grain."""
     return (
         sales
         .groupBy(F.col("dim_cliente_id").alias("cliente_id"))
@@ -31,7 +31,7 @@ def customer_sales(sales: DataFrame) -> DataFrame:
     )
 
 
-def customer_category(sales: DataFrame, silver_from: float, gold_from: float) -> DataFrame:
+def customer_category(buyers: DataFrame, silver_from: float, gold_from: float) -> DataFrame:
     """Spend bands: bronze below ``silver_from``, gold from ``gold_from`` on."""
     spend = F.col("receita")
     band = (
@@ -39,15 +39,15 @@ def customer_category(sales: DataFrame, silver_from: float, gold_from: float) ->
         .when(spend >= silver_from, F.lit("prata"))
         .otherwise(F.lit("bronze"))
     )
-    return customer_sales(sales).select("cliente_id", "vendas", "receita", band.alias("categoria_cliente"))
+    return buyers.select("cliente_id", "vendas", "receita", band.alias("categoria_cliente"))
 
 
-def ticket_by_customer(sales: DataFrame) -> DataFrame:
+def ticket_by_customer(buyers: DataFrame) -> DataFrame:
     mean = rounded_mean(F.col("receita"), F.col("vendas"), True)
-    return customer_sales(sales).select("cliente_id", "vendas", "receita", mean.alias("ticket_medio"))
+    return buyers.select("cliente_id", "vendas", "receita", mean.alias("ticket_medio"))
 
 
-def customer_ltv(sales: DataFrame, horizon_months: int = 12) -> DataFrame:
+def customer_ltv(buyers: DataFrame, horizon_months: int = 12) -> DataFrame:
     """Lifetime value: mean sale times sales per month times months.
 
     ``valor_historico`` takes the customer's active months, first to last sale
@@ -56,7 +56,7 @@ def customer_ltv(sales: DataFrame, horizon_months: int = 12) -> DataFrame:
     months = month_index(F.col("ultima_venda")) - month_index(F.col("primeira_venda")) + 1
     per_month = F.col("vendas").cast("double") / F.col("meses_ativos")
     return (
-        customer_sales(sales)
+        buyers
         .withColumn("meses_ativos", months)
         .select(
             "cliente_id",
@@ -78,7 +78,7 @@ def _score(value: Column, limits: Sequence[float], best_is_low: bool) -> Column:
     return (5 - above) if best_is_low else (1 + above)
 
 
-def rfm_segments(sales: DataFrame, as_of: dt.date) -> DataFrame:
+def rfm_segments(buyers: DataFrame, as_of: dt.date) -> DataFrame:
     """Recency, frequency and spend scores, and the segment they put a customer in.
 
     Customers are written out once, because the limits and the scores both read
@@ -87,7 +87,7 @@ def rfm_segments(sales: DataFrame, as_of: dt.date) -> DataFrame:
     """
     measures = ("recencia", "frequencia", "valor")
     people, _ = stage(
-        customer_sales(sales).select(
+        buyers.select(
             "cliente_id",
             F.date_diff(F.lit(as_of), F.to_date("ultima_venda")).alias("recencia"),
             F.col("vendas").alias("frequencia"),
@@ -140,14 +140,14 @@ def main_address(addresses: DataFrame) -> DataFrame:
 
 
 def sales_by_segment(
-    sales: DataFrame, people: DataFrame, attributes: Sequence[str]
+    buyers: DataFrame, people: DataFrame, attributes: Sequence[str]
 ) -> DataFrame:
     """Customers, sales and revenue per value of each attribute.
 
     ``people`` has one row per ``cliente_id`` with the attributes as text. All
     attributes are grouped in one pass over customers, not over sales.
     """
-    joined = customer_sales(sales).join(people.select("cliente_id", *attributes), "cliente_id")
+    joined = buyers.join(people.select("cliente_id", *attributes), "cliente_id")
     long = joined.select("vendas", "receita", *attributes).unpivot(
         ["vendas", "receita"], list(attributes), "dimensao", "grupo"
     )

@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from granary.functions.money import rounded_mean
 
 
-def regional_rollup(sales: DataFrame, addresses: DataFrame) -> DataFrame:
+def address_sales(sales: DataFrame) -> DataFrame:
+    """One row per address of delivery."""
+    return sales.groupBy(F.col("dim_endereco_id").alias("endereco_id")).agg(
+        F.count("*").alias("vendas"), F.sum("total_venda").alias("receita")
+    )
+
+
+def regional_rollup(per_address: DataFrame, addresses: DataFrame) -> DataFrame:
     """Sales and revenue by state and city of delivery, with subtotals and a total.
 
     ``nivel`` is 0 for a city, 1 for a state, 3 for everything. The rollup
     expands cities, not sales.
     """
-    per_address = (
-        sales.groupBy(F.col("dim_endereco_id").alias("endereco_id"))
-        .agg(F.count("*").alias("vendas"), F.sum("total_venda").alias("receita"))
-    )
     per_city = (
         per_address.join(
             addresses.select(
@@ -37,23 +40,27 @@ def regional_rollup(sales: DataFrame, addresses: DataFrame) -> DataFrame:
     )
 
 
-def shipping_days(facts: DataFrame, shipped: str = "data_envio") -> DataFrame:
+def shipping_histogram(facts: DataFrame, *keys: str, shipped: str = "data_envio") -> DataFrame:
+    """Lines per number of days from sale to shipment, and ``keys``."""
+    days = F.date_diff(F.to_date(shipped), F.col("dim_tempo_data"))
+    return facts.groupBy(*keys, days.alias("dias")).agg(F.count("*").alias("linhas"))
+
+
+def yearly_freight(facts: DataFrame) -> DataFrame:
+    """Freight and total of the sales of a year; a sale counts once, however many lines it has."""
+    per_sale = facts.groupBy("ano", "venda_id").agg(F.max("frete").alias("frete"), F.max("total_venda").alias("total"))
+    return per_sale.groupBy("ano").agg(F.sum("frete").alias("frete"), F.sum("total").alias("receita"))
+
+
+def shipping_days(histogram: DataFrame, freight: DataFrame) -> DataFrame:
     """Days from sale to shipment per year of sale.
 
     Lines that were shipped before they were sold are counted as invalid and
     left out of mean and quantiles. Quantiles are taken from the number of
     lines per day count, which is bounded by the days of the covered period,
     and given to six digits, because interpolation leaves noise beyond.
-    Freight and total of a sale count once, however many lines it has.
     """
-    days = F.date_diff(F.to_date(shipped), F.col("dim_tempo_data"))
-    histogram = facts.groupBy("ano", days.alias("dias")).agg(
-        F.count("*").alias("linhas")
-    )
-    per_sale = facts.groupBy("ano", "venda_id").agg(F.max("frete").alias("frete"), F.max("total_venda").alias("total"))
-    freight = per_sale.groupBy("ano").agg(
-        F.sum("frete").cast("double").alias("_freight"), F.sum("total").cast("double").alias("_total")
-    )
+    freight = freight.select("ano", F.col("frete").cast("double").alias("_freight"), F.col("receita").cast("double").alias("_total"))
     valid = F.col("dias") >= 0
     lines = F.sum(F.when(valid, F.col("linhas")))
     quantiles = F.percentile(

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.money import rounded_mean
 from granary.sinks.lake import stage
 
 
-def product_sales(facts: DataFrame) -> DataFrame:
-    """One row per product. Everything below joins this, never the fact itself."""
-    return facts.groupBy(F.col("dim_produto_id").alias("produto_id")).agg(
+def line_sums() -> list[Column]:
+    return [
         F.sum("quantidade").alias("quantidade"),
         F.sum("subtotal").alias("receita"),
         F.sum(F.col("preco_unitario") * F.col("quantidade")).alias("valor_vendido"),
         F.count("*").alias("linhas"),
-    )
+    ]
 
 
-def rank_in_category(facts: DataFrame, products: DataFrame, top: int = 10) -> DataFrame:
+def product_sales(facts: DataFrame) -> DataFrame:
+    """One row per product, ``sold`` in what follows. Products are joined to this, never to the fact itself."""
+    return facts.groupBy(F.col("dim_produto_id").alias("produto_id")).agg(*line_sums())
+
+
+def rank_in_category(sold: DataFrame, products: DataFrame, top: int = 10) -> DataFrame:
     """Best sellers by quantity in each category.
 
     Spark keeps only ``top`` rows per category and task before the shuffle, so
@@ -27,7 +31,7 @@ def rank_in_category(facts: DataFrame, products: DataFrame, top: int = 10) -> Da
     """
     best_first = Window.partitionBy("categoria_id").orderBy(F.desc("quantidade"), "produto_id")
     return (
-        product_sales(facts)
+        sold
         .join(products.select("produto_id", "produto_nome", "categoria_id", "categoria_nome"), "produto_id")
         .withColumn("posicao", F.row_number().over(best_first))
         .filter(F.col("posicao") <= top)
@@ -38,28 +42,31 @@ def rank_in_category(facts: DataFrame, products: DataFrame, top: int = 10) -> Da
     )
 
 
-def ticket_by_category(facts: DataFrame, products: DataFrame) -> DataFrame:
-    """Mean spend per sale and category, over the sales that have the category.
+def category_sales(facts: DataFrame, products: DataFrame, *keys: str) -> DataFrame:
+    """Sales that have a category, and what they spend in it, per category and ``keys`` of the fact.
 
     Sales per category cannot be added up from products, so the lines are
     joined, once for both measures.
     """
-    kinds = products.select("produto_id", "categoria_id", "categoria_nome")
     return (
         facts.withColumnRenamed("dim_produto_id", "produto_id")
-        .join(kinds, "produto_id")
-        .groupBy("categoria_id", "categoria_nome")
+        .join(products.select("produto_id", "categoria_id", "categoria_nome"), "produto_id")
+        .groupBy(*keys, "categoria_id", "categoria_nome")
         .agg(
             F.count_distinct("venda_id").alias("vendas"),
             F.sum("subtotal").alias("receita"),
         )
-        .withColumn("ticket_medio", rounded_mean(F.col("receita"), F.col("vendas"), True))
     )
 
 
-def margin_by_category(facts: DataFrame, products: DataFrame) -> DataFrame:
+def ticket_by_category(per_category: DataFrame) -> DataFrame:
+    """Mean spend per sale and category, over the sales that have the category."""
+    return per_category.withColumn("ticket_medio", rounded_mean(F.col("receita"), F.col("vendas"), True))
+
+
+def margin_by_category(sold: DataFrame, products: DataFrame) -> DataFrame:
     """Sold value less cost, and its share of the sold value."""
-    costed = product_sales(facts).join(
+    costed = sold.join(
         products.select("produto_id", "categoria_id", "categoria_nome", "produto_custo"), "produto_id"
     )
     summed = costed.groupBy("categoria_id", "categoria_nome").agg(
@@ -73,18 +80,18 @@ def margin_by_category(facts: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def stock_turnover(facts: DataFrame, products: DataFrame, calendar: DataFrame) -> DataFrame:
+def stock_turnover(sold: DataFrame, products: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sold quantity over stock, and the days the stock lasts at the rate sold.
 
     The period is that of the calendar dimension. Products never sold stay,
     with zero sold. No stock means no turnover; nothing sold, no cover.
     """
     days = calendar.agg((F.date_diff(F.max("data"), F.min("data")) + 1).alias("d")).scalar()
-    sold = product_sales(facts).select("produto_id", F.col("quantidade").alias("vendido"))
+    quantities = sold.select("produto_id", F.col("quantidade").alias("vendido"))
     stock = F.col("estoque").cast("double")
     return (
         products.select("produto_id", F.col("produto_quantidade_estoque").alias("estoque"))
-        .join(sold, "produto_id", "left")
+        .join(quantities, "produto_id", "left")
         .select(
             "produto_id",
             "estoque",
@@ -99,10 +106,10 @@ def stock_turnover(facts: DataFrame, products: DataFrame, calendar: DataFrame) -
     )
 
 
-def supplier_metrics(facts: DataFrame, products: DataFrame) -> DataFrame:
+def supplier_metrics(sold: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, lines, products and revenue share per supplier; unknown ones as NULL."""
     per_supplier, _ = stage(
-        product_sales(facts)
+        sold
         .join(products.select("produto_id", "fornecedor_id", "fornecedor_nome"), "produto_id")
         .groupBy("fornecedor_id", "fornecedor_nome")
         .agg(

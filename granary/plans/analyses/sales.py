@@ -1,16 +1,17 @@
-"""Sales over time. ``sales`` is the fact at sale grain, ``facts`` at line grain."""
+"""Sales over time. ``sales`` is the fact at sale grain, ``facts`` at line grain; the analyses take their reductions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.money import rounded_mean, rounded_quotient
 
 
-def _daily(sales: DataFrame) -> DataFrame:
+def day_sales(sales: DataFrame) -> DataFrame:
+    """One row per day: sales, revenue, items."""
     return (
         sales
         .groupBy(F.col("dim_tempo_data").alias("dia"))
@@ -22,14 +23,10 @@ def _daily(sales: DataFrame) -> DataFrame:
     )
 
 
-def sales_by_period(sales: DataFrame) -> DataFrame:
-    """Sales, revenue and items per day, ISO week, month and year.
-
-    Sales are read once and reduced to days; the four groupings then expand
-    days, not sales.
-    """
+def sales_by_period(days: DataFrame) -> DataFrame:
+    """Sales, revenue and items per day, ISO week, month and year. The four groupings expand days, not sales."""
     grains = {"dia": "day", "semana": "week", "mes": "month", "ano": "year"}
-    daily = _daily(sales).withColumns(
+    daily = days.withColumns(
         {name: F.trunc("dia", unit) for name, unit in grains.items() if name != "dia"}
     )
     grouped = daily.groupingSets([[F.col(g)] for g in grains], *grains).agg(
@@ -43,22 +40,27 @@ def sales_by_period(sales: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue(sales: DataFrame) -> DataFrame:
+def month_sales(sales: DataFrame) -> DataFrame:
+    """Revenue per calendar month and payment status."""
+    return sales.groupBy("ano", "mes", "status_pagamento").agg(F.sum("total_venda").alias("receita"))
+
+
+def monthly_revenue(months: DataFrame) -> DataFrame:
     """Revenue per calendar month, with a month number that grows by one each month."""
     return (
-        sales
+        months
         .groupBy("ano", "mes")
-        .agg(F.sum("total_venda").alias("receita"))
+        .agg(F.sum("receita").alias("receita"))
         .withColumn("_month", F.col("ano") * 12 + F.col("mes"))
     )
 
 
-def seasonality(sales: DataFrame) -> DataFrame:
+def seasonality(months: DataFrame) -> DataFrame:
     """Per month of the year: mean monthly revenue against the mean of all months.
 
     The window without keys spans calendar months, twelve rows per year.
     """
-    months = monthly_revenue(sales)
+    months = monthly_revenue(months)
     everything = Window.partitionBy()
     overall = months.withColumns(
         {"_all": F.sum("receita").over(everything), "_count": F.count("*").over(everything)}
@@ -74,13 +76,13 @@ def seasonality(sales: DataFrame) -> DataFrame:
     )
 
 
-def sales_trend(sales: DataFrame) -> DataFrame:
+def sales_trend(months: DataFrame) -> DataFrame:
     """Monthly revenue, its change on the month and year before, and a three-month mean.
 
     Distances are calendar months: a month without sales is a gap, not the
     month before. The window spans calendar months, twelve rows per year.
     """
-    months = monthly_revenue(sales)
+    months = monthly_revenue(months)
     by_month = Window.orderBy("_month")
     current = F.col("receita").cast("double")
 
@@ -118,36 +120,36 @@ def conversion_daily(events: DataFrame, time: str, user: str, kind: str) -> Data
     return counted.withColumn("taxa_conversao", F.when(F.col("visitantes") > 0, ratio))
 
 
-def payment_status_pivot(sales: DataFrame, statuses: Sequence[str]) -> DataFrame:
+def payment_status_pivot(months: DataFrame, statuses: Sequence[str]) -> DataFrame:
     """Monthly revenue, one column per payment status.
 
     The statuses are given, so no extra pass looks for them and one conditional
     sum each is enough.
     """
-    return sales.groupBy("ano", "mes").agg(
+    return months.groupBy("ano", "mes").agg(
         *[
-            F.sum(F.when(F.col("status_pagamento") == s, F.col("total_venda"))).alias(f"receita_{s.lower()}")
+            F.sum(F.when(F.col("status_pagamento") == s, F.col("receita"))).alias(f"receita_{s.lower()}")
             for s in statuses
         ]
     )
 
 
-def financials(facts: DataFrame) -> DataFrame:
-    """Gross, discount, tax and net revenue per month, from line subtotals.
-
-    Discount and tax are rates per line; tax is on the discounted amount. Sums
-    are exact and rounded once.
-    """
+def amounts() -> list[Column]:
+    """Sums of gross amount, discount and tax of lines. Discount and tax are rates per line; tax is on the discounted amount."""
     gross = F.col("subtotal").cast("decimal(18,2)")
     discount = gross * F.col("desconto")
     tax = (gross - discount) * F.col("imposto")
+    return [F.sum(gross).alias("_gross"), F.sum(discount).alias("_discount"), F.sum(tax).alias("_tax")]
+
+
+def month_amounts(facts: DataFrame) -> DataFrame:
+    return facts.groupBy("ano", "mes").agg(*amounts())
+
+
+def financials(amounts: DataFrame) -> DataFrame:
+    """Gross, discount, tax and net revenue per month, from line subtotals. Sums are exact and rounded once."""
     return (
-        facts.groupBy("ano", "mes")
-        .agg(
-            F.sum(gross).alias("_gross"),
-            F.sum(discount).alias("_discount"),
-            F.sum(tax).alias("_tax"),
-        )
+        amounts
         .select(
             "ano",
             "mes",

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from granary.functions.scalars import with_run_metadata
 from granary.operators.dedup import latest_by_key
-from granary.plans import gold, incremental, rules, silver
+from granary.plans import gold, incremental, lattice, rules, silver, stored_analyses
 from granary.plans.arrivals import VANISHED, Arrivals, changed_sales, days_of, key_table, line_marks, next_state, save_keys, staged
 from granary.plans.incremental import FACT_PARTITIONS
+from granary.plans.stored_analyses import Dimensions, Limits
 from granary.plans.totals import refresh
 from granary.schemas import BRONZE, PARTITION_KEYS
 from granary.session import configure
@@ -423,6 +424,37 @@ def gold_job(
     return results
 
 
+def analyses_job(spark: SparkSession, lake: Lake, run: Run, limits: Limits = Limits()) -> list[WriteResult]:
+    """Store the analyses of sales, customers, products and regions as gold tables.
+
+    All are added up from the stored totals of ``lattice``, so the fact is read
+    once for each of its four tables, however many analyses there are; an
+    incremental run reads the days only that were written since. Each analysis
+    covers all days and is replaced whole, in one step.
+    """
+    configure(spark)
+
+    def silver_table(name: str) -> DataFrame:
+        return read_layer_table(spark, lake.silver_database, name)
+
+    goods = silver_table("dim_produtos")
+    dimensions = Dimensions(goods, silver_table("dim_clientes"), silver_table("dim_enderecos"), silver_table("dim_tempo"))
+    stored = lattice.refresh(spark, lake.gold, VersionedTable(spark, lake.silver, "facts_vendas"), goods, run.now, run.incremental)
+
+    def save(name: str, build: Callable[[], DataFrame]) -> WriteResult:
+        table = VersionedTable(spark, lake.gold, name)
+        result = versions.replace(table, with_run_metadata(build(), "gold", run.execution_date, run.triggered_by), run.now)
+        if table.current():
+            table.publish(lake.gold_database)
+        return result
+
+    builders = stored_analyses.tables(stored, dimensions, run.now.date(), limits)
+    results, errors = _each("analyses", {name: functools.partial(save, name, build) for name, build in builders.items()})
+    if errors:
+        raise TablesFailed("analyses", errors, results)
+    return results
+
+
 def _year(part: str) -> int | None:
     value = part.split("/")[0].removeprefix("ano=")
     return int(value) if value.lstrip("-").isdigit() else None

@@ -192,18 +192,19 @@ def sales_with_lines(
     )
 
 
-def sales_from_facts(facts: DataFrame) -> DataFrame:
+def sales_from_facts(facts: DataFrame, *apart: str) -> DataFrame:
     """The same as :func:`sales_with_lines`, from a stored fact.
 
     Header values are equal on all lines of a sale, so a maximum reads them
-    off; unlike ``first`` it does not depend on row order.
+    off; unlike ``first`` it does not depend on row order. Lines that differ in
+    ``apart`` are kept apart even if they name the same sale.
     """
     header = (
         "total_venda", "frete", "dim_cliente_id", "dim_endereco_id", "data_venda",
         "dim_tempo_data", "ano", "mes", "status_pagamento",
     )
-    return facts.groupBy("venda_id").agg(
-        *[F.max(c).alias(c) for c in header],
+    return facts.groupBy("venda_id", *apart).agg(
+        *[F.max(c).alias(c) for c in header if c not in apart],
         F.sum("quantidade").alias("quantidade"),
         F.count("*").alias("linhas"),
     )

@@ -11,6 +11,7 @@ Whatever a gold table needs beyond that is a sum over stored rows.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -53,24 +54,42 @@ class Totals:
         return gold.added_up(self.customers, "cliente_id")
 
 
+def bring_up(
+    spark: SparkSession,
+    root: str,
+    facts: VersionedTable,
+    at: dt.datetime,
+    incremental: bool,
+    name: str,
+    build: Callable[[DataFrame], DataFrame],
+    depends: str | None = None,
+) -> DataFrame:
+    """One stored table, brought up to the fact's newest version.
+
+    ``build`` reduces the fact, or some of its partitions, to rows that keep the
+    partitions apart. ``depends`` stands for whatever else ``build`` reads; if
+    it is not what it was, or new columns of the fact give the table new columns,
+    all partitions are built again.
+    """
+    table = VersionedTable(spark, root, name)
+    base, version = table.current(), facts.current()
+    if version is None:
+        return build(spark.createDataFrame([], SILVER["facts_vendas"]))
+    seen = facts.version(base.notes["facts"]) if base else None
+    notes = {"facts": version.number, "depends": depends}
+    columns = set(build(spark.createDataFrame([], version.schema)).columns)
+    same = base is not None and (base.partition_by, base.notes.get("depends")) == (version.partition_by, depends) and columns <= set(base.schema.names)
+    if incremental and seen and same:
+        written, gone = changed_parts(seen, version)
+        if not written and not gone:
+            return table.read(base)
+        draft = table.write(build(facts.read(version, written)), version.partition_by, base=base, replaced=written | gone)
+    else:
+        draft = table.write(build(facts.read(version)), version.partition_by, base=base)
+    return table.read(draft.commit(at, notes))
+
+
 def refresh(spark: SparkSession, gold_root: str, facts: VersionedTable, at: dt.datetime, incremental: bool) -> Totals:
     """Bring both tables up to the fact's newest version and return them."""
-    empty = spark.createDataFrame([], SILVER["facts_vendas"])
-    version = facts.current()
-
-    def one(name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        table = VersionedTable(spark, f"{gold_root}/_totals", name)
-        base = table.current()
-        seen = facts.version(base.notes["facts"]) if base and version else None
-        if version is None:
-            return build(empty)
-        if incremental and seen and base.partition_by == version.partition_by:
-            written, gone = changed_parts(seen, version)
-            if not written and not gone:
-                return table.read(base)
-            draft = table.write(build(facts.read(version, written)), version.partition_by, base=base, replaced=written | gone)
-        else:
-            draft = table.write(build(facts.read(version)), version.partition_by, base=base)
-        return table.read(draft.commit(at, {"facts": version.number}))
-
-    return Totals(one("products", product_days), one("customers", customer_days))
+    bring = functools.partial(bring_up, spark, f"{gold_root}/_totals", facts, at, incremental)
+    return Totals(bring("products", product_days), bring("customers", customer_days))

@@ -1,5 +1,6 @@
 """Reading, writing and incremental loading."""
 
+from oracle.analyses import SQL as ANALYSES
 from oracle.lake_tables import FACT_COLUMNS
 from oracle.lake_tables import SQL as TABLES
 from oracle.pieces import FACTS, PRODUCTS, money_sum
@@ -21,6 +22,10 @@ def _extracted(table: str, rows: str, source: str) -> str:
 def _created(days: str) -> str:
     return f"WHERE DATE '1995-01-01' + CAST({days} AS INT) = DATE '1996-03-15'"
 
+def _stored(name: str, query: str, keys: tuple[str, ...], count: str, amount: str) -> str:
+    key = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"""SELECT '{name}' AS analise, concat_ws('|', {key}) AS chave, CAST({count} AS BIGINT) AS vendas,
+  CAST({amount} AS DOUBLE) AS valor FROM ({ANALYSES[query]})"""
 
 
 SQL = {
@@ -42,6 +47,17 @@ SELECT '{kind}' AS chave, CAST({column} AS VARCHAR) AS valor, count(*) AS linhas
 FROM facts GROUP BY 2"""
         for kind, column in (("dia", "CAST(data_venda AS DATE)"), ("produto", "dim_produto_id"), ("cliente", "dim_cliente_id"))
     ),
+    "analyses_from_stored_totals": "\nUNION ALL ".join(
+        [
+            _stored("vendas_por_periodo", "sales_by_period", ("periodo", "inicio"), "vendas", "receita"),
+            _stored("valor_vida_clientes", "customer_ltv", ("cliente_id", "meses_ativos"), "vendas", "valor_projetado"),
+            _stored("ticket_categorias", "ticket_by_category", ("categoria_id", "categoria_nome"), "vendas", "ticket_medio"),
+            _stored("margem_categorias", "margin_by_category", ("categoria_id",), "NULL", "margem"),
+            _stored("vendas_por_regiao", "regional_rollup", ("nivel", "estado", "cidade"), "vendas", "receita"),
+            _stored("prazos_envio", "shipping_days", ("ano",), "envios", "participacao_frete"),
+            _stored("resultado_financeiro", "financials", ("ano", "mes"), "NULL", "receita_liquida"),
+        ]
+    ),
     "read_bronze": SALES_COLUMNS.replace(
         " FROM orders", ", CASE WHEN o_orderkey % 2 <> 0 THEN 'web' END AS canal FROM orders"
     ),

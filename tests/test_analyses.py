@@ -1,0 +1,165 @@
+"""The analyses as stored tables."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from granary.plans import lattice, stored_analyses
+from granary.plans.analyses import customers, operations, products, sales
+from granary.plans.jobs import TablesFailed, analyses_job, run_layers, silver_job
+from granary.plans.stored_analyses import Dimensions, Limits
+from granary.schemas import SILVER
+from granary.sinks import versions
+from granary.sinks.lake import write_bronze
+from granary.sinks.versions import VersionedTable
+from granary.sources.lake import read_layer_table
+from granary.sources.relational import SOURCE_TABLES
+from tests.rows import values
+from tests.test_jobs import D1, D2, D3, Source, extracted, fresh, line, run, sale
+
+KEYS = ("ano", "mes", "dia")
+METADATA = ("gold_created_at", "gold_execution_date", "triggered_by")
+
+
+def stored(spark, lake):
+    """All stored analyses, without the columns that tell when they were made."""
+    names = [p.name for p in (VersionedTable(spark, lake.gold, n) for n in NAMES) if p.current()]
+    return {n: values(VersionedTable(spark, lake.gold, n).read().drop(*METADATA), *sorted(set(VersionedTable(spark, lake.gold, n).read().columns) - set(METADATA))) for n in names}
+
+
+NAMES = (
+    "categoria_clientes", "ticket_clientes", "valor_vida_clientes", "segmentos_rfm", "vendas_por_segmento", "vendas_por_periodo",
+    "sazonalidade", "tendencia_vendas", "receita_por_status", "ranking_por_categoria", "ticket_categorias", "margem_categorias",
+    "giro_estoque", "metricas_fornecedores", "vendas_por_regiao",
+)
+
+
+def spied(patch):
+    read, original = [], VersionedTable.read
+
+    def spy(self, version=None, parts=None):
+        if self.name == "facts_vendas":
+            read.append(parts)
+        return original(self, version, parts)
+
+    patch.setattr(VersionedTable, "read", spy)
+    return read
+
+
+def test_incremental_analyses_read_touched_days_only_and_equal_a_full_run(spark, tmp_path):
+    """A late sale, a sale that moves to another day, a changed line, a deleted sale; then nothing; then a product of another category."""
+    lines = [line(i, 1 + i // 2, produto_id=1 + i % 2) for i in range(2, 14)]
+    before = [sale(1, D1), sale(2, D1, 50), sale(3, D2), sale(4, D2, 3000, cliente_id=2), sale(5, D3), sale(6, D3), sale(7, dt.date(2024, 5, 5))]
+    after = [sale(1, D1), sale(2, D1, 50), sale(3, D3), sale(4, D2, 3000, cliente_id=2), sale(6, D3), sale(7, dt.date(2024, 5, 5)), sale(8, D2, 70, status_pagamento="x")]
+    changed = [line(2, 2, produto_id=2, quantidade=9), *lines[1:], line(99, 8)]
+
+    lake = fresh(tmp_path, "split")
+    extracted(spark, lake, D1, before, lines)
+    run_layers(spark, lake, run(D1, True))
+    limits = Limits(statuses=("pago", "x"))
+    assert {r.table for r in analyses_job(spark, lake, run(D1, True), limits)} == set(NAMES)
+    extracted(spark, lake, D2, [after[2], after[6]], changed, after)
+    silver_job(spark, lake, run(D2, True))
+    with pytest.MonkeyPatch.context() as patch:
+        read = spied(patch)
+        analyses_job(spark, lake, run(D2, True), limits)
+        # One pass for each stored table, over days of January 2025 only.
+        assert len(read) == 3 and all(p and all(x.startswith("ano=2025/mes=1/") for x in p) for p in read)
+        whole = fresh(tmp_path, "whole")
+        extracted(spark, whole, D2, after, changed)
+        run_layers(spark, whole, run(D2))
+        analyses_job(spark, whole, run(D2), limits)
+        assert stored(spark, lake) == stored(spark, whole)
+        read.clear()
+        analyses_job(spark, lake, run(D2, True), limits)
+        assert read == [] and stored(spark, lake) == stored(spark, whole)
+
+        # Days add up to sales per category only while products keep their categories.
+        moved = Source(spark, produtos=[{"categoria_id": 1}, {"categoria_id": 2, "preco": 20}], categorias=[{}, {"nome": "d"}])
+        for name in ("produtos", "categorias"):
+            write_bronze(moved(next(t for t in SOURCE_TABLES if t.name == name)), lake.bronze, name, day=D3)
+        silver_job(spark, lake, run(D3, True), only=("dim_produtos", "dim_categorias"))
+        read.clear()
+        analyses_job(spark, lake, run(D3, True), limits)
+        assert read == [None]
+    # Sales 3, 4, 6, 7 have both products; sale 2 only the second by now, sale 8 only the first; sale 5 is gone.
+    assert [r[:2] for r in values(spark.table(f"{lake.gold_database}.ticket_categorias"), "categoria_id", "vendas")] == [(1, 5), (2, 5)]
+
+
+def test_stored_totals_give_what_the_fact_gives(spark, bed, tmp_path):
+    """Every reduction, from totals of a fact that came in two parts."""
+    from granary.catalogue import base
+
+    facts, goods = base.facts(bed), base.products(bed)
+    root, table = str(tmp_path), VersionedTable(spark, str(tmp_path), "facts_vendas")
+    at = dt.datetime(2001, 1, 1)
+    versions.replace(table, facts.filter("mes <= 6"), at, KEYS[:2])
+    lattice.refresh(spark, root, table, goods, at, incremental=True)
+    rest = facts.filter("mes > 6")
+    parts = [f"ano={r[0]}/mes={r[1]}" for r in rest.select("ano", "mes").distinct().collect()]
+    versions.replace(table, rest, at, KEYS[:2], replaced=parts)
+    found = lattice.refresh(spark, root, table, goods, at, incremental=True)
+    whole = base.sales(bed)
+    pairs = [
+        (found.buyers(), customers.customer_sales(whole)),
+        (found.days(), sales.day_sales(whole)),
+        (found.months(), sales.month_sales(whole)),
+        (found.addresses(), operations.address_sales(whole)),
+        (found.freight(), operations.yearly_freight(facts)),
+        (found.products(), products.product_sales(facts)),
+        (found.categories(goods), products.category_sales(facts, goods)),
+        (found.shipping(), operations.shipping_histogram(facts, "ano")),
+        (found.amounts(), sales.month_amounts(facts)),
+    ]
+    for stored_rows, direct in pairs:
+        columns = sorted(direct.columns)
+        assert sorted(stored_rows.columns) == columns
+        plain = [F.col(c).cast("string") if c not in ("receita", "frete", "valor_vendido") and not c.startswith("_") else F.col(c).cast("double") for c in columns]
+        assert values(stored_rows, *plain) == values(direct, *plain)
+
+
+def test_rates_that_come_later_build_the_lines_anew(spark, tmp_path):
+    lake = fresh(tmp_path, "lake")
+    extracted(spark, lake, D1, [sale(1, D1)], [line(1, 1)])
+    run_layers(spark, lake, run(D1, True))
+    table, goods = VersionedTable(spark, lake.silver, "facts_vendas"), read_layer_table(spark, lake.silver_database, "dim_produtos")
+    first = lattice.refresh(spark, lake.gold, table, goods, run(D1).now, incremental=True)
+    assert first.amounts() is None and first.shipping() is None
+    row = table.read().withColumns(
+        {"venda_id": F.lit(2).cast("long"), "desconto": F.lit(0.1).cast("decimal(4,2)"), "imposto": F.lit(0.2).cast("decimal(4,2)"), "data_envio": F.lit(D3), "dia": F.lit(11)}
+    )
+    versions.replace(table, row, run(D2).now, KEYS, replaced=["ano=2025/mes=1/dia=11"])
+    later = lattice.refresh(spark, lake.gold, table, goods, run(D2).now, incremental=True)
+    assert [tuple(map(float, r)) for r in values(sales.financials(later.amounts()), "receita_bruta", "descontos", "impostos")] == [(20.0, 1.0, 1.8)]
+    assert values(later.shipping(), "ano", "dias", "linhas") == [(2025, 2, 1), (2025, None, 1)]
+
+
+def test_no_facts_and_empty_dimensions(spark, tmp_path):
+    lake = fresh(tmp_path, "lake")
+    results = analyses_job(spark, lake, run(D1))
+    done = {r.table: r.status for r in results}
+    # Only the total of all regions has a row without sales.
+    assert set(done) == set(NAMES) and {t for t, s in done.items() if s != "skipped"} <= {"vendas_por_regiao"}
+
+
+def test_one_failing_analysis_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    lake = fresh(tmp_path, "lake")
+    extracted(spark, lake, D1, [sale(1, D1)], [line(1, 1)])
+    run_layers(spark, lake, run(D1))
+
+    def broken(*_):
+        raise ValueError("no")
+
+    monkeypatch.setattr(stored_analyses.sales, "seasonality", broken)
+    with pytest.raises(TablesFailed) as failure:
+        analyses_job(spark, lake, run(D1))
+    assert set(failure.value.errors) == {"sazonalidade"}
+    assert {r.table for r in failure.value.results} == set(NAMES) - {"sazonalidade"}
+
+
+def test_an_address_free_customer_has_no_region(spark):
+    rows = spark.createDataFrame([(1, "F", 30)], "cliente_id long, cliente_genero string, cliente_idade int")
+    none = spark.createDataFrame([], SILVER["dim_enderecos"])
+    found = stored_analyses.people(Dimensions(none, rows, none, none))
+    assert values(found, "cliente_id", "regiao", "genero", "faixa_etaria") == [(1, None, "F", "25 a 34")]

@@ -162,7 +162,8 @@ def test_freight_counts_once_per_sale(spark):
     sales = [{"frete": 10, "total": 100}, {"frete": 0, "total": 100}]
     lines = [{"venda_id": 1}] + [{"venda_id": 2}] * 9
     facts = facts_of(spark, sales, lines).withColumn("data_envio", F.lit(JAN))
-    assert operations.shipping_days(facts).first()["participacao_frete"] == 0.05
+    found = operations.shipping_days(operations.shipping_histogram(facts, "ano"), operations.yearly_freight(facts))
+    assert found.first()["participacao_frete"] == 0.05
 
 
 def test_main_address_of_a_customer(spark):
