@@ -18,7 +18,9 @@ against other texts only.
 
 from __future__ import annotations
 
+import collections
 import hashlib
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,83 +53,87 @@ def boundaries(hashes: np.ndarray) -> np.ndarray:
     return np.bitwise_count((rolled & (~rolled + np.uint64(1))) - np.uint64(1))
 
 
-def running_words(lines: list[bytes]) -> np.ndarray:
+def running_words(lines: list[bytes]) -> list[int]:
     """Words before every line, and of all lines."""
-    return np.append(0, np.cumsum(np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))))
+    return list(itertools.accumulate((len(x.split()) for x in lines), initial=0))
 
 
-def anchored(lines: list[bytes], total: np.ndarray, use: Settings) -> list[tuple[int, int]]:
+def anchored(lines: list[bytes], total: list[int], use: Settings) -> list[tuple[int, int]]:
     """Long lines, then the chunks of several lines between boundaries."""
-    words = np.diff(total)
-    found = [(i, i + 1) for i in np.flatnonzero(words >= use.least_words).tolist()]
-    strength = boundaries(line_hashes(lines))
-    seen = set(found)
+    least, n = use.least_words, len(lines)
+    found = dict.fromkeys((i, i + 1) for i in range(n) if total[i + 1] - total[i] >= least)
+    strength = boundaries(line_hashes(lines)).tolist()
+    ends = range(1, n)
     for level in range(1, use.levels + 1):
-        ends = np.flatnonzero(strength[:-1] >= level) + 1
-        edges = np.concatenate([[0], ends, [len(lines)]])
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if b - a > 1 and total[b] - total[a] >= use.least_words and (a, b) not in seen:
-                seen.add((a, b))
-                found.append((a, b))
-    return found
+        ends = [b for b in ends if strength[b - 1] >= level]
+        for a, b in itertools.pairwise([0, *ends, n]):
+            if b - a > 1 and total[b] - total[a] >= least:
+                found[a, b] = None
+    return list(found)
 
 
-def shortest(total: np.ndarray, least: int) -> np.ndarray:
+def shortest(total: list[int], least: int) -> list[tuple[int, int]]:
     """(first line, one past the last), in order, of the shortest chunk with enough words from every line with a word on, and up to every such line."""
-    worded = np.flatnonzero(np.diff(total) > 0)
-    ends = np.searchsorted(total, total[worded] + least)
-    starts = np.searchsorted(total, total[worded + 1] - least, "right") - 1
-    pairs = np.concatenate([np.stack([worded, ends], 1)[ends < len(total)], np.stack([starts, worded + 1], 1)[starts >= 0]])
-    return _pairs(np.unique(_codes(pairs, len(total))), len(total))
-
-
-def _codes(pairs: np.ndarray, size: int) -> np.ndarray:
-    return pairs[:, 0] * size + pairs[:, 1]
-
-
-def _pairs(codes: np.ndarray, size: int) -> np.ndarray:
-    return np.stack(np.divmod(codes, size), 1)
-
-
-def _all_spans(lines: list[bytes], use: Settings) -> tuple[np.ndarray, np.ndarray]:
+    n = len(total) - 1
+    found = set()
+    end = start = 0
+    for i in range(n):
+        if total[i + 1] == total[i]:
+            continue
+        while end <= n and total[end] < total[i] + least:
+            end += 1
+        if end <= n:
+            found.add((i, end))
+        if total[i + 1] >= least:
+            while total[start + 1] <= total[i + 1] - least:
+                start += 1
+            found.add((start, i + 1))
+    return sorted(found)
+
+
+def _all_spans(lines: list[bytes], use: Settings) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Chunks by boundaries and long lines; and the shortest ones that are not among them."""
     total = running_words(lines)
     if total[-1] < use.least_words:
-        return np.empty((0, 2), np.int64), np.empty((0, 2), np.int64)
-    found = np.array(anchored(lines, total, use), np.int64).reshape(-1, 2)
-    sliding = shortest(total, use.least_words)
-    return found, sliding[~np.isin(_codes(sliding, len(total)), _codes(found, len(total)))]
+        return [], []
+    found = anchored(lines, total, use)
+    known = set(found)
+    return found, [x for x in shortest(total, use.least_words) if x not in known]
 
 
 def spans(lines: list[bytes], use: Settings) -> list[tuple[int, int]]:
     """(first line, one past the last) of every chunk with enough words."""
-    return [(a, b) for some in _all_spans(lines, use) for a, b in some.tolist()]
+    return [x for some in _all_spans(lines, use) for x in some]
 
 
 @dataclass
 class Chunks:
     """Of one text: hash, lines and bytes (from, to) of every chunk; and whether it is held against other texts only. Bodies stay in the text."""
 
-    hashes: np.ndarray
-    lines: np.ndarray
-    bytes: np.ndarray
-    others_only: np.ndarray
+    hashes: list[int]
+    lines: list[tuple[int, int]]
+    bytes: list[tuple[int, int]]
+    others_only: list[bool]
 
 
 def chunks_of(text: bytes, use: Settings) -> Chunks:
+    """Texts have few lines, so plain lists take half the time that small arrays do."""
     lines = text.split(b"\n")
     found, sliding = _all_spans(lines, use)
-    both = np.concatenate([found, sliding])
-    starts = np.append(0, np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1))
-    places = np.stack([starts[both[:, 0]], starts[both[:, 1]] - 1], 1)
-    view = memoryview(text)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(view[a:b]) for a, b in zip(places[:, 0].tolist(), places[:, 1].tolist())), np.uint64, len(both))
+    if not found and not sliding:
+        return Chunks([], [], [], [])
+    both = found + sliding
+    starts = list(itertools.accumulate((len(x) + 1 for x in lines), initial=0))
+    places = [(starts[a], starts[b] - 1) for a, b in both]
+    view, digest = memoryview(text), xxhash.xxh64_intdigest
+    hashes = [digest(view[a:b]) for a, b in places]
     # Equal chunks are equally many lines, so of those in order only neighbours need a look.
-    own, first = hashes[len(found) :], sliding[:, 0]
-    order = np.lexsort((first, own))
-    near = (own[order[1:]] == own[order[:-1]]) & (first[order[1:]] < sliding[order[:-1], 1])
-    others_only = np.append(np.zeros(len(found), bool), np.isin(own, own[order[1:]][near]))
-    return Chunks(hashes, both, places, others_only)
+    ended, near = {}, set()
+    for own, (first, last) in zip(hashes[len(found) :], sliding):
+        if first < ended.get(own, 0):
+            near.add(own)
+        ended[own] = last
+    return Chunks(hashes, both, places, [False] * len(found) + [own in near for own in hashes[len(found) :]])
 
 
 def _texts(batch: pa.RecordBatch, column: int):
@@ -138,25 +144,22 @@ def _repeated(docs: DataFrame, use: Settings) -> DataFrame:
     """``chunk`` (hash) of all chunks that occur again. Each text gives a hash once, as 2 if the text alone repeats it."""
 
     def run(batches):
-        held, size = [], 0
+        chunks, times = [], []
         for batch in batches:
             for text in _texts(batch, 0):
                 own = chunks_of(text, use)
-                if not len(own.hashes):
-                    continue
-                chunks = np.unique(own.hashes)
-                alone, often = np.unique(own.hashes[~own.others_only], return_counts=True)
-                held.append((chunks, 1 + np.isin(chunks, alone[often > 1]).astype(np.int64)))
-                size += len(chunks)
-                if size >= 50_000:
-                    yield batch_of(held)
-                    held, size = [], 0
-        if held:
-            yield batch_of(held)
-
-    def batch_of(held):
-        chunks, times = map(np.concatenate, zip(*held))
-        return pa.RecordBatch.from_arrays([pa.array(chunks.view(np.int64)), pa.array(times)], ["chunk", "n"])
+                alone = collections.Counter(h for h, others_only in zip(own.hashes, own.others_only) if not others_only)
+                for chunk in set(own.hashes):
+                    chunks.append(chunk)
+                    times.append(2 if alone[chunk] > 1 else 1)
+                if len(chunks) >= 50_000:
+                    yield batch_of(chunks, times)
+                    chunks, times = [], []
+        if chunks:
+            yield batch_of(chunks, times)
+
+    def batch_of(chunks, times):
+        return pa.RecordBatch.from_arrays([pa.array(np.array(chunks, np.uint64).view(np.int64)), pa.array(times, pa.int64())], ["chunk", "n"])
 
     counted = docs.select("text").mapInArrow(run, "chunk long, n long")
     return counted.groupBy("chunk").agg(F.sum("n").alias("n")).filter("n > 1").select("chunk")
@@ -166,16 +169,17 @@ def _chunks(docs: DataFrame, use: Settings, sieve) -> DataFrame:
     """``chunk`` (hash), ``row_key``, ``doc_id``, ``first``, ``last``, ``others_only`` of the chunks that the sieve lets through, and the SHA-256 of their bytes as ``body``."""
 
     def run(batches):
-        bits = np.frombuffer(sieve.value, np.uint64)
+        bits = memoryview(sieve.value).cast("Q")
         for batch in batches:
             rows = []
             for key, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch, 2)):
                 own = chunks_of(text, use)
-                place = own.hashes % np.uint64(use.sieve_bits)
-                there = np.flatnonzero(bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
                 view = memoryview(text)
-                for digest, (first, last), (a, b), others_only in zip(own.hashes[there].view(np.int64).tolist(), own.lines[there].tolist(), own.bytes[there].tolist(), own.others_only[there].tolist()):
-                    rows.append((digest, key, doc_id, first, last, others_only, hashlib.sha256(view[a:b]).digest()))
+                for digest, (first, last), (a, b), others_only in zip(own.hashes, own.lines, own.bytes, own.others_only):
+                    place = digest % use.sieve_bits
+                    if not bits[place >> 6] >> (place & 63) & 1:
+                        continue
+                    rows.append((digest - (digest >> 63 << 64), key, doc_id, first, last, others_only, hashlib.sha256(view[a:b]).digest()))
                     if len(rows) == 50_000:
                         yield batch_of(rows)
                         rows = []

@@ -139,3 +139,16 @@ def test_memory_follows_the_text():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert len(found.hashes) >= chunks and peak < 100_000_000
+
+
+def test_a_short_text_costs_few_calls():
+    """The time of a text with a few lines is that of the calls made for it; small arrays took 334."""
+    import cProfile
+    import pstats
+
+    rng = random.Random(5)
+    text = "\n".join(" ".join(rng.choices("abcdefgh", k=40)) for _ in range(9)).encode()
+    assert len(lines.chunks_of(text, lines.Settings()).hashes) > 9
+    profile = cProfile.Profile()
+    profile.runcall(lines.chunks_of, text, lines.Settings())
+    assert pstats.Stats(profile).total_calls < 250
