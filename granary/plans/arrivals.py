@@ -21,6 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.members import Ids
 from granary.schemas import INT, LONG, struct
 from granary.sinks.lake import stage
 from granary.sinks.versions import Draft, Version, VersionedTable
@@ -158,7 +159,7 @@ def changed_sales(arrived: DataFrame, marks: DataFrame, state: DataFrame) -> Dat
 
 
 def next_state(
-    marks: DataFrame, state: DataFrame, changed: DataFrame, loaded: DataFrame, arrived: DataFrame, vanished: DataFrame, buckets: int
+    marks: DataFrame, state: DataFrame, changed: DataFrame | Ids, loaded: DataFrame, arrived: DataFrame, vanished: DataFrame, buckets: int
 ) -> DataFrame:
     """The state of all sales: marks as they are now, days of ``loaded`` for changed sales and as before for others.
 
@@ -175,7 +176,7 @@ def next_state(
     decided = arrived.union(vanished)
     pieces = [
         rows(marks),
-        rows(state.join(changed, "venda_id", "left_anti").filter("ano IS NOT NULL").select("venda_id", *DAYS)),
+        rows(Ids.of(changed).without(state.filter("ano IS NOT NULL"), "venda_id").select("venda_id", *DAYS)),
         rows(loaded.select("venda_id", *DAYS).distinct()),
         rows(state.filter("situacao IS NOT NULL").select("venda_id", "situacao").join(decided, "venda_id", "left_anti")),
         rows(arrived, situacao=F.lit(KNOWN)),

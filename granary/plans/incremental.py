@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.scalars import calendar_parts, literal_like
+from granary.operators.members import Ids
 from granary.sinks.versions import NO_VALUE, Draft, Version, VersionedTable, part_name
 
 # Fixed value: the mark before anything was loaded.
@@ -56,7 +57,7 @@ def load_facts(
     table: VersionedTable,
     base: Version,
     batch: DataFrame,
-    changed: DataFrame,
+    changed: DataFrame | Ids,
     days: Iterable[Mapping],
     metrics: dict[str, Column] | None = None,
 ) -> tuple[Draft, list[str]]:
@@ -65,12 +66,13 @@ def load_facts(
     Sales are replaced whole: all old lines of a sale in ``changed(venda_id)``
     go, its new valid lines come. ``days`` are those that hold either; only they
     are read and written, once, and a day that loses its last sale is gone. A
-    second run changes nothing. ``metrics`` and ``new_rows`` are of the batch.
+    second run changes nothing. Old lines move once, to the task that writes
+    their day. ``metrics`` and ``new_rows`` are of the batch.
     """
     # Sales without a date are few; their day is not noted per sale.
     undated = {part for part in base.folders if NO_VALUE in part}
     parts = sorted({part_name(base.partition_by, day) for day in days} | undated)
-    old = table.read(base, parts).join(changed, "venda_id", "left_anti").withColumn("_new", F.lit(False))
+    old = Ids.of(changed).without(table.read(base, parts), "venda_id").withColumn("_new", F.lit(False))
     merged = old.unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
     seen = {"new_rows": F.count_if("_new"), **(metrics or {})}
     return table.write(merged, base.partition_by, seen, base, parts, hidden=["_new"]), parts

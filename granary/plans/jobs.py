@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.scalars import with_run_metadata
 from granary.operators.dedup import latest_by_key
+from granary.operators.members import Ids
 from granary.plans import gold, incremental, lattice, rules, silver, stored_analyses
 from granary.plans.arrivals import VANISHED, Arrivals, changed_sales, days_of, key_table, line_marks, next_state, save_keys, staged
 from granary.plans.incremental import FACT_PARTITIONS
@@ -86,7 +87,7 @@ class Changes:
     """What a silver run has to load: headers, ids that changed, vanished or arrived, marks and state, and the marks to note."""
 
     headers: DataFrame
-    changed: DataFrame
+    changed: Ids
     vanished: DataFrame
     arrived: DataFrame
     marks: DataFrame
@@ -168,18 +169,18 @@ def extract_keys_job(spark: SparkSession, load: Callable[[SourceTable], DataFram
 
 
 def current_rows(
-    spark: SparkSession, lake: Lake, table: SourceTable, only: DataFrame | None = None, key: str = "id"
+    spark: SparkSession, lake: Lake, table: SourceTable, only: DataFrame | Ids | None = None, key: str = "id"
 ) -> DataFrame:
     """One row per key of a bronze table.
 
     Tables extracted in full need their newest folder only, which has each key
     once. The others keep, per key, the row changed last, then the one extracted last. ``only``
-    keeps the rows whose ``key`` is in its one column, before anything is sorted.
+    keeps the rows whose ``key`` is one of its ids, before anything is sorted.
     """
     path = f"{lake.bronze}/{table.name}"
     frame = read_bronze(spark, path, BRONZE[table.name], only_latest=not table.incremental)
     if only is not None:
-        frame = frame.join(only.toDF(key), key, "left_semi").select(*frame.columns)
+        frame = Ids.of(only).among(frame, key)
     if not table.incremental:
         return frame.drop(*EXTRACT_KEYS)
     order = [c for c in ("atualizado_em", *EXTRACT_KEYS) if c in frame.columns]
@@ -242,12 +243,12 @@ def silver_job(
         vanished, keys = arrived.vanished(key_table(spark, lake.bronze))
         vanished = staged(vanished.join(waiting, "venda_id", "left_anti"), "vanished-sales")
         marks, state = staged(line_marks(lines()), "line-marks"), arrived.state()
-        changed = staged(changed_sales(waiting.union(vanished), marks, state), "changed-sales") if extend else waiting
+        changed = Ids.of(staged(changed_sales(waiting.union(vanished), marks, state), "changed-sales")) if extend else Ids(waiting, None)
         # Bronze still has the headers of deleted sales.
         deleted = state.filter(F.col("situacao") == VANISHED).select("venda_id").union(vanished).join(waiting, "venda_id", "left_anti")
         headers = current_rows(spark, lake, entries["vendas"], only=changed) if extend else bronze("vendas")
         headers = headers.join(deleted.withColumnRenamed("venda_id", "id"), "id", "left_anti").select(*headers.columns)
-        headers = staged(headers, "changed-headers") if extend else headers
+        headers = staged(headers, "changed-headers")
         return Changes(headers, changed, vanished, waiting, marks, state, newest, keys)
 
     def calendar() -> WriteResult:
@@ -264,7 +265,7 @@ def silver_job(
     def refuse(found: Changes, days: Iterable[Mapping], own_lines: DataFrame) -> None:
         """Keep the lines that the fact leaves out, by the day they would lie in."""
         table = VersionedTable(spark, lake.silver, "vendas_recusadas")
-        old, rows = table.current(), described(rules.refused_lines(found.headers, own_lines))
+        old, rows = table.current(), described(rules.refused_lines(found.headers, own_lines, lambda some: staged(some, "refused")))
         if extend and old:
             draft, _ = incremental.load_facts(table, old, rows, found.changed, days)
         else:
@@ -280,19 +281,21 @@ def silver_job(
             if not draft.rows:
                 return draft.result()
             days, own_lines = (), lines()
-            rows, loaded, changed = draft.rows, draft.read(), draft.read().select("venda_id").distinct()
+            rows, loaded = draft.rows, draft.read()
+            # Without an earlier state there is nothing to replace in it.
+            changed = Ids.of(loaded.select("venda_id")) if arrived.known else Ids(found.state.select("venda_id"), None)
         else:
-            if found.changed.isEmpty():
+            if found.changed.frame.isEmpty():
                 return WriteResult("facts_vendas", fact_table.root, 0, "skipped")
-            own_lines = lines().join(found.changed, "venda_id", "left_semi").select(*lines().columns)
+            own_lines = found.changed.among(lines(), "venda_id")
             batch = described(silver.facts_sales(found.headers, own_lines))
             moment = F.to_date("data_venda")
             new_days = found.headers.select(F.year(moment).alias("ano"), F.month(moment).alias("mes"), F.dayofmonth(moment).alias("dia"))
-            old_days = found.state.join(found.changed, "venda_id", "left_semi").select(*FACT_PARTITIONS)
+            old_days = found.changed.among(found.state, "venda_id").select(*FACT_PARTITIONS)
             days = days_of(new_days.union(old_days))
             draft, parts = incremental.load_facts(fact_table, base, batch, found.changed, days, measured(incremental.of_batch))
             rows, changed = draft.metrics["new_rows"], found.changed
-            loaded = draft.read(parts).join(changed, "venda_id", "left_semi")
+            loaded = changed.among(draft.read(parts), "venda_id")
         refuse(found, days, own_lines)
         after = next_state(found.marks, found.state, changed, loaded, found.arrived, found.vanished, lake.buckets)
         state = arrived.save(after, run.now)

@@ -18,6 +18,8 @@ from granary.session import scratch_path, settings
 from granary.sources.lake import note_schema
 
 COMPRESSION = "snappy"
+# Of scratch and versioned tables, which only Spark reads and which are written again often.
+DENSE = "zstd"
 MAX_ROWS_PER_FILE = 20_000_000
 
 
@@ -49,11 +51,11 @@ def _observed(frame: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame,
 
 
 def _save(
-    frame: DataFrame, path: str, partition_by: Sequence[str], dynamic: bool, by_folder: bool = False
+    frame: DataFrame, path: str, partition_by: Sequence[str], dynamic: bool, by_folder: bool = False, compression: str = COMPRESSION
 ) -> None:
     writer = (
         frame.write.mode("overwrite")
-        .option("compression", COMPRESSION)
+        .option("compression", compression)
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     )
@@ -73,7 +75,7 @@ def save_observed(
 ) -> tuple[int, dict]:
     """Write to a new folder; rows and ``metrics`` of what was written. ``hidden`` columns are counted, not written."""
     observed, seen = _observed(rebalanced(frame, partition_by), metrics)
-    _save(observed.drop(*hidden), path, partition_by, dynamic=False, by_folder=bool(partition_by))
+    _save(observed.drop(*hidden), path, partition_by, dynamic=False, by_folder=bool(partition_by), compression=DENSE)
     found = dict(seen.get)
     return found.pop("rows", 0) or 0, found
 
@@ -146,11 +148,15 @@ def stage(
     partition_by: Sequence[str] = (),
     metrics: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, WriteResult]:
-    """Write to a fresh scratch folder and read it back, with the same columns."""
+    """Write to a fresh scratch folder and read it back, with the same columns.
+
+    Without partitions the tasks write the rows as they lie: another shuffle
+    would only save files that nobody keeps.
+    """
     spark = frame.sparkSession
     path = scratch_path(spark, purpose)
-    observed, seen = _observed(rebalanced(frame, partition_by), metrics or {})
-    _save(observed, path, partition_by, dynamic=False, by_folder=bool(partition_by))
+    observed, seen = _observed(rebalanced(frame, partition_by) if partition_by else frame, metrics or {})
+    _save(observed, path, partition_by, dynamic=False, by_folder=bool(partition_by), compression=DENSE)
     result = _result(purpose, path, seen)
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns), result
 
