@@ -142,7 +142,7 @@ def _after_two_loads(bed: Testbed, fact: DataFrame, refresh: Callable[[str, Vers
     versions.replace(table, before.unionByName(gone), NOW, by_month)
     refresh(root, table)
     batch = everything.filter(recent)
-    changed = batch.select("venda_id").union(gone.select("venda_id")).distinct()
+    changed = batch.select("venda_id").union(gone.select("venda_id"))
     days = days_of(batch.select(*FACT_PARTITIONS).union(gone.select(*FACT_PARTITIONS)))
     draft, _ = incremental.load_facts(table, table.current(), batch, changed, days)
     draft.commit(NOW)
