@@ -48,14 +48,17 @@ def category_sales(facts: DataFrame, products: DataFrame, *keys: str) -> DataFra
     Sales per category cannot be added up from products, so the lines are
     joined, once for both measures.
     """
-    return (
-        facts.withColumnRenamed("dim_produto_id", "produto_id")
-        .join(products.select("produto_id", "categoria_id", "categoria_nome"), "produto_id")
-        .groupBy(*keys, "categoria_id", "categoria_nome")
-        .agg(
-            F.count_distinct("venda_id").alias("vendas"),
-            F.sum("subtotal").alias("receita"),
-        )
+    joined = facts.withColumnRenamed("dim_produto_id", "produto_id").join(
+        products.select("produto_id", "categoria_id", "categoria_nome"), "produto_id"
+    )
+    return category_sums(joined, *keys, "categoria_id", "categoria_nome")
+
+
+def category_sums(lines: DataFrame, *keys: str) -> DataFrame:
+    """The two measures of :func:`category_sales`, of lines that have their category."""
+    return lines.groupBy(*keys).agg(
+        F.count_distinct("venda_id").alias("vendas"),
+        F.sum("subtotal").alias("receita"),
     )
 
 

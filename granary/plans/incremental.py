@@ -60,6 +60,7 @@ def load_facts(
     changed: DataFrame | Ids,
     days: Iterable[Mapping],
     metrics: dict[str, Column] | None = None,
+    in_place: bool = False,
 ) -> tuple[Draft, list[str]]:
     """The fact's next version with ``batch`` in it, written but not committed, and the partitions it replaces.
 
@@ -67,7 +68,8 @@ def load_facts(
     go, its new valid lines come. ``days`` are those that hold either; only they
     are read and written, once, and a day that loses its last sale is gone. A
     second run changes nothing. Old lines move once, to the task that writes
-    their day. ``metrics`` and ``new_rows`` are of the batch.
+    their day. ``metrics`` and ``new_rows`` are of the batch. ``in_place``: the
+    batch lies together by partition as the old lines do, so no line has to move.
     """
     # Sales without a date are few; their day is not noted per sale.
     undated = {part for part in base.folders if NO_VALUE in part}
@@ -75,7 +77,7 @@ def load_facts(
     old = Ids.of(changed).without(table.read(base, parts), "venda_id").withColumn("_new", F.lit(False))
     merged = old.unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
     seen = {"new_rows": F.count_if("_new"), **(metrics or {})}
-    return table.write(merged, base.partition_by, seen, base, parts, hidden=["_new"]), parts
+    return table.write(merged, base.partition_by, seen, base, parts, ["_new"], in_place), parts
 
 
 def of_batch(value: Column) -> Column:

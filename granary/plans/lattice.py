@@ -2,7 +2,8 @@
 
 Four tables lie between the fact and the analyses. Each is built from the fact
 in one pass, in the fact's partitions, and kept up as ``totals.bring_up`` says,
-so an incremental run reads the touched days of the fact once per table:
+so an incremental run reads the touched days of the fact once per table, and
+moves none of its lines:
 
 - ``sales``: day, customer, address and payment status; a sale counts once
 - ``lines``: day and product; a line counts once, by its own amounts
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.members import Values
 from granary.plans import silver
 from granary.plans.analyses import operations, products, sales
 from granary.plans.totals import DAY, bring_up
@@ -52,10 +54,9 @@ def line_days(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*DAY, F.col("dim_produto_id").alias("produto_id")).agg(*products.line_sums(), *more)
 
 
-def kind_days(facts: DataFrame, goods: DataFrame) -> DataFrame:
-    """By category id only, so that a category may change its name."""
-    unnamed = goods.select("produto_id", "categoria_id", F.lit(None).cast("string").alias("categoria_nome"))
-    return products.category_sales(facts, unnamed, *DAY).drop("categoria_nome")
+def kind_days(facts: DataFrame, kinds: Values) -> DataFrame:
+    """By category id only, so that a category may change its name. ``kinds`` has the products' categories."""
+    return products.category_sums(kinds.joined(facts, "dim_produto_id", "categoria_id"), *DAY, "categoria_id")
 
 
 def digest(goods: DataFrame) -> str:
@@ -123,10 +124,11 @@ def refresh(
     """Bring the tables up to the fact's newest version. ``goods`` are the products, with their categories."""
     bring = functools.partial(bring_up, spark, f"{gold_root}/_lattice", facts, at, incremental)
     version = facts.current()
+    kinds = Values.of(goods.select("produto_id", "categoria_id"))
     has_shipments = version is not None and SHIPPED in version.schema.names
     return Lattice(
         bring("sales", sale_days),
         bring("lines", line_days),
-        bring("kinds", lambda rows: kind_days(rows, goods), depends=digest(goods)),
+        bring("kinds", lambda rows: kind_days(rows, kinds), depends=digest(goods), in_place=kinds.words is not None),
         bring("shipped", lambda rows: operations.shipping_histogram(rows, *DAY)) if has_shipments else None,
     )

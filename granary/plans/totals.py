@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from granary.plans import gold
 from granary.schemas import PARTITION_KEYS, SILVER
-from granary.sinks.versions import VersionedTable, changed_parts
+from granary.sinks.lake import rebalanced
+from granary.sinks.versions import Draft, Version, VersionedTable, changed_parts
 
 DAY = ("dim_tempo_data", *PARTITION_KEYS["facts_vendas"])
 
@@ -54,6 +55,19 @@ class Totals:
         return gold.added_up(self.customers, "cliente_id")
 
 
+def by_partition(build: Callable[[DataFrame], DataFrame], facts: VersionedTable, version: Version, parts: Collection[str] | None = None) -> DataFrame:
+    """What ``build`` makes of some partitions, the rows of each together.
+
+    A task that reads whole partitions sees all rows that can share a group, so
+    nothing is shuffled. Only partitions too large for one task are.
+    """
+    small, large = facts.read_whole(version, parts)
+    built = [build(frame) for frame in small]
+    if large is not None:
+        built.append(rebalanced(build(large), version.partition_by))
+    return functools.reduce(DataFrame.union, built)
+
+
 def bring_up(
     spark: SparkSession,
     root: str,
@@ -63,13 +77,15 @@ def bring_up(
     name: str,
     build: Callable[[DataFrame], DataFrame],
     depends: str | None = None,
+    in_place: bool = True,
 ) -> DataFrame:
     """One stored table, brought up to the fact's newest version.
 
     ``build`` reduces the fact, or some of its partitions, to rows that keep the
     partitions apart. ``depends`` stands for whatever else ``build`` reads; if
     it is not what it was, or new columns of the fact give the table new columns,
-    all partitions are built again.
+    all partitions are built again. ``in_place``: ``build`` leaves a partition's
+    rows where they were read, but for groups that name the partition.
     """
     table = VersionedTable(spark, root, name)
     base, version = table.current(), facts.current()
@@ -79,13 +95,18 @@ def bring_up(
     notes = {"facts": version.number, "depends": depends}
     columns = set(build(spark.createDataFrame([], version.schema)).columns)
     same = base is not None and (base.partition_by, base.notes.get("depends")) == (version.partition_by, depends) and columns <= set(base.schema.names)
+
+    def written_again(base: Version | None, parts: Collection[str] | None = None, replaced: Collection[str] | None = None) -> Draft:
+        rows = by_partition(build, facts, version, parts) if in_place else build(facts.read(version, parts))
+        return table.write(rows, version.partition_by, base=base, replaced=replaced, in_place=in_place)
+
     if incremental and seen and same:
         written, gone = changed_parts(seen, version)
         if not written and not gone:
             return table.read(base)
-        draft = table.write(build(facts.read(version, written)), version.partition_by, base=base, replaced=written | gone)
+        draft = written_again(base, written, written | gone)
     else:
-        draft = table.write(build(facts.read(version)), version.partition_by, base=base)
+        draft = written_again(base)
     return table.read(draft.commit(at, notes))
 
 

@@ -71,11 +71,17 @@ def _save(
 
 
 def save_observed(
-    frame: DataFrame, path: str, partition_by: Sequence[str], metrics: dict[str, Column], hidden: Sequence[str] = ()
+    frame: DataFrame, path: str, partition_by: Sequence[str], metrics: dict[str, Column], hidden: Sequence[str] = (), in_place: bool = False
 ) -> tuple[int, dict]:
-    """Write to a new folder; rows and ``metrics`` of what was written. ``hidden`` columns are counted, not written."""
-    observed, seen = _observed(rebalanced(frame, partition_by), metrics)
-    _save(observed.drop(*hidden), path, partition_by, dynamic=False, by_folder=bool(partition_by), compression=DENSE)
+    """Write to a new folder; rows and ``metrics`` of what was written. ``hidden`` columns are counted, not written.
+
+    ``in_place``: the tasks that have the rows write them, without a shuffle;
+    for rows that already lie together by partition, or files that nobody keeps.
+    """
+    observed, seen = _observed(frame if in_place else rebalanced(frame, partition_by), metrics)
+    # A union of frames of one task each would itself become one task.
+    with settings(frame.sparkSession, {"spark.sql.unionOutputPartitioning": "false"} if in_place else {}):
+        _save(observed.drop(*hidden), path, partition_by, dynamic=False, by_folder=bool(partition_by) and not in_place, compression=DENSE)
     found = dict(seen.get)
     return found.pop("rows", 0) or 0, found
 

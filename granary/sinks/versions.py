@@ -19,6 +19,7 @@ partitions.
 from __future__ import annotations
 
 import datetime as dt
+import heapq
 import json
 import uuid
 from collections.abc import Collection, Iterable, Mapping, Sequence
@@ -32,6 +33,11 @@ from granary.sinks.lake import WriteResult, save_observed
 from granary.sources.files import Files
 from granary.sources.lake import PARTITIONS_AT_ONCE, replace_view
 
+# Reading by whole partitions. Bytes of files a task should have, or, while cores
+# are idle, at least; of a partition that is read whole, and of all such, at most.
+TASK_BYTES, LEAST_BYTES, WHOLE_BYTES, ALL_BYTES = 2**25, 2**22, 2**28, 200 * 2**27
+MOST_TASKS = 200
+
 # Folder name of a partition value that is NULL; fixed by Spark's file layout.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -109,6 +115,31 @@ class VersionedTable:
         paths = ["/".join(x for x in (self.root, f, p) if x) for p, f in sorted(folders.items())]
         return reader.option("basePath", self.root).parquet(*paths).select(*names)
 
+    def read_whole(self, version: Version | None = None, parts: Collection[str] | None = None) -> tuple[list[DataFrame], DataFrame | None]:
+        """The rows in frames of one task each that share no partition, and those of partitions too large for that.
+
+        What is grouped by partition, and more, inside such a frame needs no
+        shuffle, and may be written by partition as it lies.
+        """
+        version = version or self.current()
+        folders = version.folders if parts is None else {p: f for p, f in version.folders.items() if p in set(parts)}
+        sizes = {p: sum(self._files.sizes("/".join(x for x in (self.root, f, p) if x))) for p, f in folders.items()}
+        small, total = [], 0
+        for part in sorted(sizes, key=lambda p: (sizes[p], p)):
+            if sizes[part] <= WHOLE_BYTES and total + sizes[part] <= ALL_BYTES:
+                small.append(part)
+                total += sizes[part]
+        cores = self.spark.sparkContext.defaultParallelism
+        wanted = max(total // TASK_BYTES, min(cores, total // LEAST_BYTES))
+        bins: list[tuple[int, list[str]]] = [(0, []) for _ in range(max(1, min(wanted, len(small), MOST_TASKS)))]
+        for part in reversed(small):
+            size, names = heapq.heappop(bins)
+            heapq.heappush(bins, (size + sizes[part], [*names, part]))
+        large = sizes.keys() - set(small)
+        if len(bins) == 1 and not large:
+            return [self.read(version, parts).coalesce(1)], None
+        return [self.read(version, names).coalesce(1) for _, names in bins if names], self.read(version, large) if large else None
+
     def write(
         self,
         frame: DataFrame,
@@ -117,18 +148,20 @@ class VersionedTable:
         base: Version | None = None,
         replaced: Iterable[str] | None = None,
         hidden: Sequence[str] = (),
+        in_place: bool = False,
     ) -> Draft:
         """Write the files of the version after ``base``, not yet visible.
 
         ``replaced``: the partitions that ``frame`` stands for, which may leave
         some of them without rows; the others stay. None: the whole table.
-        ``hidden``: columns that only ``metrics`` need.
+        ``hidden``: columns that only ``metrics`` need. ``in_place``: see
+        :func:`save_observed`.
         """
         if replaced is not None and base:
             frame = _fitting(frame, base.schema)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in frame.schema.fields if f.name not in hidden])
         folder = f"v={(base.number if base else 0) + 1}-{uuid.uuid4().hex[:12]}"
-        rows, seen = save_observed(frame, f"{self.root}/{folder}", partition_by, dict(metrics or {}), hidden)
+        rows, seen = save_observed(frame, f"{self.root}/{folder}", partition_by, dict(metrics or {}), hidden, in_place)
         if partition_by:
             folders = {part: folder for part in self._files.folders_below(f"{self.root}/{folder}", len(partition_by))}
         else:
