@@ -10,9 +10,9 @@ The filter is cut into segments by n-gram hash; their number follows the
 corpus, and each is counted and filled by one task into a written table. Workers
 get a head of every segment by broadcast, with a fixed largest size in all: the
 n-grams of the highest levels that fit. Where rarer ones do not fit, they are in
-the segment's tail; texts then send the distinct n-grams that the head does not
-know to the tails, one row for each slice of texts and segment, and get their
-levels back. Every n-gram counts at every size.
+the segment's tail; texts then send the n-grams that the head does not know to
+the tails, 4 bytes each, in one row for each slice of texts and segment, and get
+their levels back. Every n-gram counts at every size.
 """
 
 from __future__ import annotations
@@ -20,14 +20,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import WordHashes, crc_remainder, mix, stage
+from granary.session import settings
 
 SEGMENT_BITS = 1 << 21  # wanted; a power of two, like all sizes of filters here
+# More segments than these only for tokens beyond so many in each: every slice of texts has a row for each segment.
+MANY_SEGMENTS, SEGMENT_TOKENS = 1 << 10, 1 << 21
+# Of text that is scored at once, but for a longer text; of n-grams looked up at once.
+SLICE_BYTES, PROBED = 1 << 22, 1 << 18
+# Rows that pass between Spark and a worker at once: some 4 MB of text.
+BATCH_ROWS = "2000"
 START = np.uint64(0x5A5A0001)
 END = np.uint64(0x5A5A0002)
 
@@ -132,6 +140,11 @@ def segment_of(grams: np.ndarray, segments: int) -> np.ndarray:
     return (grams >> np.uint64(32)) & np.uint64(segments - 1)
 
 
+def segments_for(tokens: int, use: Settings) -> int:
+    wanted = min(MANY_SEGMENTS, -(-2 * tokens * use.bits // SEGMENT_BITS))
+    return 1 << (max(1, wanted, -(-tokens // SEGMENT_TOKENS)) - 1).bit_length()
+
+
 def counts_at(levels: np.ndarray) -> np.ndarray:
     """The least count of every level, 0 for level 0."""
     return np.where(levels > 0, 2.0 ** (levels.astype(float) - 1), 0.0)
@@ -195,7 +208,7 @@ def fill_segments(docs: DataFrame, vocabulary: DataFrame, tokens: int, use: Sett
 
     ``segment``, ``head``, ``tail`` (NULL if all fit into the head). The number of segments follows ``tokens``.
     """
-    segments = 1 << (max(1, -(-2 * tokens * use.bits // SEGMENT_BITS)) - 1).bit_length()
+    segments = segments_for(tokens, use)
     size = max(64, min(SEGMENT_BITS, 1 << (max(1, use.head_bits // segments).bit_length() - 1)))
 
     def pack_words(batches):
@@ -216,11 +229,12 @@ def fill_segments(docs: DataFrame, vocabulary: DataFrame, tokens: int, use: Sett
     def fill(key: tuple, rows: pa.Table) -> pa.Table:
         grams, counts = [], []
         for g, often, times in zip(*(rows.column(c).to_pylist() for c in ("grams", "often", "times"))):
-            grams.append(np.frombuffer(g, "<u4").astype(np.uint64))
+            grams.append(np.frombuffer(g, "<u4"))
             own = np.ones(len(grams[-1]), np.int64)
             own[np.frombuffer(often, "<u4")] = np.frombuffer(times, "<i8")
             counts.append(own)
-        head, tail = fill_segment(*_sums(np.concatenate(grams), np.concatenate(counts)), size, use)
+        unique, summed = _sums(np.concatenate(grams), np.concatenate(counts))
+        head, tail = fill_segment(unique.astype(np.uint64), summed, size, use)
         return pa.table([[key[0].as_py()], [head.tobytes()], pa.array([None if tail is None else tail.tobytes()], pa.binary())], ["segment", "head", "tail"])
 
     packed = vocabulary.select("word", "c").mapInArrow(pack_words, PACKED).unionByName(_gathered(docs, bigrams, use, emit, PACKED))
@@ -255,36 +269,74 @@ def log_probabilities(own: np.ndarray, pair: np.ndarray, starts: np.ndarray, end
     return np.add.reduceat(np.log10((pair + prior * uniform) / (np.maximum(before, pair) + prior)), starts)
 
 
-def _open_levels(slices: DataFrame, tails: DataFrame, segments: int, use: Settings) -> DataFrame:
-    """``slice``, ``grams``, ``levels``: what the tails know of the ``grams`` of every slice; one row a slice and segment travels each way."""
+def _slices(batch: pa.RecordBatch, rows: int, size: int = SLICE_BYTES):
+    """The batch in runs of at most ``rows`` texts and, but for a longer text, ``size`` bytes of the second column."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        fits = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + size, "right"))
+        high = max(low + 1, min(low + rows, fits))
+        yield batch.slice(low, high - low)
+        low = high
 
-    def deal(batches):
-        for batch in batches:
-            for number, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams = np.frombuffer(grams, "<u8")
-                if len(grams):
-                    segment = segment_of(grams, segments)
-                    order = np.argsort(segment, kind="stable")
-                    found, cuts = np.unique(segment[order], return_index=True)
-                    parts = [grams[own].tobytes() for own in np.split(order, cuts[1:])]
-                    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array([number] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["segment", "slice", "grams"])
-
-    def probe(asked: pd.DataFrame, tail: pd.DataFrame) -> pd.DataFrame:
-        levels = [b""] * len(asked)
-        if len(tail):
-            bits = np.frombuffer(tail["tail"].iloc[0], np.uint8)
-            known = Filter(bits, 1, 8 * len(bits), use.hashes)
-            levels = [known.levels(np.frombuffer(g, "<u8")).tobytes() for g in asked["grams"]]
-        answers = pd.DataFrame({"slice": asked["slice"], "grams": asked["grams"], "levels": levels})
-        return answers[answers["levels"] != b""]
 
-    asked = slices.select("slice", "open").mapInArrow(deal, "segment long, slice long, grams binary")
-    return asked.groupBy("segment").cogroup(tails.groupBy("segment")).applyInPandas(probe, "slice long, grams binary, levels binary")
+def _cut(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Rows of bytes; ``offsets`` in bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def _uncut(rows: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of some rows in one array, and their offsets."""
+    sizes = pc.binary_length(rows).to_numpy().astype(np.int64)
+    return np.frombuffer(b"".join(rows.to_pylist()), np.uint8), np.append(0, np.cumsum(sizes))
+
+
+# What goes to a segment: its tail, n-grams that a slice asks it for, and slices that wait for answers, in any segment.
+TAIL, ASKED, WAITING = 0, 1, 2
+MAIL = "segment long, slice long, kind int, data binary"
 ROW = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>"
-# All texts of a slice in one row, with their tokens and the levels that the head knows; ``open``: distinct n-grams that it does not.
-SLICE = f"texts array<struct<{ROW.replace(' long', ':long').replace(' boolean', ':boolean').replace(' double', ':double').replace(' array', ':array')}>>, tokens binary, starts binary, own binary, pair binary, open binary"
+
+
+def _asked(grams: np.ndarray, number: int, segments: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """A row for each segment with the low 32 bits of its n-grams, in their order; and every n-gram's segment."""
+    segment = segment_of(grams, segments).astype("<u4")
+    order = np.argsort(segment, kind="stable")
+    found, cuts = np.unique(segment[order], return_index=True)
+    data = _cut(grams[order].astype("<u4"), 4 * np.append(cuts, len(grams)))
+    rows = pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.repeat(pa.scalar(number, pa.int64()), len(found)), pa.repeat(pa.scalar(ASKED, pa.int32()), len(found)), data], ["segment", "slice", "kind", "data"])
+    return rows, segment
+
+
+def _waiting(texts: pa.RecordBatch, own: np.ndarray, pair: np.ndarray, segment: np.ndarray) -> bytes:
+    """A slice with the levels that the head knows, 0 where it does not, and the segments asked for those, in one compressed piece."""
+    nested = pa.ListArray.from_arrays(pa.array([0, texts.num_rows], pa.int32()), texts.to_struct_array())
+    planes = segment.view(np.uint8).reshape(-1, 4).T.tobytes()  # the high bytes say little
+    row = pa.RecordBatch.from_arrays([nested, *(pa.array([x], pa.binary()) for x in (own.tobytes(), pair.tobytes(), planes))], ["texts", "own", "pair", "segment"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def _answered(mail: DataFrame, use: Settings) -> DataFrame:
+    """``slice``, ``segment``, ``data``: a byte for every n-gram asked, the level that the segment's tail knows; waiting slices as they came, with segment -1."""
+
+    def probe(key: tuple, rows: pa.Table) -> pa.Table:
+        kind = rows["kind"]
+        asked, waiting = rows.filter(pc.equal(kind, ASKED)), rows.filter(pc.equal(kind, WAITING))
+        bits = np.frombuffer(b"".join(rows["data"].filter(pc.equal(kind, TAIL)).to_pylist()), np.uint8)
+        data, offsets = _uncut(asked["data"])
+        grams = data.view("<u4")
+        levels = np.zeros(len(grams), np.uint8)
+        if len(bits):
+            known = Filter(bits, 1, 8 * len(bits), use.hashes)
+            for low in range(0, len(grams), PROBED):
+                levels[low : low + PROBED] = known.levels(grams[low : low + PROBED].astype(np.uint64))
+        columns = ["slice", "segment", "data"]
+        answers = pa.Table.from_arrays([asked["slice"], asked["segment"], _cut(levels, offsets // 4)], columns)
+        return pa.concat_tables([answers, pa.Table.from_arrays([waiting["slice"], pa.repeat(pa.scalar(-1, pa.int64()), len(waiting)), waiting["data"]], columns)])
+
+    return mail.groupBy("segment").applyInArrow(probe, "slice long, segment long, data binary")
 
 
 def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
@@ -295,6 +347,11 @@ def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     training rows nothing is known, and the counts are zero. ``base_score`` is
     exact: counts of the most frequent words are broadcast, the others joined.
     """
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        return _scored(docs, use)
+
+
+def _scored(docs: DataFrame, use: Settings) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("held_out", crc_remainder(F.col("doc_id"), use.folds) == use.held)
     training = docs.filter(~F.col("held_out"))
     vocabulary = stage(word_counts(training, use), "lm-words")
@@ -306,70 +363,73 @@ def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     words, times = head["word"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64)
     order = np.argsort(words)
     filled, segments, head_size = fill_segments(training, vocabulary, total, use)
-    tails = filled.filter("tail IS NOT NULL").select("segment", "tail")
+    tails = filled.filter("tail IS NOT NULL").select("segment", F.lit(0).cast("long").alias("slice"), F.lit(TAIL).alias("kind"), F.col("tail").alias("data"))
     whole = tails.isEmpty()
     sent = docs.sparkSession.sparkContext.broadcast((_heads(filled, segments, head_size, use), words[order], times[order]))
     least = total + 0.5 * (distinct + 1)
 
+    def scores_of(own: np.ndarray, pair: np.ndarray, starts: np.ndarray) -> pa.Array:
+        return pa.array(log_probabilities(counts_at(own), counts_at(pair), starts, ends, total, distinct, use.prior))
+
     def run(batches):
         known_levels, words, times = sent.value
         hashed = WordHashes()
-        for batch in batches:
-            for low in range(0, batch.num_rows, use.slice):
-                part = batch.slice(low, use.slice)
-                tokens, starts = tokens_of(part.column(1).cast(pa.binary()).to_pylist(), hashed)
-                at = np.minimum(np.searchsorted(words, tokens), max(0, len(words) - 1))
-                there = words[at] == tokens if len(words) else np.zeros(len(tokens), bool)
-                base, own = np.zeros(len(tokens)), np.zeros(len(tokens), np.uint8)
-                base[there] = np.log10((times[at[there]] + 0.5) / least)
-                own[there] = levels_of(times[at[there]])
-                rare = mix(tokens[~there])
-                distinct_grams, places = np.unique(np.concatenate([rare, bigrams(tokens, starts)]), return_inverse=True)
-                levels = known_levels.levels(distinct_grams)
-                own[~there], pair = levels[places[: len(rare)]], levels[places[len(rare) :]]
-                sizes = np.diff(np.append(starts, len(tokens)))
-                known = np.add.reduceat(there.astype(np.int64), starts)
-                offsets = np.append(0, np.cumsum(sizes - known)).astype(np.int32)
-                tail = pa.ListArray.from_arrays(offsets, pa.array(tokens[~there].view(np.int64)))
-                scores = log_probabilities(counts_at(own), counts_at(pair), starts, ends, total, distinct, use.prior)
-                columns = [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(np.add.reduceat(base, starts)), pa.array(scores), tail]
-                texts = pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
-                if whole:
-                    yield texts
-                    continue
-                nested = pa.ListArray.from_arrays(pa.array([0, texts.num_rows], pa.int32()), texts.to_struct_array())
-                binary = [tokens.tobytes(), starts.astype(np.int64).tobytes(), own.tobytes(), pair.tobytes(), distinct_grams[levels == 0].tobytes()]
-                yield pa.RecordBatch.from_arrays([nested, *(pa.array([x], pa.binary()) for x in binary)], ["texts", "tokens", "starts", "own", "pair", "open"])
-
-    def finish(slices: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        row = slices.iloc[0]
-        tokens, starts = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["starts"], np.int64)
-        own, pair = np.frombuffer(row["own"], np.uint8).copy(), np.frombuffer(row["pair"], np.uint8).copy()
-        if len(answers):
-            grams = np.concatenate([np.frombuffer(g, "<u8") for g in answers["grams"]])
-            levels = np.concatenate([np.frombuffer(x, np.uint8) for x in answers["levels"]])
-            by_gram = np.argsort(grams)
-            grams, levels = grams[by_gram], levels[by_gram]
-            for known, wanted in ((own, mix(tokens)), (pair, bigrams(tokens, starts))):
-                at = np.minimum(np.searchsorted(grams, wanted), len(grams) - 1)
-                new = (known == 0) & (grams[at] == wanted)
-                known[new] = levels[at[new]]
-        return pd.DataFrame({"slice": row["slice"], "number": np.arange(len(starts)), "score": log_probabilities(counts_at(own), counts_at(pair), starts, ends, total, distinct, use.prior)})
+        number = 0 if whole else TaskContext.get().partitionId() << 33
+        for part in (part for batch in batches for part in _slices(batch, use.slice)):
+            tokens, starts = tokens_of(part.column(1).cast(pa.binary()).to_pylist(), hashed)
+            at = np.minimum(np.searchsorted(words, tokens), max(0, len(words) - 1))
+            there = words[at] == tokens if len(words) else np.zeros(len(tokens), bool)
+            base, own = np.zeros(len(tokens)), np.zeros(len(tokens), np.uint8)
+            base[there] = np.log10((times[at[there]] + 0.5) / least)
+            own[there] = levels_of(times[at[there]])
+            grams = np.concatenate([mix(tokens[~there]), bigrams(tokens, starts)])
+            distinct_grams, places = np.unique(grams, return_inverse=True)
+            levels = known_levels.levels(distinct_grams)[places]
+            own[~there], pair = levels[: -len(tokens)], levels[-len(tokens) :]
+            sizes = np.diff(np.append(starts, len(tokens)))
+            known = np.add.reduceat(there.astype(np.int64), starts)
+            offsets = np.append(0, np.cumsum(sizes - known)).astype(np.int32)
+            tail = pa.ListArray.from_arrays(offsets, pa.array(tokens[~there].view(np.int64)))
+            columns = {"doc_id": part.column(0), "held_out": part.column(2), "n_tokens": pa.array(sizes, pa.int64()), "known": pa.array(known, pa.int64()), "base": pa.array(np.add.reduceat(base, starts))}
+            if whole:
+                yield pa.RecordBatch.from_pydict(columns | {"score": scores_of(own, pair, starts), "rest": tail})
+                continue
+            asked, segment = _asked(grams[levels == 0], number, segments)
+            yield asked
+            data = _waiting(pa.RecordBatch.from_pydict(columns | {"rest": tail}), own, pair, segment)
+            yield pa.RecordBatch.from_arrays([pa.array([mix(np.array([number], np.uint64))[0] % segments], pa.int64()), pa.array([number], pa.int64()), pa.array([WAITING], pa.int32()), pa.array([data], pa.binary())], ["segment", "slice", "kind", "data"])
+            number += 1
+
+    def finish(key: tuple, rows: pa.Table) -> pa.Table:
+        data = rows.sort_by("segment")["data"]  # the slice itself, then the answers
+        row = next(iter(pa.ipc.open_stream(data[0].as_buffer())))
+        own, pair = (np.frombuffer(row[c][0].as_buffer(), np.uint8).copy() for c in ("own", "pair"))
+        segment = np.ascontiguousarray(np.frombuffer(row["segment"][0].as_buffer(), np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+        answers, _ = _uncut(data[1:])
+        if len(answers) != len(segment):
+            raise RuntimeError(f"{len(answers)} of {len(segment)} levels reached a slice")
+        levels = np.empty(len(segment), np.uint8)
+        levels[np.argsort(segment, kind="stable")] = answers
+        rare = own == 0
+        cut = int(rare.sum())
+        own[rare], pair[pair == 0] = levels[:cut], levels[cut:]
+        texts = pa.RecordBatch.from_struct_array(row["texts"].flatten())
+        sizes = texts["n_tokens"].to_numpy()
+        columns = dict(zip(texts.schema.names, texts.columns))
+        rest = columns.pop("rest")
+        return pa.table(columns | {"score": scores_of(own, pair, np.append(0, np.cumsum(sizes[:-1]))), "rest": rest})
 
     asked = docs.select("doc_id", "text", "held_out")
     if whole:
-        scored = stage(asked.mapInArrow(run, ROW), "lm-scores").withColumn("_row", F.monotonically_increasing_id())
+        scored = asked.mapInArrow(run, ROW)
     else:
-        slices = stage(stage(asked.mapInArrow(run, SLICE), "lm-slices").withColumn("slice", F.monotonically_increasing_id()), "lm-numbered")
-        answers = _open_levels(slices, tails, segments, use)
-        scores = slices.drop("texts", "open").groupBy("slice").cogroup(answers.groupBy("slice")).applyInPandas(finish, "slice long, number int, score double")
-        texts = slices.select("slice", F.posexplode("texts").alias("number", "t")).select("slice", "number", "t.*").drop("score")
-        scored = stage(texts.join(scores, ["slice", "number"]), "lm-scores").withColumn("_row", F.monotonically_increasing_id())
+        mail = asked.mapInArrow(run, MAIL).unionByName(tails)
+        scored = _answered(mail, use).groupBy("slice").applyInArrow(finish, ROW)
+    scored = stage(scored, "lm-scores").withColumn("_row", F.monotonically_increasing_id())
     sent.unpersist()
-    rare = scored.select("_row", F.explode("rest").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("n"))
-    rare = rare.join(vocabulary, "word", "left").groupBy("_row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),
-        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(least)))).alias("added"),
+    rare = scored.select("_row", F.explode("rest").alias("word")).join(vocabulary, "word", "left").groupBy("_row").agg(
+        F.count_if(F.col("c") > 0).alias("more"),
+        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(least)))).alias("added"),
     )
     return scored.drop("rest").join(rare, "_row", "left").select(
         "doc_id",

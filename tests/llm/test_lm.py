@@ -5,8 +5,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from granary import session
 from granary.llm import lm
 from granary.llm.common import table
 
@@ -91,6 +93,34 @@ def test_score_equals_exact_counts_whatever_fits_into_the_head(spark, more):
     assert found == pytest.approx(sorted(model_by_hand(rows, use.prior)), rel=1e-9)
 
 
+def test_segments_stay_few_and_bounded():
+    use = lm.Settings()
+    assert [lm.segments_for(n, use) for n in (0, 1, 131_072, 131_073, 100_000_000)] == [1, 1, 1, 2, 1024]
+    assert lm.segments_for(1_400_000_000, use) == 1024
+    assert 10**10 / lm.segments_for(10**10, use) <= lm.SEGMENT_TOKENS
+
+
+def test_slices_are_bounded_by_bytes():
+    texts = ["a" * 30, None, "", "b" * 200, "c" * 10, "d" * 95, *["e"] * 9]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [*range(len(texts))], "text": texts})
+    parts = [part.column(1).to_pylist() for part in lm._slices(batch, 4, 100)]
+    assert [text for part in parts for text in part] == texts
+    assert [len(part) for part in parts] == [3, 1, 1, 4, 4, 2]
+
+
+def test_texts_are_not_written_with_their_tokens(spark, tmp_path, monkeypatch):
+    """Scratch files of a filter that does not fit into the head are about as large as those of one that does."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(300))) for i in range(600)]
+    frame, written = spark.createDataFrame(rows, "doc_id long, text string"), {}
+    for bits in (1 << 29, 1 << 12):
+        folder = tmp_path / str(bits)
+        monkeypatch.setattr(session, "scratch_root", lambda _: str(folder))  # noqa: B023
+        assert lm.score(frame, lm.Settings(head_bits=bits, slice=100)).count() == 600
+        written[bits] = sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    assert written[1 << 12] < 1.3 * written[1 << 29]
+
+
 def test_model_knows_prose_from_shuffled_words(spark, folder):
     docs = table(spark, folder.replace("sf0.001", "sf0.01"), "documents")
     rows = lm.score(docs).collect()
