@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import WordHashes, crc_remainder, mix, stage
-from granary.session import settings
+from granary.session import CLEANING, settings
 
 SEGMENT_BITS = 1 << 21  # wanted; a power of two, like all sizes of filters here
 # More segments than these only for tokens beyond so many in each: every slice of texts has a row for each segment.
@@ -347,7 +347,7 @@ def score(docs: DataFrame, use: Settings = Settings()) -> DataFrame:
     training rows nothing is known, and the counts are zero. ``base_score`` is
     exact: counts of the most frequent words are broadcast, the others joined.
     """
-    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS} | CLEANING):
         return _scored(docs, use)
 
 

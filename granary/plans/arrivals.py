@@ -128,7 +128,8 @@ class Arrivals:
         return known.join(source.select("venda_id"), "venda_id", "left_anti"), extract.number
 
     def draft(self, state: DataFrame) -> Draft:
-        return self.table.write(state, ["balde"], base=self.table.current())
+        """``state`` lies together by bucket."""
+        return self.table.write(state, ["balde"], base=self.table.current(), in_place=True)
 
     def save(self, state: DataFrame, at: dt.datetime) -> int:
         """Commit the next state with its digests; returns its number, which the fact's version has to name."""
@@ -163,6 +164,7 @@ def next_state(
 ) -> DataFrame:
     """The state of all sales: marks as they are now, days of ``loaded`` for changed sales and as before for others.
 
+    Rows move once, to the task of their bucket, which adds up and may write them.
     ``loaded``: ``venda_id`` and day of the changed sales that the fact holds.
     A sale that arrives is known, even if it had vanished before.
     """
@@ -185,9 +187,9 @@ def next_state(
     together = pieces[0]
     for piece in pieces[1:]:
         together = together.union(piece)
-    merged = together.groupBy("venda_id").agg(*[F.max(c).alias(c) for c in kinds if c not in ("venda_id", "balde")])
-    kept = merged.filter("venda_id IS NOT NULL AND (linhas IS NOT NULL OR situacao IS NOT NULL)")
-    return kept.withColumn("balde", bucket(F.col("venda_id"), buckets)).select(*kinds)
+    dealt = together.filter("venda_id IS NOT NULL").withColumn("balde", bucket(F.col("venda_id"), buckets)).repartition("balde")
+    merged = dealt.groupBy("balde", "venda_id").agg(*[F.max(c).alias(c) for c in kinds if c not in ("venda_id", "balde")])
+    return merged.filter("linhas IS NOT NULL OR situacao IS NOT NULL").select(*kinds)
 
 
 def days_of(frame: DataFrame) -> list[Mapping]:

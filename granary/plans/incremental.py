@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from granary.functions.scalars import calendar_parts, literal_like
 from granary.operators.members import Ids
+from granary.session import settings
+from granary.sinks.lake import rebalanced
 from granary.sinks.versions import NO_VALUE, Draft, Version, VersionedTable, part_name
 
 # Fixed value: the mark before anything was loaded.
@@ -21,6 +23,11 @@ BEGINNING = "1900-01-01"
 
 FACT_PARTITIONS = ("ano", "mes", "dia")
 
+# Files that a partition may have, on average, for its old rows to be written as they lie.
+FILES_KEPT = 4
+# Of their files, most that a task reads and sorts by partition.
+KEPT_BYTES = 2**26
+
 
 def high_water_mark(facts: DataFrame, column: str = "data_venda") -> DataFrame:
     """One row with the latest loaded moment, or the beginning of time."""
@@ -67,17 +74,25 @@ def load_facts(
     Sales are replaced whole: all old lines of a sale in ``changed(venda_id)``
     go, its new valid lines come. ``days`` are those that hold either; only they
     are read and written, once, and a day that loses its last sale is gone. A
-    second run changes nothing. Old lines move once, to the task that writes
-    their day. ``metrics`` and ``new_rows`` are of the batch. ``in_place``: the
-    batch lies together by partition as the old lines do, so no line has to move.
+    second run changes nothing. Old lines are written by the tasks that read
+    them, and only the batch moves, to few tasks for each day; a load adds some
+    file to a day. Once days have more than ``FILES_KEPT`` of them, or if there
+    are too many changed ids to look them up where the lines lie, all lines of a
+    day move together and become few files again. ``metrics`` and ``new_rows``
+    are of the batch. ``in_place``: the batch lies together by partition as the
+    old lines do, so no line has to move.
     """
     # Sales without a date are few; their day is not noted per sale.
     undated = {part for part in base.folders if NO_VALUE in part}
     parts = sorted({part_name(base.partition_by, day) for day in days} | undated)
-    old = Ids.of(changed).without(table.read(base, parts), "venda_id").withColumn("_new", F.lit(False))
-    merged = old.unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    lying, ids, new = table.read(base, parts), Ids.of(changed), batch.withColumn("_new", F.lit(True))
+    old = ids.without(lying, "venda_id").withColumn("_new", F.lit(False))
+    if not in_place and ids.words is not None and len(lying.inputFiles()) <= FILES_KEPT * len(parts):
+        new, in_place = rebalanced(new, base.partition_by), True
+    merged = old.unionByName(new, allowMissingColumns=True)
     seen = {"new_rows": F.count_if("_new"), **(metrics or {})}
-    return table.write(merged, base.partition_by, seen, base, parts, ["_new"], in_place), parts
+    with settings(table.spark, {"spark.sql.files.maxPartitionBytes": str(KEPT_BYTES)} if in_place else {}):
+        return table.write(merged, base.partition_by, seen, base, parts, ["_new"], in_place), parts
 
 
 def of_batch(value: Column) -> Column:

@@ -38,6 +38,10 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# What a write has shuffled is of no use after it, and would stay on disk until
+# the driver happens to collect its garbage.
+CLEANING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 # Recording the Python line of every column expression makes building a plan a
 # third slower.
 CREATION_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from granary.session import scratch_path, settings
+from granary.session import CLEANING, scratch_path, settings
 from granary.sources.lake import note_schema
 
 COMPRESSION = "snappy"
@@ -61,12 +61,9 @@ def _save(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if not by_folder:
-        writer.parquet(path)
-        return
-    # Each folder's rows already share a task. Merging tasks would not save a
-    # file, only make fewer tasks write them.
-    with settings(frame.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+    # Where each folder's rows already share a task, merging tasks would not
+    # save a file, only make fewer tasks write them.
+    with settings(frame.sparkSession, CLEANING | ({"spark.sql.adaptive.coalescePartitions.enabled": "false"} if by_folder else {})):
         writer.parquet(path)
 
 

@@ -4,8 +4,9 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from granary.operators.members import Ids
 from granary.plans import incremental
-from granary.plans.arrivals import Arrivals, bucket, key_table, line_marks
+from granary.plans.arrivals import STATE, Arrivals, bucket, key_table, line_marks, next_state
 from granary.plans.jobs import Lake, Run, TablesFailed, extract_job, extract_keys_job, gold_job, run_layers, silver_job
 from granary.sinks import versions
 from granary.sinks.lake import write_bronze
@@ -242,6 +243,35 @@ def test_changed_sale_moves_day_and_drops_a_line(spark, lake):
         assert set(version.folders) == {"ano=2025/mes=1/dia=11", "ano=2025/mes=1/dia=12"}
 
 
+def test_old_lines_stay_with_their_tasks_until_a_day_has_many_files(spark, tmp_path):
+    table, keys = VersionedTable(spark, str(tmp_path), "t"), ["ano", "mes", "dia"]
+    rows = lambda *data: spark.createDataFrame([(sale, 2025, 1, 1, x) for sale, x in data], "venda_id long, ano int, mes int, dia int, x int")
+    versions.replace(table, rows(*[(n, 0) for n in range(9)]), at(D1), keys)
+    day, files = {"ano": 2025, "mes": 1, "dia": 1}, []
+    for load in range(1, 7):
+        batch = rows((load, load), (100 + load, load))
+        draft, _ = incremental.load_facts(table, table.current(), batch, batch.select("venda_id"), [day])
+        folder = draft.commit(at(D1)).folders["ano=2025/mes=1/dia=1"]
+        files.append(len(list((tmp_path / "t" / folder).rglob("*.parquet"))))
+        want = {n: 0 for n in range(9)} | {n: n for n in range(1, load + 1)} | {100 + n: n for n in range(1, load + 1)}
+        assert sorted(values(table.read(), "venda_id", "x")) == sorted(want.items())
+    assert files[0] == 2 and max(files) <= incremental.FILES_KEPT + 1 and 1 in files
+
+
+def test_next_state_moves_to_its_buckets_at_once(spark, tmp_path):
+    marks = line_marks(bronze(spark, "itens_venda", line(1, 1), line(2, 1), line(3, 2)))
+    none = spark.createDataFrame([], STATE)
+    loaded = spark.createDataFrame([(1, 2025, 1, 10), (1, 2025, 1, 10)], "venda_id long, ano int, mes int, dia int")
+    arrived = spark.createDataFrame([(1,), (4,), (None,)], "venda_id long")
+    state = next_state(marks, none, Ids(arrived, None), loaded, arrived, arrived.limit(0), 4)
+    plan = state._jdf.queryExecution().toString().split("== Physical Plan ==")[1].splitlines()
+    assert next(x for x in plan if "Exchange" in x).count("hashpartitioning(balde") == 1
+    assert values(state, "venda_id", "linhas", "dia", "situacao") == [(1, 2, 10, 1), (2, 1, None, None), (4, None, None, 1)]
+    arrivals = Arrivals(spark, str(tmp_path), 4, None)
+    arrivals.save(state, at(D1))
+    assert values(arrivals.table.read(), "venda_id", "balde") == values(state, "venda_id", "balde")
+
+
 def test_incremental_gold_replaces_only_recent_months(spark, lake):
     old_day = dt.date(2020, 5, 1)
     sales = [sale(1, old_day), sale(2, D1)]

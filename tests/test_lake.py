@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 import uuid
 
 import pandas as pd
@@ -297,3 +298,16 @@ def test_catalog_learns_columns_and_moves(spark, tmp_path):
     extracted(f"{tmp_path}/b", DAY, bronze(spark, "vendas", {"id": 8}))
     assert values(spark.table(f"{database}.vendas"), "id") == [(8,)]
     assert lake.read_bronze(spark, f"{tmp_path}/a/vendas", BRONZE["vendas"]).count() == 2
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    staged, _ = sinks.stage(spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count(), "counts")
+    until = time.monotonic() + 20  # they go a moment later
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and staged.count() == 97
